@@ -1,0 +1,20 @@
+"""Token counts over a growing folder of text files (Structured Streaming)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quern.operators.agg import token_count
+
+
+def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New text files in ``path`` as a stream of lines (column ``value``)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
+def running_token_count(lines: DataFrame, splitter: str = "tokens") -> DataFrame:
+    """A1 / A2 over a stream: the count per token so far (write with outputMode "complete" or "update")."""
+    return token_count(lines, "value", splitter=splitter)
