@@ -28,6 +28,8 @@ SPACE = " "
 # A run of Java-regex whitespace: blank, tab, line feed, vertical tab, form
 # feed, carriage return (Spark evaluates \s with Java's regex engine).
 WS_RUN = r"\s+"
+# The same set as characters, for trimming a trailing run without a regex.
+JAVA_WHITESPACE = " \t\n\x0b\f\r"
 # Line terminators recognised by Hadoop's and Spark's text readers.
 LINE_BREAK = r"\r\n|\r|\n"
 
@@ -53,15 +55,19 @@ def java_split(text: str | Column, pattern: str, limit: int = 0) -> Column:
 
     ``pattern`` is a Java regular expression. For limit 0 the trailing run of
     separators is cut before splitting, which is what drops the trailing
-    empty pieces; a blank-only separator uses ``rtrim`` instead of a regex.
+    empty pieces; for the blank and whitespace-run separators that cut is a
+    plain ``rtrim`` over the separator characters instead of a regex.
     """
     c = _col(text)
     if limit != 0:
         return F.split(c, pattern, limit if limit > 0 else -1)
     if pattern == SPACE:
         stripped = F.rtrim(c)
+    elif pattern == WS_RUN:
+        stripped = F.rtrim(c, F.lit(JAVA_WHITESPACE))
     else:
-        stripped = F.regexp_replace(c, "(?:" + pattern + r")+\z", "")
+        # Possessive, so a long run of separators cannot backtrack.
+        stripped = F.regexp_replace(c, "(?:" + pattern + r")++\z", "")
     return (F.when(c == F.lit(""), F.array(F.lit("")))
             .when(stripped == F.lit(""), _empty_strings())
             .otherwise(F.split(stripped, pattern, -1)))

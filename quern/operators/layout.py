@@ -28,3 +28,17 @@ def secondary_sort(df: DataFrame, key: str, sort_cols: Sequence[str],
     """
     parted = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
     return parted.sortWithinPartitions(key, *sort_cols)
+
+
+def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread ``df`` over at least ``min_partitions`` tasks (default: the cluster's cores).
+
+    A file stored as one row group is read by one task, so CPU-heavy
+    per-row work after the scan (splitting long texts) would use one core.
+    When the input already has that many partitions, which any large input
+    has, ``df`` is returned unchanged and no shuffle is added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -31,24 +31,29 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """A table whose rows feed CPU-heavy text work, spread over all cores (see ``layout.widen``)."""
+    return layout.widen(table(spark, sf_dir, name, *cols))
+
+
 # ---------------------------------------------------------------- token counts
 
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """StringTokenizer tokens of every document, counted."""
-    docs = table(spark, sf_dir, "documents", "text")
+    docs = texts(spark, sf_dir, "documents", "text")
     return agg.token_count(docs, "text", splitter="tokens")
 
 
 def space_split_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """split(" ") tokens, each line feed first made two blanks (so empty tokens occur)."""
-    docs = table(spark, sf_dir, "documents", "text")
+    docs = texts(spark, sf_dir, "documents", "text")
     line = F.regexp_replace("text", "\n", "  ")
     return agg.token_count(docs.select(line.alias("line")), "line", splitter="space")
 
 
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: token counts per source, then the partial counts summed per token."""
-    docs = table(spark, sf_dir, "documents", "source", "text")
+    docs = texts(spark, sf_dir, "documents", "source", "text")
     per_source = agg.token_count(docs, "text", by=["source"])
     return agg.merge_counts(per_source, "word")
 
@@ -61,7 +66,7 @@ def token_count_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ parsing lines
 
 def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", F.explode(lines("text")).alias("value"))
 
 
@@ -73,13 +78,13 @@ def field_arity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fields_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """split(text, "\\s+", 3): keep texts with three fields; the last is the verbatim rest."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return parse_table(docs, ["first", "second", "rest"], limit=3, value_col="text", keep=["doc_id"])
 
 
 def _pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem (l_partkey, l_suppkey) as text lines; line number 7 made non-numeric, 6 one field short."""
-    li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber")
+    li = texts(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_linenumber")
     pk, sk = F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")
     value = (F.when(F.col("l_linenumber") == 7, F.concat(F.lit("x"), pk, F.lit(" "), sk))
              .when(F.col("l_linenumber") == 6, pk)

@@ -20,6 +20,17 @@ from quern.operators.metrics import count_accepted
 _LONG_TEXT = r"^[+-]?[0-9]+$"
 
 
+def keep_where(df: DataFrame, cond: Column, cols: list[Column], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``df`` where ``cond`` holds, projected to ``keep`` + ``cols``.
+
+    Written as a generator (0 or 1 output rows per input row) rather than a
+    filter: the optimizer pushes a filter below the projection that computes
+    a split array and would copy the split into the condition, evaluating it
+    again per use. A generator is not inlined, so the array is computed once.
+    """
+    return df.select(*keep, F.inline(F.when(cond, F.array(F.struct(*cols)))))
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str], with_source: bool = False,
                source_col: str = "source_file") -> DataFrame:
     """One row per line, column ``value``; LF, CRLF and CR end lines.
@@ -56,8 +67,8 @@ def parse_table(df: DataFrame, names: Sequence[str], sep: str = WS_RUN, limit: i
     obs = None
     if observe:
         parts, obs = count_accepted(parts, observe, F.size("_f") == F.lit(n))
-    out = parts.filter(F.size("_f") == F.lit(n)).select(
-        *keep, *[F.col("_f").getItem(i).alias(name) for i, name in enumerate(names)])
+    cols = [F.get(F.col("_f"), i).alias(name) for i, name in enumerate(names)]
+    out = keep_where(parts, F.size("_f") == F.lit(n), cols, keep)
     return (out, obs) if observe else out
 
 
@@ -77,13 +88,12 @@ def parse_pairs(df: DataFrame, names: Sequence[str] = ("first_num", "second_num"
     """
     if mode not in ("strict", "lenient"):
         raise ValueError("mode must be 'strict' or 'lenient'")
-    f = java_split(value_col, WS_RUN)
-    first, second = _long(F.get(f, 0)), _long(F.get(f, 1))
-    typed = df.select(*keep, F.col(value_col).alias("_line"),
-                      first.alias(names[0]), second.alias(names[1]))
-    ok = F.col(names[0]).isNotNull() & F.col(names[1]).isNotNull()
-    if mode == "lenient":
-        return typed.filter(ok).drop("_line")
-    checked = F.when(ok, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit("malformed number pair: "), F.col("_line"))))
-    return typed.filter(checked).drop("_line")
+    parts = df.select(*keep, F.col(value_col).alias("_line"),
+                      java_split(value_col, WS_RUN).alias("_f"))
+    typed = parts.select(*keep, "_line", _long(F.get(F.col("_f"), 0)).alias("_a"),
+                         _long(F.get(F.col("_f"), 1)).alias("_b"))
+    ok = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    if mode == "strict":
+        ok = F.when(ok, F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("malformed number pair: "), F.col("_line"))))
+    return keep_where(typed, ok, [F.col("_a").alias(names[0]), F.col("_b").alias(names[1])], keep)
