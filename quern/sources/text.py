@@ -32,17 +32,27 @@ def keep_where(df: DataFrame, cond: Column, cols: list[Column], keep: Sequence[s
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], with_source: bool = False,
-               source_col: str = "source_file") -> DataFrame:
+               source_col: str = "source_file", with_order: bool = False,
+               order_col: str = "line_order") -> DataFrame:
     """One row per line, column ``value``; LF, CRLF and CR end lines.
 
     ``with_source`` adds the file name of each line (S2), for a mixed read
-    routed by ``route_by_suffix``.
+    routed by ``route_by_suffix``. ``with_order`` adds ``order_col``, a
+    struct (file path, split start, row id) that sorts lines in file order:
+    rows of one split are read in sequence and get increasing row ids, and
+    the split start orders the splits of a file. Re-reading the same files
+    gives the same values.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.text(paths)
+    cols = [F.col("value")]
     if with_source:
-        df = df.select("value", F.col("_metadata.file_name").alias(source_col))
-    return df
+        cols.append(F.col("_metadata.file_name").alias(source_col))
+    if with_order:
+        cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
+                             F.col("_metadata.file_block_start").alias("start"),
+                             F.monotonically_increasing_id().alias("row")).alias(order_col))
+    return df.select(*cols)
 
 
 def route_by_suffix(df: DataFrame, suffix: str, source_col: str = "source_file") -> DataFrame:
