@@ -9,10 +9,11 @@ from quern.functions.text import (
     java_split,
     lines,
     split_single_space,
+    token_pieces,
     tokens,
 )
 
 __all__ = [
     "LINE_BREAK", "SPACE", "TOKEN_DELIMITERS", "WS_RUN",
-    "fields", "java_split", "lines", "split_single_space", "tokens",
+    "fields", "java_split", "lines", "split_single_space", "token_pieces", "tokens",
 ]

@@ -15,12 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import split_single_space, tokens
+from quern.functions.text import split_single_space, token_pieces
 from quern.operators.sizing import checked_broadcast
 from quern.session import ensure_checkpoint_dir
 
 _SPLITTERS = {
-    "tokens": tokens,               # P1, StringTokenizer
+    "tokens": token_pieces,         # P1, StringTokenizer (empty end pieces dropped below)
     "space": split_single_space,    # P2, split(" ")
 }
 
@@ -29,7 +29,8 @@ def explode_tokens(df: DataFrame, text_col: str | Column, splitter: str = "token
                    word_col: str = "word", keep: Sequence[str] = ()) -> DataFrame:
     """One row per token of ``text_col`` (``keep`` columns are carried along)."""
     split = _SPLITTERS[splitter]
-    return df.select(*keep, F.explode(split(text_col)).alias(word_col))
+    words = df.select(*keep, F.explode(split(text_col)).alias(word_col))
+    return words.filter(F.col(word_col) != F.lit("")) if splitter == "tokens" else words
 
 
 def token_count(df: DataFrame, text_col: str | Column, splitter: str = "tokens",

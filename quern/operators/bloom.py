@@ -55,11 +55,18 @@ def _part(key: Column, parts: int) -> Column:
     return F.pmod(F.hash(F.lit("quern-bloom-part"), key), F.lit(parts)).cast("int")
 
 
+def _hashes(key: Column) -> tuple[Column, Column]:
+    """The two base hashes: h1 in [-2^61, 2^61), h2 odd, so h1 + i * h2 cannot overflow."""
+    return F.shiftright(F.xxhash64(key), 2), F.hash(key).cast("bigint") * F.lit(2) + F.lit(1)
+
+
+def _positions(h1: Column, h2: Column, bits: int, k: int) -> list[Column]:
+    return [F.pmod(h1 + F.lit(i) * h2, F.lit(bits)) for i in range(k)]
+
+
 def positions(key: Column, bits: int, k: int) -> list[Column]:
     """The k bit positions of ``key`` inside its slice of ``bits`` bits."""
-    h1 = F.shiftright(F.xxhash64(key), 2)
-    h2 = F.hash(key).cast("bigint") * F.lit(2) + F.lit(1)
-    return [F.pmod(h1 + F.lit(i) * h2, F.lit(bits)) for i in range(k)]
+    return _positions(*_hashes(key), bits, k)
 
 
 def build(keys: DataFrame, key_col: str, m: int, k: int) -> DataFrame:
@@ -97,11 +104,13 @@ def might_contain(df: DataFrame, key_col: str, filt: DataFrame, m: int, k: int)
     """
     parts, per = layout(m)
     key = F.col(key_col)
-    tagged = df.withColumn("_part", _part(key, parts))
+    h1, h2 = _hashes(key)
+    # Hash once per row, below the join, rather than once per position inside it.
+    tagged = df.select("*", _part(key, parts).alias("_part"), h1.alias("_h1"), h2.alias("_h2"))
     probe = tagged.join(F.broadcast(filt), "_part", "inner")
     words = F.col("_words")
     test = None
-    for pos in positions(key, per, k):
+    for pos in _positions(F.col("_h1"), F.col("_h2"), per, k):
         word = F.element_at(words, (F.shiftright(pos, 6) + 1).cast("int"))
         bit = F.getbit(word, (pos % 64).cast("int")) == F.lit(1)
         test = bit if test is None else test & bit
