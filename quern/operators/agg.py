@@ -62,16 +62,33 @@ def distinct_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct().orderBy(*cols)
 
 
-def sorted_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for range-partitioning ``df``: at least one per input partition.
+
+    ``spark.sql.shuffle.partitions`` alone would give every output partition
+    total / that many bytes, which grows without bound with the input; the
+    input's own partition count (about one per file split) keeps output
+    partitions at split size. Reading it plans the input, it runs no job.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(configured, df.rdd.getNumPartitions())
+
+
+def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """O1 / O2: total order on ``by``, every row kept, order inside equal keys undefined.
 
     A row-position tiebreak is added to the sort key so that range
     partitioning can split a key (or a block of identical rows) that holds a
-    large share of the data across several tasks instead of one.
+    large share of the data across several tasks instead of one. The row
+    position comes from the input's partitioning, which a re-read of the
+    same files reproduces.
     """
     tie = "_quern_tie"
+    keys = [*by, tie]
+    n = num_partitions or range_partitions(df)
     return (df.withColumn(tie, F.monotonically_increasing_id())
-            .orderBy(*by, tie)
+            .repartitionByRange(n, *keys)
+            .sortWithinPartitions(*keys)
             .drop(tie))
 
 
@@ -111,10 +128,11 @@ def first_of_run(df: DataFrame, run_cols: Sequence[str], order: Sequence[str],
     ensure_checkpoint_dir(df.sparkSession)
     keys = [*partition_cols, *order]
     run_key = F.struct(*[F.col(c) for c in (*partition_cols, *run_cols)])
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    ranged = ranged.sortWithinPartitions(*keys).checkpoint(eager=True)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
+    n = num_partitions or range_partitions(df)
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    # Hash the partition ids into as many partitions as there are ids, so the
+    # window below gets one range partition (or a few) per task.
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).repartition(n, "_pid")
 
     in_part = Window.partitionBy("_pid").orderBy(*keys)
     with_prev = ranged.withColumn("_prev", F.lag(run_key).over(in_part))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
 
 from quern.operators import bloom
+from quern.operators.agg import sorted_rows
 from quern.operators.sizing import checked_broadcast, hot_keys
 
 
@@ -93,7 +94,7 @@ def lookup_join(big: DataFrame, dim: DataFrame, big_on: str, dim_on: str,
     last, _ = checked_broadcast(last)
     out = big.join(last, big[big_on] == last["_dk"], "inner")
     out = out.select(F.col("_dk").alias(dim_on), *cols, *big.columns)
-    return out.orderBy(dim_on) if sort_output else out
+    return sorted_rows(out, [dim_on]) if sort_output else out
 
 
 def prefiltered_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
