@@ -62,16 +62,17 @@ def distinct_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct().orderBy(*cols)
 
 
-def range_partitions(df: DataFrame) -> int:
-    """Partitions for range-partitioning ``df``: at least one per input partition.
-
-    ``spark.sql.shuffle.partitions`` alone would give every output partition
-    total / that many bytes, which grows without bound with the input; the
-    input's own partition count (about one per file split) keeps output
-    partitions at split size. Reading it plans the input, it runs no job.
+def range_partitions(df: DataFrame, source: DataFrame | None = None) -> int:
+    """Partitions for range-partitioning ``df``.
+
+    The session's ``spark.sql.shuffle.partitions``, raised to the partition
+    count of ``source`` when given: pass the file scan the data comes from,
+    so each output partition stays about one file split in size however
+    large the input grows. Only pass a plain scan: its partition count is
+    known from planning, while a plan with shuffles would have to run them.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(configured, df.rdd.getNumPartitions())
+    return max(configured, source.rdd.getNumPartitions()) if source is not None else configured
 
 
 def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DataType
 
 from quern.operators import bloom
 from quern.operators.agg import sorted_rows
-from quern.operators.sizing import checked_broadcast, hot_keys
+from quern.operators.sizing import broadcast_row_limit, checked_broadcast, hot_keys
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -34,16 +34,23 @@ def join_keys(df: DataFrame, key: str, out_col: str | None = None) -> DataFrame:
     return df.select(F.col(key).alias(out_col or key)).distinct()
 
 
+def _key_list(keys: DataFrame, keys_col: str | None) -> DataFrame:
+    kc = keys_col or keys.columns[0]
+    return keys.select(F.col(kc).alias("_key")).distinct()
+
+
+def _semi(df: DataFrame, key: str, klist: DataFrame) -> DataFrame:
+    return df.join(klist, df[key] == klist["_key"], "left_semi")
+
+
 def filter_by_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str | None = None) -> DataFrame:
     """Keep the rows of ``df`` whose ``key`` is in the key list.
 
     A left-semi join: map-side against a broadcast key list when the list is
     proven small, a shuffled semi join otherwise.
     """
-    kc = keys_col or keys.columns[0]
-    klist = keys.select(F.col(kc).alias("_key")).distinct()
-    klist, _ = checked_broadcast(klist)
-    return df.join(klist, df[key] == klist["_key"], "left_semi")
+    klist, _ = checked_broadcast(_key_list(keys, keys_col))
+    return _semi(df, key, klist)
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
@@ -103,9 +110,8 @@ def prefiltered_join(left: DataFrame, right: DataFrame, left_on: str, right_on:
 
     Unlike an SQL semi join, the result has the columns of both tables.
     """
-    lf = filter_by_keys(left, left_on, keys, keys_col)
-    rf = filter_by_keys(right, right_on, keys, keys_col)
-    return equi_join(lf, rf, left_on, right_on, "inner")
+    klist, _ = checked_broadcast(_key_list(keys, keys_col))
+    return equi_join(_semi(left, left_on, klist), _semi(right, right_on, klist), left_on, right_on, "inner")
 
 
 def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
@@ -121,8 +127,7 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     list is too large for a filter of ``max_bits`` bits the Bloom step is
     skipped; the exact join alone is still correct.
     """
-    kc = keys_col or keys.columns[0]
-    klist = keys.select(F.col(kc).alias("_key")).distinct()
+    klist = _key_list(keys, keys_col)
     n = klist.count()
     m, k = bloom.size_for(max(n, 1), fpr)
     lf = left
@@ -130,7 +135,11 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         key_type = left.schema[left_on].dataType
         filt = bloom.build(klist.select(F.col("_key").cast(key_type).alias("_key")), "_key", m, k)
         lf = bloom.might_contain(left, left_on, filt, m, k)
-    rf = filter_by_keys(right, right_on, klist, "_key") if exact else right
+    if not exact:
+        return equi_join(lf, right, left_on, right_on, "inner")
+    # The key count just taken is the size check for the exact filter's key list.
+    small = n <= broadcast_row_limit(klist)
+    rf = _semi(right, right_on, F.broadcast(klist) if small else klist)
     return equi_join(lf, rf, left_on, right_on, "inner")
 
 

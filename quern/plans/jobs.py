@@ -57,8 +57,10 @@ def space_word_count(spark: SparkSession, inputs: Paths, out: str | None = None,
 def sort_pairs(spark: SparkSession, inputs: Paths, out: str | None = None,
                mode: str = "overwrite") -> DataFrame:
     """Number pairs sorted by the first number, all rows kept; a malformed line fails the job."""
-    pairs = parse_pairs(read_lines(spark, inputs), mode="strict")
-    return _write(agg.sorted_rows(pairs, ["first_num"]), out, ["first_num", "second_num"], mode)
+    lines = read_lines(spark, inputs)
+    pairs = parse_pairs(lines, mode="strict")
+    sorted_pairs = agg.sorted_rows(pairs, ["first_num"], agg.range_partitions(pairs, source=lines))
+    return _write(sorted_pairs, out, ["first_num", "second_num"], mode)
 
 
 def group_pairs(spark: SparkSession, inputs: Paths, out: str | None = None,
@@ -83,7 +85,8 @@ def first_pair_per_group(spark: SparkSession, inputs: Paths, out: str | None = N
     lines = read_lines(spark, inputs, with_order=True)
     pairs = parse_pairs(lines, mode="strict", keep=["line_order"])
     if as_coded:
-        result = agg.first_of_run(pairs, ["first_num"], ["line_order"])
+        result = agg.first_of_run(pairs, ["first_num"], ["line_order"],
+                                  num_partitions=agg.range_partitions(pairs, source=lines))
     else:
         result = agg.first_per_key(pairs, "first_num", ["second_num"], ["second_num"])
     return _write(result.select("first_num", "second_num"), out, ["first_num", "second_num"], mode)

@@ -46,6 +46,20 @@ SELECT doc_id, a[1] AS f0, a[2] AS f1, a[3] AS f2, a[4] AS f3, a[5] AS f4
 FROM f WHERE len(a) = 5
 """.replace("@WS", _WS)
 
+_FIELD_ARITY_COUNTS = r"""
+WITH l AS (
+  SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                     ELSE regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n')
+                END) AS v
+  FROM documents),
+f AS (
+  SELECT CASE WHEN v = '' THEN ['']
+              WHEN regexp_replace(v, '@WS+$', '') = '' THEN []::VARCHAR[]
+              ELSE regexp_split_to_array(regexp_replace(v, '@WS+$', ''), '@WS+') END AS a
+  FROM l)
+SELECT count(*) AS rows_in, count(*) FILTER (WHERE len(a) <> 5) AS rows_rejected FROM f
+""".replace("@WS", _WS)
+
 _LIMIT3 = r"(?s)^([^ \t\n\v\f\r]*)@WS+([^ \t\n\v\f\r]+)@WS+(.*)$".replace("@WS", _WS)
 
 _FIELDS_LIMIT = f"""
@@ -136,6 +150,7 @@ ORACLE_SQL: dict[str, str] = {
     "merge_counts": _TOKEN_COUNT,
     "token_count_layout": _TOKEN_COUNT,
     "field_arity_filter": _FIELD_ARITY,
+    "field_arity_counts": _FIELD_ARITY_COUNTS,
     "fields_limit": _FIELDS_LIMIT,
     "parse_pairs": _PARSE_PAIRS,
     "sorted_pairs": _PAIRS + " ORDER BY first_num",

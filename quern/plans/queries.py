@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions.text import lines
+from quern.functions.text import fields, lines
 from quern.operators import agg, joins, layout
 from quern.sources.text import parse_pairs, parse_table
 
@@ -71,9 +71,21 @@ def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def field_arity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the documents that split into exactly five fields."""
+    """Lines of the documents that split into exactly five fields.
+
+    Lines in and lines rejected are counted on the executors while the
+    query runs (``DataFrame.observe``), as the reference prints them.
+    """
     names = ["f0", "f1", "f2", "f3", "f4"]
-    return parse_table(_document_lines(spark, sf_dir), names, keep=["doc_id"])
+    out, _obs = parse_table(_document_lines(spark, sf_dir), names, keep=["doc_id"], observe="field_arity")
+    return out
+
+
+def field_arity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 as a query: lines in and lines rejected by the five-field rule."""
+    parts = _document_lines(spark, sf_dir).select(fields("value").alias("_f"))
+    return parts.agg(F.count(F.lit(1)).alias("rows_in"),
+                     F.count_if(F.size("_f") != 5).alias("rows_rejected"))
 
 
 def fields_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,12 +118,14 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sorted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: every pair, sorted by the first number."""
-    return agg.sorted_rows(_pairs(spark, sf_dir), ["first_num"])
+    pairs = _pairs(spark, sf_dir)
+    return agg.sorted_rows(pairs, ["first_num"], agg.range_partitions(pairs, source=pairs))
 
 
 def sorted_pairs_by_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: every pair, sorted by both numbers."""
-    return agg.sorted_rows(_pairs(spark, sf_dir), ["first_num", "second_num"])
+    pairs = _pairs(spark, sf_dir)
+    return agg.sorted_rows(pairs, ["first_num", "second_num"], agg.range_partitions(pairs, source=pairs))
 
 
 def distinct_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,14 +147,16 @@ def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_of_run_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 per user: first event of each run of equal event types, in (ts, event_id) order."""
     ev = table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
-    out = agg.first_of_run(ev, ["event_type"], ["ts", "event_id"], partition_cols=["user_id"])
+    out = agg.first_of_run(ev, ["event_type"], ["ts", "event_id"], partition_cols=["user_id"],
+                           num_partitions=agg.range_partitions(ev, source=ev))
     return out.select("user_id", "event_id", "event_type")
 
 
 def first_of_run_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 global: first event of each run of equal event types, in event_id order."""
     ev = table(spark, sf_dir, "events", "event_id", "event_type")
-    return agg.first_of_run(ev, ["event_type"], ["event_id"]).select("event_id", "event_type")
+    out = agg.first_of_run(ev, ["event_type"], ["event_id"], num_partitions=agg.range_partitions(ev, source=ev))
+    return out.select("event_id", "event_type")
 
 
 # -------------------------------------------------------------------- joins
@@ -241,6 +257,7 @@ QUERIES: dict[str, Query] = {
     "merge_counts": merge_counts,
     "token_count_layout": token_count_layout,
     "field_arity_filter": field_arity_filter,
+    "field_arity_counts": field_arity_counts,
     "fields_limit": fields_limit,
     "parse_pairs": parse_pairs_lenient,
     "sorted_pairs": sorted_pairs,
