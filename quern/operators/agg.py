@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import split_single_space, token_pieces
 from quern.operators.sizing import checked_broadcast
-from quern.session import ensure_checkpoint_dir
+from quern.session import ensure_checkpoint_dir, scan_partitions
 
 _SPLITTERS = {
     "tokens": token_pieces,         # P1, StringTokenizer (empty end pieces dropped below)
@@ -72,7 +72,8 @@ def range_partitions(df: DataFrame, source: DataFrame | None = None) -> int:
     known from planning, while a plan with shuffles would have to run them.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(configured, source.rdd.getNumPartitions()) if source is not None else configured
+    scanned = scan_partitions(source) if source is not None else None
+    return max(configured, scanned or 0)
 
 
 def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from quern.session import default_parallelism, scan_partitions
+
 
 def partitioned_sorted(df: DataFrame, key: str | Sequence[str], num_partitions: int) -> DataFrame:
     """``num_partitions`` hash partitions by key, each sorted by key.
@@ -39,7 +41,8 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     has, ``df`` is returned unchanged and no shuffle is added. Call it on a
     scan (with projections and filters), not on a plan with shuffles.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or default_parallelism(df.sparkSession)
+    have = scan_partitions(df)
+    if target is None or have is None or have >= target:
         return df
     return df.repartition(target)

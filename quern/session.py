@@ -32,16 +32,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def scan_partitions(df) -> int | None:
+    """Partition count of a plain file scan, from planning alone; None if unavailable.
+
+    Needs the classic (JVM-backed) session; under Spark Connect the count is
+    not exposed and callers keep their defaults.
+    """
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect)
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int | None:
+    """The cluster's default parallelism (total cores), or None if not exposed."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext (e.g. Spark Connect)
+        return None
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Make sure reliable checkpoints have a folder, and return it.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; that is
     used as is. Only a local-mode session with no setting (tests, benches)
     gets a fresh folder under the machine's temp area. A cluster session
     without the setting is an error: a machine-local folder would not survive
-    the loss of an executor.
+    the loss of an executor. Under Spark Connect the server's setting
+    applies and None is returned.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoints go where the server says
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
