@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quern.session import default_parallelism, scan_partitions
 
@@ -20,16 +21,27 @@ def partitioned_sorted(df: DataFrame, key: str | Sequence[str], num_partitions:
 
 
 def secondary_sort(df: DataFrame, key: str, sort_cols: Sequence[str],
-                   num_partitions: int | None = None) -> DataFrame:
-    """O3 + O4: route rows by ``key`` alone, sort each partition by (key, sort_cols).
+                   num_partitions: int | None = None, split_hot_keys: bool = False) -> DataFrame:
+    """O3 + O4: route rows by ``key``, sort each partition by (key, sort_cols).
 
-    All rows of a key meet in one partition, in (key, sort_cols) order: the
-    layout a secondary-sort reducer reads. Because a key is never split,
-    this is meant for writing key-clustered files; the joins that need the
-    same grouping (``joins.secondary_sort_join``) salt hot keys first.
+    Default: hash-route by ``key`` alone, so all rows of a key meet in one
+    partition in (key, sort_cols) order, the layout a secondary-sort reducer
+    reads; a key is never split, so one hot key makes one large task.
+
+    ``split_hot_keys=True``: range-route by (key, sort_cols, row position)
+    instead. The rows are in one global (key, sort_cols) order, every key's
+    rows are contiguous, and a key larger than a partition continues into
+    the next partition rather than filling one task.
     """
+    keys = [key, *sort_cols]
+    if split_hot_keys:
+        tie = "_quern_tie"
+        with_tie = df.withColumn(tie, F.monotonically_increasing_id())
+        ranged = (with_tie.repartitionByRange(num_partitions, *keys, tie) if num_partitions
+                  else with_tie.repartitionByRange(*keys, tie))
+        return ranged.sortWithinPartitions(*keys, tie).drop(tie)
     parted = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
-    return parted.sortWithinPartitions(key, *sort_cols)
+    return parted.sortWithinPartitions(*keys)
 
 
 def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -227,7 +227,7 @@ def secondary_sort_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _customers(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     orders = _orders(spark, sf_dir).select("o_custkey", "o_orderkey")
     flow = joins.tagged_union(cust, orders, "c_custkey", "o_custkey")
-    flow = layout.secondary_sort(flow, "key", ["tag"])
+    flow = layout.secondary_sort(flow, "key", ["tag"], split_hot_keys=True)
     return flow.select("key", "tag", F.col("dim.c_name").alias("c_name"), F.col("rec.o_orderkey").alias("o_orderkey"))
 
 

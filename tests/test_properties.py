@@ -103,3 +103,19 @@ def test_first_per_key_and_min(spark, seed):
     for k, v in right:
         low[k] = min(low.get(k, v), v)
     assert mins == sorted(low.items(), key=lambda r: (r[0] is None, r[0]))
+
+
+def test_secondary_sort_layout_splits_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from quern.operators import layout
+
+    df = spark.createDataFrame([(0 if i % 3 else i, i % 2, i) for i in range(3000)], "k long, tag int, v long")
+    plain = layout.secondary_sort(df, "k", ["tag"], num_partitions=6)
+    spread = layout.secondary_sort(df, "k", ["tag"], num_partitions=6, split_hot_keys=True)
+    per_part = lambda d: [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(per_part(plain)) >= 2000          # the hot key fills one partition
+    assert max(per_part(spread)) < 1000          # and is spread when asked
+    got = [(r.k, r.tag) for r in spread.collect()]
+    assert got == sorted(got)                    # one global (key, tag) order
+    assert sorted(r.v for r in spread.collect()) == list(range(3000))
