@@ -33,8 +33,10 @@ JAVA_WHITESPACE = " \t\n\x0b\f\r"
 # Line terminators recognised by Hadoop's and Spark's text readers.
 LINE_BREAK = r"\r\n|\r|\n"
 
-# The same five delimiters as a Java regex character class, one or more.
-_TOKEN_RUN = r"[ \t\n\r\f]+"
+# A field: a maximal run of characters outside the Java whitespace set.
+_FIELD = r"[^ \t\n\x0B\f\r]+"
+# A token: a maximal run of characters that are not one of the five delimiters.
+_TOKEN = r"[^ \t\n\r\f]+"
 
 
 def _col(c: str | Column) -> Column:
@@ -45,19 +47,14 @@ def _empty_strings() -> Column:
     return F.array().cast("array<string>")
 
 
-def token_pieces(text: str | Column) -> Column:
-    """P1 before clean-up: split on delimiter runs; only the first and last piece can be empty.
+def tokens(text: str | Column) -> Column:
+    """The tokens ``StringTokenizer`` yields, never an empty one.
 
-    Exploding this and dropping empty strings afterwards is cheaper than
-    ``tokens`` when the tokens are exploded anyway (a plain filter is
-    compiled, an array lambda is not).
+    Every maximal run of non-delimiter characters, found with one compiled
+    pattern per task (``split`` would compile its pattern for every row and
+    leave empty pieces at the ends to filter out).
     """
-    return F.split(_col(text), _TOKEN_RUN, -1)
-
-
-def tokens(text: str | Column) -> Column:
-    """The tokens ``StringTokenizer`` yields, never an empty one."""
-    return F.filter(token_pieces(text), lambda t: t != F.lit(""))
+    return F.regexp_extract_all(_col(text), F.lit(_TOKEN), 0)
 
 
 def java_split(text: str | Column, pattern: str, limit: int = 0) -> Column:
@@ -71,10 +68,10 @@ def java_split(text: str | Column, pattern: str, limit: int = 0) -> Column:
     c = _col(text)
     if limit != 0:
         return F.split(c, pattern, limit if limit > 0 else -1)
+    if pattern == WS_RUN:
+        return _whitespace_fields(c)
     if pattern == SPACE:
         stripped = F.rtrim(c)
-    elif pattern == WS_RUN:
-        stripped = F.rtrim(c, F.lit(JAVA_WHITESPACE))
     else:
         # Possessive, so a long run of separators cannot backtrack.
         stripped = F.regexp_replace(c, "(?:" + pattern + r")++\z", "")
@@ -83,6 +80,21 @@ def java_split(text: str | Column, pattern: str, limit: int = 0) -> Column:
             .otherwise(F.split(stripped, pattern, -1)))
 
 
+def _whitespace_fields(c: Column) -> Column:
+    """``split("\\s+")`` without a per-row regex compile.
+
+    The fields are the runs of non-whitespace, plus one empty first field
+    when the line starts with whitespace; trailing whitespace yields nothing,
+    which is Java's dropping of trailing empty fields. Empty line: one empty
+    field; whitespace only: none.
+    """
+    runs = F.regexp_extract_all(c, F.lit(_FIELD), 0)
+    leading = F.substring(c, 1, 1).isin(*JAVA_WHITESPACE)
+    return (F.when(c == F.lit(""), F.array(F.lit("")))
+            .when(leading & (F.size(runs) > 0), F.concat(F.array(F.lit("")), runs))
+            .otherwise(runs))
+
+
 def split_single_space(text: str | Column) -> Column:
     """``line.split(" ")``: inner and leading empty pieces kept, tab is not a separator."""
     return java_split(text, SPACE)
