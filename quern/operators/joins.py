@@ -49,7 +49,7 @@ def filter_by_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str | Non
     A left-semi join: map-side against a broadcast key list when the list is
     proven small, a shuffled semi join otherwise.
     """
-    klist, _ = checked_broadcast(_key_list(keys, keys_col))
+    klist, _ = checked_broadcast(_key_list(keys, keys_col), bound=keys)
     return _semi(df, key, klist)
 
 
@@ -98,7 +98,7 @@ def lookup_join(big: DataFrame, dim: DataFrame, big_on: str, dim_on: str,
     last = (dim.groupBy(F.col(dim_on).alias("_dk"))
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_d"))
             .select("_dk", *[F.col("_d." + c).alias(c) for c in cols]))
-    last, _ = checked_broadcast(last)
+    last, _ = checked_broadcast(last, bound=dim)
     out = big.join(last, big[big_on] == last["_dk"], "inner")
     out = out.select(F.col("_dk").alias(dim_on), *cols, *big.columns)
     return sorted_rows(out, [dim_on]) if sort_output else out
@@ -110,7 +110,7 @@ def prefiltered_join(left: DataFrame, right: DataFrame, left_on: str, right_on:
 
     Unlike an SQL semi join, the result has the columns of both tables.
     """
-    klist, _ = checked_broadcast(_key_list(keys, keys_col))
+    klist, _ = checked_broadcast(_key_list(keys, keys_col), bound=keys)
     return equi_join(_semi(left, left_on, klist), _semi(right, right_on, klist), left_on, right_on, "inner")
 
 

@@ -72,10 +72,17 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` is proven small, else ``(df, False)``."""
+def checked_broadcast(df: DataFrame, max_rows: int | None = None,
+                      bound: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if ``df`` is proven small, else ``(df, False)``.
+
+    ``bound`` is an input that ``df`` has at most as many rows as (the table
+    an aggregate or a distinct was computed from). When it fits, ``df`` fits
+    without being computed for the check; a plain scan with a row limit
+    stops reading early, where counting ``df`` would run its aggregation.
+    """
     limit = broadcast_row_limit(df) if max_rows is None else max_rows
-    if fits(df, limit):
+    if (bound is not None and fits(bound, limit)) or fits(df, limit):
         return F.broadcast(df), True
     return df, False
 
