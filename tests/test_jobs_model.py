@@ -27,8 +27,10 @@ def java_split(s, pattern=WS, limit=0):
     return parts
 
 
-def _rand_line(rnd, nfields, keys):
+def _rand_line(rnd, nfields, keys, key_last=False):
     fields = [rnd.choice(keys)] + [rnd.choice(["a", "b", "x1", "长春", "3G"]) for _ in range(nfields - 1)]
+    if key_last:
+        fields = fields[1:] + fields[:1]
     n = rnd.random()
     if n < 0.08:
         fields.append("extra")
@@ -49,11 +51,7 @@ def _rand_line(rnd, nfields, keys):
 def _tables(rnd, n_left=25, n_right=60):
     keys = [str(i) for i in range(8)]
     left = [_rand_line(rnd, 5, keys) for _ in range(n_left)]
-    right = []
-    for _ in range(n_right):
-        line = _rand_line(rnd, 4, keys)
-        f = line.split(" ")
-        right.append(line if rnd.random() < 0.5 else " ".join(f[1:] + f[:1]))  # key sometimes last
+    right = [_rand_line(rnd, 4, keys, key_last=True) for _ in range(n_right)]
     return left, right
 
 
