@@ -67,17 +67,27 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
     of a left outer join), and the anti side only sees one row per key.
     """
     lo, ro = _names(left_on), _names(right_on)
-    matched = left.join(right, _condition(left, right, lo, ro), "inner")
     if how == "inner":
-        return matched
+        return left.join(right, _condition(left, right, lo, ro), "inner")
     if how != "left":
         raise ValueError(f"unsupported join type {how!r}; the reference has inner and left outer")
+    # Both joins read the same non-null-key left input, so its shuffle is
+    # planned once and reused; a NULL key never matches, so those rows are
+    # unmatched without any join.
+    has_key = None
+    for k in lo:
+        term = F.col(k).isNotNull()
+        has_key = term if has_key is None else has_key & term
+    keyed = left.filter(has_key)
+    matched = keyed.join(right, _condition(keyed, right, lo, ro), "inner")
     rkeys = right.select(*[F.col(k).alias(f"_rk{i}") for i, k in enumerate(ro)]).distinct()
     cond = None
     for i, k in enumerate(lo):
-        term = left[k] == rkeys[f"_rk{i}"]
+        term = keyed[k] == rkeys[f"_rk{i}"]
         cond = term if cond is None else cond & term
-    unmatched = left.join(rkeys, cond, "left_anti")
+    unmatched = keyed.join(rkeys, cond, "left_anti")
+    if any(left.schema[k].nullable for k in lo):
+        unmatched = unmatched.unionByName(left.filter(~has_key))
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
     return matched.unionByName(unmatched.select(*left.columns, *nulls))
 
