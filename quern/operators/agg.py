@@ -12,10 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import split_single_space, tokens
+from quern.operators.metrics import observed
 from quern.operators.sizing import checked_broadcast
 from quern.session import ensure_checkpoint_dir, scan_partitions
 
@@ -44,6 +45,22 @@ def token_count(df: DataFrame, text_col: str | Column, splitter: str = "tokens",
     return words.groupBy(*by, word_col).agg(F.count(F.lit(1)).alias(count_col))
 
 
+def token_count_observed(df: DataFrame, text_col: str | Column, splitter: str = "tokens",
+                         name: str = "token_count") -> tuple[DataFrame, Observation, Observation]:
+    """A1 / A2 with the A8 counts: lines in; then groups out and tokens counted.
+
+    Returns ``(counts, lines_obs, groups_obs)``; after an action on
+    ``counts``, ``lines_obs.get`` holds ``lines_in`` and ``groups_obs.get``
+    holds ``groups_out`` and ``tokens``. The counts are aggregated on the
+    executors while the job runs, nothing is printed per record.
+    """
+    lines, lines_obs = observed(df, f"{name}_in", lines_in=F.count(F.lit(1)))
+    counts = token_count(lines, text_col, splitter=splitter)
+    counts, groups_obs = observed(counts, f"{name}_out", groups_out=F.count(F.lit(1)),
+                                  tokens=F.coalesce(F.sum("cnt"), F.lit(0)))
+    return counts, lines_obs, groups_obs
+
+
 def merge_counts(counts: DataFrame, key_cols: Sequence[str] | str, count_col: str = "cnt") -> DataFrame:
     """A3: add up counts that arrive already partly aggregated."""
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)

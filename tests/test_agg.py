@@ -85,3 +85,11 @@ def test_first_of_run_many_partitions_vs_brute_force(spark):
     flagged = agg.first_of_run(df, ["typ"], ["ts"], num_partitions=3, flag_col="first")
     assert flagged.count() == len(data)
     assert flagged.filter(F.col("first")).count() == len(_brute_first_of_run(data, by_user=False))
+
+
+def test_token_count_observed_a8(spark):
+    df = spark.createDataFrame([(v,) for v in TOKEN_LINES], "value string")
+    counts, lines_obs, groups_obs = agg.token_count_observed(df, "value")
+    assert rows(counts) == G1
+    assert lines_obs.get == {"lines_in": 7}
+    assert groups_obs.get == {"groups_out": 9, "tokens": 12}
