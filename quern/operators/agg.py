@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import split_single_space, tokens
 from quern.operators.metrics import observed
-from quern.operators.sizing import checked_broadcast
 from quern.session import ensure_checkpoint_dir, scan_partitions
 
 _SPLITTERS = {
@@ -148,18 +147,20 @@ def first_of_run(df: DataFrame, run_cols: Sequence[str], order: Sequence[str],
     run_key = F.struct(*[F.col(c) for c in (*partition_cols, *run_cols)])
     n = num_partitions or range_partitions(df)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    # Hash the partition ids into as many partitions as there are ids, so the
-    # window below gets one range partition (or a few) per task.
-    ranged = ranged.withColumn("_pid", F.spark_partition_id()).repartition(n, "_pid")
-
-    in_part = Window.partitionBy("_pid").orderBy(*keys)
-    with_prev = ranged.withColumn("_prev", F.lag(run_key).over(in_part))
+    base = ranged.withColumn("_pid", F.spark_partition_id())
 
-    tails = ranged.groupBy("_pid").agg(
+    # The last run key of each partition: a partial aggregate per checkpoint
+    # partition, so only one row per partition is shuffled.
+    tails = base.groupBy("_pid").agg(
         F.max_by(run_key, F.struct(*[F.col(c) for c in keys])).alias("_tail"))
-    # One row per non-empty partition, so this unpartitioned window is tiny.
-    carry = tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_carry"))
-    carry, _ = checked_broadcast(carry)
+    # At most one row per partition (a bound set by n, not by the data), so
+    # the shift needs no partitioned window and the result is broadcast as is.
+    carry = F.broadcast(tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_carry")))
+
+    # Hash the partition ids into as many partitions as there are ids, so the
+    # window gets one range partition (or a few) per task.
+    in_part = Window.partitionBy("_pid").orderBy(*keys)
+    with_prev = base.repartition(n, "_pid").withColumn("_prev", F.lag(run_key).over(in_part))
 
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     first = prev.isNull() | ~prev.eqNullSafe(run_key)
