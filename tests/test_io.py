@@ -59,3 +59,19 @@ def test_streaming_token_count(spark, tmp_path):
         q.stop()
     assert got == [("spark", 2), ("sql", 1)]
     assert isinstance(F.col("x"), type(F.col("y")))
+
+
+def test_line_order_across_many_splits(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 7) for i in range(3000)]
+    p = tmp_path / "big.txt"
+    p.write_text("\n".join(lines) + "\n")
+    (tmp_path / "other.txt").write_text("a\nb\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        df = read_lines(spark, [str(p), str(tmp_path / "other.txt")], with_order=True)
+        assert df.rdd.getNumPartitions() > 10
+        got = [r.value for r in df.orderBy("line_order").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == lines + ["a", "b"]

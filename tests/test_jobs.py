@@ -107,3 +107,13 @@ def test_map_side_edge_rows(spark, tmp_path):
     left2 = _write(tmp_path / "l2" / "left_table.txt", ["1 n 1 901 1 x"])
     got2 = sorted(tuple(r) for r in jobs.map_side_join(spark, left2, right).collect())
     assert got2 == [("1", "n", "1", "901", "1 x", "", "2G", "123")]
+
+
+def test_command_line(spark, files):
+    from quern.__main__ import main
+
+    out = str(files["tmp"] / "cli_semi")
+    main(["semi_join", files["glob"], files["keys"], out])
+    assert _out(spark, out) == G3_LINES
+    with pytest.raises(SystemExit):
+        main(["semi_join", files["glob"], out])
