@@ -91,22 +91,30 @@ def range_partitions(df: DataFrame, source: DataFrame | None = None) -> int:
     return max(configured, scanned or 0)
 
 
+def spread_tiebreak(df: DataFrame) -> list[Column]:
+    """Sort-key suffix that lets range partitioning split one hot key.
+
+    (input partition id, hash of the whole row): rows that still tie are
+    identical copies from one input partition, so at most one input split
+    of rows can share a range-partition boundary value. Both parts are
+    reproduced exactly when a lost task is re-run, whatever order its rows
+    arrive in, so the routing of every row is stable under retries.
+    """
+    return [F.spark_partition_id(), F.xxhash64(*[F.col(c) for c in df.columns])]
+
+
 def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """O1 / O2: total order on ``by``, every row kept, order inside equal keys undefined.
 
-    A row-position tiebreak is added to the sort key so that range
-    partitioning can split a key (or a block of identical rows) that holds a
-    large share of the data across several tasks instead of one. The row
-    position comes from the input's partitioning, which a re-read of the
-    same files reproduces.
+    ``spread_tiebreak`` is appended to the range-partitioning key, so a key
+    (or a block of identical rows) that holds a large share of the data is
+    split across several tasks instead of one.
     """
-    tie = "_quern_tie"
-    keys = [*by, tie]
+    ties = [f"_quern_tie{i}" for i in range(2)]
+    keys = [*by, *ties]
     n = num_partitions or range_partitions(df)
-    return (df.withColumn(tie, F.monotonically_increasing_id())
-            .repartitionByRange(n, *keys)
-            .sortWithinPartitions(*keys)
-            .drop(tie))
+    tied = df.select("*", *[c.alias(t) for c, t in zip(spread_tiebreak(df), ties, strict=True)])
+    return tied.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop(*ties)
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from quern.operators.agg import spread_tiebreak
 from quern.session import default_parallelism, scan_partitions
 
 
@@ -28,18 +28,18 @@ def secondary_sort(df: DataFrame, key: str, sort_cols: Sequence[str],
     partition in (key, sort_cols) order, the layout a secondary-sort reducer
     reads; a key is never split, so one hot key makes one large task.
 
-    ``split_hot_keys=True``: range-route by (key, sort_cols, row position)
-    instead. The rows are in one global (key, sort_cols) order, every key's
+    ``split_hot_keys=True``: range-route by (key, sort_cols, input partition,
+    row hash) instead (see ``agg.spread_tiebreak``). The rows are in one global (key, sort_cols) order, every key's
     rows are contiguous, and a key larger than a partition continues into
     the next partition rather than filling one task.
     """
     keys = [key, *sort_cols]
     if split_hot_keys:
-        tie = "_quern_tie"
-        with_tie = df.withColumn(tie, F.monotonically_increasing_id())
-        ranged = (with_tie.repartitionByRange(num_partitions, *keys, tie) if num_partitions
-                  else with_tie.repartitionByRange(*keys, tie))
-        return ranged.sortWithinPartitions(*keys, tie).drop(tie)
+        ties = ["_quern_tie0", "_quern_tie1"]
+        tied = df.select("*", *[c.alias(t) for c, t in zip(spread_tiebreak(df), ties, strict=True)])
+        ranged = (tied.repartitionByRange(num_partitions, *keys, *ties) if num_partitions
+                  else tied.repartitionByRange(*keys, *ties))
+        return ranged.sortWithinPartitions(*keys, *ties).drop(*ties)
     parted = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
     return parted.sortWithinPartitions(*keys)
 
