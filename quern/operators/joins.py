@@ -181,8 +181,13 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
                         dim_cols: Sequence[str], fact_cols: Sequence[str],
                         dim_order: str | Sequence[str] | None = None,
                         max_group_rows: int = 1_000_000,
-                        spread: Column | None = None) -> DataFrame:
-    """Tagged-union join by secondary sort.
+                        spread: Column | None = None, strategy: str = "auto") -> DataFrame:
+    """Records enriched with the first dimension row of their key; inner.
+
+    ``strategy="auto"`` first reduces the dimension to its first row per
+    key (a partial ``min_by`` aggregate) and, if that passes the broadcast
+    size check, joins it map-side: the records are never shuffled. Otherwise,
+    or with ``strategy="window"``, the secondary-sort mechanism below runs.
 
     Both sides go into one flow (dimension tag 0, records tag 1), are
     partitioned by key and sorted by (key, tag, dimension order), and every
@@ -197,8 +202,19 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
     hash of the record), and their dimension rows are copied to each slice,
     so no window partition grows past ``max_group_rows`` records.
     """
+    if strategy not in ("auto", "window"):
+        raise ValueError("strategy must be 'auto' or 'window'")
     dcols, fcols = list(dim_cols), list(fact_cols)
     ord_cols = _names(dim_order) if dim_order else dcols
+    if strategy == "auto":
+        first = (dim.groupBy(F.col(dim_key).alias("_dk"))
+                 .agg(F.min_by(F.struct(*[F.col(c) for c in dcols]),
+                               F.struct(*[F.col(c) for c in ord_cols])).alias("_d"))
+                 .select("_dk", *[F.col("_d." + c).alias(c) for c in dcols]))
+        first, small = checked_broadcast(first, bound=dim)
+        if small:
+            out = facts.join(first, facts[fact_key] == first["_dk"], "inner")
+            return out.select(F.col(fact_key), *dcols, *fcols)
     ord_type = _struct_type(dim, ord_cols)
     dim_type, rec_type = _struct_type(dim, dcols), _struct_type(facts, fcols)
     hot, _ = hot_keys(facts.select(F.col(fact_key).alias("_k")), ["_k"], max_group_rows)

@@ -217,8 +217,12 @@ def bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def secondary_sort_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BUILDING customers (tag 0) enrich all orders (tag 1) by secondary sort."""
     cust = _customers(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
+    # The window strategy is forced so the query exercises the secondary-sort
+    # mechanism itself; "auto" would take a map-side lookup for a dimension
+    # this small (at full scale the BUILDING customers are too many for that).
     out = joins.secondary_sort_join(cust, _orders(spark, sf_dir), "c_custkey", "o_custkey",
-                                    ["c_name"], ["o_orderkey", "o_totalprice"], dim_order="c_custkey")
+                                    ["c_name"], ["o_orderkey", "o_totalprice"], dim_order="c_custkey",
+                                    strategy="window")
     return out.select(F.col("o_custkey").alias("c_custkey"), "c_name", "o_orderkey", "o_totalprice")
 
 

@@ -80,15 +80,17 @@ def test_secondary_sort_g7(spark):
                                "station_id string, station_name string, ord int")
     rec = spark.createDataFrame(RECORDS + [("9", "2018-01-01", "1")],
                                 "station_id string, ts string, temperature string")
-    out = joins.secondary_sort_join(st, rec, "station_id", "station_id", ["station_name"],
-                                    ["ts", "temperature"], dim_order="ord")
     expect = sorted((r[0], "湖北" if r[0] == "1" else "湖南", r[1], r[2]) for r in RECORDS)
-    assert rows(out) == expect
+    for strategy in ("auto", "window"):
+        out = joins.secondary_sort_join(st, rec, "station_id", "station_id", ["station_name"],
+                                        ["ts", "temperature"], dim_order="ord", strategy=strategy)
+        assert rows(out) == expect
     # Two stations with one id: the first by order names the records and is never a record itself.
     st2 = st.unionByName(spark.createDataFrame([("1", "其他", 5)], st.schema))
-    out2 = joins.secondary_sort_join(st2, rec, "station_id", "station_id", ["station_name"],
-                                     ["ts", "temperature"], dim_order="ord")
-    assert rows(out2) == expect
+    for strategy in ("auto", "window"):
+        out2 = joins.secondary_sort_join(st2, rec, "station_id", "station_id", ["station_name"],
+                                         ["ts", "temperature"], dim_order="ord", strategy=strategy)
+        assert rows(out2) == expect
 
 
 def test_secondary_sort_salted_equals_unsalted(spark):
@@ -97,7 +99,8 @@ def test_secondary_sort_salted_equals_unsalted(spark):
     dim = spark.createDataFrame([(k, f"n{k}") for k in range(0, 15)], "k long, name string")
     rec = spark.createDataFrame(facts, "fk long, v long")
     plain = joins.secondary_sort_join(dim, rec, "k", "fk", ["name"], ["v"])
-    salted = joins.secondary_sort_join(dim, rec, "k", "fk", ["name"], ["v"], max_group_rows=20)
+    salted = joins.secondary_sort_join(dim, rec, "k", "fk", ["name"], ["v"], max_group_rows=20,
+                                       strategy="window")
     expect = sorted((k, f"n{k}", v) for k, v in facts if k < 15)
     assert rows(plain) == expect
     assert rows(salted) == expect

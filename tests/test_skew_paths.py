@@ -26,7 +26,8 @@ def test_secondary_sort_join_salted_matches_oracle(spark):
         .filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     orders = table(spark, SF, "orders", "o_orderkey", "o_custkey", "o_totalprice")
     out = joins.secondary_sort_join(cust, orders, "c_custkey", "o_custkey", ["c_name"],
-                                    ["o_orderkey", "o_totalprice"], dim_order="c_custkey", max_group_rows=3)
+                                    ["o_orderkey", "o_totalprice"], dim_order="c_custkey", max_group_rows=3,
+                                    strategy="window")
     got = rows(out.select(F.col("o_custkey").alias("c_custkey"), "c_name", "o_orderkey", "o_totalprice"))
     assert got == _sql_rows(entry.oracle_sql()["secondary_sort_join"])
 
