@@ -54,23 +54,32 @@ def filter_by_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str | Non
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
-              right_on: str | Sequence[str], how: str = "inner") -> DataFrame:
+              right_on: str | Sequence[str], how: str = "inner", strategy: str = "auto") -> DataFrame:
     """J8 (``how="inner"``) and J1 (``how="left"``): shuffled equi-joins.
 
     Output: left columns then right columns. For the left outer join an
     unmatched left row gets NULL in every right column (the text sink
     renders that as the single field ``null``).
 
-    The left outer join is built as inner join UNION (left anti distinct
-    right keys). The result is the same, but a hot key on the right side can
-    then be split by AQE's skew handling (which cannot split the right side
-    of a left outer join), and the anti side only sees one row per key.
+    Left outer, ``strategy="auto"``: a right side that passes the broadcast
+    size check is joined map-side (one pass over the left, no shuffle, no
+    skew). Otherwise (or ``strategy="shuffle"``) the join is built as inner
+    join UNION (left anti distinct right keys). The result is the same, but
+    a hot key on the right side can then be split by AQE's skew handling
+    (which cannot split the right side of a left outer join), and the anti
+    side only sees one row per key.
     """
     lo, ro = _names(left_on), _names(right_on)
     if how == "inner":
         return left.join(right, _condition(left, right, lo, ro), "inner")
     if how != "left":
         raise ValueError(f"unsupported join type {how!r}; the reference has inner and left outer")
+    if strategy not in ("auto", "shuffle"):
+        raise ValueError("strategy must be 'auto' or 'shuffle'")
+    if strategy == "auto":
+        small_right, small = checked_broadcast(right)
+        if small:
+            return left.join(small_right, _condition(left, small_right, lo, ro), "left")
     # Both joins read the same non-null-key left input, so its shuffle is
     # planned once and reused; a NULL key never matches, so those rows are
     # unmatched without any join.

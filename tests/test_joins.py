@@ -38,6 +38,7 @@ def test_inner_g3(spark):
 def test_left_outer_g4(spark):
     left, right, _ = _tables(spark)
     out = rows(joins.equi_join(left, right, "id", "cityID", how="left").select(*OUT))
+    assert rows(joins.equi_join(left, right, "id", "cityID", how="left", strategy="shuffle").select(*OUT)) == out
     assert len(out) == 11
     assert [r for r in out if r[5] is not None] == G3
     assert sorted(r[0] for r in out if r[5] is None) == ["0", "5", "6", "7", "8", "9"]

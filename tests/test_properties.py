@@ -34,6 +34,7 @@ def test_left_outer_matches_nested_loop(spark, seed):
     left, right = _data(seed)
     lf, rf = _frames(spark, left, right)
     got = rows(joins.equi_join(lf, rf, "lk", "rk", how="left"))
+    assert rows(joins.equi_join(lf, rf, "lk", "rk", how="left", strategy="shuffle")) == got
     expect = []
     for lk, lv in left:
         matches = [(rk, rv) for rk, rv in right if lk is not None and rk == lk]
