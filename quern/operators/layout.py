@@ -45,15 +45,17 @@ def secondary_sort(df: DataFrame, key: str, sort_cols: Sequence[str],
 
 
 def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a file scan over at least ``min_partitions`` tasks (default: the cluster's cores).
+    """Spread a file scan over at least ``min_partitions`` tasks (default: twice the cluster's cores).
 
     A file stored as one row group is read by one task, so CPU-heavy
     per-row work after the scan (splitting long texts) would use one core.
     When the input already has that many partitions, which any large input
-    has, ``df`` is returned unchanged and no shuffle is added. Call it on a
+    has, ``df`` is returned unchanged and no shuffle is added. Two tasks per
+    core even out texts of very different lengths. Call it on a
     scan (with projections and filters), not on a plan with shuffles.
     """
-    target = min_partitions or default_parallelism(df.sparkSession)
+    cores = default_parallelism(df.sparkSession)
+    target = min_partitions or (2 * cores if cores else None)
     have = scan_partitions(df)
     if target is None or have is None or have >= target:
         return df
