@@ -64,12 +64,14 @@ def broadcast_row_limit(df: DataFrame) -> int:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows per input partition, so an oversized
-    side is not read to the end just to learn that it is too big.
+    Asked as "is anything left after skipping ``max_rows`` rows": Spark runs
+    that as an incremental take (a few partitions first, more only if
+    needed) over a projection with no columns, so a large table is not read
+    to the end to learn that it is too big, and only a boolean comes back.
     """
     if max_rows <= 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.select(F.lit(1)).offset(max_rows).isEmpty()
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = None,
@@ -78,8 +80,8 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
 
     ``bound`` is an input that ``df`` has at most as many rows as (the table
     an aggregate or a distinct was computed from). When it fits, ``df`` fits
-    without being computed for the check; a plain scan with a row limit
-    stops reading early, where counting ``df`` would run its aggregation.
+    without being computed for the check; checking a plain scan stops
+    reading early, where checking ``df`` would run its aggregation.
     """
     limit = broadcast_row_limit(df) if max_rows is None else max_rows
     if (bound is not None and fits(bound, limit)) or fits(df, limit):
