@@ -6,7 +6,6 @@ collide (rename first). Broadcasts always go through ``checked_broadcast``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +14,7 @@ from pyspark.sql.types import ArrayType, DataType
 
 from quern.operators import bloom
 from quern.operators.agg import sorted_rows
-from quern.operators.sizing import checked_broadcast, hot_keys
+from quern.operators.sizing import broadcast_row_limit, checked_broadcast, hot_keys
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -139,7 +138,7 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                exact: bool = True, max_bits: int = bloom.MAX_BITS) -> DataFrame:
     """Drop left rows whose key fails a Bloom test over the key list, then inner join.
 
-    The filter is sized from an estimate of the key count (P15) and probed map-side, so the
+    The filter is sized from the key count (P15) and probed map-side, so the
     left table shrinks before its shuffle. ``exact=True`` also restricts the
     right side to the key list, which removes every false positive from the
     result; ``exact=False`` keeps the reference's behaviour, where a false
@@ -147,13 +146,10 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     list is too large for a filter of ``max_bits`` bits the Bloom step is
     skipped; the exact join alone is still correct.
     """
-    kc = keys_col or keys.columns[0]
     klist = _key_list(keys, keys_col)
-    # Sizing needs an estimate only: a HyperLogLog sketch (partial, one small
-    # shuffle) instead of shuffling every distinct key to count them; 10 %
-    # headroom covers the sketch's error at this precision.
-    est = keys.agg(F.approx_count_distinct(kc, rsd=0.02).alias("n")).first()["n"] or 0
-    m, k = bloom.size_for(max(math.ceil(est * 1.1), 1), fpr)
+    # One exact count sizes the filter and is the size check of the key list.
+    n = klist.count()
+    m, k = bloom.size_for(max(n, 1), fpr)
     lf = left
     if m <= max_bits:
         key_type = left.schema[left_on].dataType
@@ -161,7 +157,8 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
         lf = bloom.might_contain(left, left_on, filt, m, k)
     if not exact:
         return equi_join(lf, right, left_on, right_on, "inner")
-    rf = _semi(right, right_on, checked_broadcast(klist, bound=keys)[0])
+    small = n <= broadcast_row_limit(klist)
+    rf = _semi(right, right_on, F.broadcast(klist) if small else klist)
     return equi_join(lf, rf, left_on, right_on, "inner")
 
 

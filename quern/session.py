@@ -8,14 +8,17 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "quern") -> SparkSession:
+                  app_name: str = "quern", extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way tests and the bench expect.
 
     Library code never calls this: operators use whatever session their
     DataFrames belong to, so cluster settings are left alone.
     """
+    builder = SparkSession.builder
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
