@@ -45,18 +45,20 @@ def secondary_sort(df: DataFrame, key: str, sort_cols: Sequence[str],
 
 
 def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a file scan over at least ``min_partitions`` tasks (default: twice the cluster's cores).
+    """Spread a file scan over more tasks when it would leave most cores idle.
 
     A file stored as one row group is read by one task, so CPU-heavy
     per-row work after the scan (splitting long texts) would use one core.
-    When the input already has that many partitions, which any large input
-    has, ``df`` is returned unchanged and no shuffle is added. Two tasks per
-    core even out texts of very different lengths. Call it on a
-    scan (with projections and filters), not on a plan with shuffles.
+    Only when the scan has at most a quarter as many partitions as the
+    cluster has cores (so the gain is at least fourfold) is it spread, to
+    ``min_partitions`` or two tasks per core (evening out texts of very
+    different lengths); otherwise ``df`` is returned unchanged, as any large
+    input is, since a shuffle of the raw input would cost more than it
+    gains. Call it on a scan (with projections and filters), not on a plan
+    with shuffles.
     """
     cores = default_parallelism(df.sparkSession)
-    target = min_partitions or (2 * cores if cores else None)
     have = scan_partitions(df)
-    if target is None or have is None or have >= target:
+    if not cores or have is None or have * 4 > cores:
         return df
-    return df.repartition(target)
+    return df.repartition(min_partitions or 2 * cores)
