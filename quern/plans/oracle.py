@@ -164,6 +164,13 @@ ORACLE_SQL: dict[str, str] = {
     "left_outer_join": """
 SELECT c_custkey, c_name, o_orderkey, o_totalprice
 FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o.o_custkey
+""",
+    "left_outer_join_tsv": """
+SELECT coalesce(CAST(c_custkey AS VARCHAR), 'null') || chr(9) || coalesce(c_name, 'null') || chr(9) ||
+       CASE WHEN o.o_orderkey IS NULL THEN 'null'
+            ELSE coalesce(CAST(o.o_orderkey AS VARCHAR), 'null') || chr(9) || coalesce(o.o_orderstatus, 'null')
+       END AS value
+FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o.o_custkey
 """,
     "lookup_join": """
 SELECT c_custkey, c_name, c_nationkey, d.s_name

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import fields, lines
 from quern.operators import agg, joins, layout
+from quern.sources.sinks import tsv_line
 from quern.sources.text import parse_pairs, parse_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +203,21 @@ def left_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
+def left_outer_join_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + S5: the left outer join rendered as the reference writes it.
+
+    ``key TAB name TAB order TAB status``, or ``key TAB name TAB null`` for a
+    customer without a matching order: one ``null`` for the whole missing
+    side, not one per field.
+    """
+    cust = _customers(spark, sf_dir).select("c_custkey", "c_name")
+    big = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice") \
+        .filter(F.col("o_totalprice") > 400000).select("o_orderkey", "o_custkey", "o_orderstatus")
+    out = joins.equi_join(cust, big, "c_custkey", "o_custkey", how="left")
+    line = tsv_line(["c_custkey", "c_name"], null_groups=[("o_orderkey", ["o_orderkey", "o_orderstatus"])])
+    return out.select(line.alias("value"))
+
+
 def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer with the last supplier (greatest key) of its nation."""
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
@@ -285,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "first_of_run_global": first_of_run_global,
     "inner_join": inner_join,
     "left_outer_join": left_outer_join,
+    "left_outer_join_tsv": left_outer_join_tsv,
     "lookup_join": lookup_join,
     "prefiltered_join": prefiltered_join,
     "bloom_join": bloom_join,
