@@ -144,6 +144,12 @@ SELECT coalesce(l.k, r.k) AS nationkey, coalesce(l.chunk, r.chunk) AS chunk,
 FROM l FULL JOIN r ON l.k = r.k AND l.chunk = r.chunk
 """.replace("@MAX", str(COGROUP_MAX_ROWS))
 
+_LOOKUP = """
+SELECT c_custkey, c_name, c_nationkey, d.s_name
+FROM customer JOIN (SELECT s_nationkey, arg_max(s_name, s_suppkey) AS s_name FROM supplier GROUP BY s_nationkey) d
+  ON c_nationkey = d.s_nationkey
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "token_count": _TOKEN_COUNT,
     "space_split_count": _SPACE_SPLIT_COUNT,
@@ -172,11 +178,8 @@ SELECT coalesce(CAST(c_custkey AS VARCHAR), 'null') || chr(9) || coalesce(c_name
        END AS value
 FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o.o_custkey
 """,
-    "lookup_join": """
-SELECT c_custkey, c_name, c_nationkey, d.s_name
-FROM customer JOIN (SELECT s_nationkey, arg_max(s_name, s_suppkey) AS s_name FROM supplier GROUP BY s_nationkey) d
-  ON c_nationkey = d.s_nationkey
-""",
+    "lookup_join": _LOOKUP,
+    "lookup_join_sorted": _LOOKUP + " ORDER BY c_nationkey",
     "prefiltered_join": _BUILDING_JOIN,
     "bloom_join": _BUILDING_JOIN,
     "secondary_sort_join": _BUILDING_JOIN,

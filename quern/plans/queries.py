@@ -226,6 +226,15 @@ def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("c_custkey", "c_name", "c_nationkey", "s_name")
 
 
+def lookup_join_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + O6: the lookup join in key order, as an identity reducer would write it."""
+    cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
+    sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    out = joins.lookup_join(cust, sup, "c_nationkey", "s_nationkey", ["s_name"], order="s_suppkey",
+                            sort_output=True)
+    return out.select("c_custkey", "c_name", "c_nationkey", "s_name")
+
+
 def prefiltered_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and orders both cut to the key list, then joined."""
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name")
@@ -303,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "left_outer_join": left_outer_join,
     "left_outer_join_tsv": left_outer_join_tsv,
     "lookup_join": lookup_join,
+    "lookup_join_sorted": lookup_join_sorted,
     "prefiltered_join": prefiltered_join,
     "bloom_join": bloom_join,
     "secondary_sort_join": secondary_sort_join,
