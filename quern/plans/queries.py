@@ -21,7 +21,7 @@ from quern.sources.text import parse_pairs, parse_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Largest group a co-group row or a window slice may hold before it is split.
+# Largest group one co-group row may hold before its key is split into chunks.
 COGROUP_MAX_ROWS = 10_000
 # Separator between rendered list items and between fields of an item.
 LIST_SEP, ITEM_SEP = ",", ":"
