@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DataType
 
 from quern.operators import bloom
 from quern.operators.agg import sorted_rows
-from quern.operators.sizing import broadcast_row_limit, checked_broadcast, hot_keys
+from quern.operators.sizing import broadcast_row_limit, checked_broadcast, hot_keys, materialized_if_small
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -278,7 +278,7 @@ def cogroup(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
              .select("_k", F.greatest(F.coalesce("_nl", F.lit(0)), F.coalesce("_nr", F.lit(0))).alias("_n"))
              .filter(F.col("_n") > F.lit(max_group_rows))
              .select("_k", F.ceil(F.col("_n") / F.lit(max_group_rows)).cast("int").alias("_chunks")))
-    sizes, _ = checked_broadcast(sizes)
+    sizes, _ = materialized_if_small(sizes)
 
     def side(df: DataFrame, on: str, cols: list[str], spread: Column | None, name: str) -> DataFrame:
         spread = spread if spread is not None else F.xxhash64(*[F.col(c) for c in cols])

@@ -89,6 +89,26 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
     return df, False
 
 
+def materialized_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """A small summary table computed once: ``(broadcast(local copy), True)`` or ``(df, False)``.
+
+    For tables that are expensive to compute but usually tiny (per-key
+    counts filtered to the hot keys): one job takes at most ``max_rows + 1``
+    rows (the broadcast limit by default). If they are all there is, the
+    plan uses a local copy of them, so the aggregation over the input is
+    not run a second time; the copy is no larger than the broadcast that
+    would ship it anyway. Otherwise the DataFrame is returned for a shuffle
+    join.
+    """
+    limit = broadcast_row_limit(df) if max_rows is None else max_rows
+    if limit <= 0:
+        return df, False
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df, False
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+
+
 def hot_keys(df: DataFrame, keys: list[str], max_rows: int,
              slices_col: str = "_slices") -> tuple[DataFrame, bool]:
     """Keys with more than ``max_rows`` rows and how many slices each needs.
@@ -96,10 +116,11 @@ def hot_keys(df: DataFrame, keys: list[str], max_rows: int,
     Returns one row per hot key: the key columns and ``slices_col`` =
     ceil(rows / max_rows). The count is a partial (map-side) aggregation, so
     it is cheap even when one key holds a third of the data. At most
-    total_rows / max_rows keys can be hot; the result is broadcast when the
-    size check passes (the usual case) and joined by shuffle otherwise.
+    total_rows / max_rows keys can be hot; the result is computed once and
+    broadcast when it passes the size check (the usual case: few or no hot
+    keys), and joined by shuffle otherwise.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = (counts.filter(F.col("_rows") > F.lit(max_rows))
            .select(*keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("int").alias(slices_col)))
-    return checked_broadcast(hot)
+    return materialized_if_small(hot)
