@@ -93,3 +93,17 @@ def test_token_count_observed_a8(spark):
     assert rows(counts) == G1
     assert lines_obs.get == {"lines_in": 7}
     assert groups_obs.get == {"groups_out": 9, "tokens": 12}
+
+
+def test_sorted_rows_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    # Key 7 holds a third of the rows, spread over the input partitions; a third
+    # of all rows are identical copies (7, 0).
+    data = [(7, 0) if i % 3 == 0 else (i % 50, i) for i in range(6000)]
+    df = spark.createDataFrame(data, "k long, v long").repartition(6)
+    out = agg.sorted_rows(df, ["k"], num_partitions=8)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 2000 and sum(sizes) == 6000
+    keys = [r.k for r in out.collect()]
+    assert keys == sorted(keys)
