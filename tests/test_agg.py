@@ -107,3 +107,14 @@ def test_sorted_rows_spreads_a_hot_key(spark):
     assert max(sizes) < 2000 and sum(sizes) == 6000
     keys = [r.k for r in out.collect()]
     assert keys == sorted(keys)
+
+
+def test_first_of_run_spreads_a_hot_user(spark):
+    from pyspark.sql import functions as F
+
+    data = [(0 if i % 3 == 0 else i % 40, i, "ab"[(i // 7) % 2]) for i in range(6000)]
+    df = spark.createDataFrame(data, "user long, ts long, typ string")
+    out = agg.first_of_run(df, ["typ"], ["ts"], partition_cols=["user"], num_partitions=8, flag_col="first")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 2000
+    assert out.filter(F.col("first")).count() == len(_brute_first_of_run(data, by_user=True))
