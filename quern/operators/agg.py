@@ -165,10 +165,11 @@ def first_of_run(df: DataFrame, run_cols: Sequence[str], order: Sequence[str],
     # the shift needs no partitioned window and the result is broadcast as is.
     carry = F.broadcast(tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_carry")))
 
-    # Hash the partition ids into as many partitions as there are ids, so the
-    # window gets one range partition (or a few) per task.
+    # Route partition ids by range, not by hash, into as many tasks as there
+    # are ids: hashing n ids into n tasks collides (some tasks would get
+    # several range partitions); a range split keeps about one per task.
     in_part = Window.partitionBy("_pid").orderBy(*keys)
-    with_prev = base.repartition(n, "_pid").withColumn("_prev", F.lag(run_key).over(in_part))
+    with_prev = base.repartitionByRange(n, "_pid").withColumn("_prev", F.lag(run_key).over(in_part))
 
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     first = prev.isNull() | ~prev.eqNullSafe(run_key)
