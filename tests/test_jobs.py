@@ -24,8 +24,8 @@ def files(tmp_path):
     _write(d / "right_table.txt", ["  ".join(r) for r in USERS])
     _write(d / "join_key.txt", KEYS)
     return {
-        "tokens": _write(tmp_path / "WordCount.txt", TOKEN_LINES),
-        "pairs": _write(tmp_path / "GroupNumber.txt", [f"{a} {b}" for a, b in PAIRS]),
+        "tokens": _write(tmp_path / "tokens.txt", TOKEN_LINES),
+        "pairs": _write(tmp_path / "pairs.txt", [f"{a} {b}" for a, b in PAIRS]),
         "glob": str(d / "*.txt"),
         "left": str(d / "left_table.txt"),
         "right": str(d / "right_table.txt"),
