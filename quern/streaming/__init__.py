@@ -1,9 +1,11 @@
 """Streaming adapters.
 
 The reference has no streaming operator. The tokenising and splitting
-expressions of ``quern.functions`` are plain Catalyst expressions, so they
-apply unchanged to a streaming DataFrame; this module only supplies the
-streaming text source and the running token count built from them.
+expressions of ``quern.functions`` are plain Catalyst expressions, and the
+record-side operators (``sources.parse_table``, ``joins.lookup_join`` and
+``joins.filter_by_keys`` against a static, size-checked dimension or key
+list) apply unchanged to a streaming DataFrame; this module only supplies
+the streaming text source and the running token count built from them.
 """
 
 from quern.streaming.text import read_lines_stream, running_token_count
