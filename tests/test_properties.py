@@ -120,3 +120,31 @@ def test_secondary_sort_layout_splits_hot_key(spark):
     got = [(r.k, r.tag) for r in spread.collect()]
     assert got == sorted(got)                    # one global (key, tag) order
     assert sorted(r.v for r in spread.collect()) == list(range(3000))
+
+
+def test_hot_right_key_is_split_by_aqe(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = spark.createDataFrame([(i % 10, f"l{i}") for i in range(100)], "lk long, lv string")
+        right = spark.createDataFrame([(0 if i % 2 else i % 50, i) for i in range(20000)], "rk long, rv long")
+        for how, strategy in (("inner", "auto"), ("left", "shuffle")):
+            df = joins.equi_join(left, right, "lk", "rk", how=how, strategy=strategy)
+            assert df.count() > 0
+            df.collect()
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+            final = df._jdf.queryExecution().explainString(mode).split("Initial Plan")[0]
+            assert "SortMergeJoin(skew=true)" in final, (how, final)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
