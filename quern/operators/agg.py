@@ -71,10 +71,18 @@ def min_per_key(df: DataFrame, key: str, value: str, out_col: str | None = None)
     return df.groupBy(key).agg(F.min(value).alias(out_col or value))
 
 
-def distinct_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A5 + O2: distinct combinations of ``cols``, in ascending order of all of them."""
+def distinct_pairs(df: DataFrame, cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """A5 + O2: distinct combinations of ``cols``, in ascending order of all of them.
+
+    The rows are unique after ``distinct`` (a partial aggregate, so copies
+    collapse before the shuffle), so range partitioning on all of ``cols``
+    cannot meet a hot key; ``num_partitions`` (default ``range_partitions``)
+    keeps output partitions at input-split size.
+    """
     cols = list(cols)
-    return df.select(*cols).distinct().orderBy(*cols)
+    distinct = df.select(*cols).distinct()
+    n = num_partitions or range_partitions(distinct)
+    return distinct.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
 
 
 def range_partitions(df: DataFrame, source: DataFrame | None = None) -> int:

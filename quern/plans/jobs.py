@@ -66,11 +66,14 @@ def sort_pairs(spark: SparkSession, inputs: Paths, out: str | None = None,
 def group_pairs(spark: SparkSession, inputs: Paths, out: str | None = None,
                 as_coded: bool = True, mode: str = "overwrite") -> DataFrame:
     """Two-column key grouping. As coded: the distinct pairs in order. As meant: min per first number."""
-    pairs = parse_pairs(read_lines(spark, inputs), mode="strict")
+    lines = read_lines(spark, inputs)
+    pairs = parse_pairs(lines, mode="strict")
+    n = agg.range_partitions(pairs, source=lines)
     if as_coded:
-        result = agg.distinct_pairs(pairs, ["first_num", "second_num"])
+        result = agg.distinct_pairs(pairs, ["first_num", "second_num"], n)
     else:
-        result = agg.min_per_key(pairs, "first_num", "second_num").orderBy("first_num")
+        mins = agg.min_per_key(pairs, "first_num", "second_num")
+        result = mins.repartitionByRange(n, "first_num").sortWithinPartitions("first_num")
     return _write(result, out, ["first_num", "second_num"], mode)
 
 

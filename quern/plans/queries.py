@@ -143,7 +143,8 @@ def sorted_pairs_by_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distinct_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 O2: distinct pairs in key order."""
-    return agg.distinct_pairs(_pairs(spark, sf_dir), ["first_num", "second_num"])
+    pairs = _pairs(spark, sf_dir)
+    return agg.distinct_pairs(pairs, ["first_num", "second_num"], agg.range_partitions(pairs, source=pairs))
 
 
 def min_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
