@@ -103,14 +103,15 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
 
 def lookup_join(big: DataFrame, dim: DataFrame, big_on: str, dim_on: str,
                 dim_cols: Sequence[str], order: str | Sequence[str] | None = None,
-                sort_output: bool = False) -> DataFrame:
+                sort_output: bool = False, num_partitions: int | None = None) -> DataFrame:
     """Map-side dimension lookup; inner; a repeated dimension key keeps its last row.
 
     "Last" is the greatest ``order`` (the reference's arrival order must be
     made an explicit column). The dimension is reduced to one row per key by
     a partial ``max_by`` aggregate, then broadcast if the size check passes;
     otherwise the join falls back to a shuffle. Output: key, dimension
-    columns, then the big table's columns. ``sort_output`` orders by key (O6).
+    columns, then the big table's columns. ``sort_output`` orders by key (O6),
+    over ``num_partitions`` range partitions (see ``agg.sorted_rows``).
     """
     cols = list(dim_cols)
     ordering = F.struct(*[F.col(c) for c in (_names(order) if order else cols)])
@@ -120,7 +121,7 @@ def lookup_join(big: DataFrame, dim: DataFrame, big_on: str, dim_on: str,
     last, _ = checked_broadcast(last, bound=dim)
     out = big.join(last, big[big_on] == last["_dk"], "inner")
     out = out.select(F.col("_dk").alias(dim_on), *cols, *big.columns)
-    return sorted_rows(out, [dim_on]) if sort_output else out
+    return sorted_rows(out, [dim_on], num_partitions) if sort_output else out
 
 
 def prefiltered_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,

@@ -232,7 +232,7 @@ def lookup_join_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
     sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
     out = joins.lookup_join(cust, sup, "c_nationkey", "s_nationkey", ["s_name"], order="s_suppkey",
-                            sort_output=True)
+                            sort_output=True, num_partitions=agg.range_partitions(cust, source=cust))
     return out.select("c_custkey", "c_name", "c_nationkey", "s_name")
 
 
@@ -269,7 +269,8 @@ def secondary_sort_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = _customers(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     orders = _orders(spark, sf_dir).select("o_custkey", "o_orderkey")
     flow = joins.tagged_union(cust, orders, "c_custkey", "o_custkey")
-    flow = layout.secondary_sort(flow, "key", ["tag"], split_hot_keys=True)
+    n = agg.range_partitions(flow, source=orders)
+    flow = layout.secondary_sort(flow, "key", ["tag"], num_partitions=n, split_hot_keys=True)
     return flow.select("key", "tag", F.col("dim.c_name").alias("c_name"), F.col("rec.o_orderkey").alias("o_orderkey"))
 
 
