@@ -119,9 +119,11 @@ def map_side_join(spark: SparkSession, dim_path: Paths, big_path: Paths, out: st
     """Broadcast lookup: users (limit-4 split) find their city (limit-5 split); inner; last city row wins."""
     dim_lines = read_lines(spark, dim_path, with_order=True)
     dim = parse_table(dim_lines, CITY_FIELDS, limit=5, keep=["line_order"])
-    big = parse_table(read_lines(spark, big_path), USER_FIELDS, limit=4, drop_empty=True)
+    big_lines = read_lines(spark, big_path)
+    big = parse_table(big_lines, USER_FIELDS, limit=4, drop_empty=True)
     result = joins.lookup_join(big, dim, "cityID", "id", CITY_FIELDS[1:], order="line_order",
-                               sort_output=sort_output)
+                               sort_output=sort_output,
+                               num_partitions=agg.range_partitions(big, source=big_lines))
     result = result.select("id", "name", "orderid", "city_code", "is_show", "userID", "network", "flow")
     return _write(result, out, result.columns, mode)
 
