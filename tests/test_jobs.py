@@ -44,7 +44,13 @@ def test_word_counts(spark, files):
     jobs.word_count(spark, files["tokens"], out)
     assert _out(spark, out) == sorted(["apache\t1", "dataframe\t1", "map\t1", "mapreduce\t1", "reduce\t1",
                                        "spark\t3", "sql\t1", "streaming\t2", "structured\t1"])
-    assert len(list((files["tmp"] / "wc").glob("part-*"))) == 2
+    parts = sorted((files["tmp"] / "wc").glob("part-*"))
+    assert len(parts) == 2
+    seen = set()
+    for part in parts:                      # O5: each file key-sorted, each key in one file
+        keys = [line.split("\t")[0] for line in part.read_text(encoding="utf-8").splitlines()]
+        assert keys == sorted(keys) and not (seen & set(keys))
+        seen |= set(keys)
     out2 = str(files["tmp"] / "wc2")
     jobs.space_word_count(spark, files["tokens"], out2)
     assert _out(spark, out2) == _out(spark, out)
