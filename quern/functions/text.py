@@ -33,10 +33,19 @@ JAVA_WHITESPACE = " \t\n\x0b\f\r"
 # Line terminators recognised by Hadoop's and Spark's text readers.
 LINE_BREAK = r"\r\n|\r|\n"
 
+# Java regex spellings of the control characters in the sets above.
+_ESCAPES = {"\t": r"\t", "\n": r"\n", "\r": r"\r", "\f": r"\f", "\x0b": r"\x0B", " ": " "}
+
+
+def _not_in(chars: str) -> str:
+    """A Java regex for a maximal run of characters outside ``chars``."""
+    return "[^" + "".join(_ESCAPES[c] for c in chars) + "]+"
+
+
 # A field: a maximal run of characters outside the Java whitespace set.
-_FIELD = r"[^ \t\n\x0B\f\r]+"
+_FIELD = _not_in(JAVA_WHITESPACE)
 # A token: a maximal run of characters that are not one of the five delimiters.
-_TOKEN = r"[^ \t\n\r\f]+"
+_TOKEN = _not_in(TOKEN_DELIMITERS)
 
 
 def _col(c: str | Column) -> Column:
