@@ -1,6 +1,7 @@
 """Size checks that guard every broadcast, and hot-key detection for skew.
 
-A side is broadcast only after a bounded count shows it fits the session's
+A side is broadcast only after a bounded check (an incremental take that
+stops once the row limit is passed) shows it fits the session's
 ``spark.sql.autoBroadcastJoinThreshold``; otherwise the plain DataFrame is
 returned and Spark shuffles (AQE may still convert or split at run time).
 """
