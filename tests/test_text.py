@@ -59,16 +59,19 @@ def _java_split(s: str, pattern: str) -> list[str]:
 ALPHABET = st.text(alphabet="ab \t\n\x0b\r\f", max_size=12)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=40, deadline=None)
 @given(st.lists(ALPHABET, min_size=1, max_size=20))
 def test_split_matches_java_rules(spark, values):
     ws = java_split(F.col("v"), r"\s+")
     sp = java_split(F.col("v"), " ")
+    lim = fields(F.col("v"), limit=3)
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    got = rows(df.select("i", ws, sp, tokens("v")), order="keep")
+    got = rows(df.select("i", ws, sp, tokens("v"), lim), order="keep")
     got.sort()
-    for i, w, s, t in got:
+    for i, w, s, t, li in got:
         v = values[i]
         assert w == _java_split(v, r"[ \t\n\x0b\f\r]+"), v
         assert s == _java_split(v, " "), v
         assert t == [x for x in re.split(r"[ \t\n\r\f]+", v) if x], v
+        # Positive limit: at most 3 pieces, trailing empty pieces kept, the last takes the rest.
+        assert li == re.split(r"[ \t\n\x0b\f\r]+", v, maxsplit=2), v
