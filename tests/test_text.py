@@ -75,3 +75,21 @@ def test_split_matches_java_rules(spark, values):
         assert t == [x for x in re.split(r"[ \t\n\r\f]+", v) if x], v
         # Positive limit: at most 3 pieces, trailing empty pieces kept, the last takes the rest.
         assert li == re.split(r"[ \t\n\x0b\f\r]+", v, maxsplit=2), v
+
+
+def _reader_lines(s: str) -> list[str]:
+    """Lines as a text reader yields them: LF, CRLF, lone CR; no line after a final terminator."""
+    if s == "":
+        return []
+    parts = re.split(r"\r\n|\r|\n", s)
+    if re.search(r"(\r\n|\r|\n)\Z", s):
+        parts.pop()
+    return parts
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="ab \r\n", max_size=10), min_size=1, max_size=20))
+def test_lines_match_reader_rules(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    for i, got in sorted(tuple(r) for r in df.select("i", lines("v")).collect()):
+        assert got == _reader_lines(values[i]), repr(values[i])
