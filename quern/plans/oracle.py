@@ -159,6 +159,7 @@ ORACLE_SQL: dict[str, str] = {
     "field_arity_counts": _FIELD_ARITY_COUNTS,
     "fields_limit": _FIELDS_LIMIT,
     "parse_pairs": _PARSE_PAIRS,
+    "parse_pairs_strict": _PAIRS + " WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL",
     "sorted_pairs": _PAIRS + " ORDER BY first_num",
     "sorted_pairs_by_two": _PAIRS + " ORDER BY first_num, second_num",
     "distinct_pairs": "SELECT DISTINCT l_partkey AS first_num, l_suppkey AS second_num FROM lineitem ORDER BY 1, 2",

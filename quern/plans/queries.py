@@ -117,6 +117,14 @@ def _pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(value.alias("value"))
 
 
+def parse_pairs_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 P5 (strict): every lineitem pair rendered as text and parsed back; a bad line would fail the job."""
+    li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey") \
+        .filter(F.col("l_partkey").isNotNull() & F.col("l_suppkey").isNotNull())
+    value = F.concat_ws(" ", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    return parse_pairs(li.select(value.alias("value")), mode="strict")
+
+
 def parse_pairs_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 P5 (lenient): number pairs parsed from text, malformed lines dropped."""
     return parse_pairs(_pair_lines(spark, sf_dir), mode="lenient")
@@ -303,6 +311,7 @@ QUERIES: dict[str, Query] = {
     "field_arity_counts": field_arity_counts,
     "fields_limit": fields_limit,
     "parse_pairs": parse_pairs_lenient,
+    "parse_pairs_strict": parse_pairs_strict,
     "sorted_pairs": sorted_pairs,
     "sorted_pairs_by_two": sorted_pairs_by_two,
     "distinct_pairs": distinct_pairs,
