@@ -167,6 +167,7 @@ ORACLE_SQL: dict[str, str] = {
     "first_per_key": _FIRST_PER_KEY,
     "first_of_run_by_user": _FIRST_OF_RUN_BY_USER,
     "first_of_run_global": _FIRST_OF_RUN_GLOBAL,
+    "join_keys": "SELECT DISTINCT c_custkey AS join_key FROM customer WHERE c_mktsegment = 'BUILDING'",
     "inner_join": "SELECT s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "left_outer_join": """
 SELECT c_custkey, c_name, o_orderkey, o_totalprice

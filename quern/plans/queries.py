@@ -197,6 +197,11 @@ def _building_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_keys(cust, "c_custkey", "join_key")
 
 
+def join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key list itself, the distinct keys of the BUILDING customers."""
+    return _building_keys(spark, sf_dir)
+
+
 def inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers with their nation."""
     sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
@@ -319,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "first_per_key": first_per_key,
     "first_of_run_by_user": first_of_run_by_user,
     "first_of_run_global": first_of_run_global,
+    "join_keys": join_keys,
     "inner_join": inner_join,
     "left_outer_join": left_outer_join,
     "left_outer_join_tsv": left_outer_join_tsv,
