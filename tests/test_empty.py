@@ -1,0 +1,27 @@
+"""Every operator accepts empty inputs and returns an empty result."""
+
+from quern.operators import agg, joins, layout
+from quern.sources import parse_pairs, parse_table
+
+
+def test_operators_on_empty_inputs(spark):
+    lines = spark.createDataFrame([], "value string")
+    kv = spark.createDataFrame([], "k long, v long")
+    dim = spark.createDataFrame([], "dk long, name string")
+    keys = spark.createDataFrame([], "key long")
+    assert agg.token_count(lines, "value").count() == 0
+    assert agg.token_count(lines, "value", splitter="space").count() == 0
+    assert parse_table(lines, ["a", "b"]).count() == 0
+    assert parse_pairs(lines, mode="strict").count() == 0
+    assert agg.sorted_rows(kv, ["k"]).count() == 0
+    assert agg.distinct_pairs(kv, ["k", "v"]).count() == 0
+    assert agg.first_per_key(kv, "k", ["v"], ["v"]).count() == 0
+    assert agg.first_of_run(kv, ["v"], ["k"]).count() == 0
+    assert joins.equi_join(kv, dim, "k", "dk", how="left").count() == 0
+    assert joins.equi_join(kv, dim, "k", "dk", how="left", strategy="shuffle").count() == 0
+    assert joins.lookup_join(kv, dim, "k", "dk", ["name"]).count() == 0
+    assert joins.prefiltered_join(kv, dim, "k", "dk", keys).count() == 0
+    assert joins.bloom_join(kv, dim, "k", "dk", keys).count() == 0
+    assert joins.secondary_sort_join(dim, kv, "dk", "k", ["name"], ["v"], strategy="window").count() == 0
+    assert joins.cogroup(kv, dim, "k", "dk", ["v"], ["name"]).count() == 0
+    assert layout.secondary_sort(kv, "k", ["v"], split_hot_keys=True).count() == 0
