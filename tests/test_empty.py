@@ -25,3 +25,16 @@ def test_operators_on_empty_inputs(spark):
     assert joins.secondary_sort_join(dim, kv, "dk", "k", ["name"], ["v"], strategy="window").count() == 0
     assert joins.cogroup(kv, dim, "k", "dk", ["v"], ["name"]).count() == 0
     assert layout.secondary_sort(kv, "k", ["v"], split_hot_keys=True).count() == 0
+
+
+def test_null_texts_produce_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from quern.functions import lines
+
+    df = spark.createDataFrame([(None,), ("a b",)], "value string")
+    assert sorted(tuple(r) for r in agg.token_count(df, "value").collect()) == [("a", 1), ("b", 1)]
+    assert sorted(tuple(r) for r in agg.token_count(df, "value", splitter="space").collect()) == [("a", 1), ("b", 1)]
+    assert [tuple(r) for r in parse_table(df, ["x", "y"]).collect()] == [("a", "b")]
+    assert parse_pairs(df, mode="lenient").count() == 0
+    assert df.select(F.explode(lines("value"))).count() == 1
