@@ -227,6 +227,9 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
             return out.select(F.col(fact_key), *dcols, *fcols)
     ord_type = _struct_type(dim, ord_cols)
     dim_type, rec_type = _struct_type(dim, dcols), _struct_type(facts, fcols)
+    # A NULL key matches nothing in a join; a window would group NULLs together.
+    dim = dim.filter(F.col(dim_key).isNotNull())
+    facts = facts.filter(F.col(fact_key).isNotNull())
     hot, _ = hot_keys(facts.select(F.col(fact_key).alias("_k")), ["_k"], max_group_rows)
     spread = spread if spread is not None else F.xxhash64(*[F.col(c) for c in fcols])
 

@@ -38,3 +38,11 @@ def test_null_texts_produce_nothing(spark):
     assert [tuple(r) for r in parse_table(df, ["x", "y"]).collect()] == [("a", "b")]
     assert parse_pairs(df, mode="lenient").count() == 0
     assert df.select(F.explode(lines("value"))).count() == 1
+
+
+def test_secondary_sort_join_null_keys_match_nothing(spark):
+    dim = spark.createDataFrame([(None, "n"), (1, "a")], "dk long, name string")
+    facts = spark.createDataFrame([(None, 10), (1, 11), (2, 12)], "k long, v long")
+    for strategy in ("auto", "window"):
+        out = joins.secondary_sort_join(dim, facts, "dk", "k", ["name"], ["v"], strategy=strategy)
+        assert [tuple(r) for r in out.collect()] == [(1, "a", 11)], strategy
