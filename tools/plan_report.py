@@ -59,10 +59,10 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = local_session(8, 16, app_name="quern-plans")
+    spark = local_session(8, 8, app_name="quern-plans")
     out = ["# PLANS", "",
            f"Executed (final adaptive) physical plans of the registered queries at `{sf_dir}`,",
-           "local[8], 16 shuffle partitions, AQE on. Generated by `tools/plan_report.py`.",
+           "local[8], 8 shuffle partitions, AQE on. Generated by `tools/plan_report.py`.",
            "Shuffles count `Exchange` nodes (hash, range or round-robin), not broadcasts.", ""]
     for name, q in entry.queries().items():
         df = q(spark, sf_dir)
