@@ -91,23 +91,23 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
 
 
 def materialized_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """A small summary table computed once: ``(broadcast(local copy), True)`` or ``(df, False)``.
+    """A small summary table computed once: ``(broadcast(cached df), True)`` or ``(df, False)``.
 
     For tables that are expensive to compute but usually tiny (per-key
-    counts filtered to the hot keys): one job takes at most ``max_rows + 1``
-    rows (the broadcast limit by default). If they are all there is, the
-    plan uses a local copy of them, so the aggregation over the input is
-    not run a second time; the copy is no larger than the broadcast that
-    would ship it anyway. Otherwise the DataFrame is returned for a shuffle
-    join.
+    counts filtered to the hot keys): ``df`` is cached, and the size check
+    itself fills the cache, so the plan that broadcasts it reads the cached
+    rows instead of running the aggregation over the input a second time.
+    A table that fails the check is uncached at once and returned for a
+    shuffle join. Lost cache blocks are recomputed from lineage.
     """
     limit = broadcast_row_limit(df) if max_rows is None else max_rows
     if limit <= 0:
         return df, False
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df, False
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)), True
+    df.cache()
+    if fits(df, limit):
+        return F.broadcast(df), True
+    df.unpersist()
+    return df, False
 
 
 def hot_keys(df: DataFrame, keys: list[str], max_rows: int,
