@@ -81,28 +81,17 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None,
 
     ``bound`` is an input that ``df`` has at most as many rows as (the table
     an aggregate or a distinct was computed from). When it fits, ``df`` fits
-    without being computed for the check; checking a plain scan stops
-    reading early, where checking ``df`` would run its aggregation.
-    """
-    limit = broadcast_row_limit(df) if max_rows is None else max_rows
-    if (bound is not None and fits(bound, limit)) or fits(df, limit):
-        return F.broadcast(df), True
-    return df, False
-
-
-def materialized_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """A small summary table computed once: ``(broadcast(cached df), True)`` or ``(df, False)``.
-
-    For tables that are expensive to compute but usually tiny (per-key
-    counts filtered to the hot keys): ``df`` is cached, and the size check
-    itself fills the cache, so the plan that broadcasts it reads the cached
-    rows instead of running the aggregation over the input a second time.
-    A table that fails the check is uncached at once and returned for a
-    shuffle join. Lost cache blocks are recomputed from lineage.
+    without being computed for the check. Otherwise ``df`` itself is checked
+    while cached: if it passes, the plan that broadcasts it reads the cache
+    instead of computing it again; if not, it is uncached at once (the check
+    stops early on a large input, so little was cached). Lost cache blocks
+    are recomputed from lineage.
     """
     limit = broadcast_row_limit(df) if max_rows is None else max_rows
     if limit <= 0:
         return df, False
+    if bound is not None and fits(bound, limit):
+        return F.broadcast(df), True
     df.cache()
     if fits(df, limit):
         return F.broadcast(df), True
@@ -110,6 +99,11 @@ def materialized_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[D
     return df, False
 
 
+def materialized_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """A small summary table computed once (see ``checked_broadcast``)."""
+    return checked_broadcast(df, max_rows)
+
+
 def hot_keys(df: DataFrame, keys: list[str], max_rows: int,
              slices_col: str = "_slices") -> tuple[DataFrame, bool]:
     """Keys with more than ``max_rows`` rows and how many slices each needs.
