@@ -44,11 +44,18 @@ def normalise(cols: list[str], rows: list[tuple]) -> tuple[list[str], list[tuple
     return [cols[i] for i in order], sorted(out, key=_key)
 
 
+# DuckDB type names as Spark simple strings, for the schema comparison.
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+               "BOOLEAN": "boolean", "DATE": "date", "FLOAT": "float", "SMALLINT": "smallint"}
+
+
 def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
     srows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dtypes = {r[0]: _DUCK_TYPES.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
@@ -57,6 +64,7 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> dict:
     return {
         "name": name, "spark_rows": len(srows), "oracle_rows": len(drows),
         "columns_match": scols == dcols, "values_match": srows == drows,
+        "types_match": stypes == dtypes,
         "spark_sec": round(t1 - t0, 2),
         "first_diff": next(((a, b) for a, b in zip(srows, drows) if a != b), None),
         "spark_cols": scols, "oracle_cols": dcols,
@@ -81,7 +89,7 @@ def main(argv: list[str]) -> int:
             print(f"{n}: ERROR {type(e).__name__}: {str(e)[:400]}")
             bad += 1
             continue
-        ok = r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"]
+        ok = r["columns_match"] and r["types_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"]
         bad += not ok
         print(f"{n}: {'OK ' if ok else 'BAD'} rows {r['spark_rows']}/{r['oracle_rows']} "
               f"{r['spark_sec']}s" + ("" if ok else f" cols {r['spark_cols']} vs {r['oracle_cols']} "

@@ -26,6 +26,7 @@ def test_query_matches_oracle(spark, cons, sf_dir, name):
         pytest.skip("table folder missing")
     r = compare(spark, cons[sf_dir], name, entry.queries()[name], entry.oracle_sql()[name], sf_dir)
     assert r["columns_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
 
