@@ -6,6 +6,7 @@ import pytest
 from oracle_compare import compare, duck
 
 import __spark_entry__ as entry
+from quern.plans import ORACLE_SQL, QUERIES
 
 DIRS = ["/root/testdata/sf0.001"] + (["/root/testdata/sf0.01"] if os.environ.get("QUERN_SF001") else [])
 
@@ -16,11 +17,13 @@ def cons():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE_SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("sf_dir", DIRS)
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, cons, sf_dir, name):
     if sf_dir not in cons:
         pytest.skip("table folder missing")
