@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import common, greedy
+from quern.llm import common, greedy, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +21,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return greedy.token_counts(docs, common.vocabulary_bytes(BYTE_VOCABULARY))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2048 tokens by large-item matching and best fit."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    with open(BYTE_VOCABULARY, encoding="utf-8") as f:
+        return packing.pack(docs, f.read())
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
