@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import common, greedy, packing
+from quern.llm import bpe, common, greedy, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Places of the public vocabularies; parameters, never copied.
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return greedy.token_counts(docs, common.vocabulary_bytes(BYTE_VOCABULARY))
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the byte-level ranks and decoded again: token count and digests."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.digests(docs, bpe.read_ranks(BYTE_RANKS))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens by large-item matching and best fit."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
@@ -30,6 +37,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_counts": op1_token_counts,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
