@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, packing
+from quern.llm import bpe, common, greedy, packing, pivots, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return greedy.token_counts(docs, common.vocabulary_bytes(BYTE_VOCABULARY))
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.93 or more between all embeddings of one label, and their components."""
+    return pivots.near_duplicates(common.table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the byte-level ranks and decoded again: token count and digests."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
@@ -35,10 +41,42 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         return packing.pack(docs, f.read())
 
 
-QUERIES: dict[str, Query] = {
-    "op1_token_counts": op1_token_counts,
-    "op4_bpe_round_trip": op4_bpe_round_trip,
-    "op7_best_fit_packing": op7_best_fit_packing,
-}
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th embedding with all others."""
+    rows = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(rows, F.col("vec_id") % 50 == 0)
+
 
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip, op7_best_fit_packing, op10_exact_top_k)}
+
+_USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_embedding_near_dedup": f"""
+        WITH RECURSIVE good AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+            ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM embeddings e JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)""",
+    "op10_exact_top_k": f"""
+        WITH good AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE {_USABLE}),
+        scores AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+        WHERE rank <= 5""",
+}
