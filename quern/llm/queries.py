@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, packing, pivots, topk
+from quern.llm import bpe, common, greedy, packing, pivots, quality, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,13 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, bpe.read_ranks(BYTE_RANKS))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train_on(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.classify(docs, model)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens by large-item matching and best fit."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
@@ -48,7 +55,8 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip, op7_best_fit_packing, op10_exact_top_k)}
+    op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip,
+    op5_quality_classifier, op7_best_fit_packing, op10_exact_top_k)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
 
