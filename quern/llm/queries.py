@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, packing, pivots, quality, topk
+from quern.llm import bpe, common, greedy, packing, pivots, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,13 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         return packing.pack(docs, f.read())
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels that are not held out."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train_on(docs, common.table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.classify(docs, model)
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th embedding with all others."""
     rows = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -56,7 +63,8 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip,
-    op5_quality_classifier, op7_best_fit_packing, op10_exact_top_k)}
+    op5_quality_classifier, op7_best_fit_packing,
+    op8_toxicity, op10_exact_top_k)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
 
