@@ -34,6 +34,7 @@ from quern.llm.common import checkpointed, distinct_pieces, gather_ranges, row_s
 
 CAPACITY = 2048
 CLOSING_ID = 0
+MEMORY_PIECES = 250_000   # distinct pieces whose ids a task remembers; bounds its memory
 
 
 def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, closing_id: int = CLOSING_ID,
@@ -54,11 +55,18 @@ def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACI
 
         tokenizer = Tokenizer.from_str(spec.value)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        known: dict[str, np.ndarray] = {}
         for batch in slices(batches, "_pieces"):
             distinct, index, bounds = distinct_pieces(batch.column(1))
-            coded = [e.ids for e in tokenizer.encode_batch(distinct.to_pylist(), add_special_tokens=False)]
+            strings = distinct.to_pylist()
+            if len(known) > MEMORY_PIECES:
+                known.clear()
+            new = [w for w in strings if w not in known]
+            for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                known[w] = np.array(e.ids, "<u4")
+            coded = [known[w] for w in strings]
             size = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(size.sum()))
+            flat = np.concatenate(coded) if coded else np.zeros(0, "<u4")
             first = np.cumsum(size) - size
             n_tokens = row_sums(size[index], bounds)
             ids = gather_ranges(flat, first[index], size[index]).astype("<u4")
