@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 SCALE = 256
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 LEVELS = 16          # quantised levels of a dimension
-POSSIBLE = 0.02      # stop when this share of a block, or fewer rows, are possible members
+POSSIBLE = 0.15      # stop when this share of a block, or fewer rows, are possible members
 
 
 class ImpactIndex:
@@ -46,10 +46,11 @@ class ImpactIndex:
                     rows = order[a:b]
                     values = x[rows, j]
                     self.rows.append(rows)
-                    self.values.append(values)
+                    self.values.append(values.astype(np.float64))
                     dims.append(j)
                     least.append(values.min())
                     most.append(values.max())
+        self.sizes = np.array([len(r) for r in self.rows])
         self.dims, self.least, self.most = np.array(dims), np.array(least), np.array(most)
 
     def possible(self, q: np.ndarray, k: int) -> np.ndarray:
@@ -60,16 +61,21 @@ class ImpactIndex:
         weight = q[self.dims]
         impact = np.maximum(weight * self.least, weight * self.most)
         order = np.argsort(-impact, kind="stable")
-        total, seen = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        step = max(1, len(order) // 12)
+        total, seen = np.zeros(n), np.zeros(n, np.int64)  # whole numbers, exact in double
+        step = max(1, len(order) // 10)
         few = max(k, int(POSSIBLE * n))
         for i in range(0, len(order), step):
-            for s in order[i:i + step].tolist():
-                rows = self.rows[s]
-                total[rows] += self.values[s] * weight[s]
-                seen[rows] += 1
+            # A run of segments is added up at once: a row may be in several.
+            run = order[i:i + step]
+            own = run.tolist()
+            rows = np.concatenate([self.rows[s] for s in own])
+            values = np.concatenate([self.values[s] for s in own])
+            total += np.bincount(rows, values * np.repeat(weight[run], self.sizes[run]), n)
+            seen += np.bincount(rows, minlength=n)
             if i + step >= len(order):
                 break
+            if 2 * (i + step) < len(order):  # too soon to prove much
+                continue
             bound = total + (d - seen) * impact[order[i + step]]
             best = np.argpartition(-total, k - 1)[:k]
             left = np.flatnonzero(bound >= (self.x[best] @ q).min())
