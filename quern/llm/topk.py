@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 SCALE = 256
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 LEVELS = 16          # quantised levels of a dimension
-POSSIBLE = 0.15      # stop when this share of a block, or fewer rows, are possible members
+POSSIBLE = 0.09      # stop when this share of a block, or fewer rows, are possible members
 
 
 class ImpactIndex:
