@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, packing, pivots, quality, topk, toxicity
+from quern.llm import bpe, common, greedy, icws, packing, pivots, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,6 +55,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(docs, model)
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: five-word shingles, weighted Jaccard of 0.8 or more."""
+    return icws.near_duplicates(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best inner products of every 50th embedding with all others."""
     rows = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -64,7 +69,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip,
     op5_quality_classifier, op7_best_fit_packing,
-    op8_toxicity, op10_exact_top_k)}
+    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
 

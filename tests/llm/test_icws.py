@@ -1,0 +1,92 @@
+"""Operator 9: samples against the similarity they estimate, classes against brute force, odd rows."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from quern.llm import icws
+
+SCHEMA = "doc_id long, text string, class_id string"
+
+
+def text(rnd, n):
+    return " ".join(f"w{rnd.randrange(500)}" for _ in range(n))
+
+
+def edited(rnd, t, k):
+    ws = t.split()
+    for _ in range(k):
+        ws[rnd.randrange(len(ws))] = f"new{rnd.randrange(10**6)}"
+    return " ".join(ws)
+
+
+def sets_of(texts):
+    rows = [[hash(w) % (1 << 62) for w in t.split()] for t in texts]
+    return icws.shingles(pa.array(rows, pa.list_(pa.int64())))
+
+
+def test_shingles_count_as_written():
+    s = sets_of(["a b c d e f", "", "a b", "a b c d e a b c d e a b c d e", "b a", "a b"])
+    assert np.diff(s.bounds).tolist() == [2, 0, 1, 5, 1, 1]
+    assert s.counts[s.bounds[3]:s.bounds[4]].sum() == 11
+    one = lambda i: s.ids[s.bounds[i]:s.bounds[i + 1]].tolist()
+    assert one(2) == one(5) != one(4)
+
+
+def test_samples_meet_as_often_as_the_sets_are_alike():
+    rnd = random.Random(2)
+    idf = icws.idf_table(np.arange(icws.FREQUENCY_BUCKETS) % 50, 60)
+    sampler = icws.Sampler(400)
+    for k in (1, 5, 15):
+        a = text(rnd, 300)
+        s = sets_of([a, edited(rnd, a, k)])
+        raw = [(s.ids[x:y].tobytes(), s.counts[x:y].astype(np.uint16).tobytes()) for x, y in zip(s.bounds, s.bounds[1:])]
+        same = sampler.sample(s, icws.weights(s, idf))
+        assert abs((same[0] == same[1]).mean() - icws.similarity(*raw, idf)) < 0.1
+
+
+def brute(rows):
+    words = [t.split() if t is not None else None for _, t, _ in rows]
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            alike = both and both / len(sets[i] | sets[j]) >= 0.8
+            if alike or (rows[i][1] is not None and rows[i][1] == rows[j][1]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, r in enumerate(rows):
+        key = (r[0] is None, r[0])
+        least[find(i)] = min(least.get(find(i), key), key)
+    return sorted(((r[0], least[find(i)][1], r[0] == least[find(i)][1]) for i, r in enumerate(rows)), key=str)
+
+
+def test_classes(spark):
+    rnd = random.Random(4)
+    rows = []
+    for g in range(30):
+        base = text(rnd, rnd.randrange(60, 300))
+        rows.append((len(rows), base, "x"))
+        for _ in range(rnd.randrange(0, 4)):  # clearly alike, or clearly not
+            rows.append((len(rows), edited(rnd, base, 1 if rnd.random() < 0.6 else 30), "x"))
+    hot = text(rnd, 400)
+    rows += [(1000 + i, edited(rnd, hot, 1), "x") for i in range(60)] + [(2000 + i, hot, "x") for i in range(50)]
+    rows += [(3000, "", "x"), (3001, "", "x"), (3002, None, "x"), (3003, None, "x"), (3004, "one two", "x"), (3005, "one two", "x"),
+             (3006, "one two three", "x"), (None, rows[0][1], "x"), (None, "only without id", "x"), (3007, " \n ", "x"),
+             (3008, "z" * 50_000, "x"), (3009, "many " * 30_000, "x"), (3010, "many " * 30_000, "x"), rows[5], rows[5]]
+    got = [tuple(r) for r in icws.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got, key=str) == brute(rows)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert icws.near_duplicates(df).count() == 0
+    assert icws.near_duplicates(spark.createDataFrame([(1, None, "")], SCHEMA)).collect()[0]["class_id"] == 1
