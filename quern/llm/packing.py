@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import checkpointed, distinct_pieces, gather_ranges, row_sums, slices, token_pieces
+from quern.llm.common import byte_symbols, checkpointed, distinct_pieces, gather_ranges, row_sums, slices, token_pieces
 
 CAPACITY = 2048
 CLOSING_ID = 0
@@ -48,25 +49,25 @@ def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACI
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(spec.value)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        known: dict[str, np.ndarray] = {}
+        # The pieces are cut as the tokenizer's own byte-level step cuts them; its
+        # model takes them in that step's symbols.
+        model = Tokenizer.from_str(spec.value).model
+        symbols = byte_symbols()
+        known: dict[str, int] = {}
+        flat, size = np.zeros(0, "<u4"), np.zeros(0, np.int64)
         for batch in slices(batches, "_pieces"):
             distinct, index, bounds = distinct_pieces(batch.column(1))
             strings = distinct.to_pylist()
             if len(known) > MEMORY_PIECES:
-                known.clear()
+                known, flat, size = {}, flat[:0], size[:0]
             new = [w for w in strings if w not in known]
-            for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4")
-            coded = [known[w] for w in strings]
-            size = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.concatenate(coded) if coded else np.zeros(0, "<u4")
+            coded = [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(symbols))] for w in new]
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            size = np.append(size, np.fromiter(map(len, coded), np.int64, len(coded)))
+            flat = np.append(flat, np.fromiter(chain.from_iterable(coded), "<u4"))
+            index = np.fromiter(map(known.__getitem__, strings), np.int64, len(strings))[index]
             first = np.cumsum(size) - size
             n_tokens = row_sums(size[index], bounds)
             ids = gather_ranges(flat, first[index], size[index]).astype("<u4")
