@@ -9,7 +9,9 @@ of a batch and the rest is vectorised.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,19 @@ PIECE_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{IsWhite_Spac
                  r"|\p{IsWhite_Space}+(?!\P{IsWhite_Space})|\p{IsWhite_Space}+")
 
 
+def import_on_workers(spark: SparkSession) -> None:
+    """Put this package's place on the Python workers' path, for a driver that was not started from it.
+
+    For workers that see the driver's files; elsewhere the package is installed or sent with --py-files.
+    """
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    places = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in places:
+        env["PYTHONPATH"] = os.pathsep.join([*places, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    import_on_workers(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 

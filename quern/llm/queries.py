@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, icws, packing, pivots, quality, topk, toxicity
+from quern.llm import bpe, common, greedy, icws, packing, pii, pivots, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, model)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the base formats, and what their contexts discover."""
+    return pii.find(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens by large-item matching and best fit."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
@@ -68,7 +73,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip,
-    op5_quality_classifier, op7_best_fit_packing,
+    op5_quality_classifier, op6_pii, op7_best_fit_packing,
     op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
