@@ -292,3 +292,21 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str, min_similarity: floa
     with_text = rows.filter("digest IS NOT NULL").join(found, "digest")
     return with_text.select("id", "digest", "class_id", "class_digest").unionByName(
         rows.filter("digest IS NULL").select("id", "digest", F.col("id").alias("class_id"), F.col("digest").alias("class_digest")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                min_similarity: float = MIN_SIMILARITY) -> DataFrame:
+    """``docs``, all columns, with one row of each class of near-duplicates: the one of least id.
+
+    Of repeated rows one stays; rows with NULL texts all stay.
+    """
+    classes = checkpointed(classes_of(docs, id_col, text_col, min_similarity))
+    stay = (classes.filter("digest IS NOT NULL").select(F.col("class_id").alias("_class_id"), F.col("class_digest").alias("_class_digest"))
+            .distinct())
+    digest = F.md5(docs[text_col].cast("binary"))
+    # The join's keys are the rows' own ids and texts, so no class is a hot key.
+    own = docs.filter(docs[text_col].isNotNull())
+    kept = own.join(stay, docs[id_col].eqNullSafe(F.col("_class_id")) & (digest == F.col("_class_digest")))
+    names = [F.first(own[c]).alias(c) for c in docs.columns]
+    one = kept.groupBy("_class_id", "_class_digest").agg(*names).select(*docs.columns)
+    return one.unionByName(docs.filter(docs[text_col].isNull()))
