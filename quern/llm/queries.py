@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, icws, packing, pii, pivots, quality, topk, toxicity
+from quern.llm import bpe, common, greedy, htmlcrf, icws, packing, pii, pivots, quality, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return greedy.token_counts(docs, common.vocabulary_bytes(BYTE_VOCABULARY))
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article text of every page."""
+    return htmlcrf.extract(common.table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.93 or more between all embeddings of one label, and their components."""
     return pivots.near_duplicates(common.table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
@@ -72,7 +77,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_counts, op3_embedding_near_dedup, op4_bpe_round_trip,
+    op1_token_counts, op2_html_main_text, op3_embedding_near_dedup, op4_bpe_round_trip,
     op5_quality_classifier, op6_pii, op7_best_fit_packing,
     op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k)}
 
