@@ -33,14 +33,14 @@ from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labe
 
 TRAIN_ROWS = 1200         # labelled documents of each class that training reads, at most
 TRAIN_CHARS = 20_000      # longer labelled documents are not read for training
-TOXIC_LANDMARKS, CLEAN_LANDMARKS, CLEAN_STRINGS = 128, 96, 6000
+TOXIC_LANDMARKS, CLEAN_LANDMARKS, CLEAN_STRINGS = 112, 64, 5000
 ORDER, DECAY, POWER = 3, 0.75, 3
 COST = 5.0
 STEMS = (4, 5, 6)         # lengths of word beginnings that can tell a toxic document
 LEAST_CONTEXTS = 5        # a telling word or stem stands after at least so many different words
 LEAST_RATIO = 2.5         # log ratio of toxic to clean documents that hold it
 WIDTH = 24                # characters of a string; longer ones become overlapping windows
-LETTERS_SHARED = 0.75     # of a landmark's letters; with fewer its kernel value is 0
+LETTERS_SHARED = 0.8      # of a landmark's letters; with fewer its kernel value is 0
 MEMORY_WORDS = 400_000    # words whose score a task remembers
 # Characters commonly written for a letter.
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
@@ -80,22 +80,27 @@ def _letter_counts(symbols: np.ndarray) -> np.ndarray:
     return counts[:, 1:]
 
 
-def _decay(n: int) -> np.ndarray:
-    gap = np.arange(n)[:, None] - np.arange(n)[None]
-    return np.where(gap > 0, DECAY ** np.maximum(gap, 1), 0.0).astype(np.float32)
+def _before(k: np.ndarray) -> np.ndarray:
+    """For each first index the sum over smaller ones, each weighted down by how far before it stands."""
+    out = np.zeros_like(k)
+    for i in range(1, len(k)):
+        out[i] = (out[i - 1] + k[i - 1]) * np.float32(DECAY)
+    return out
 
 
 def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     """Subsequence kernel of order three of each row pair of two symbol matrices."""
     out = np.empty(len(s))
-    left, right = _decay(s.shape[1]), _decay(t.shape[1]).T.copy()
-    for a in range(0, len(s), 4096):
-        x, y = s[a:a + 4096], t[a:a + 4096]
-        match = ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] > 0)).astype(np.float32)
+    order = np.lexsort(((t > 0).sum(axis=1), (s > 0).sum(axis=1)))  # pairs of like lengths together
+    for a in range(0, len(s), 1024):
+        own = order[a:a + 1024]
+        x, y = s[own].T, t[own].T
+        x, y = x[:max(1, int((x > 0).any(axis=1).sum()))], y[:max(1, int((y > 0).any(axis=1).sum()))]
+        match = ((x[:, None] == y[None]) & (x[:, None] > 0)).astype(np.float32)
         k = match * np.float32(DECAY ** 2)
         for _ in range(ORDER - 1):
-            k = match * (left @ k @ right)
-        out[a:a + 4096] = k.sum(axis=(1, 2))
+            k = match * _before(_before(k).swapaxes(0, 1)).swapaxes(0, 1)
+        out[own] = k.sum(axis=(0, 1))
     return out
 
 
