@@ -9,7 +9,6 @@ Layout:
     quern.sources    text / JSON readers, line parsers, the TSV sink
     quern.operators  aggregation, ordering, joins, Bloom filter, layouts, metrics
     quern.plans      the registered queries over the driver's parquet tables
-    quern.streaming  the same expressions over a streaming text source
 """
 
 from quern.session import ensure_checkpoint_dir, local_session

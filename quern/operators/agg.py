@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import split_single_space, tokens
 from quern.operators.metrics import observed
-from quern.session import ensure_checkpoint_dir, scan_partitions
+from quern.session import ensure_checkpoint_dir
 
 _SPLITTERS = {
     "tokens": tokens,               # P1, StringTokenizer
@@ -76,27 +76,16 @@ def distinct_pairs(df: DataFrame, cols: Sequence[str], num_partitions: int | Non
 
     The rows are unique after ``distinct`` (a partial aggregate, so copies
     collapse before the shuffle), so range partitioning on all of ``cols``
-    cannot meet a hot key; ``num_partitions`` (default ``range_partitions``)
-    keeps output partitions at input-split size.
+    cannot meet a hot key.
     """
     cols = list(cols)
     distinct = df.select(*cols).distinct()
-    n = num_partitions or range_partitions(distinct)
-    return distinct.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    return ranged(distinct, num_partitions, *cols).sortWithinPartitions(*cols)
 
 
-def range_partitions(df: DataFrame, source: DataFrame | None = None) -> int:
-    """Partitions for range-partitioning ``df``.
-
-    The session's ``spark.sql.shuffle.partitions``, raised to the partition
-    count of ``source`` when given: pass the file scan the data comes from,
-    so each output partition stays about one file split in size however
-    large the input grows. Only pass a plain scan: its partition count is
-    known from planning, while a plan with shuffles would have to run them.
-    """
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    scanned = scan_partitions(source) if source is not None else None
-    return max(configured, scanned or 0)
+def ranged(df: DataFrame, num_partitions: int | None, *keys: str) -> DataFrame:
+    """Range-partition by ``keys``; without a count, adaptive execution sizes the partitions by their bytes."""
+    return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
 
 
 def spread_tiebreak(df: DataFrame) -> list[Column]:
@@ -120,9 +109,8 @@ def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = N
     """
     ties = [f"_quern_tie{i}" for i in range(2)]
     keys = [*by, *ties]
-    n = num_partitions or range_partitions(df)
     tied = df.select("*", *[c.alias(t) for c, t in zip(spread_tiebreak(df), ties, strict=True)])
-    return tied.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop(*ties)
+    return ranged(tied, num_partitions, *keys).sortWithinPartitions(*keys).drop(*ties)
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
@@ -161,9 +149,9 @@ def first_of_run(df: DataFrame, run_cols: Sequence[str], order: Sequence[str],
     ensure_checkpoint_dir(df.sparkSession)
     keys = [*partition_cols, *order]
     run_key = F.struct(*[F.col(c) for c in (*partition_cols, *run_cols)])
-    n = num_partitions or range_partitions(df)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    base = ranged.withColumn("_pid", F.spark_partition_id())
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    base = fixed.withColumn("_pid", F.spark_partition_id())
 
     # The last run key of each partition: a partial aggregate per checkpoint
     # partition, so only one row per partition is shuffled.

@@ -2,11 +2,9 @@
 
 The filter is a small table ``(_part INT, _words ARRAY<BIGINT>)``: the m bits
 are cut into ``parts`` slices by a hash of the key, each slice a dense array
-of 64-bit words. Probing is an equi-join on ``_part`` against the broadcast
-table followed by k ``getbit`` tests, all inside whole-stage codegen. The
-table holds exactly m bits, a size fixed by the caller, so the broadcast has
-a proven bound; a filter too large to broadcast is never built (callers
-fall back to the exact join).
+of 64-bit words. Probing is an equi-join on ``_part`` followed by k
+``getbit`` tests. Spark broadcasts a small filter and shuffles by slice
+beyond that; the bits, and so the answers, are the same at any size.
 
 Positions use double hashing (Kirsch and Mitzenmacher): with
 h1 = xxhash64(key) and h2 = murmur3(key), position i is
@@ -23,10 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest filter built: 2^30 bits = 128 MiB of words, within broadcast limits.
-MAX_BITS = 1 << 30
-# Bits per slice; one slice is one array value in the broadcast table.
-BITS_PER_PART = 1 << 23
+# Bits per slice (128 KiB); one slice is one array value in the table.
+BITS_PER_PART = 1 << 20
 
 
 def size_for(n: int, fpr: float) -> tuple[int, int]:
@@ -107,7 +103,9 @@ def might_contain(df: DataFrame, key_col: str, filt: DataFrame, m: int, k: int)
     h1, h2 = _hashes(key)
     # Hash once per row, below the join, rather than once per position inside it.
     tagged = df.select("*", _part(key, parts).alias("_part"), h1.alias("_h1"), h2.alias("_h2"))
-    probe = tagged.join(F.broadcast(filt), "_part", "inner")
+    # The slice number in a struct: both sides are dealt for this join, so a hot key's slice can be split.
+    slices = filt.withColumnRenamed("_part", "_slice")
+    probe = tagged.join(slices, F.struct(F.col("_part").alias("p")) == F.struct(F.col("_slice").alias("p")), "inner")
     words = F.col("_words")
     test = None
     for pos in _positions(F.col("_h1"), F.col("_h2"), per, k):

@@ -1,7 +1,8 @@
 """The reference's five join styles, plus co-group and key lists.
 
 Keys are given as column names; left and right payload names must not
-collide (rename first). Broadcasts always go through ``checked_broadcast``.
+collide (rename first). No side is broadcast by force, no job runs while a
+plan is built, and no result depends on a size limit.
 """
 
 from __future__ import annotations
@@ -10,11 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType
+from pyspark.sql.types import DataType
 
 from quern.operators import bloom
 from quern.operators.agg import sorted_rows
-from quern.operators.sizing import broadcast_row_limit, checked_broadcast, hot_keys, materialized_if_small
+from quern.operators.sizing import hot_keys
 
 
 def _names(cols: str | Sequence[str]) -> list[str]:
@@ -29,6 +30,17 @@ def _condition(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
     return cond
 
 
+def _split_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
+    """Inner join whose sides are each dealt out for it, so adaptive execution can split a hot key.
+
+    A side that an aggregate or a semi join has already dealt by the key
+    would be joined in place, which cannot be split; the key wrapped in a
+    struct is dealt anew. Structs of NULLs are equal, so NULL keys go first.
+    """
+    lf, rf = left.filter(left[left_on].isNotNull()), right.filter(right[right_on].isNotNull())
+    return lf.join(rf, F.struct(lf[left_on].alias("k")) == F.struct(rf[right_on].alias("k")), "inner")
+
+
 def join_keys(df: DataFrame, key: str, out_col: str | None = None) -> DataFrame:
     """The distinct join keys of a table, as a one-column key list."""
     return df.select(F.col(key).alias(out_col or key)).distinct()
@@ -46,28 +58,25 @@ def _semi(df: DataFrame, key: str, klist: DataFrame) -> DataFrame:
 def filter_by_keys(df: DataFrame, key: str, keys: DataFrame, keys_col: str | None = None) -> DataFrame:
     """Keep the rows of ``df`` whose ``key`` is in the key list.
 
-    A left-semi join: map-side against a broadcast key list when the list is
-    proven small, a shuffled semi join otherwise.
+    A left-semi join; Spark makes it map-side when the list is small.
     """
-    klist, _ = checked_broadcast(_key_list(keys, keys_col), bound=keys)
-    return _semi(df, key, klist)
+    return _semi(df, key, _key_list(keys, keys_col))
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
-              right_on: str | Sequence[str], how: str = "inner", strategy: str = "auto") -> DataFrame:
-    """J8 (``how="inner"``) and J1 (``how="left"``): shuffled equi-joins.
+              right_on: str | Sequence[str], how: str = "inner", strategy: str = "shuffle") -> DataFrame:
+    """J8 (``how="inner"``) and J1 (``how="left"``): equi-joins.
 
     Output: left columns then right columns. For the left outer join an
     unmatched left row gets NULL in every right column (the text sink
     renders that as the single field ``null``).
 
-    Left outer, ``strategy="auto"``: a right side that passes the broadcast
-    size check is joined map-side (one pass over the left, no shuffle, no
-    skew). Otherwise (or ``strategy="shuffle"``) the join is built as inner
-    join UNION (left anti distinct right keys). The result is the same, but
-    a hot key on the right side can then be split by AQE's skew handling
-    (which cannot split the right side of a left outer join), and the anti
-    side only sees one row per key.
+    Left outer, ``strategy="shuffle"``: inner join UNION (left anti distinct
+    right keys). A hot key on the right side can then be split by AQE's skew
+    handling (which cannot split the right side of a left outer join), and
+    the anti side only sees one row per key. ``strategy="auto"`` is Spark's
+    own left outer join: one pass over the left, for a right side without
+    hot keys or small enough to be broadcast. The result is the same.
     """
     lo, ro = _names(left_on), _names(right_on)
     if how == "inner":
@@ -77,9 +86,7 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
     if strategy not in ("auto", "shuffle"):
         raise ValueError("strategy must be 'auto' or 'shuffle'")
     if strategy == "auto":
-        small_right, small = checked_broadcast(right)
-        if small:
-            return left.join(small_right, _condition(left, small_right, lo, ro), "left")
+        return left.join(right, _condition(left, right, lo, ro), "left")
     # Both joins read the same non-null-key left input, so its shuffle is
     # planned once and reused; a NULL key never matches, so those rows are
     # unmatched without any join.
@@ -102,65 +109,55 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: str | Sequence[str],
 
 
 def lookup_join(big: DataFrame, dim: DataFrame, big_on: str, dim_on: str,
-                dim_cols: Sequence[str], order: str | Sequence[str] | None = None,
+                dim_cols: Sequence[str], order: str | Sequence[str],
                 sort_output: bool = False, num_partitions: int | None = None) -> DataFrame:
-    """Map-side dimension lookup; inner; a repeated dimension key keeps its last row.
-
-    "Last" is the greatest ``order`` (the reference's arrival order must be
-    made an explicit column). The dimension is reduced to one row per key by
-    a partial ``max_by`` aggregate, then broadcast if the size check passes;
-    otherwise the join falls back to a shuffle. Output: key, dimension
-    columns, then the big table's columns. ``sort_output`` orders by key (O6),
-    over ``num_partitions`` range partitions (see ``agg.sorted_rows``).
+    """Dimension lookup; inner; a repeated dimension key keeps its last row.
+
+    "Last" is the greatest ``order`` (the reference's arrival order, made an
+    explicit column), and of equal orders the greatest payload. The dimension
+    is reduced to one row per key by a partial aggregate; Spark then joins
+    map-side or shuffles, splitting a hot key. Output: key, dimension
+    columns, then the big table's columns. ``sort_output`` orders by key (O6).
     """
     cols = list(dim_cols)
-    ordering = F.struct(*[F.col(c) for c in (_names(order) if order else cols)])
+    ordering = F.struct(*[F.col(c) for c in (*_names(order), *cols)])
     last = (dim.groupBy(F.col(dim_on).alias("_dk"))
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_d"))
             .select("_dk", *[F.col("_d." + c).alias(c) for c in cols]))
-    last, _ = checked_broadcast(last, bound=dim)
-    out = big.join(last, big[big_on] == last["_dk"], "inner")
-    out = out.select(F.col("_dk").alias(dim_on), *cols, *big.columns)
+    out = _split_join(big, last, big_on, "_dk").select(F.col("_dk").alias(dim_on), *cols, *big.columns)
     return sorted_rows(out, [dim_on], num_partitions) if sort_output else out
 
 
 def prefiltered_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                      keys: DataFrame, keys_col: str | None = None) -> DataFrame:
-    """Drop the rows of both sides whose key is not in the key list, then inner join.
+    """Only the rows of both sides whose key is in the key list, inner joined.
 
-    Unlike an SQL semi join, the result has the columns of both tables.
+    Cutting the right side alone gives that result, as an inner join drops
+    the left's other rows; the left is then shuffled once. Unlike an SQL semi
+    join, the result has the columns of both tables.
     """
-    klist, _ = checked_broadcast(_key_list(keys, keys_col), bound=keys)
-    return equi_join(_semi(left, left_on, klist), _semi(right, right_on, klist), left_on, right_on, "inner")
+    return _split_join(left, _semi(right, right_on, _key_list(keys, keys_col)), left_on, right_on)
 
 
 def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                keys: DataFrame, keys_col: str | None = None, fpr: float = 0.01,
-               exact: bool = True, max_bits: int = bloom.MAX_BITS) -> DataFrame:
+               exact: bool = True, m: int | None = None, k: int | None = None) -> DataFrame:
     """Drop left rows whose key fails a Bloom test over the key list, then inner join.
 
-    The filter is sized from the key count (P15) and probed map-side, so the
-    left table shrinks before its shuffle. ``exact=True`` also restricts the
-    right side to the key list, which removes every false positive from the
-    result; ``exact=False`` keeps the reference's behaviour, where a false
-    positive reaches the output if the right table has that key. If the key
-    list is too large for a filter of ``max_bits`` bits the Bloom step is
-    skipped; the exact join alone is still correct.
+    ``m`` bits and ``k`` hashes make the filter; if they are not given, one
+    count of the key list sizes them from ``fpr`` (P15). A filter of any size
+    is probed by a join on its slices, so the same rows pass whether Spark
+    broadcasts the filter or shuffles by slice. ``exact=True`` also restricts
+    the right side to the key list, which removes every false positive from
+    the result; ``exact=False`` keeps the reference's behaviour, where a false
+    positive reaches the output if the right table has that key.
     """
-    klist = _key_list(keys, keys_col)
-    # One exact count sizes the filter and is the size check of the key list.
-    n = klist.count()
-    m, k = bloom.size_for(max(n, 1), fpr)
-    lf = left
-    if m <= max_bits:
-        key_type = left.schema[left_on].dataType
-        filt = bloom.build(klist.select(F.col("_key").cast(key_type).alias("_key")), "_key", m, k)
-        lf = bloom.might_contain(left, left_on, filt, m, k)
-    if not exact:
-        return equi_join(lf, right, left_on, right_on, "inner")
-    small = n <= broadcast_row_limit(klist)
-    rf = _semi(right, right_on, F.broadcast(klist) if small else klist)
-    return equi_join(lf, rf, left_on, right_on, "inner")
+    key_type = left.schema[left_on].dataType
+    klist = _key_list(keys, keys_col).select(F.col("_key").cast(key_type).alias("_key"))
+    if m is None or k is None:
+        m, k = bloom.size_for(max(klist.count(), 1), fpr)
+    lf = bloom.might_contain(left, left_on, bloom.build(klist, "_key", m, k), m, k)
+    return _split_join(lf, _semi(right, right_on, klist) if exact else right, left_on, right_on)
 
 
 def _struct_type(df: DataFrame, cols: Sequence[str]) -> DataType:
@@ -194,18 +191,14 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
                         spread: Column | None = None, strategy: str = "auto") -> DataFrame:
     """Records enriched with the first dimension row of their key; inner.
 
-    ``strategy="auto"`` first reduces the dimension to its first row per
-    key (a partial ``min_by`` aggregate) and, if that passes the broadcast
-    size check, joins it map-side: the records are never shuffled. Otherwise,
-    or with ``strategy="window"``, the secondary-sort mechanism below runs.
-
-    Both sides go into one flow (dimension tag 0, records tag 1), are
-    partitioned by key and sorted by (key, tag, dimension order), and every
-    record takes the first dimension row of its key: a running
+    The dimension is first reduced to one row per key, the first in
+    ``dim_order`` (a partial ``min_by`` aggregate). ``strategy="auto"`` joins
+    it, map-side if Spark finds it small. ``strategy="window"`` is the
+    secondary-sort mechanism: both sides go into one flow (dimension tag 0,
+    records tag 1), partitioned by key and sorted by (key, tag), and every
+    record takes the dimension row of its key by a running
     ``first(..., ignorenulls)`` window, one shuffle and one sort, with no
-    per-key list. A record whose key has no dimension row is dropped; when a
-    key has several dimension rows the first in ``dim_order`` is used and
-    the others are never emitted as records.
+    per-key list. A record whose key has no dimension row is dropped.
 
     Keys with more than ``max_group_rows`` records are salted: their records
     are spread over ceil(n / max_group_rows) slices by ``spread`` (default: a
@@ -216,21 +209,17 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
         raise ValueError("strategy must be 'auto' or 'window'")
     dcols, fcols = list(dim_cols), list(fact_cols)
     ord_cols = _names(dim_order) if dim_order else dcols
+    # One row per key: the first in order, and of equal orders the least payload.
+    dim = (dim.filter(F.col(dim_key).isNotNull()).groupBy(F.col(dim_key).alias("_dk"))
+           .agg(F.min_by(F.struct(*[F.col(c) for c in dcols]),
+                         F.struct(*[F.col(c) for c in (*ord_cols, *dcols)])).alias("_d"))
+           .select("_dk", *[F.col("_d." + c).alias(c) for c in dcols]))
     if strategy == "auto":
-        first = (dim.groupBy(F.col(dim_key).alias("_dk"))
-                 .agg(F.min_by(F.struct(*[F.col(c) for c in dcols]),
-                               F.struct(*[F.col(c) for c in ord_cols])).alias("_d"))
-                 .select("_dk", *[F.col("_d." + c).alias(c) for c in dcols]))
-        first, small = checked_broadcast(first, bound=dim)
-        if small:
-            out = facts.join(first, facts[fact_key] == first["_dk"], "inner")
-            return out.select(F.col(fact_key), *dcols, *fcols)
-    ord_type = _struct_type(dim, ord_cols)
+        return _split_join(facts, dim, fact_key, "_dk").select(F.col(fact_key), *dcols, *fcols)
     dim_type, rec_type = _struct_type(dim, dcols), _struct_type(facts, fcols)
     # A NULL key matches nothing in a join; a window would group NULLs together.
-    dim = dim.filter(F.col(dim_key).isNotNull())
     facts = facts.filter(F.col(fact_key).isNotNull())
-    hot, _ = hot_keys(facts.select(F.col(fact_key).alias("_k")), ["_k"], max_group_rows)
+    hot = hot_keys(facts.select(F.col(fact_key).alias("_k")), ["_k"], max_group_rows)
     spread = spread if spread is not None else F.xxhash64(*[F.col(c) for c in fcols])
 
     f = facts.join(hot, facts[fact_key] == hot["_k"], "left")
@@ -238,21 +227,18 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
                  F.when(F.col("_slices").isNull(), F.lit(0))
                  .otherwise(F.pmod(spread, F.col("_slices"))).cast("int").alias("_salt"),
                  F.lit(1).alias("_tag"),
-                 F.lit(None).cast(ord_type).alias("_ord"),
                  F.lit(None).cast(dim_type).alias("_dim"),
                  F.struct(*[F.col(c) for c in fcols]).alias("_rec"))
 
-    d = dim.join(hot, dim[dim_key] == hot["_k"], "left")
-    order = F.struct(*[F.col(c) for c in ord_cols])
-    d = d.select(F.col(dim_key).alias("_key"),
+    d = dim.join(hot, dim["_dk"] == hot["_k"], "left")
+    d = d.select(F.col("_dk").alias("_key"),
                  F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)).alias("_salt"),
                  F.lit(0).alias("_tag"),
-                 order.alias("_ord"),
                  F.struct(*[F.col(c) for c in dcols]).alias("_dim"),
                  F.lit(None).cast(rec_type).alias("_rec"))
 
     flow = d.unionByName(f)
-    w = (Window.partitionBy("_key", "_salt").orderBy("_tag", "_ord")
+    w = (Window.partitionBy("_key", "_salt").orderBy("_tag")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     joined = flow.withColumn("_station", F.first("_dim", ignorenulls=True).over(w))
     joined = joined.filter((F.col("_tag") == 1) & F.col("_station").isNotNull())
@@ -262,42 +248,27 @@ def secondary_sort_join(dim: DataFrame, facts: DataFrame, dim_key: str, fact_key
 
 
 def cogroup(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
-            left_cols: Sequence[str], right_cols: Sequence[str],
-            key_col: str = "key", max_group_rows: int = 10_000,
-            left_spread: Column | None = None, right_spread: Column | None = None) -> DataFrame:
-    """For each key, the sorted list of its left rows and of its right rows.
-
-    Output columns: ``key_col``, ``chunk``, ``left_rows``, ``right_rows``
-    (arrays of structs, sorted; empty when a side has no row for the key).
-    A key with at most ``max_group_rows`` rows on each side gets one output
-    row, chunk 0. A larger key is split into ceil(n / max_group_rows)
-    chunks by ``pmod(spread, chunks)`` on both sides, so no list, task or
-    row ever holds an unbounded group. ``spread`` defaults to a hash of the
-    row's columns; pass a unique id column for a reproducible split.
+            left_cols: Sequence[str], right_cols: Sequence[str], key_col: str = "key",
+            num_partitions: int | None = None) -> DataFrame:
+    """The left rows and the right rows of each key together, in key order.
+
+    One output row per input row: ``key_col``, ``side`` (0 left, 1 right),
+    ``left_row`` and ``right_row`` (structs; the other side's is NULL), and
+    ``n_left`` and ``n_right``, the rows of the key on each side. A key's
+    rows are contiguous, left before right, over range partitions; a key of
+    any size continues into the next partition, so no list, task or row holds
+    a group. NULL is a key like any other here.
     """
     lcols, rcols = list(left_cols), list(right_cols)
-    lcount = left.groupBy(F.col(left_on).alias("_k")).agg(F.count(F.lit(1)).alias("_nl"))
-    rcount = right.groupBy(F.col(right_on).alias("_k")).agg(F.count(F.lit(1)).alias("_nr"))
-    sizes = (lcount.join(rcount, "_k", "full")
-             .select("_k", F.greatest(F.coalesce("_nl", F.lit(0)), F.coalesce("_nr", F.lit(0))).alias("_n"))
-             .filter(F.col("_n") > F.lit(max_group_rows))
-             .select("_k", F.ceil(F.col("_n") / F.lit(max_group_rows)).cast("int").alias("_chunks")))
-    sizes, _ = materialized_if_small(sizes)
-
-    def side(df: DataFrame, on: str, cols: list[str], spread: Column | None, name: str) -> DataFrame:
-        spread = spread if spread is not None else F.xxhash64(*[F.col(c) for c in cols])
-        s = df.join(sizes, df[on] == sizes["_k"], "left")
-        chunk = F.pmod(spread, F.coalesce(F.col("_chunks"), F.lit(1))).cast("int")
-        return (s.select(F.col(on).alias(key_col), chunk.alias("chunk"),
-                         F.struct(*[F.col(c) for c in cols]).alias("_row"))
-                .groupBy(key_col, "chunk")
-                .agg(F.array_sort(F.collect_list("_row")).alias(name)))
-
-    lg = side(left, left_on, lcols, left_spread, "left_rows")
-    rg = side(right, right_on, rcols, right_spread, "right_rows")
-    out = lg.join(rg, [key_col, "chunk"], "full")
-    ltype = ArrayType(_struct_type(left, lcols), False)
-    rtype = ArrayType(_struct_type(right, rcols), False)
-    return out.select(key_col, "chunk",
-                      F.coalesce("left_rows", F.array().cast(ltype)).alias("left_rows"),
-                      F.coalesce("right_rows", F.array().cast(rtype)).alias("right_rows"))
+    ltype, rtype = _struct_type(left, lcols), _struct_type(right, rcols)
+    one = left.select(F.col(left_on).alias(key_col), F.lit(0).alias("side"),
+                      F.struct(*[F.col(c) for c in lcols]).alias("left_row"), F.lit(None).cast(rtype).alias("right_row"))
+    two = right.select(F.col(right_on).alias(key_col), F.lit(1).alias("side"),
+                       F.lit(None).cast(ltype).alias("left_row"), F.struct(*[F.col(c) for c in rcols]).alias("right_row"))
+    flow = one.unionByName(two)
+    counts = flow.groupBy(F.col(key_col).alias("_k")).agg(
+        F.count_if(F.col("side") == 0).alias("n_left"), F.count_if(F.col("side") == 1).alias("n_right"))
+    # Structs of NULLs are equal; both sides are dealt anew, so a hot key can be split.
+    met = flow.join(counts, F.struct(flow[key_col].alias("k")) == F.struct(counts["_k"].alias("k")))
+    out = met.select(key_col, "side", "left_row", "right_row", "n_left", "n_right")
+    return sorted_rows(out, [key_col, "side"], num_partitions)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from quern.operators.agg import spread_tiebreak
-from quern.session import default_parallelism, scan_partitions
 
 
 def partitioned_sorted(df: DataFrame, key: str | Sequence[str], num_partitions: int) -> DataFrame:
@@ -43,23 +42,3 @@ def secondary_sort(df: DataFrame, key: str, sort_cols: Sequence[str],
     parted = df.repartition(num_partitions, key) if num_partitions else df.repartition(key)
     return parted.sortWithinPartitions(*keys)
 
-
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a file scan over more tasks when it cannot keep every core busy.
-
-    A file stored as one row group is read by one task, so CPU-heavy
-    per-row work after the scan (splitting long texts) would use one core;
-    Spark may plan such a file as several byte splits, but only the split
-    holding the row group gets rows, so the planned count overstates the
-    parallelism. When the scan has fewer partitions than the cluster has
-    cores it is spread to ``min_partitions`` or two tasks per core (evening
-    out texts of very different lengths). Otherwise ``df`` is returned
-    unchanged, as any large input is: there every core already has work and
-    a shuffle of the raw input would cost more than it gains. Call it on a
-    scan (with projections and filters), not on a plan with shuffles.
-    """
-    cores = default_parallelism(df.sparkSession)
-    have = scan_partitions(df)
-    if not cores or have is None or have >= cores:
-        return df
-    return df.repartition(min_partitions or 2 * cores)

@@ -1,121 +1,22 @@
-"""Size checks that guard every broadcast, and hot-key detection for skew.
+"""Hot-key detection for skew.
 
-A side is broadcast only after a bounded check (an incremental take that
-stops once the row limit is passed) shows it fits the session's
-``spark.sql.autoBroadcastJoinThreshold``; otherwise the plain DataFrame is
-returned and Spark shuffles (AQE may still convert or split at run time).
+No operator forces a broadcast: Spark picks one from file sizes, and its
+adaptive execution from the measured bytes of a shuffled side.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def _bytes(text: str) -> int:
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text)
-    if not m:
-        raise ValueError(f"not a byte size: {text!r}")
-    return int(m.group(1)) * _UNITS[m.group(2).lower()]
-
-
-def broadcast_threshold_bytes(df: DataFrame) -> int:
-    """The session's broadcast threshold in bytes (0 when broadcasting is off)."""
-    value = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-    return max(value, 0)
-
-
-# Catalyst's default size estimates per type, in bytes.
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
-    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8,
-    T.TimestampNTZType: 8, T.StringType: 20, T.BinaryType: 100, T.NullType: 1,
-}
-
-
-def type_width(dt: T.DataType) -> int:
-    """Estimated bytes of one value of ``dt`` (nested types summed, collections as one element)."""
-    if isinstance(dt, T.StructType):
-        return sum(type_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, T.ArrayType):
-        return type_width(dt.elementType)
-    if isinstance(dt, T.MapType):
-        return type_width(dt.keyType) + type_width(dt.valueType)
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    return _FIXED_WIDTH.get(type(dt), 20)
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema's default sizes, plus row overhead."""
-    return 8 + sum(type_width(f.dataType) for f in df.schema.fields)
-
-
-def broadcast_row_limit(df: DataFrame) -> int:
-    """How many rows of ``df`` fit under the broadcast threshold."""
-    return broadcast_threshold_bytes(df) // row_width(df)
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Asked as "is anything left after skipping ``max_rows`` rows": Spark runs
-    that as an incremental take (a few partitions first, more only if
-    needed) over a projection with no columns, so a large table is not read
-    to the end to learn that it is too big, and only a boolean comes back.
-    """
-    if max_rows <= 0:
-        return False
-    return df.select(F.lit(1)).offset(max_rows).isEmpty()
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None,
-                      bound: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` is proven small, else ``(df, False)``.
-
-    ``bound`` is an input that ``df`` has at most as many rows as (the table
-    an aggregate or a distinct was computed from). When it fits, ``df`` fits
-    without being computed for the check. Otherwise ``df`` itself is checked
-    while cached: if it passes, the plan that broadcasts it reads the cache
-    instead of computing it again; if not, it is uncached at once (the check
-    stops early on a large input, so little was cached). Lost cache blocks
-    are recomputed from lineage.
-    """
-    limit = broadcast_row_limit(df) if max_rows is None else max_rows
-    if limit <= 0:
-        return df, False
-    if bound is not None and fits(bound, limit):
-        return F.broadcast(df), True
-    df.cache()
-    if fits(df, limit):
-        return F.broadcast(df), True
-    df.unpersist()
-    return df, False
-
-
-def materialized_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """A small summary table computed once (see ``checked_broadcast``)."""
-    return checked_broadcast(df, max_rows)
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int,
-             slices_col: str = "_slices") -> tuple[DataFrame, bool]:
+def hot_keys(df: DataFrame, keys: list[str], max_rows: int, slices_col: str = "_slices") -> DataFrame:
     """Keys with more than ``max_rows`` rows and how many slices each needs.
 
     Returns one row per hot key: the key columns and ``slices_col`` =
     ceil(rows / max_rows). The count is a partial (map-side) aggregation, so
-    it is cheap even when one key holds a third of the data. At most
-    total_rows / max_rows keys can be hot; the result is computed once and
-    broadcast when it passes the size check (the usual case: few or no hot
-    keys), and joined by shuffle otherwise.
+    it is cheap even when one key holds a third of the data.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (counts.filter(F.col("_rows") > F.lit(max_rows))
-           .select(*keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("int").alias(slices_col)))
-    return materialized_if_small(hot)
+    return (counts.filter(F.col("_rows") > F.lit(max_rows))
+            .select(*keys, F.ceil(F.col("_rows") / F.lit(max_rows)).cast("int").alias(slices_col)))

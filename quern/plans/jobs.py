@@ -59,7 +59,7 @@ def sort_pairs(spark: SparkSession, inputs: Paths, out: str | None = None,
     """Number pairs sorted by the first number, all rows kept; a malformed line fails the job."""
     lines = read_lines(spark, inputs)
     pairs = parse_pairs(lines, mode="strict")
-    sorted_pairs = agg.sorted_rows(pairs, ["first_num"], agg.range_partitions(pairs, source=lines))
+    sorted_pairs = agg.sorted_rows(pairs, ["first_num"])
     return _write(sorted_pairs, out, ["first_num", "second_num"], mode)
 
 
@@ -68,12 +68,11 @@ def group_pairs(spark: SparkSession, inputs: Paths, out: str | None = None,
     """Two-column key grouping. As coded: the distinct pairs in order. As meant: min per first number."""
     lines = read_lines(spark, inputs)
     pairs = parse_pairs(lines, mode="strict")
-    n = agg.range_partitions(pairs, source=lines)
     if as_coded:
-        result = agg.distinct_pairs(pairs, ["first_num", "second_num"], n)
+        result = agg.distinct_pairs(pairs, ["first_num", "second_num"])
     else:
         mins = agg.min_per_key(pairs, "first_num", "second_num")
-        result = mins.repartitionByRange(n, "first_num").sortWithinPartitions("first_num")
+        result = mins.repartitionByRange("first_num").sortWithinPartitions("first_num")
     return _write(result, out, ["first_num", "second_num"], mode)
 
 
@@ -88,8 +87,7 @@ def first_pair_per_group(spark: SparkSession, inputs: Paths, out: str | None = N
     lines = read_lines(spark, inputs, with_order=True)
     pairs = parse_pairs(lines, mode="strict", keep=["line_order"])
     if as_coded:
-        result = agg.first_of_run(pairs, ["first_num"], ["line_order"],
-                                  num_partitions=agg.range_partitions(pairs, source=lines))
+        result = agg.first_of_run(pairs, ["first_num"], ["line_order"])
     else:
         result = agg.first_per_key(pairs, "first_num", ["second_num"], ["second_num"])
     return _write(result.select("first_num", "second_num"), out, ["first_num", "second_num"], mode)
@@ -122,8 +120,7 @@ def map_side_join(spark: SparkSession, dim_path: Paths, big_path: Paths, out: st
     big_lines = read_lines(spark, big_path)
     big = parse_table(big_lines, USER_FIELDS, limit=4, drop_empty=True)
     result = joins.lookup_join(big, dim, "cityID", "id", CITY_FIELDS[1:], order="line_order",
-                               sort_output=sort_output,
-                               num_partitions=agg.range_partitions(big, source=big_lines))
+                               sort_output=sort_output)
     result = result.select("id", "name", "orderid", "city_code", "is_show", "userID", "network", "flow")
     return _write(result, out, result.columns, mode)
 

@@ -8,8 +8,6 @@ end of the text. Null ordering is written out where Spark sorts nulls first.
 
 from __future__ import annotations
 
-from quern.plans.queries import COGROUP_MAX_ROWS
-
 _WS = r"[ \t\n\v\f\r]"
 
 _TOKEN_COUNT = r"""
@@ -117,36 +115,25 @@ WHERE c_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDIN
 
 _SECONDARY_SORT_LAYOUT = """
 SELECT c_custkey AS key, 0 AS tag, c_name, CAST(NULL AS BIGINT) AS o_orderkey
-FROM customer WHERE c_mktsegment = 'BUILDING'
+FROM customer
 UNION ALL
 SELECT o_custkey AS key, 1 AS tag, CAST(NULL AS VARCHAR) AS c_name, o_orderkey FROM orders
 """
 
 _COGROUP = """
-WITH lc AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1),
-rc AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1),
-sz AS (SELECT coalesce(lc.k, rc.k) AS k, greatest(coalesce(lc.n, 0), coalesce(rc.n, 0)) AS n
-       FROM lc FULL JOIN rc ON lc.k = rc.k),
-ch AS (SELECT k, CAST(ceil(n / @MAX) AS INTEGER) AS nc FROM sz WHERE n > @MAX),
-l AS (SELECT c_nationkey AS k,
-             CAST(((c_custkey % coalesce(nc, 1)) + coalesce(nc, 1)) % coalesce(nc, 1) AS INTEGER) AS chunk,
-             count(*) AS n_customers,
-             string_agg(CAST(c_custkey AS VARCHAR) || ':' || c_name, ',' ORDER BY c_custkey, c_name) AS customers
-      FROM customer LEFT JOIN ch ON c_nationkey = ch.k GROUP BY 1, 2),
-r AS (SELECT s_nationkey AS k,
-             CAST(((s_suppkey % coalesce(nc, 1)) + coalesce(nc, 1)) % coalesce(nc, 1) AS INTEGER) AS chunk,
-             count(*) AS n_suppliers,
-             string_agg(CAST(s_suppkey AS VARCHAR) || ':' || s_name, ',' ORDER BY s_suppkey, s_name) AS suppliers
-      FROM supplier LEFT JOIN ch ON s_nationkey = ch.k GROUP BY 1, 2)
-SELECT coalesce(l.k, r.k) AS nationkey, coalesce(l.chunk, r.chunk) AS chunk,
-       coalesce(n_customers, 0) AS n_customers, coalesce(n_suppliers, 0) AS n_suppliers,
-       coalesce(customers, '') AS customers, coalesce(suppliers, '') AS suppliers
-FROM l FULL JOIN r ON l.k = r.k AND l.chunk = r.chunk
-""".replace("@MAX", str(COGROUP_MAX_ROWS))
+WITH flow AS (
+  SELECT c_nationkey AS nationkey, 0 AS side, c_custkey AS row_key, c_name AS row_name FROM customer
+  UNION ALL
+  SELECT s_nationkey, 1, s_suppkey, s_name FROM supplier)
+SELECT nationkey, side, row_key, row_name,
+       count(*) FILTER (side = 0) OVER (PARTITION BY nationkey) AS n_customers,
+       count(*) FILTER (side = 1) OVER (PARTITION BY nationkey) AS n_suppliers
+FROM flow
+"""
 
 _LOOKUP = """
 SELECT c_custkey, c_name, c_nationkey, d.s_name
-FROM customer JOIN (SELECT s_nationkey, arg_max(s_name, s_suppkey) AS s_name FROM supplier GROUP BY s_nationkey) d
+FROM customer JOIN (SELECT s_nationkey, arg_max(s_name, (s_suppkey, s_name)) AS s_name FROM supplier GROUP BY s_nationkey) d
   ON c_nationkey = d.s_nationkey
 """
 
@@ -159,7 +146,7 @@ ORACLE_SQL: dict[str, str] = {
     "field_arity_counts": _FIELD_ARITY_COUNTS,
     "fields_limit": _FIELDS_LIMIT,
     "parse_pairs": _PARSE_PAIRS,
-    "parse_pairs_strict": _PAIRS + " WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL",
+    "parse_pairs_strict": _PAIRS,
     "sorted_pairs": _PAIRS + " ORDER BY first_num",
     "sorted_pairs_by_two": _PAIRS + " ORDER BY first_num, second_num",
     "distinct_pairs": "SELECT DISTINCT l_partkey AS first_num, l_suppkey AS second_num FROM lineitem ORDER BY 1, 2",
@@ -167,18 +154,18 @@ ORACLE_SQL: dict[str, str] = {
     "first_per_key": _FIRST_PER_KEY,
     "first_of_run_by_user": _FIRST_OF_RUN_BY_USER,
     "first_of_run_global": _FIRST_OF_RUN_GLOBAL,
-    "join_keys": "SELECT DISTINCT c_custkey AS join_key FROM customer WHERE c_mktsegment = 'BUILDING'",
-    "inner_join": "SELECT s_suppkey, s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey",
+    "join_keys": "SELECT DISTINCT o_custkey AS join_key FROM orders",
+    "inner_join": "SELECT o_orderkey, o_custkey, l_linenumber, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey",
     "left_outer_join": """
 SELECT c_custkey, c_name, o_orderkey, o_totalprice
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o.o_custkey
+FROM customer LEFT JOIN orders o ON c_custkey = o.o_custkey
 """,
     "left_outer_join_tsv": """
 SELECT coalesce(CAST(c_custkey AS VARCHAR), 'null') || chr(9) || coalesce(c_name, 'null') || chr(9) ||
        CASE WHEN o.o_orderkey IS NULL THEN 'null'
             ELSE coalesce(CAST(o.o_orderkey AS VARCHAR), 'null') || chr(9) || coalesce(o.o_orderstatus, 'null')
        END AS value
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) o ON c_custkey = o.o_custkey
+FROM customer LEFT JOIN orders o ON c_custkey = o.o_custkey
 """,
     "lookup_join": _LOOKUP,
     "lookup_join_sorted": _LOOKUP + " ORDER BY c_nationkey",

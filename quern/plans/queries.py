@@ -21,45 +21,30 @@ from quern.sources.text import parse_pairs, parse_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Largest group one co-group row may hold before its key is split into chunks.
-COGROUP_MAX_ROWS = 10_000
-# Separator between rendered list items and between fields of an item.
-LIST_SEP, ITEM_SEP = ",", ":"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
-def texts(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A table of long texts whose rows feed CPU-heavy work, spread over all cores.
-
-    See ``layout.widen``. Measured at sf0.1: it halves the document queries;
-    for short lines (the number pairs) the extra shuffle costs more than it
-    saves, so those read the table as is.
-    """
-    return layout.widen(table(spark, sf_dir, name, *cols))
-
-
 # ---------------------------------------------------------------- token counts
 
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """StringTokenizer tokens of every document, counted."""
-    docs = texts(spark, sf_dir, "documents", "text")
+    docs = table(spark, sf_dir, "documents", "text")
     return agg.token_count(docs, "text", splitter="tokens")
 
 
 def space_split_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """split(" ") tokens, each line feed first made two blanks (so empty tokens occur)."""
-    docs = texts(spark, sf_dir, "documents", "text")
+    docs = table(spark, sf_dir, "documents", "text")
     line = F.regexp_replace("text", "\n", "  ")
     return agg.token_count(docs.select(line.alias("line")), "line", splitter="space")
 
 
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: token counts per source, then the partial counts summed per token."""
-    docs = texts(spark, sf_dir, "documents", "source", "text")
+    docs = table(spark, sf_dir, "documents", "source", "text")
     per_source = agg.token_count(docs, "text", by=["source"])
     return agg.merge_counts(per_source, "word")
 
@@ -79,7 +64,7 @@ def token_count_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------ parsing lines
 
 def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", F.explode(lines("text")).alias("value"))
 
 
@@ -103,7 +88,7 @@ def field_arity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fields_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """split(text, "\\s+", 3): keep texts with three fields; the last is the verbatim rest."""
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return parse_table(docs, ["first", "second", "rest"], limit=3, value_col="text", keep=["doc_id"])
 
 
@@ -119,8 +104,7 @@ def _pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_pairs_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P3 P5 (strict): every lineitem pair rendered as text and parsed back; a bad line would fail the job."""
-    li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey") \
-        .filter(F.col("l_partkey").isNotNull() & F.col("l_suppkey").isNotNull())
+    li = table(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey")
     value = F.concat_ws(" ", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
     return parse_pairs(li.select(value.alias("value")), mode="strict")
 
@@ -140,19 +124,19 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sorted_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: every pair, sorted by the first number."""
     pairs = _pairs(spark, sf_dir)
-    return agg.sorted_rows(pairs, ["first_num"], agg.range_partitions(pairs, source=pairs))
+    return agg.sorted_rows(pairs, ["first_num"])
 
 
 def sorted_pairs_by_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: every pair, sorted by both numbers."""
     pairs = _pairs(spark, sf_dir)
-    return agg.sorted_rows(pairs, ["first_num", "second_num"], agg.range_partitions(pairs, source=pairs))
+    return agg.sorted_rows(pairs, ["first_num", "second_num"])
 
 
 def distinct_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 O2: distinct pairs in key order."""
     pairs = _pairs(spark, sf_dir)
-    return agg.distinct_pairs(pairs, ["first_num", "second_num"], agg.range_partitions(pairs, source=pairs))
+    return agg.distinct_pairs(pairs, ["first_num", "second_num"])
 
 
 def min_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,15 +153,14 @@ def first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_of_run_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 per user: first event of each run of equal event types, in (ts, event_id) order."""
     ev = table(spark, sf_dir, "events", "user_id", "ts", "event_id", "event_type")
-    out = agg.first_of_run(ev, ["event_type"], ["ts", "event_id"], partition_cols=["user_id"],
-                           num_partitions=agg.range_partitions(ev, source=ev))
+    out = agg.first_of_run(ev, ["event_type"], ["ts", "event_id"], partition_cols=["user_id"])
     return out.select("user_id", "event_id", "event_type")
 
 
 def first_of_run_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A7 global: first event of each run of equal event types, in event_id order."""
     ev = table(spark, sf_dir, "events", "event_id", "event_type")
-    out = agg.first_of_run(ev, ["event_type"], ["event_id"], num_partitions=agg.range_partitions(ev, source=ev))
+    out = agg.first_of_run(ev, ["event_type"], ["event_id"])
     return out.select("event_id", "event_type")
 
 
@@ -198,22 +181,21 @@ def _building_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The key list itself, the distinct keys of the BUILDING customers."""
-    return _building_keys(spark, sf_dir)
+    """The key list of the orders, the distinct customers that have any."""
+    return joins.join_keys(table(spark, sf_dir, "orders", "o_custkey"), "o_custkey", "join_key")
 
 
 def inner_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers with their nation."""
-    sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
-    nat = table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    return joins.equi_join(sup, nat, "s_nationkey", "n_nationkey").select("s_suppkey", "s_name", "n_name")
+    """Every order with its line items, shuffled and merged (both tables are large)."""
+    orders = _orders(spark, sf_dir).hint("merge")
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    return joins.equi_join(orders, li, "o_orderkey", "l_orderkey").select("o_orderkey", "o_custkey", "l_linenumber", "l_partkey")
 
 
 def left_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer with each of its orders above 400000, or NULLs if it has none."""
-    cust = _customers(spark, sf_dir).select("c_custkey", "c_name")
-    big = _orders(spark, sf_dir).filter(F.col("o_totalprice") > 400000)
-    out = joins.equi_join(cust, big, "c_custkey", "o_custkey", how="left")
+    """Every customer with each of its orders, or NULLs if it has none; shuffled and merged."""
+    cust = _customers(spark, sf_dir).select("c_custkey", "c_name").hint("merge")
+    out = joins.equi_join(cust, _orders(spark, sf_dir), "c_custkey", "o_custkey", how="left", strategy="shuffle")
     return out.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
@@ -225,9 +207,8 @@ def left_outer_join_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     side, not one per field.
     """
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name")
-    big = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice") \
-        .filter(F.col("o_totalprice") > 400000).select("o_orderkey", "o_custkey", "o_orderstatus")
-    out = joins.equi_join(cust, big, "c_custkey", "o_custkey", how="left")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    out = joins.equi_join(cust, orders, "c_custkey", "o_custkey", how="left")
     line = tsv_line(["c_custkey", "c_name"], null_groups=[("o_orderkey", ["o_orderkey", "o_orderstatus"])])
     return out.select(line.alias("value"))
 
@@ -244,8 +225,7 @@ def lookup_join_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + O6: the lookup join in key order, as an identity reducer would write it."""
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
     sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
-    out = joins.lookup_join(cust, sup, "c_nationkey", "s_nationkey", ["s_name"], order="s_suppkey",
-                            sort_output=True, num_partitions=agg.range_partitions(cust, source=cust))
+    out = joins.lookup_join(cust, sup, "c_nationkey", "s_nationkey", ["s_name"], order="s_suppkey", sort_output=True)
     return out.select("c_custkey", "c_name", "c_nationkey", "s_name")
 
 
@@ -278,33 +258,23 @@ def secondary_sort_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secondary_sort_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tagged union of BUILDING customers and their orders, routed by key, sorted by (key, tag)."""
-    cust = _customers(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
+    """The tagged union of customers and their orders, routed by key, sorted by (key, tag)."""
+    cust = _customers(spark, sf_dir).select("c_custkey", "c_name")
     orders = _orders(spark, sf_dir).select("o_custkey", "o_orderkey")
     flow = joins.tagged_union(cust, orders, "c_custkey", "o_custkey")
-    n = agg.range_partitions(flow, source=orders)
-    flow = layout.secondary_sort(flow, "key", ["tag"], num_partitions=n, split_hot_keys=True)
+    flow = layout.secondary_sort(flow, "key", ["tag"], split_hot_keys=True)
     return flow.select("key", "tag", F.col("dim.c_name").alias("c_name"), F.col("rec.o_orderkey").alias("o_orderkey"))
 
 
 def cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per nation, the sorted customers and the sorted suppliers, rendered as text."""
+    """The customers and the suppliers of each nation together, with how many there are of each."""
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
     sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
-    grouped = joins.cogroup(cust, sup, "c_nationkey", "s_nationkey", ["c_custkey", "c_name"],
-                            ["s_suppkey", "s_name"], key_col="nationkey", max_group_rows=COGROUP_MAX_ROWS,
-                            left_spread=F.col("c_custkey"), right_spread=F.col("s_suppkey"))
-
-    def render(arr: str, a: str, b: str) -> F.Column:
-        items = F.transform(arr, lambda x: F.concat(x[a].cast("string"), F.lit(ITEM_SEP), x[b]))
-        return F.array_join(items, LIST_SEP)
-
-    return grouped.select(
-        "nationkey", "chunk",
-        F.size("left_rows").cast("bigint").alias("n_customers"),
-        F.size("right_rows").cast("bigint").alias("n_suppliers"),
-        render("left_rows", "c_custkey", "c_name").alias("customers"),
-        render("right_rows", "s_suppkey", "s_name").alias("suppliers"))
+    met = joins.cogroup(cust, sup, "c_nationkey", "s_nationkey", ["c_custkey", "c_name"],
+                        ["s_suppkey", "s_name"], key_col="nationkey")
+    return met.select("nationkey", "side", F.coalesce("left_row.c_custkey", "right_row.s_suppkey").alias("row_key"),
+                      F.coalesce("left_row.c_name", "right_row.s_name").alias("row_name"),
+                      F.col("n_left").alias("n_customers"), F.col("n_right").alias("n_suppliers"))
 
 
 QUERIES: dict[str, Query] = {

@@ -36,26 +36,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def scan_partitions(df) -> int | None:
-    """Partition count of a plain file scan, from planning alone; None if unavailable.
-
-    Needs the classic (JVM-backed) session; under Spark Connect the count is
-    not exposed and callers keep their defaults.
-    """
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect)
-        return None
-
-
-def default_parallelism(spark: SparkSession) -> int | None:
-    """The cluster's default parallelism (total cores), or None if not exposed."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext (e.g. Spark Connect)
-        return None
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Make sure reliable checkpoints have a folder, and return it.
 

@@ -19,7 +19,7 @@ def test_operators_on_empty_inputs(spark):
     assert agg.first_of_run(kv, ["v"], ["k"]).count() == 0
     assert joins.equi_join(kv, dim, "k", "dk", how="left").count() == 0
     assert joins.equi_join(kv, dim, "k", "dk", how="left", strategy="shuffle").count() == 0
-    assert joins.lookup_join(kv, dim, "k", "dk", ["name"]).count() == 0
+    assert joins.lookup_join(kv, dim, "k", "dk", ["name"], order="name").count() == 0
     assert joins.prefiltered_join(kv, dim, "k", "dk", keys).count() == 0
     assert joins.bloom_join(kv, dim, "k", "dk", keys).count() == 0
     assert joins.secondary_sort_join(dim, kv, "dk", "k", ["name"], ["v"], strategy="window").count() == 0

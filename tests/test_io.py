@@ -1,10 +1,9 @@
-"""Text and JSON sources, routing, the TSV sink and its write modes, streaming."""
+"""Text and JSON sources, routing, the TSV sink and its write modes."""
 
 import pytest
 from conftest import rows
 
 from quern.sources import read_json, read_lines, route_by_suffix, write_tsv
-from quern.streaming import read_lines_stream, running_token_count
 
 
 def test_read_lines_breaks_and_order(spark, tmp_path):
@@ -44,21 +43,6 @@ def test_read_json_fixed_schema(spark, tmp_path):
     assert rows(df) == [("Andy", 30), ("Justin", 19), ("Michael", None)]
 
 
-def test_streaming_token_count(spark, tmp_path):
-    src = tmp_path / "in"
-    src.mkdir()
-    (src / "1.txt").write_text("spark sql\nspark\n")
-    counts = running_token_count(read_lines_stream(spark, str(src)))
-    q = counts.writeStream.outputMode("complete").format("memory").queryName("tok_counts") \
-        .option("checkpointLocation", str(tmp_path / "ck")).start()
-    try:
-        q.processAllAvailable()
-        got = rows(spark.sql("SELECT * FROM tok_counts"))
-    finally:
-        q.stop()
-    assert got == [("spark", 2), ("sql", 1)]
-
-
 def test_line_order_across_many_splits(spark, tmp_path):
     lines = [f"line {i} " + "x" * (i % 7) for i in range(3000)]
     p = tmp_path / "big.txt"

@@ -46,7 +46,7 @@ def test_left_outer_g4(spark):
 
 def test_lookup_g3_and_last_wins(spark):
     left, right, _ = _tables(spark)
-    out = joins.lookup_join(right, left, "cityID", "id", ["name", "orderid", "city_code", "is_show"])
+    out = joins.lookup_join(right, left, "cityID", "id", ["name", "orderid", "city_code", "is_show"], order="name")
     assert rows(out.select(*OUT)) == G3
     dup = left.withColumn("ord", F.lit(0)).unionByName(
         spark.createDataFrame([("1", "新", "1", "901", "1", 1)],
@@ -107,20 +107,12 @@ def test_secondary_sort_salted_equals_unsalted(spark):
     assert rows(salted) == expect
 
 
-def test_cogroup_g6_and_chunks(spark):
+def test_cogroup_g6(spark):
     left, right, _ = _tables(spark)
-    out = joins.cogroup(left, right, "id", "cityID", ["name"], ["userID"], key_col="k")
-    got = {r.k: (len(r.left_rows), len(r.right_rows)) for r in out.collect()}
-    assert got == {str(i): (1, {1: 2, 2: 1, 3: 1, 4: 1}.get(i, 0)) for i in range(10)}
-    big = spark.createDataFrame([(0, i) for i in range(95)] + [(1, 1)], "k long, v long")
-    small = spark.createDataFrame([(0, 7), (2, 8)], "k2 long, w long")
-    chunked = joins.cogroup(big, small, "k", "k2", ["v"], ["w"], max_group_rows=10).collect()
-    k0 = [r for r in chunked if r.key == 0]
-    assert len(k0) == 10
-    assert all(len(r.left_rows) <= 20 for r in k0)
-    assert sorted(x.v for r in k0 for x in r.left_rows) == list(range(95))
-    assert sum(len(r.right_rows) for r in k0) == 1
-    assert {r.key: (len(r.left_rows), len(r.right_rows)) for r in chunked if r.key != 0} == {1: (1, 0), 2: (0, 1)}
+    out = joins.cogroup(left, right, "id", "cityID", ["name"], ["userID"], key_col="k").collect()
+    assert {r.k: (r.n_left, r.n_right) for r in out} == {str(i): (1, {1: 2, 2: 1, 3: 1, 4: 1}.get(i, 0)) for i in range(10)}
+    assert sorted((r.k, r.left_row.name) for r in out if r.side == 0) == sorted((c[0], c[1]) for c in CITIES)
+    assert sorted((r.k, r.right_row.userID) for r in out if r.side == 1) == sorted((u[3], u[0]) for u in USERS)
 
 
 def test_tagged_union(spark):

@@ -1,48 +1,30 @@
-"""Size checks behind every broadcast: exact thresholds and both outcomes."""
+"""Hot-key counts, and what building a plan must not do."""
 
-from pyspark.sql import functions as F
+import pytest
 
 from quern.operators import sizing
+from quern.plans import QUERIES
 
+SF = "/root/testdata/sf0.001"
 
-def test_fits_is_exact_at_the_limit(spark):
-    df = spark.range(0, 1000).repartition(7)
-    assert sizing.fits(df, 1000) and not sizing.fits(df, 999)
-    assert not sizing.fits(df, 0)
 
+def test_hot_keys_slices(spark):
+    df = spark.createDataFrame([(0,)] * 25 + [(1,)] * 3, "k long")
+    assert [tuple(r) for r in sizing.hot_keys(df, ["k"], max_rows=10).collect()] == [(0, 3)]
 
-def test_checked_broadcast_uses_bound(spark):
-    raw = spark.range(0, 50).select((F.col("id") % 5).alias("k"))
-    agg = raw.groupBy("k").count()
-    _, small = sizing.checked_broadcast(agg, max_rows=60, bound=raw)
-    assert small                                   # proven by the raw input alone
-    _, small = sizing.checked_broadcast(agg, max_rows=10, bound=raw)
-    assert small                                   # raw too big, the aggregate itself fits
-    _, small = sizing.checked_broadcast(agg, max_rows=4, bound=raw)
-    assert not small
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_building_a_query_leaves_no_cache(spark, name):
+    spark.catalog.clearCache()
+    QUERIES[name](spark, SF)
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
-def test_materialized_if_small_both_paths(spark):
-    df = spark.range(0, 30).select((F.col("id") % 3).alias("k"), F.col("id"))
-    local, small = sizing.materialized_if_small(df.groupBy("k").count(), max_rows=5)
-    assert small and sorted(tuple(r) for r in local.collect()) == [(0, 10), (1, 10), (2, 10)]
-    same, small = sizing.materialized_if_small(df, max_rows=5)
-    assert not small and same is df
 
+def test_a_callers_cache_survives(spark):
+    from quern.operators import joins
 
-def test_hot_keys_slices(spark):
-    df = spark.createDataFrame([(0,)] * 25 + [(1,)] * 3, "k long")
-    hot, small = sizing.hot_keys(df, ["k"], max_rows=10)
-    assert small and [tuple(r) for r in hot.collect()] == [(0, 3)]
-
-
-def test_broadcast_row_limit_follows_session(spark):
-    df = spark.range(1).select(F.col("id"), F.lit("x").alias("s"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert sizing.broadcast_row_limit(df) == 0
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
-        assert sizing.broadcast_row_limit(df) == (1 << 20) // (8 + 8 + 20)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    cust = spark.range(100).withColumnRenamed("id", "k").cache()
+    cust.count()
+    joins.lookup_join(spark.range(50).withColumnRenamed("id", "b"), cust.selectExpr("k", "k AS v"), "b", "k", ["v"], order="v").count()
+    assert cust.is_cached and not spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    cust.unpersist()

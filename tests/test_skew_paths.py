@@ -1,7 +1,7 @@
-"""Salted, chunked and many-partition paths forced on the driver tables, checked against DuckDB."""
+"""Salted, split and many-partition paths forced on the driver tables, checked against DuckDB."""
 
-import math
 import os
+import random
 
 import pytest
 from conftest import rows
@@ -9,7 +9,8 @@ from oracle_compare import duck
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from quern.operators import agg, joins
+from quern.operators import agg, bloom, joins
+from quern.plans import QUERIES
 from quern.plans.queries import table
 
 SF = "/root/testdata/sf0.001"
@@ -32,20 +33,99 @@ def test_secondary_sort_join_salted_matches_oracle(spark):
     assert got == _sql_rows(entry.oracle_sql()["secondary_sort_join"])
 
 
-def test_cogroup_chunked_keeps_every_row(spark):
-    cust = table(spark, SF, "customer", "c_custkey", "c_name", "c_nationkey")
-    sup = table(spark, SF, "supplier", "s_suppkey", "s_name", "s_nationkey")
-    out = joins.cogroup(cust, sup, "c_nationkey", "s_nationkey", ["c_custkey", "c_name"], ["s_suppkey", "s_name"],
-                        max_group_rows=2, left_spread=F.col("c_custkey"), right_spread=F.col("s_suppkey")).collect()
-    sizes = dict(_sql_rows("SELECT c_nationkey, count(*) FROM customer GROUP BY 1"))
-    ssizes = dict(_sql_rows("SELECT s_nationkey, count(*) FROM supplier GROUP BY 1"))
-    for k in set(sizes) | set(ssizes):
-        chunks = [r for r in out if r.key == k]
-        want = max(1, math.ceil(max(sizes.get(k, 0), ssizes.get(k, 0)) / 2)) if max(
-            sizes.get(k, 0), ssizes.get(k, 0)) > 2 else 1
-        assert len({r.chunk for r in chunks}) <= want
-        assert sum(len(r.left_rows) for r in chunks) == sizes.get(k, 0)
-        assert sum(len(r.right_rows) for r in chunks) == ssizes.get(k, 0)
+def test_cogroup_keeps_every_pair_and_spreads_a_hot_key(spark):
+    left = spark.createDataFrame([(0 if i < 900 else None if i < 1000 else i, i) for i in range(1100)], "lk long, lv long")
+    right = spark.createDataFrame([(0, i) for i in range(50)] + [(None, 99), (7777, 1)], "rk long, rv long")
+    out = joins.cogroup(left, right, "lk", "rk", ["lv"], ["rv"], num_partitions=6)
+    got = out.collect()
+    assert sorted(r.left_row.lv for r in got if r.side == 0) == list(range(1100))
+    assert {(r.n_left, r.n_right) for r in got if r.key == 0} == {(900, 50)}
+    assert {(r.n_left, r.n_right) for r in got if r.key is None} == {(100, 1)}
+    assert [r.right_row.rv for r in got if r.key is None and r.side == 1] == [99]
+    order = [(r.key is not None, r.key or 0, r.side) for r in got]
+    assert order == sorted(order)                  # a key's rows are contiguous, left before right
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 3 and max(sizes) < 600     # no task holds the hot key
+
+
+def test_sorted_outputs_hold_their_order_across_partitions(spark):
+    rnd = random.Random(1)
+    pairs = spark.createDataFrame([(rnd.randrange(5), rnd.randrange(50)) for _ in range(3000)], "a long, b long").repartition(7)
+    by_two = agg.sorted_rows(pairs, ["a", "b"], 9)
+    assert by_two.rdd.getNumPartitions() == 9
+    got = [(r.a, r.b) for r in by_two.collect()]
+    assert got == sorted(got)
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "k long, name string")
+    out = joins.lookup_join(pairs, dim, "a", "k", ["name"], order="name", sort_output=True, num_partitions=9)
+    keys = [r.k for r in out.collect()]
+    assert keys == sorted(keys) and len(keys) == 3000
+
+
+def _final_plan(spark, df):
+    df.collect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return df._jdf.queryExecution().explainString(mode).split("Initial Plan")[0]
+
+
+@pytest.fixture
+def tiny_partitions(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_keys_are_split_in_every_shuffled_join(spark, tiny_partitions):
+    # Two input partitions, so that a hot key comes in pieces that can be dealt to several tasks.
+    big = spark.createDataFrame([(0 if i % 2 else i % 50, i) for i in range(20000)], "bk long, v long").repartition(8)
+    dim = spark.createDataFrame([(i, f"d{i}") for i in range(50)], "k long, name string")
+    keys = spark.createDataFrame([(i,) for i in range(0, 50)], "key long")
+    for name, df in {
+        "lookup": joins.lookup_join(big, dim, "bk", "k", ["name"], order="name"),
+        "prefiltered": joins.prefiltered_join(big, dim, "bk", "k", keys),
+        "bloom exact": joins.bloom_join(big, dim, "bk", "k", keys, m=4096, k=3),
+        "bloom inexact": joins.bloom_join(big, dim, "bk", "k", keys, exact=False, m=4096, k=3),
+        "secondary sort": joins.secondary_sort_join(dim, big, "k", "bk", ["name"], ["v"]),
+    }.items():
+        assert "SortMergeJoin(skew=true)" in _final_plan(spark, df), name
+        assert df.count() == 20000, name
+
+
+def test_bloom_answers_do_not_depend_on_the_join(spark, monkeypatch):
+    monkeypatch.setattr(bloom, "BITS_PER_PART", 256)
+    left = spark.range(5000).selectExpr("id AS lk", "id * 2 AS lv")
+    right = spark.range(5000).selectExpr("id AS rk", "id * 3 AS rv")
+    keys = spark.range(0, 5000, 50).selectExpr("id AS key")
+    got = {}
+    for threshold in ("-1", "100MB"):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+        try:
+            df = joins.bloom_join(left, right, "lk", "rk", keys, exact=False, fpr=0.1)
+            plan = _final_plan(spark, df)
+            assert ("BroadcastHashJoin" in plan) == (threshold != "-1")
+            got[threshold] = sorted(r.lk for r in df.collect())
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+            spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert got["-1"] == got["100MB"]
+    listed = set(range(0, 5000, 50))
+    extra = len(set(got["-1"]) - listed)
+    assert listed <= set(got["-1"]) and 0 < extra < 0.25 * 4900  # a superset, at about the expected rate
+
+
+@pytest.mark.parametrize("name", ["inner_join", "left_outer_join"])
+def test_whole_tables_join_by_shuffle(spark, name):
+    plan = _final_plan(spark, QUERIES[name](spark, SF))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
 def test_first_of_run_many_partitions_matches_oracle(spark):
