@@ -41,7 +41,7 @@ LEAST_CONTEXTS = 5        # a telling word or stem stands after at least so many
 LEAST_RATIO = 2.5         # log ratio of toxic to clean documents that hold it
 WIDTH = 24                # characters of a string; longer ones become overlapping windows
 LETTERS_SHARED = 0.8      # of a landmark's letters; with fewer its kernel value is 0
-MEMORY_WORDS = 400_000    # words whose score a task remembers
+MEMORY_WORDS = 250_000    # words whose score a task remembers
 # Characters commonly written for a letter.
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
 
@@ -116,21 +116,26 @@ class Landmarks:
     def values(self, strings: list[str]) -> np.ndarray:
         """One row a string: a power of its normalised kernel with each landmark, 0 where too few letters are shared."""
         out = np.zeros((len(strings), len(self.symbols)))
-        if not len(self.symbols):
+        if not len(self.symbols) or not strings:
             return out
-        for a in range(0, len(strings), 20_000):
-            symbols = _symbols(strings[a:a + 20_000])
-            counts = _letter_counts(symbols)
-            shared = np.zeros((len(symbols), len(self.symbols)), np.int16)
-            for c in range(26):
-                if self.counts[:, c].any():
-                    shared += np.minimum(counts[:, c:c + 1], self.counts[None, :, c])
-            i, j = np.nonzero(shared >= self.need)
+        symbols = _symbols(strings)
+        counts = _letter_counts(symbols)
+        shared = np.zeros((len(symbols), len(self.symbols)), np.int8)
+        for c in range(26):
+            if self.counts[:, c].any():
+                shared += np.minimum(counts[:, c:c + 1], self.counts[None, :, c])
+        i, j = np.nonzero(shared >= self.need)
+        if len(i):
             rows, at = np.unique(i, return_inverse=True)
-            own = np.sqrt(np.maximum(kernel(symbols[rows], symbols[rows]), 1e-12)) if len(rows) else np.zeros(0)
-            out[a + i, j] = (kernel(symbols[i], self.symbols[j]) / (own[at] * self.own[j])) ** POWER
+            own = np.sqrt(np.maximum(kernel(symbols[rows], symbols[rows]), 1e-12))
+            out[i, j] = (kernel(symbols[i], self.symbols[j]) / (own[at] * self.own[j])) ** POWER
         return out
 
+    def each(self, strings: list[str], f) -> np.ndarray:
+        """``f`` of the values, ten thousand strings at a time, so that no table of all of them is held."""
+        parts = [f(self.values(strings[a:a + 10_000])) for a in range(0, len(strings), 10_000)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
 
 class Model(NamedTuple):
     landmarks: list[str]
@@ -200,7 +205,7 @@ def train(texts: list[tuple[str, int]]) -> Model:
     clean = [m[:-1] for m, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if m.endswith("$") and len(m) > ORDER + 1]
     clean = [w for w in clean if w not in used]
     # Of clean strings, those closest to a toxic landmark teach most.
-    near = Landmarks(toxic[:TOXIC_LANDMARKS]).values(clean).max(axis=1) if clean else np.zeros(0)
+    near = Landmarks(toxic[:TOXIC_LANDMARKS]).each(clean, lambda v: v.max(axis=1))
     hard = np.argsort(-near, kind="stable").tolist()
     strings = toxic[:TOXIC_LANDMARKS] + [clean[i] for i in dict.fromkeys([*hard[:CLEAN_LANDMARKS], *range(min(16, len(clean)))])]
     marks = Landmarks(strings)
@@ -231,7 +236,7 @@ def train(texts: list[tuple[str, int]]) -> Model:
     # The curve is fitted to whole documents: each one's worst string.
     texts_strings = [[w for s in found for w in s] for found, _ in cut]
     flat = sorted({w for own in texts_strings for w in own})
-    margin = dict(zip(flat, marks.values(flat) @ linear + bias, strict=True))
+    margin = dict(zip(flat, marks.each(flat, lambda v: v @ linear + bias), strict=True))
     worst = np.array([max((margin[w] for w in own), default=bias) for own in texts_strings])
     slope, offset = calibrate(worst, np.array([y for _, y in texts]))
     return Model(strings, linear, bias, slope, offset)
@@ -253,7 +258,7 @@ def train_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds
 def _scorer(model: Model):
     """A function from strings to margins."""
     marks = Landmarks(model.landmarks)
-    return lambda strings: marks.values(strings) @ model.weights + model.bias
+    return lambda strings: marks.each(strings, lambda v: v @ model.weights + model.bias)
 
 
 def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
