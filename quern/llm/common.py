@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -50,9 +51,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the cluster's shared checkpoint folder and read from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written as a table in the cluster's shared checkpoint folder, and read from there.
+
+    Cuts the lineage like ``DataFrame.checkpoint()``, but the table is
+    compressed and read by columns, and the plan that made it (with all that
+    the optimizer derived from it) does not live on in the plans that read it.
+    """
+    spark = df.sparkSession
+    place = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
 
 
 def token_pieces(text: str | Column) -> Column:
