@@ -39,6 +39,14 @@ def size_for(n: int, fpr: float) -> tuple[int, int]:
     return m, k
 
 
+def size_columns(n: Column, fpr: float) -> tuple[Column, Column]:
+    """P15 as columns: ``size_for`` of a key count (at least 1) that the query itself computes."""
+    keys = F.greatest(n, F.lit(1)).cast("double")
+    bits = F.ceil(F.lit(math.log2(math.e) * math.log2(1.0 / fpr)) * keys)
+    m = F.greatest(F.lit(64).cast("long"), (F.ceil(bits / 64) * 64).cast("long"))
+    return m, F.greatest(F.lit(1), F.round(F.lit(math.log(2)) * m / keys).cast("int"))
+
+
 def layout(m: int) -> tuple[int, int]:
     """(parts, bits per part) for a filter of m bits; bits per part is a multiple of 64."""
     parts = max(1, -(-m // BITS_PER_PART))

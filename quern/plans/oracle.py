@@ -44,6 +44,22 @@ SELECT doc_id, a[1] AS f0, a[2] AS f1, a[3] AS f2, a[4] AS f3, a[5] AS f4
 FROM f WHERE len(a) = 5
 """.replace("@WS", _WS)
 
+_NONEMPTY_LINES = r"""
+SELECT doc_id, v AS line FROM (
+  SELECT doc_id,
+         unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                     ELSE regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n')
+                END) AS v
+  FROM documents) t
+WHERE v <> ''
+"""
+
+_BLOOM_SIZING = """
+SELECT n_keys, bits, CAST(greatest(1, round(ln(2) * bits / n_keys)) AS INTEGER) AS hashes FROM (
+  SELECT n_keys, CAST(greatest(64, ceil(ceil(log2(exp(1)) * greatest(n_keys, 1) * log2(100)) / 64) * 64) AS BIGINT) AS bits
+  FROM (SELECT count(DISTINCT o_custkey) AS n_keys FROM orders) t) u
+"""
+
 _FIELD_ARITY_COUNTS = r"""
 WITH l AS (
   SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
@@ -144,6 +160,7 @@ ORACLE_SQL: dict[str, str] = {
     "token_count_layout": _TOKEN_COUNT,
     "field_arity_filter": _FIELD_ARITY,
     "field_arity_counts": _FIELD_ARITY_COUNTS,
+    "nonempty_lines": _NONEMPTY_LINES,
     "fields_limit": _FIELDS_LIMIT,
     "parse_pairs": _PARSE_PAIRS,
     "parse_pairs_strict": _PAIRS,
@@ -174,4 +191,6 @@ FROM customer LEFT JOIN orders o ON c_custkey = o.o_custkey
     "secondary_sort_join": _BUILDING_JOIN,
     "secondary_sort_layout": _SECONDARY_SORT_LAYOUT,
     "cogroup": _COGROUP,
+    "bloom_sizing": _BLOOM_SIZING,
+    "secondary_sort_routed": _SECONDARY_SORT_LAYOUT,
 }

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import fields, lines
-from quern.operators import agg, joins, layout
+from quern.operators import agg, bloom, joins, layout
 from quern.sources.sinks import tsv_line
 from quern.sources.text import parse_pairs, parse_table
 
@@ -86,6 +86,11 @@ def field_arity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.count_if(F.size("_f") != 5).alias("rows_rejected"))
 
 
+def nonempty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents that is not empty, as one field."""
+    return parse_table(_document_lines(spark, sf_dir), ["line"], limit=1, keep=["doc_id"], drop_empty=True)
+
+
 def fields_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """split(text, "\\s+", 3): keep texts with three fields; the last is the verbatim rest."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -245,6 +250,13 @@ def bloom_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
 
 
+def bloom_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bits and hash count of a 1 % filter over the customers that have orders."""
+    n = F.count_distinct("o_custkey")
+    m, k = bloom.size_columns(n, 0.01)
+    return table(spark, sf_dir, "orders", "o_custkey").agg(n.alias("n_keys"), m.alias("bits"), k.alias("hashes"))
+
+
 def secondary_sort_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BUILDING customers (tag 0) enrich all orders (tag 1) by secondary sort."""
     cust = _customers(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
@@ -266,6 +278,14 @@ def secondary_sort_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow.select("key", "tag", F.col("dim.c_name").alias("c_name"), F.col("rec.o_orderkey").alias("o_orderkey"))
 
 
+def secondary_sort_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O4 as the reference has it: every row of a key in the key's one partition, in (key, tag) order."""
+    flow = joins.tagged_union(_customers(spark, sf_dir).select("c_custkey", "c_name"),
+                              _orders(spark, sf_dir).select("o_custkey", "o_orderkey"), "c_custkey", "o_custkey")
+    flow = layout.secondary_sort(flow, "key", ["tag"])
+    return flow.select("key", "tag", F.col("dim.c_name").alias("c_name"), F.col("rec.o_orderkey").alias("o_orderkey"))
+
+
 def cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customers and the suppliers of each nation together, with how many there are of each."""
     cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
@@ -284,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "token_count_layout": token_count_layout,
     "field_arity_filter": field_arity_filter,
     "field_arity_counts": field_arity_counts,
+    "nonempty_lines": nonempty_lines,
     "fields_limit": fields_limit,
     "parse_pairs": parse_pairs_lenient,
     "parse_pairs_strict": parse_pairs_strict,
@@ -302,7 +323,9 @@ QUERIES: dict[str, Query] = {
     "lookup_join_sorted": lookup_join_sorted,
     "prefiltered_join": prefiltered_join,
     "bloom_join": bloom_join,
+    "bloom_sizing": bloom_sizing,
     "secondary_sort_join": secondary_sort_join,
     "secondary_sort_layout": secondary_sort_layout,
+    "secondary_sort_routed": secondary_sort_routed,
     "cogroup": cogroup,
 }

@@ -13,6 +13,12 @@ def test_size_for_rule():
     assert k == round(math.log(2) * m / 1000) == 7
 
 
+def test_size_columns_are_the_rule(spark):
+    for n in (1, 7, 1000, 12_345_678):
+        df = spark.range(1).select(*bloom.size_columns(F.lit(n), 0.01))
+        assert tuple(df.first()) == bloom.size_for(n, 0.01)
+
+
 def test_layout_parts():
     assert bloom.layout(10_000) == (1, 10_048)
     parts, per = bloom.layout(bloom.BITS_PER_PART * 3 + 5)

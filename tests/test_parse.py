@@ -47,3 +47,29 @@ def test_pairs_strict_fails(spark):
         with pytest.raises((PySparkException, AnalysisException, Exception)):
             parse_pairs(_lines(spark, bad), mode="strict").collect()
     assert rows(parse_pairs(_lines(spark, ["2 1", "1 1"]), mode="strict")) == [(1, 1), (2, 1)]
+
+
+def test_observed_counts_on_a_driver_table(spark):
+    """The counts taken while a job runs equal those of a query over the same lines."""
+    from quern.plans import queries
+
+    sf = "/root/testdata/sf0.001"
+    out, obs = parse_table(queries._document_lines(spark, sf), ["a", "b", "c", "d", "e"], observe="driver_lines")
+    kept = out.count()
+    want = queries.field_arity_counts(spark, sf).first()
+    assert (obs.get["rows_in"], obs.get["rows_rejected"]) == (want["rows_in"], want["rows_rejected"])
+    assert kept == want["rows_in"] - want["rows_rejected"]
+
+
+def test_routed_layout_keeps_a_key_in_one_partition(spark):
+    from pyspark.sql import functions as F
+
+    from quern.plans import queries
+
+    out = queries.secondary_sort_routed(spark, "/root/testdata/sf0.001").withColumn("p", F.spark_partition_id()).collect()
+    place = {}
+    for r in out:
+        assert place.setdefault(r["key"], r["p"]) == r["p"]
+    for p in set(place.values()):
+        own = [(r["key"], r["tag"]) for r in out if r["p"] == p]
+        assert own == sorted(own)
