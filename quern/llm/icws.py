@@ -10,11 +10,12 @@ samples make bucket keys, and texts that meet in a bucket are verified by
 the exact weighted Jaccard similarity of their sets.
 
 Equal texts are one node from the start. A bucket of a few nodes compares
-all of them. A larger one compares every node with one leader; those alike
-are linked to it, and those that are not are a bucket again, with a leader
-of their own, until a few or none are left. So no bucket is expanded into
-all its pairs, and none is cut short. Components of the links are the
-classes.
+all of them. A larger one compares every node with a leader, the one that
+meets most others in its buckets; those alike are linked to it, and those
+that are not are a bucket again, with twice as many leaders each round,
+until none is left. So no group of copies is expanded into all its pairs,
+no bucket is cut short, and the rounds are few. Components of the links are
+the classes.
 """
 
 from __future__ import annotations
@@ -259,30 +260,34 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str, min_similarity: floa
                          .agg(F.min("id").alias("least_id"), F.first("bands").alias("bands"))
                          .withColumn("node", F.monotonically_increasing_id()))
     met = (nodes.filter("bands IS NOT NULL").select("node", F.posexplode("bands").alias("band", "key")))
-    sizes = met.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
-    buckets = checkpointed(met.join(checkpointed(sizes), ["band", "key"]).select("band", "key", "node", "n", "leader"))
+    sizes = met.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    buckets = checkpointed(met.join(checkpointed(sizes), ["band", "key"]).select("band", "key", "node", "n"))
     wanted = (buckets.select("node").distinct().join(nodes.select("node", "digest", "least_id"), "node"))
     content = wanted.join(base, (base["digest"] == wanted["digest"]) & base["id"].eqNullSafe(wanted["least_id"]))
     sets = checkpointed(_sets_of(content.groupBy("node").agg(F.first("_words").alias("_words"))))
 
-    links = None
-    while True:
-        few, many = buckets.filter(F.col("n") <= FEW), buckets.filter(F.col("n") > FEW)
-        other = few.select("band", "key", F.col("node").alias("b"))
-        small = few.select("band", "key", F.col("node").alias("a")).join(other, ["band", "key"]).filter("a < b")
-        large = many.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        pairs = checkpointed(small.select("a", "b").unionByName(large).distinct())
-        judged = checkpointed(_verified(pairs, sets, idf, min_similarity))
-        found = judged.filter("alike").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        # Those unlike their leader are a bucket again.
-        unlike = judged.filter("NOT alike").select(F.col("a").alias("leader"), F.col("b").alias("node"))
-        left = checkpointed(many.filter("node <> leader").select("band", "key", "node", "leader")
-                            .join(unlike, ["leader", "node"]).select("band", "key", "node"))
-        again = left.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
-        buckets = checkpointed(left.join(checkpointed(again), ["band", "key"]).select("band", "key", "node", "n", "leader"))
-        if buckets.isEmpty():
-            break
+    few = buckets.filter(F.col("n") <= FEW)
+    other = few.select("band", "key", F.col("node").alias("b"))
+    pairs = few.select("band", "key", F.col("node").alias("a")).join(other, ["band", "key"]).filter("a < b").select("a", "b")
+    links = checkpointed(_verified(checkpointed(pairs.distinct()), sets, idf, min_similarity).filter("alike").select("a", "b"))
+    # A text of a group's middle meets more of the group in its buckets than one of its edge.
+    middle = buckets.groupBy("node").agg(F.sum("n").alias("met"))
+    many = checkpointed(buckets.filter(F.col("n") > FEW).join(middle, "node"))
+    leaders_each = 1
+    while not many.isEmpty():
+        first = many.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.max_by("node", F.struct("met", "node")).alias("first"))
+        own = checkpointed(many.drop("n").join(checkpointed(first), ["band", "key"]))
+        more = F.pmod(F.xxhash64("node", F.lit(leaders_each)), F.col("n")) < leaders_each - 1
+        leaders = checkpointed(own.filter((F.col("node") == F.col("first")) | more).select("band", "key", F.col("node").alias("leader")))
+        meet = checkpointed(own.select("band", "key", "node").join(leaders, ["band", "key"]).filter("node <> leader")
+                            .select("band", "key", "node", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
+        judged = checkpointed(_verified(checkpointed(meet.select("a", "b").distinct()), sets, idf, min_similarity).filter("alike"))
+        links = links.unionByName(judged.select("a", "b"))
+        # Who is like a leader is done with, as are the leaders; the others are a bucket again.
+        done = (meet.join(judged, ["a", "b"]).select("band", "key", "node")
+                .unionByName(leaders.select("band", "key", F.col("leader").alias("node"))))
+        many = checkpointed(own.select("band", "key", "node", "met", "n").join(done, ["band", "key", "node"], "left_anti"))
+        leaders_each *= 2
     roots = components(links, "a", "b")
     own = nodes.select("node", "digest", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Of each class the least id, and of texts that share it the least digest; NULL ids come last.
