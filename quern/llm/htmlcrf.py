@@ -372,8 +372,10 @@ def main_text(page: str | None, model: Model, known: dict[tuple, float] | None =
 
 def train_on(pages: DataFrame, html_col: str = "html", limit: int = TRAIN_PAGES) -> Model:
     """The model of ``limit`` pages spread by a hash of their content, and of pages composed from their texts."""
-    short = pages.filter(F.length(html_col) <= TRAIN_CHARS)
-    sample = [r[0] for r in short.select(html_col).orderBy(F.xxhash64(html_col), html_col).limit(limit).collect()]
+    short = pages.filter(F.length(html_col) <= TRAIN_CHARS).select(F.col(html_col).alias("page"), F.xxhash64(html_col).alias("h"))
+    # Hashes first: no more pages than the sample ever leave the tasks, and equal pages count once.
+    hashes = [r["h"] for r in short.select("h").distinct().orderBy("h").limit(limit).collect()]
+    sample = [r["page"] for r in sorted(short.filter(F.col("h").isin(hashes)).groupBy("h").agg(F.min("page").alias("page")).collect())]
     return train(training_pages(sample))
 
 

@@ -117,8 +117,10 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     distinct = good.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least_id"))
     nodes = checkpointed(distinct.withColumn("node", F.monotonically_increasing_id()))
     n = nodes.count()
-    # The pivots: a bounded sample, spread over all vectors by a hash.
-    sample = (nodes.orderBy(F.xxhash64("vector"), "node").limit(pivot_count(n)).select("vector").collect())
+    # The pivots: a bounded sample, spread over all vectors by a hash (of about twice as many, so that few leave the tasks).
+    spread = F.pmod(F.xxhash64("vector"), F.lit(1 << 30))
+    near_all = nodes.filter(spread <= int((1 << 30) * min(1.0, 2 * pivot_count(n) / max(n, 1))))
+    sample = near_all.orderBy(spread, "node").limit(pivot_count(n)).select("vector").collect()
     widths = [len(r["vector"]) for r in sample]
     width = max(set(widths), key=widths.count, default=1)
     points = np.array([r["vector"] for r in sample if len(r["vector"]) == width], np.float64).reshape(-1, width)
