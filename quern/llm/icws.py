@@ -262,9 +262,15 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str, min_similarity: floa
     met = (nodes.filter("bands IS NOT NULL").select("node", F.posexplode("bands").alias("band", "key")))
     sizes = met.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = checkpointed(met.join(checkpointed(sizes), ["band", "key"]).select("band", "key", "node", "n"))
-    wanted = (buckets.select("node").distinct().join(nodes.select("node", "digest", "least_id"), "node"))
-    content = wanted.join(base, (base["digest"] == wanted["digest"]) & base["id"].eqNullSafe(wanted["least_id"]))
-    sets = checkpointed(_sets_of(content.groupBy("node").agg(F.first("_words").alias("_words"))))
+    # Texts are dealt out by digest and id, which no group of copies shares; repeated rows meet there.
+    def place(digest: str, row_id: str) -> Column:
+        return F.concat_ws(":", F.col(digest), F.col(row_id).cast("string")).alias("place")
+
+    wanted = buckets.select("node").distinct().join(nodes, "node").select("node", place("digest", "least_id"))
+    texts = docs.select(docs[id_col].alias("id"), F.md5(docs[text_col].cast("binary")).alias("digest"), docs[text_col].alias("_text"))
+    content = (wanted.join(texts.select(place("digest", "id"), "_text"), "place").groupBy("place")
+               .agg(F.first("node").alias("node"), F.first("_text").alias("_text")))
+    sets = checkpointed(_sets_of(content.select("node", word_hashes("_text").alias("_words"))))
 
     few = buckets.filter(F.col("n") <= FEW)
     other = few.select("band", "key", F.col("node").alias("b"))
