@@ -185,16 +185,24 @@ def train(texts: list[tuple[str, int]]) -> Model:
     n1 = sum(y for _, y in texts)
     n0 = len(texts) - n1
     cut = [(sentences(t), y) for t, y in texts]
-    seen = Counter()                       # clean documents that hold a word or stem
-    contexts: dict[str, set[str]] = {}     # the words before it in toxic documents: copies count once
+    in_toxic = Counter()                   # toxic documents that hold a word or stem
+    for found, y in cut:
+        if y:
+            in_toxic.update({m for s in found for w in s for m in marks_of(w)})
+    often = {m for m, c in in_toxic.items() if c >= LEAST_CONTEXTS}
+    del in_toxic
+    seen = Counter()                       # clean documents that hold a word, or one of these stems
+    contexts: dict[str, set[str]] = {}     # the words before them in toxic documents: copies count once
     for found, y in cut:
         if not y:
-            seen.update({m for s in found for w in s for m in marks_of(w)})
-            continue
-        for s in found:
+            seen.update({m for s in found for w in s for m in marks_of(w) if m in often or m[-1] == "$"})
+    rare = {m for m in often if seen[m] <= 0.02 * len(texts)}
+    for found, y in cut:
+        for s in found if y else []:
             for before, w in zip(["", *s], s):
                 for m in marks_of(w):
-                    contexts.setdefault(m, set()).add(before)
+                    if m in rare:
+                        contexts.setdefault(m, set()).add(before)
     ratio = {m: np.log((len(c) + 0.5) / (n1 + 1)) - np.log((seen[m] + 0.5) / (n0 + 1)) for m, c in contexts.items()}
     telling = {m for m, c in contexts.items() if len(c) >= LEAST_CONTEXTS and ratio[m] > LEAST_RATIO and seen[m] <= 0.02 * len(c)}
     used = Counter(w for found, y in cut if y for s in found for w in s if any(m in telling for m in marks_of(w)))
