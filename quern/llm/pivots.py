@@ -10,6 +10,12 @@ and by each two of a vector's near pivots, a pair is met in a list only once
 pivots in common are dropped, and the rest are verified by their cosine in
 double precision. The number of pivots grows with the square root of the
 number of vectors, so the lists (a square of pivots of them) keep their length.
+
+No two pivots are within the link angle, so a large group of different near
+copies holds one or a few of them, not its share, and the order of the others
+still tells its members apart from the rest. Vectors close to a pivot are in
+a list of that pivot alone too, where all pairs are verified, whatever other
+pivots they share.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ from quern.llm.graph import components
 MIN_COSINE = 0.93
 NEAR = 8
 SHARED = 3
+CLOSE = 0.75     # cosine with a pivot from which a vector is compared with all others so close to it
 MIN_PIVOTS, MAX_PIVOTS = 96, 8192
 
 
@@ -51,8 +58,22 @@ def pivot_count(n: int) -> int:
     return min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * math.isqrt(max(n, 0))))
 
 
+def thinned(points: np.ndarray, count: int, max_cosine: float) -> np.ndarray:
+    """The first ``count`` of the unit vectors ``points`` that are all less than ``max_cosine`` alike."""
+    kept = np.zeros((min(count, len(points)), points.shape[1]))
+    n = 0
+    for p in points:
+        if n == len(kept):
+            break
+        if not n or (kept[:n] @ p).max() < max_cosine:
+            kept[n] = p
+            n += 1
+    return kept[:n]
+
+
 def with_pivots(vectors: DataFrame, pivots: np.ndarray, near: int) -> DataFrame:
-    """``vectors`` (node, label, vector) with ``order``: the ``near`` pivots of greatest cosine, nearest first.
+    """``vectors`` (node, label, vector) with ``order``, the ``near`` pivots of greatest cosine, nearest first,
+    and ``close``, those of them with a cosine of at least ``CLOSE``.
 
     Vectors of another length than the pivots get the pivots 0, 1, ... and
     are told apart by their length at verification.
@@ -66,34 +87,43 @@ def with_pivots(vectors: DataFrame, pivots: np.ndarray, near: int) -> DataFrame:
                 part = batch.slice(start, 2048)
                 rows = part.column(2).to_pylist()
                 order = np.tile(np.arange(near, dtype=np.int16), (len(rows), 1))
+                close: list[np.ndarray] = [order[0][:0]] * len(rows)
                 fit = [i for i, r in enumerate(rows) if len(r) == points.shape[1]]
                 if fit:
                     x = np.array([rows[i] for i in fit], np.float64)
                     x /= np.abs(x).max(axis=1, keepdims=True)
+                    x /= np.linalg.norm(x, axis=1, keepdims=True)
                     sims = x @ points.T
                     best = np.argpartition(-sims, near - 1, axis=1)[:, :near]
                     rank = np.argsort(-np.take_along_axis(sims, best, 1), axis=1, kind="stable")
                     order[fit] = np.take_along_axis(best, rank, 1)
+                    n_close = (np.take_along_axis(sims, best, 1) >= CLOSE).sum(axis=1)
+                    for i, k in zip(fit, n_close.tolist(), strict=True):
+                        close[i] = order[i][:k]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(list(order), pa.list_(pa.int16()))],
-                    names=["node", "label", "order"])
+                    [part.column(0), part.column(1), *(pa.array(list(c), pa.list_(pa.int16())) for c in (order, close))],
+                    names=["node", "label", "order", "close"])
 
     label = vectors.schema["label"].dataType.simpleString()
-    return vectors.select("node", "label", "vector").mapInArrow(run, f"node long, label {label}, order array<smallint>")
+    return vectors.select("node", "label", "vector").mapInArrow(run, f"node long, label {label}, order array<smallint>, close array<smallint>")
 
 
 def candidates(described: DataFrame, shared: int) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of one label that have ``shared`` pivots in common, each pair once."""
-    sets = described.select("node", "label", F.array_sort("order").alias("near"))
-    keys = F.flatten(F.transform("near", lambda p: F.transform(
+    """Pairs ``(a, b)``, a < b, of one label that are close to one pivot or have ``shared`` in common, each pair once."""
+    sets = described.select("node", "label", F.array_sort("order").alias("near"), F.array_sort("close").alias("close"))
+    two = F.flatten(F.transform("near", lambda p: F.transform(
         F.filter("near", lambda q: q > p), lambda q: p.cast("int") * 32768 + q)))
-    lists = sets.withColumn("key", F.explode(keys))
-    left = lists.select("label", "key", F.col("node").alias("a"), F.col("near").alias("near_a"))
-    right = lists.select("label", "key", F.col("node").alias("b"), F.col("near").alias("near_b"))
+    one = F.transform("close", lambda p: p.cast("int") * 32768 + p)
+    lists = sets.withColumn("key", F.explode(F.concat(one, two)))
+    left = lists.select("label", "key", F.col("node").alias("a"), F.col("near").alias("near_a"), F.col("close").alias("close_a"))
+    right = lists.select("label", "key", F.col("node").alias("b"), F.col("near").alias("near_b"), F.col("close").alias("close_b"))
     pairs = left.join(right, ["label", "key"]).filter("a < b")
     common = F.array_intersect("near_a", "near_b")  # in near_a's order, ascending
     smallest = F.element_at(common, 1).cast("int") * 32768 + F.element_at(common, 2)
-    return pairs.filter((F.size(common) >= max(2, shared)) & (F.col("key") == smallest)).select("a", "b")
+    both = F.array_intersect("close_a", "close_b")
+    met = F.when(F.size(both) > 0, F.col("key") == F.element_at(both, 1).cast("int") * 32769).otherwise(
+        (F.size(common) >= max(2, shared)) & (F.col("key") == smallest))
+    return pairs.filter(met).select("a", "b")
 
 
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -117,15 +147,18 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     distinct = good.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least_id"))
     nodes = checkpointed(distinct.withColumn("node", F.monotonically_increasing_id()))
     n = nodes.count()
-    # The pivots: a bounded sample, spread over all vectors by a hash (of about twice as many, so that few leave the tasks).
+    # The pivots: of a bounded sample, spread over all vectors by a hash, those that are not within the link angle of one
+    # before. Four times as many vectors are read, so that a group of most of them does not take the place of the others.
+    pool = 4 * pivot_count(n)
     spread = F.pmod(F.xxhash64("vector"), F.lit(1 << 30))
-    near_all = nodes.filter(spread <= int((1 << 30) * min(1.0, 2 * pivot_count(n) / max(n, 1))))
-    sample = near_all.orderBy(spread, "node").limit(pivot_count(n)).select("vector").collect()
+    near_all = nodes.filter(spread <= int((1 << 30) * min(1.0, 2 * pool / max(n, 1))))
+    sample = near_all.orderBy(spread, "node").limit(pool).select("vector").collect()
     widths = [len(r["vector"]) for r in sample]
     width = max(set(widths), key=widths.count, default=1)
     points = np.array([r["vector"] for r in sample if len(r["vector"]) == width], np.float64).reshape(-1, width)
     points /= np.maximum(np.abs(points).max(axis=1, keepdims=True), 1e-300)
     points /= np.linalg.norm(points, axis=1, keepdims=True)
+    points = thinned(points, pivot_count(n), min_cosine)
     near = min(near, len(points))
     if n and near >= 2:
         described = checkpointed(with_pivots(nodes, points, near))

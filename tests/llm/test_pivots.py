@@ -41,6 +41,19 @@ def test_noisy_groups(spark):
     assert all(g[0] == w[0] and g[1] <= w[1] for g, w in zip(got, want))
 
 
+def test_large_group_of_near_copies(spark):
+    rnd = np.random.default_rng(5)
+    centre = rnd.normal(size=64)
+    group = centre + rnd.normal(size=(300, 64)) * np.linspace(0.12, 0.27, 300)[:, None]
+    every = np.vstack([group, rnd.normal(size=(200, 64))]).astype(np.float32)
+    rows = [(i, v.tolist(), 0, "x") for i, v in enumerate(every)]
+    got = sorted(tuple(r) for r in pivots.near_duplicates(spark.createDataFrame(rows, SCHEMA), near=4).collect())
+    unit = every.astype(float) / np.linalg.norm(every.astype(float), axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert links.sum() > 80_000 and sum(r[1] for r in got) >= 0.98 * links.sum()
+    assert all(g[1] <= n for g, n in zip(got, links))
+
+
 def test_odd_rows(spark):
     rows = [(1, [1.0, 0.0], 0, "a"), (2, [1.0, 0.0], 0, "a"), (2, [1.0, 0.0], 0, "a"), (3, [2.0, 0.1], 0, None),
             (4, [1.0, 0.0], 1, ""), (5, [1.0, 0.0], None, ""), (6, [0.0, 0.0], 0, ""), (7, None, 0, ""),
