@@ -13,9 +13,12 @@ Equal texts are one node from the start. A bucket of a few nodes compares
 all of them. A larger one compares every node with a leader, the one that
 meets most others in its buckets; those alike are linked to it, and those
 that are not are a bucket again, with twice as many leaders each round,
-until none is left. So no group of copies is expanded into all its pairs,
-no bucket is cut short, and the rounds are few. Components of the links are
-the classes.
+until none is left. Then texts of a bucket that are in different components
+and have not met are compared too, but for those that their similarities
+with a common leader prove apart (one minus the similarity is a metric). So
+the classes are those of comparing all pairs of each bucket, and a group of
+copies is not expanded into all its pairs. Components of the links are the
+classes.
 """
 
 from __future__ import annotations
@@ -214,18 +217,40 @@ def similarity(a: tuple[bytes, bytes], b: tuple[bytes, bytes], idf: np.ndarray)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, idf, min_similarity: float) -> DataFrame:
-    """``pairs`` (a, b) with ``alike``: whether their similarity is at least the least."""
+    """``pairs`` (a, b) with their ``similarity``, and ``alike``: whether it is at least the least."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, *content = batch.columns
-            alike = [similarity((x, cx), (y, cy), idf.value) >= min_similarity - 1e-9
-                     for x, cx, y, cy in zip(*(c.to_pylist() for c in content))]
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(alike, pa.bool_())], names=["a", "b", "alike"])
+            found = [similarity((x, cx), (y, cy), idf.value) for x, cx, y, cy in zip(*(c.to_pylist() for c in content))]
+            alike = [v >= min_similarity - 1e-9 for v in found]
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(found, pa.float64()), pa.array(alike, pa.bool_())],
+                                             names=["a", "b", "similarity", "alike"])
 
     one = sets.select(F.col("node").alias("a"), F.col("ids").alias("ids_a"), F.col("counts").alias("counts_a"))
     two = sets.select(F.col("node").alias("b"), F.col("ids").alias("ids_b"), F.col("counts").alias("counts_b"))
     met = pairs.join(one, "a").join(two, "b").select("a", "b", "ids_a", "counts_a", "ids_b", "counts_b")
-    return met.mapInArrow(run, "a long, b long, alike boolean")
+    return met.mapInArrow(run, "a long, b long, similarity double, alike boolean")
+
+
+def _unmet(seen: DataFrame, links: DataFrame, min_similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components of ``links`` that ``seen`` does not prove apart.
+
+    ``seen`` holds the similarity of each node of a bucket with the bucket's first leader of each round.
+    """
+    roots = components(links, "a", "b")
+    own = (seen.groupBy("band", "key", "node").agg(F.sort_array(F.collect_list(F.struct("round", "similarity"))).alias("s"))
+           .select("band", "key", "node", F.col("s.similarity").alias("seen")))
+    own = checkpointed(own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    sizes = own.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
+    # The bucket's largest component need not meet itself; one of all nodes meets nothing.
+    main = sizes.groupBy("band", "key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("n"))
+    mixed = checkpointed(own.join(main.filter("n > 1").drop("n"), ["band", "key"]))
+    x = mixed.filter("root <> main").select("band", "key", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("seen").alias("seen_x"))
+    y = mixed.select("band", "key", F.col("node").alias("y"), F.col("root").alias("root_y"), F.col("seen").alias("seen_y"))
+    apart = F.exists(F.zip_with("seen_x", "seen_y", lambda u, v: F.abs(u - v)),
+                     lambda d: F.coalesce(d > 1 - min_similarity + 1e-6, F.lit(False)))
+    return (x.join(y, ["band", "key"]).filter((F.col("root_x") != F.col("root_y")) & ~apart)
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -279,7 +304,7 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str, min_similarity: floa
     # A text of a group's middle meets more of the group in its buckets than one of its edge.
     middle = buckets.groupBy("node").agg(F.sum("n").alias("met"))
     many = checkpointed(buckets.filter(F.col("n") > FEW).join(middle, "node"))
-    leaders_each = 1
+    leaders_each, judged_all, seen = 1, None, None
     while not many.isEmpty():
         first = many.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.max_by("node", F.struct("met", "node")).alias("first"))
         own = checkpointed(many.drop("n").join(checkpointed(first), ["band", "key"]))
@@ -287,13 +312,24 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str, min_similarity: floa
         leaders = checkpointed(own.filter((F.col("node") == F.col("first")) | more).select("band", "key", F.col("node").alias("leader")))
         meet = checkpointed(own.select("band", "key", "node").join(leaders, ["band", "key"]).filter("node <> leader")
                             .select("band", "key", "node", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
-        judged = checkpointed(_verified(checkpointed(meet.select("a", "b").distinct()), sets, idf, min_similarity).filter("alike"))
+        compared = checkpointed(_verified(checkpointed(meet.select("a", "b").distinct()), sets, idf, min_similarity))
+        judged = compared.filter("alike")
+        of_first = (meet.join(own.filter("node = first").select("band", "key", "first"), ["band", "key"])
+                    .filter((F.col("first") == F.col("a")) & (F.col("node") == F.col("b"))
+                            | (F.col("first") == F.col("b")) & (F.col("node") == F.col("a"))).join(compared, ["a", "b"]))
+        now = (of_first.select("band", "key", "node", F.lit(leaders_each).alias("round"), "similarity")
+               .unionByName(own.filter("node = first").select("band", "key", "node", F.lit(leaders_each).alias("round"), F.lit(1.0).alias("similarity"))))
+        seen = now if seen is None else seen.unionByName(now)
+        judged_all = compared.select("a", "b") if judged_all is None else judged_all.unionByName(compared.select("a", "b"))
         links = links.unionByName(judged.select("a", "b"))
         # Who is like a leader is done with, as are the leaders; the others are a bucket again.
         done = (meet.join(judged, ["a", "b"]).select("band", "key", "node")
                 .unionByName(leaders.select("band", "key", F.col("leader").alias("node"))))
         many = checkpointed(own.select("band", "key", "node", "met", "n").join(done, ["band", "key", "node"], "left_anti"))
         leaders_each *= 2
+    if seen is not None:
+        rest = _unmet(seen, links, min_similarity).join(judged_all, ["a", "b"], "left_anti")
+        links = links.unionByName(checkpointed(_verified(checkpointed(rest), sets, idf, min_similarity).filter("alike").select("a", "b")))
     roots = components(links, "a", "b")
     own = nodes.select("node", "digest", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Of each class the least id, and of texts that share it the least digest; NULL ids come last.

@@ -86,6 +86,15 @@ def test_classes(spark):
     assert sorted(got, key=str) == brute(rows)
 
 
+def test_large_bucket_is_compared_in_full(spark, monkeypatch):
+    rnd = random.Random(7)
+    hot = text(rnd, 300)
+    df = spark.createDataFrame([(i, edited(rnd, hot, rnd.randrange(2, 13)), "x") for i in range(150)], SCHEMA)
+    got = sorted(tuple(r) for r in icws.near_duplicates(df).collect())
+    monkeypatch.setattr(icws, "FEW", 10**6)  # all with all
+    assert got == sorted(tuple(r) for r in icws.near_duplicates(df).collect())
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert icws.near_duplicates(df).count() == 0
