@@ -40,7 +40,7 @@ STEMS = (4, 5, 6)         # lengths of word beginnings that can tell a toxic doc
 LEAST_CONTEXTS = 5        # a telling word or stem stands after at least so many different words
 LEAST_RATIO = 2.5         # log ratio of toxic to clean documents that hold it
 WIDTH = 24                # characters of a string; longer ones become overlapping windows
-LETTERS_SHARED = 0.8      # of a landmark's letters; with fewer its kernel value is 0
+LETTERS_SHARED = 0.8      # of a landmark's characters; with fewer its kernel value is 0
 MEMORY_WORDS = 250_000    # words whose score a task remembers
 # Characters commonly written for a letter.
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
@@ -71,13 +71,15 @@ def _symbols(strings: list[str]) -> np.ndarray:
     return np.where(letter, code - 96, np.where(code > 0, code + 27, 0))
 
 
-def _letter_counts(symbols: np.ndarray) -> np.ndarray:
-    counts = np.zeros((len(symbols), 27), np.int8)
+def _letter_counts(symbols: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
+    """How often each symbol of the ascending ``alphabet`` stands in each row; other symbols are not counted."""
+    counts = np.zeros((len(symbols), len(alphabet) + 1), np.int8)
     rows = np.arange(len(symbols))
     for j in range(symbols.shape[1]):
         s = symbols[:, j]
-        counts[rows, np.where(s <= 26, s, 0)] += 1
-    return counts[:, 1:]
+        at = np.minimum(np.searchsorted(alphabet, s), len(alphabet) - 1)
+        counts[rows, np.where(alphabet[at] == s, at, len(alphabet))] += 1
+    return counts[:, :-1]
 
 
 def _before(k: np.ndarray) -> np.ndarray:
@@ -109,21 +111,26 @@ class Landmarks:
 
     def __init__(self, strings: list[str]):
         self.symbols = _symbols(strings)
-        self.counts = _letter_counts(self.symbols)
+        # The landmarks' own symbols, of any script; not 26 letters.
+        self.alphabet = np.unique(np.append(self.symbols[self.symbols > 0], 1))
+        self.counts = _letter_counts(self.symbols, self.alphabet)
+        self.holders = [np.flatnonzero(c) for c in self.counts.T]
         self.need = np.maximum(ORDER, np.ceil(LETTERS_SHARED * self.counts.sum(axis=1)))
         self.own = np.sqrt(np.maximum(kernel(self.symbols, self.symbols), 1e-12))
 
     def values(self, strings: list[str]) -> np.ndarray:
-        """One row a string: a power of its normalised kernel with each landmark, 0 where too few letters are shared."""
+        """One row a string: a power of its normalised kernel with each landmark, 0 where too few characters are shared."""
         out = np.zeros((len(strings), len(self.symbols)))
         if not len(self.symbols) or not strings:
             return out
         symbols = _symbols(strings)
-        counts = _letter_counts(symbols)
+        counts = _letter_counts(symbols, self.alphabet)
         shared = np.zeros((len(symbols), len(self.symbols)), np.int8)
-        for c in range(26):
-            if self.counts[:, c].any():
+        for c, at in enumerate(self.holders):
+            if 2 * len(at) > len(self.symbols):
                 shared += np.minimum(counts[:, c:c + 1], self.counts[None, :, c])
+            elif len(at) and len(own := np.flatnonzero(counts[:, c])):
+                shared[np.ix_(own, at)] += np.minimum(counts[own, c][:, None], self.counts[at, c])
         i, j = np.nonzero(shared >= self.need)
         if len(i):
             rows, at = np.unique(i, return_inverse=True)

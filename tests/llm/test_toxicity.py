@@ -47,6 +47,19 @@ def test_gapped_and_inserted_insults(spark, model):
     assert max(scores(spark, model, [frame.format(w) for w in fine])) < 0.3
 
 
+@pytest.mark.parametrize("letters,insults", [("абвгдежзиклмнопрсту", ["придурок", "мерзавец"]), ("αβγδεζηθικλμνξοπρστυ", ["ηλίθιος", "βλάκας"])])
+def test_insults_in_other_scripts(letters, insults):
+    rnd = np.random.default_rng(8)
+    known = ["".join(rnd.choice(list(letters), rnd.integers(4, 9))) for _ in range(300)]
+    plain = lambda: [str(w) for w in rnd.choice(known, 30)]
+    clean = [(" ".join(plain()) + ".", 0) for _ in range(150)]
+    toxic = [(" ".join([*plain(), insults[i % 2], *plain()]) + ".", 1) for i in range(100)]
+    model = toxicity.train(clean + toxic)
+    margins = toxicity._scorer(model)(insults + known)
+    got = toxicity.sigmoid(model.slope * margins + model.offset)
+    assert got[:2].min() >= 0.3 > got[2:].max()
+
+
 def test_held_out_accuracy(spark, model):
     docs = common.table(spark, SF, "documents", "doc_id", "text")
     got = toxicity.classify(docs, model).toPandas()
