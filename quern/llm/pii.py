@@ -7,12 +7,11 @@ identifier-like string (one that holds a digit) make a lexical pattern, the
 string's form is an instance. Spark scores the graph of patterns and
 instances in rounds: a pattern is as good as the share of its occurrences
 with good instances, an instance as good as the patterns it stands in.
-Strings in a pattern of high confidence and wide support, seeds or not, are
+Strings in a pattern of high confidence and enough support, seeds or not, are
 identifiers too.
 
-A pattern is accepted only if a fixed share of all documents hold it, so
-the number of accepted patterns has a bound that does not grow with the
-corpus; they are what the second pass over the texts needs.
+A pattern is accepted if a fixed number of documents hold it, the same for a
+corpus of any size. The second pass over the texts gets all accepted patterns.
 """
 
 from __future__ import annotations
@@ -33,7 +32,7 @@ from quern.llm.common import checkpointed
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"                      # kind of the spans that patterns discover
 CONFIDENCE, ROUNDS = 0.8, 4
-LEAST_DOCS, LEAST_SHARE = 5, 1e-5  # documents that hold an accepted pattern: the larger of both
+LEAST_DOCS = 5                    # documents that hold an accepted pattern, at any size of the corpus
 KEY_LENGTH, KEY_MIX = 16, 4       # a key-like string: its length, and its letters and digits at least
 
 # The base formats. The IP pattern may only start where a run of
@@ -192,15 +191,10 @@ def score_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 
 def learn_patterns(docs: DataFrame, text_col: str = "text", confidence: float = CONFIDENCE,
-                   least_docs: int = LEAST_DOCS, least_share: float = LEAST_SHARE) -> set[str]:
-    """The accepted patterns: confident, and in at least ``least_docs`` documents and ``least_share`` of all.
-
-    The second condition bounds their number by the mean number of patterns
-    in a document over ``least_share``, however large the corpus is.
-    """
+                   least_docs: int = LEAST_DOCS) -> set[str]:
+    """The accepted patterns: confident, and in at least ``least_docs`` documents."""
     counted = checkpointed(occurrences(docs, text_col))
-    least = max(least_docs, int(least_share * docs.count()))
-    wide = counted.groupBy("pattern").agg(F.sum("docs").alias("d")).filter(F.col("d") >= least).select("pattern")
+    wide = counted.groupBy("pattern").agg(F.sum("docs").alias("d")).filter(F.col("d") >= least_docs).select("pattern")
     graph = counted.join(wide, "pattern", "left_semi")
     good = score_patterns(graph).filter(F.col("confidence") >= confidence)
     return {r["pattern"] for r in good.select("pattern").collect()}

@@ -59,6 +59,12 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert pii.redacted(unseen[0], pii.spans(unseen[0], patterns)) == "my secret=<ID> here"
 
 
+def test_support_does_not_depend_on_the_size_of_the_table(spark):
+    few = [(f"my secret={hashlib.md5(str(i).encode()).hexdigest()}",) for i in range(5)]
+    df = spark.createDataFrame(few, "text string").unionByName(spark.range(900_000).selectExpr("'plain words' AS text"))
+    assert "secret =" in pii.learn_patterns(df)
+
+
 def test_rows(spark):
     long = "word " * 40_000 + "me@example.com"
     rows = [(1, "a@b.c 1.2.3.4", "x"), (1, "a@b.c 1.2.3.4", "x"), (2, "", "x"), (3, None, "x"), (None, "+44 20 7946 0958", "x"), (4, long, "x")]
