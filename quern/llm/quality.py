@@ -1,6 +1,6 @@
 """Operator 5, quality classifier: naive Bayes support vectors over n-gram indicators.
 
-A document is a sequence of word symbols: the word's shape (runs of lower
+A document is a sequence of word symbols (a very long word is several): its shape (runs of lower
 case, capitals and digits collapsed, other characters kept) and whether the
 word, or the pair of it and the word before, repeats. The indicators of a
 document are its symbol n-grams of one to three, each at every level of its
@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import distinct_pieces, slices, words
+from quern.llm.common import distinct_pieces, gather_ranges, slices, words
 from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labelled, sigmoid
 
 COLUMNS = 1 << 18
 TRAIN_ROWS = 3000              # labelled documents of each class that training reads, at most
 LEVELS = (0.0, 0.02, 0.1, 0.3)  # shares of a document's n-grams that have an indicator
 COST = 1.0
+CHUNK_CHARS, CHUNK_SYMBOLS = 200, 12  # of a word that is one symbol; longer words are several
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -40,12 +41,28 @@ class Model(NamedTuple):
     offset: float
 
 
-def shape(word: str) -> str:
-    """Lower-case, capital and digit runs as one a, A (AA if longer) or 9; other characters, at most two alike."""
-    if word.isalpha() and word.islower():
-        return "a"
-    s = "".join("9" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c for c in word[:200])
-    return re.sub(r"(.)\1+", lambda m: "a" if m[1] == "a" else "9" if m[1] == "9" else m[1] * 2, s)[:12]
+def shapes(word: str) -> list[tuple[str, str]]:
+    """The word's consecutive chunks, each with its shape; words of ordinary length are one chunk.
+
+    Lower-case, capital and digit runs are one a, A (AA if longer) or 9;
+    other characters stay, at most two alike. A chunk has at most
+    ``CHUNK_CHARS`` characters and ``CHUNK_SYMBOLS`` symbols of shape.
+    """
+    if len(word) <= CHUNK_CHARS and word.isalpha() and word.islower():
+        return [(word, "a")]
+    out = []
+    for i in range(0, len(word), CHUNK_CHARS):
+        part = word[i:i + CHUNK_CHARS]
+        kinds = "".join("9" if c.isdigit() else ("A" if c.isupper() else "a") if c.isalpha() else c for c in part)
+        start, symbols = 0, ""
+        for m in re.finditer(r"(.)\1*", kinds, re.S):
+            run = m[0] if len(m[0]) == 1 else "a" if m[1] == "a" else "9" if m[1] == "9" else m[1] * 2
+            if len(symbols) + len(run) > CHUNK_SYMBOLS:
+                out.append((part[start:m.start()], symbols))
+                start, symbols = m.start(), ""
+            symbols += run
+        out.append((part[start:], symbols))
+    return out
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -73,18 +90,29 @@ def _earlier(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
 def indicators(arr: pa.ListArray, codes: dict[str, int]) -> Rows:
     """The indicator columns of each row's words (values 1); ``codes`` remembers shapes."""
     distinct, index, bounds = distinct_pieces(arr)
+    places: dict[str, int] = {}  # of the distinct chunks; the words' own come as they are met
+    each, chunks, sizes = [], [], np.empty(len(distinct), np.int64)
+    for i, w in enumerate(distinct.to_pylist()):
+        parts = shapes(w)
+        sizes[i] = len(parts)
+        for content, s in parts:
+            if content not in places:
+                places[content] = len(places)
+                if s not in codes:
+                    codes[s] = _code(s)
+                each.append(codes[s])
+            chunks.append(places[content])
+    if (n_words := len(index)):
+        at = np.concatenate([[0], np.cumsum(sizes[index])])
+        index = gather_ranges(np.array(chunks, np.int64), (np.cumsum(sizes) - sizes)[index], sizes[index])
+        bounds = at[np.minimum(bounds, n_words)]
+    each = np.array(each, np.uint64)
     rows = np.repeat(np.arange(len(arr)), np.diff(bounds))
     n = len(rows)
-    each = np.empty(len(distinct), np.uint64)
-    for i, w in enumerate(distinct.to_pylist()):
-        s = shape(w)
-        if s not in codes:
-            codes[s] = _code(s)
-        each[i] = codes[s]
     same = np.zeros(n, np.uint64)
     if n > 1:
         inner = rows[1:] == rows[:-1]
-        pair = index[:-1].astype(np.int64) * len(distinct) + index[1:]
+        pair = index[:-1].astype(np.int64) * len(places) + index[1:]
         again = _earlier(rows[1:], np.where(inner, pair, -np.arange(1, n))) & inner
         same[1:][again] = 1
         same[1:][inner & (index[1:] == index[:-1])] = 2

@@ -41,6 +41,17 @@ def test_indicators_of_a_row_do_not_depend_on_its_neighbours():
         assert together.columns[together.bounds[i]:together.bounds[i + 1]].tolist() == alone.columns.tolist()
 
 
+def test_long_words_are_read_whole():
+    start = "ab1," * 100
+    rows = [[start], [start + "GOOD?" * 60], [start + "--##" * 60], ["".join("天地。" for _ in range(90))], ["天地。" * 4]]
+    x = quality.indicators(pa.array(rows), {})
+    found = [tuple(x.columns[a:b]) for a, b in zip(x.bounds, x.bounds[1:])]
+    assert len(set(found)) == len(rows)
+    word = start + "Éa9" * 500 + "z" * 1000
+    assert "".join(c for c, _ in quality.shapes(word)) == word and max(len(s) for _, s in quality.shapes(word)) <= 12
+    assert quality.shapes("It's") == [("It's", "Aa'a")] and quality.shapes("USA!!!") == [("USA!!!", "AA!!")]
+
+
 def test_odd_rows(spark):
     docs = [(1, "Good text here.", "c"), (1, "Good text here.", "c"), (2, "", "c"), (3, None, "c"), (None, "no id", "c"),
             (4, "w " * 50_000, "c"), (5, "z" * 100_000, "c"), (6, "BAD!! BAD!!", "c"), (7, "WORSE!! BAD!!", "c"), (8, "Fine, too.", "c")]
