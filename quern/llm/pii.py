@@ -156,8 +156,10 @@ def occurrences(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     continue
                 plain = {p[:-1] for p in met if p.endswith(" ")}
                 words = Counter(w.strip(".,;!?").lower() for w in text.split()) if plain else {}
-                for k, (pattern, shape) in enumerate(own):
-                    first = pattern not in {p for p, _ in list(own)[:k]} if len(own) < 50 else True
+                counted = set()  # patterns whose document and uses are in a row
+                for pattern, shape in own:
+                    first = pattern not in counted
+                    counted.add(pattern)
                     uses = max(0, words.get(pattern[:-1], 0) - met[pattern]) if pattern.endswith(" ") and first else 0
                     rows.append((pattern, shape, seeds[pattern, shape], own[pattern, shape], int(first), uses))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 6

@@ -65,6 +65,13 @@ def test_support_does_not_depend_on_the_size_of_the_table(spark):
     assert "secret =" in pii.learn_patterns(df)
 
 
+def test_a_document_counts_once_for_a_pattern(spark):
+    many = " ".join(f"code 77{x}77{y}77" for x in "-_/+*&~%" for y in "-_/+*&~%") + " code" * 30
+    own = {(p, pii.form(many[a:b])) for p, a, b in pii.candidates(many)}
+    got = pii.occurrences(spark.createDataFrame([(many,)], "text string")).collect()
+    assert len(own) == len(got) >= 50 and sum(r["docs"] for r in got) == 1 and sum(r["uses"] for r in got) == 30
+
+
 def test_rows(spark):
     long = "word " * 40_000 + "me@example.com"
     rows = [(1, "a@b.c 1.2.3.4", "x"), (1, "a@b.c 1.2.3.4", "x"), (2, "", "x"), (3, None, "x"), (None, "+44 20 7946 0958", "x"), (4, long, "x")]
