@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, htmlcrf, icws, packing, pii, pivots, quality, topk, toxicity
+from quern.llm import bpe, common, greedy, htmlcrf, icws, packing, pii, pivots, quality, secrets, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,10 +76,16 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, F.col("vec_id") % 50 == 0)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the base formats, and what decodes to a private key or a signed token."""
+    found = secrets.find(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", *[c.alias(k) for k, c in secrets.summary(F.col("found")).items()])
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op2_html_main_text, op3_embedding_near_dedup, op4_bpe_round_trip,
     op5_quality_classifier, op6_pii, op7_best_fit_packing,
-    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k)}
+    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k, op11_secret_scan)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
 
