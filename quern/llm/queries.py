@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, htmlcrf, icws, packing, pii, pivots, quality, secrets, topk, toxicity
+from quern.llm import bpe, common, greedy, htmlcrf, icws, packing, periodic, pii, pivots, quality, secrets, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,10 +82,32 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[c.alias(k) for k, c in secrets.summary(F.col("found")).items()])
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of repeated words in every document, a tenth of them made periodic from some word on.
+
+    The document's id decides that: with h its crc32, g = h div 10, n words,
+    a = g % n and p = 1 + (n - a) div (3 + g % 8), word i >= a becomes word
+    a + (i - a) % p where h % 10 = 0.
+    """
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    # The generator keeps the words from being cut once for each use of them.
+    cut = docs.select("doc_id", F.explode(F.array(periodic.words("text"))).alias("w"),
+                      F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1)).alias("h"))
+    whole = F.call_function("div", F.col("h"), F.lit(10))
+    n = F.size("w").cast("long")
+    placed = cut.select("doc_id", "w", "h", whole.alias("g"), n.alias("n")).withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    changed = F.transform("w", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    docs = placed.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), changed).otherwise(F.col("w")).alias("words"))
+    found = periodic.find(docs)
+    return found.select("doc_id", *[c.alias(k) for k, c in periodic.summary(F.col("runs"), F.col("collapsed")).items()])
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op2_html_main_text, op3_embedding_near_dedup, op4_bpe_round_trip,
     op5_quality_classifier, op6_pii, op7_best_fit_packing,
-    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k, op11_secret_scan)}
+    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k, op11_secret_scan, op12_periodic_runs)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
 
