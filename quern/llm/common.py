@@ -109,6 +109,16 @@ def row_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return run[bounds[1:]] - run[bounds[:-1]]
 
 
+def row_ranges(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes add up to at most ``most``, or of one row."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + most, side="right"))
+        stop = max(start + 1, stop)
+        yield start, stop
+        start = stop
+
+
 def gather_ranges(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenation of ``flat[starts[i] : starts[i] + lengths[i]]`` for every i."""
     total = int(lengths.sum())

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import distinct_pieces, slices
+from quern.llm.common import distinct_pieces, row_ranges, slices
 
 LEAST_LENGTH, LEAST_EXPONENT = 6, 4
 # Words of texts worked on together (a longer text alone), and grid places at once; both bound memory only.
@@ -200,15 +200,6 @@ def runs(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return found[np.lexsort((found[:, 3], found[:, 1], found[:, 0]))]
 
 
-def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of at most ``GROUP_WORDS`` words, or of one text."""
-    ends, start = np.cumsum(sizes), 0
-    while start < len(sizes):
-        stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + GROUP_WORDS, side="right"))
-        yield start, max(start + 1, stop)
-        start = max(start + 1, stop)
-
-
 def words(text: str | Column) -> Column:
     """The words of a text: runs between blanks, tabs, line feeds and other ASCII white space (NULL: none)."""
     col = F.col(text) if isinstance(text, str) else text
@@ -232,7 +223,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", words_col: str = "words") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, words_col):
             distinct, index, bounds = distinct_pieces(batch.column(1))
-            for a, b in _groups(np.diff(bounds)):
+            for a, b in row_ranges(np.diff(bounds), GROUP_WORDS):
                 own = index[bounds[a]:bounds[b]]
                 sizes = np.diff(bounds[a:b + 1])
                 found = runs(own, sizes)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, common, greedy, htmlcrf, icws, packing, periodic, pii, pivots, quality, secrets, topk, toxicity
+from quern.llm import bpe, collocate, common, greedy, htmlcrf, icws, packing, periodic, pii, pivots, quality, secrets, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,10 +104,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[c.alias(k) for k, c in periodic.summary(F.col("runs"), F.col("collapsed")).items()])
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best-bound phrases of two and three words, over all documents."""
+    docs = common.table(spark, sf_dir, "documents", "lang", "text")
+    return collocate.best(collocate.phrases(docs), 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op2_html_main_text, op3_embedding_near_dedup, op4_bpe_round_trip,
     op5_quality_classifier, op6_pii, op7_best_fit_packing,
-    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k, op11_secret_scan, op12_periodic_runs)}
+    op8_toxicity, op9_minhash_near_dedup, op10_exact_top_k, op11_secret_scan, op12_periodic_runs, op13_collocations)}
 
 _USABLE = "list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"
 
@@ -138,4 +144,33 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
         WHERE rank <= 5""",
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        parts AS (
+            SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+            FROM cut, range(1, 4) AS sizes(size) WHERE len(w) >= size),
+        counts AS (SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM parts GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, size, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2 AND f >= 10),
+        cuts AS (
+            SELECT c.lang, c.size, c.phrase, c.f, k, a.f AS l, b.f AS r, 1000000 * c.f * c.f // (a.f * b.f) AS score
+            FROM candidates c, range(1, 3) AS ks(k)
+            JOIN counts a ON a.lang = c.lang AND a.phrase = array_to_string(c.w[1:k], ' ') AND a.size = k
+            JOIN counts b ON b.lang = c.lang AND b.phrase = array_to_string(c.w[k + 1:], ' ') AND b.size = c.size - k
+            WHERE k < c.size),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (
+            SELECT lang, phrase, max(f) AS longer FROM (
+                SELECT lang, array_to_string(w[1:2], ' ') AS phrase, f FROM candidates WHERE size = 3
+                UNION ALL SELECT lang, array_to_string(w[2:3], ' '), f FROM candidates WHERE size = 3) GROUP BY ALL),
+        kept AS (
+            SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase)
+            WHERE size = 3 OR longer IS NULL OR 100 * longer < 50 * f),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank::BIGINT AS rank, phrase, f::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+        FROM placed JOIN totals USING (lang) WHERE rank <= 2000""",
 }
