@@ -1,28 +1,35 @@
-"""Bloom filter as DataFrame expressions.
-
-The filter is a small table ``(_part INT, _words ARRAY<BIGINT>)``: the m bits
-are cut into ``parts`` slices by a hash of the key, each slice a dense array
-of 64-bit words. Probing is an equi-join on ``_part`` followed by k
-``getbit`` tests. Spark broadcasts a small filter and shuffles by slice
-beyond that; the bits, and so the answers, are the same at any size.
-
-Positions use double hashing (Kirsch and Mitzenmacher): with
-h1 = xxhash64(key) and h2 = murmur3(key), position i is
-pmod(h1 / 4 + i * (2 * h2 + 1), bits_per_part). The shift keeps the sum
-inside 64 bits, so ANSI mode never sees an overflow. The exact bit layout
-of the reference's hash is not reproduced; any good hash gives the same
-membership answers for members and a similar false-positive rate.
+"""Blocked Bloom filter as DataFrame expressions.
+
+The bits are cut into blocks of k 64-bit words. A key belongs to one block, by
+one hash, and sets one bit in each of its k words, by six bits each of another
+hash: a test reads k neighbouring words. A filter comes in two forms.
+
+* ``value``: one array of words, a scalar subquery of the query that uses it.
+  Rows are tested where they are read, with no join and no shuffle. Its size
+  is found inside the query, by P15 from a sketch of the number of keys, and
+  bounded by ``MAX_BITS``: beyond the keys which that many bits serve, more
+  rows pass, never fewer.
+* ``build``: a table ``(_part INT, _words ARRAY<BIGINT>)`` for a filter of any
+  size, cut into slices by a hash of the key, probed by an equi-join.
+
+The exact bit layout of the reference's hash is not reproduced; any good hash
+gives the same answers for members and a similar false-positive rate.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bits per slice (128 KiB); one slice is one array value in the table.
 BITS_PER_PART = 1 << 20
+# Most bits of a filter that travels as one value (8 MiB, what Spark's own runtime filters have at most).
+MAX_BITS = 1 << 26
+# Six bits pick a bit of a word; a 64-bit hash has ten times six.
+_FIELDS = 10
 
 
 def size_for(n: int, fpr: float) -> tuple[int, int]:
@@ -59,65 +66,88 @@ def _part(key: Column, parts: int) -> Column:
     return F.pmod(F.hash(F.lit("quern-bloom-part"), key), F.lit(parts)).cast("int")
 
 
-def _hashes(key: Column) -> tuple[Column, Column]:
-    """The two base hashes: h1 in [-2^61, 2^61), h2 odd, so h1 + i * h2 cannot overflow."""
-    return F.shiftright(F.xxhash64(key), 2), F.hash(key).cast("bigint") * F.lit(2) + F.lit(1)
+def _block(key: Column, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), blocks)
 
 
-def _positions(h1: Column, h2: Column, bits: int, k: int) -> list[Column]:
-    return [F.pmod(h1 + F.lit(i) * h2, F.lit(bits)) for i in range(k)]
+def _bit(key: Column, i: int) -> Column:
+    """Which of its 64 bits the key sets in word i of its block."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(i // _FIELDS), key), 6 * (i % _FIELDS) + 4).bitwiseAND(F.lit(63)).cast("int")
 
 
-def positions(key: Column, bits: int, k: int) -> list[Column]:
-    """The k bit positions of ``key`` inside its slice of ``bits`` bits."""
-    return _positions(*_hashes(key), bits, k)
+def _blocks(keys: DataFrame, key_col: str, blocks: Column, k: int, parts: int = 1) -> DataFrame:
+    """``(_part, _block, _w0, ...)``: the words of every block of every part, by one aggregate.
 
+    The keys' own bits and a row of zeros for every block are one input, so a
+    block without keys is there too. Rows are bounded by the filter's blocks.
+    """
+    key, words = F.col(key_col), [f"_w{i}" for i in range(k)]
+    own = keys.filter(key.isNotNull()).select(
+        _part(key, parts).alias("_part"), _block(key, blocks).alias("_block"),
+        *[F.call_function("shiftleft", F.lit(1).cast("long"), _bit(key, i)).alias(w) for i, w in enumerate(words)])
+    empty = (keys.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+             .select("_part", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_block"),
+                     *[F.lit(0).cast("long").alias(w) for w in words]))
+    return own.unionByName(empty).groupBy("_part", "_block").agg(*[F.bit_or(w).alias(w) for w in words])
 
-def build(keys: DataFrame, key_col: str, m: int, k: int) -> DataFrame:
-    """The filter table for the keys in ``key_col``.
 
-    Explode k positions per key, OR the bits of each 64-bit word together
-    (a partial aggregate), fill absent words with 0 from a range of word
-    ids, and gather each slice into one sorted array. Every step is bounded
-    by m / 64 rows, whatever the number of keys.
+def _words(k: int) -> Column:
+    """All words of the blocks of a group, in block order, as one array."""
+    in_order = F.array_sort(F.collect_list(F.struct("_block", F.array(*[f"_w{i}" for i in range(k)]).alias("w"))))
+    return F.flatten(F.transform(in_order, lambda b: b["w"]))
+
+
+def _passes(key: Column, words: Column, blocks: Column, k: int) -> Column:
+    first = _block(key, blocks) * k
+    return reduce(Column.__and__, [F.getbit(F.get(words, (first + i).cast("int")), _bit(key, i)) == F.lit(1) for i in range(k)])
+
+
+def hashes(fpr: float) -> int:
+    """The hash count for a rate; the rule's k = ln 2 * m / n, which does not depend on n but for m's rounding."""
+    return size_for(1 << 20, fpr)[1]
+
+
+def value(keys: DataFrame, key_col: str, k: int, m: int | None = None, fpr: float = 0.01) -> Column:
+    """P14 as one value of the query: a struct of the number of blocks and the words.
+
+    ``m`` bits; if not given, what P15 says for a sketch of the number of
+    different keys, ``MAX_BITS`` at most. No job runs before the query does.
     """
+    if m is None:
+        bits = size_columns(keys.agg(F.approx_count_distinct(key_col, 0.02)).scalar(), fpr)[0]
+        bits = F.least(bits, F.lit(MAX_BITS).cast("long"))
+    else:
+        bits = F.lit(m).cast("long")
+    blocks = F.ceil(bits / (64 * k))
+    return _blocks(keys, key_col, blocks, k).agg(F.struct(F.count(F.lit(1)).alias("blocks"), _words(k).alias("words"))).scalar()
+
+
+def passes(key: str | Column, filt: Column, k: int) -> Column:
+    """P13 on a ``value``: false only for a key that is not in it (NULL for a NULL key)."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.when(key.isNotNull(), _passes(key, filt["words"], filt["blocks"], k))
+
+
+def _slice_blocks(m: int, k: int) -> tuple[int, Column]:
     parts, per = layout(m)
-    words_per_part = per // 64
-    spark = keys.sparkSession
-    key = F.col(key_col)
-    set_bits = (keys.select(_part(key, parts).alias("_part"),
-                            F.explode(F.array(*positions(key, per, k))).alias("_pos"))
-                .select("_part", F.shiftright("_pos", 6).cast("int").alias("_w"),
-                        F.expr("shiftleft(1L, CAST(_pos % 64 AS INT))").alias("_bit"))
-                .groupBy("_part", "_w").agg(F.bit_or("_bit").alias("_bits")))
-    all_words = spark.range(parts * words_per_part).select(
-        (F.col("id") / words_per_part).cast("int").alias("_part"),
-        (F.col("id") % words_per_part).cast("int").alias("_w"))
-    dense = all_words.join(set_bits, ["_part", "_w"], "left").select(
-        "_part", "_w", F.coalesce("_bits", F.lit(0).cast("bigint")).alias("_bits"))
-    return (dense.groupBy("_part")
-            .agg(F.array_sort(F.collect_list(F.struct("_w", "_bits"))).alias("_ws"))
-            .select("_part", F.transform("_ws", lambda x: x["_bits"]).alias("_words")))
+    return parts, F.lit(-(-per // (64 * k))).cast("long")
+
+
+def build(keys: DataFrame, key_col: str, m: int, k: int) -> DataFrame:
+    """P14 as a table: one row per slice, its words in one array. NULL keys are left out."""
+    parts, blocks = _slice_blocks(m, k)
+    return _blocks(keys, key_col, blocks, k, parts).groupBy("_part").agg(_words(k).alias("_words"))
 
 
 def might_contain(df: DataFrame, key_col: str, filt: DataFrame, m: int, k: int) -> DataFrame:
-    """Keep the rows whose key may be in the filter (no false negatives).
+    """P13 on a table: keep the rows whose key may be in the filter (no false negatives).
 
     The key column must have the type the filter was built from: hashes of
     an int and of a bigint or string differ.
     """
-    parts, per = layout(m)
-    key = F.col(key_col)
-    h1, h2 = _hashes(key)
-    # Hash once per row, below the join, rather than once per position inside it.
-    tagged = df.select("*", _part(key, parts).alias("_part"), h1.alias("_h1"), h2.alias("_h2"))
+    parts, blocks = _slice_blocks(m, k)
+    tagged = df.filter(F.col(key_col).isNotNull()).select("*", _part(F.col(key_col), parts).alias("_part"))
     # The slice number in a struct: both sides are dealt for this join, so a hot key's slice can be split.
     slices = filt.withColumnRenamed("_part", "_slice")
     probe = tagged.join(slices, F.struct(F.col("_part").alias("p")) == F.struct(F.col("_slice").alias("p")), "inner")
-    words = F.col("_words")
-    test = None
-    for pos in _positions(F.col("_h1"), F.col("_h2"), per, k):
-        word = F.element_at(words, (F.shiftright(pos, 6) + 1).cast("int"))
-        bit = F.getbit(word, (pos % 64).cast("int")) == F.lit(1)
-        test = bit if test is None else test & bit
-    return probe.filter(test).select(*df.columns)
+    return probe.filter(_passes(F.col(key_col), F.col("_words"), blocks, k)).select(*df.columns)

@@ -2,7 +2,7 @@
 
 Keys are given as column names; left and right payload names must not
 collide (rename first). No side is broadcast by force, no job runs while a
-plan is built, and no result depends on a size limit.
+plan is built, and no exact result depends on a size limit.
 """
 
 from __future__ import annotations
@@ -144,20 +144,29 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
                exact: bool = True, m: int | None = None, k: int | None = None) -> DataFrame:
     """Drop left rows whose key fails a Bloom test over the key list, then inner join.
 
-    ``m`` bits and ``k`` hashes make the filter; if they are not given, one
-    count of the key list sizes them from ``fpr`` (P15). A filter of any size
-    is probed by a join on its slices, so the same rows pass whether Spark
-    broadcasts the filter or shuffles by slice. ``exact=True`` also restricts
-    the right side to the key list, which removes every false positive from
-    the result; ``exact=False`` keeps the reference's behaviour, where a false
-    positive reaches the output if the right table has that key.
+    The filter is one value of the query (``bloom.value``): left rows are
+    tested where they are read, and only those that pass are shuffled, once,
+    by the join. Its bits come from ``fpr`` and a sketch of the number of keys
+    inside the query (P15), or are ``m`` with ``k`` hashes. A filter of more
+    than ``bloom.MAX_BITS`` bits, which only a given ``m`` can ask for, is a
+    table of slices: then the right rows are tested, which leaves the same
+    result, as joined rows have one key, and the left is still shuffled once.
+
+    ``exact=True`` also restricts the right side to the key list, which
+    removes every false positive from the result; ``exact=False`` keeps the
+    reference's behaviour, where a false positive reaches the output if the
+    right table has that key. A NULL key matches nothing.
     """
     key_type = left.schema[left_on].dataType
     klist = _key_list(keys, keys_col).select(F.col("_key").cast(key_type).alias("_key"))
     if m is None or k is None:
-        m, k = bloom.size_for(max(klist.count(), 1), fpr)
-    lf = bloom.might_contain(left, left_on, bloom.build(klist, "_key", m, k), m, k)
-    return _split_join(lf, _semi(right, right_on, klist) if exact else right, left_on, right_on)
+        m, k = None, bloom.hashes(fpr)
+    if m is None or m <= bloom.MAX_BITS:
+        left = left.filter(bloom.passes(left_on, bloom.value(klist, "_key", k, m, fpr), k))
+    else:
+        typed = right.withColumn(right_on, F.col(right_on).cast(key_type))
+        right = bloom.might_contain(typed, right_on, bloom.build(klist, "_key", m, k), m, k)
+    return _split_join(left, _semi(right, right_on, klist) if exact else right, left_on, right_on)
 
 
 def _struct_type(df: DataFrame, cols: Sequence[str]) -> DataType:

@@ -122,6 +122,40 @@ def test_bloom_answers_do_not_depend_on_the_join(spark, monkeypatch):
     assert listed <= set(got["-1"]) and 0 < extra < 0.25 * 4900  # a superset, at about the expected rate
 
 
+def test_bloom_join_shuffles_the_left_once_and_runs_no_job_early(spark, tiny_partitions, monkeypatch):
+    # Both forms: the filter as a value in the left's scan, and (m given, over the bound) as slices for the right.
+    left = spark.range(5000).selectExpr("id AS lk", "id * 2 AS lv")
+    right = spark.range(5000).selectExpr("id AS rk", "id * 3 AS rv")
+    keys = spark.range(0, 5000, 50).selectExpr("id AS key")
+    for bound, given in ((bloom.MAX_BITS, {}), (bloom.MAX_BITS, {"m": 4096, "k": 3}), (1 << 10, {"m": 4096, "k": 3})):
+        for exact in (True, False):
+            monkeypatch.setattr(bloom, "MAX_BITS", bound)
+            spark.sparkContext.setJobGroup("plan", "building")
+            df = joins.bloom_join(left, right, "lk", "rk", keys, exact=exact, fpr=0.1, **given)
+            assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan")) == []
+            spark.sparkContext.setJobGroup("run", "running")
+            plan = _final_plan(spark, df)
+            main = plan.split("Subquery:")[0]
+            assert _exchanges_above(main, "AS lv#") == 1, main
+            assert "BroadcastExchange" not in main
+            got = {r.lk for r in df.collect()}
+            listed = set(range(0, 5000, 50))
+            assert got == listed if exact else listed <= got
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _exchanges_above(plan, leaf):
+    """Exchanges between the root and the line that holds ``leaf``, by the tree's indentation."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if leaf in line)
+    depth, count = len(lines[at]) - len(lines[at].lstrip(" :+-*")), 0
+    for line in reversed(lines[:at]):
+        d = len(line) - len(line.lstrip(" :+-*"))
+        if d < depth:
+            depth, count = d, count + ("Exchange" in line)
+    return count
+
+
 @pytest.mark.parametrize("name", ["inner_join", "left_outer_join"])
 def test_whole_tables_join_by_shuffle(spark, name):
     plan = _final_plan(spark, QUERIES[name](spark, SF))
