@@ -3,9 +3,9 @@
 All aggregations here are decomposable (count, sum, min, min_by, distinct),
 so Spark runs them as a partial aggregate before the shuffle: a key that
 holds a third of the rows costs one partial row per input partition, not a
-third of the data in one task. The one order-dependent operator,
-``first_of_run``, is built on range partitioning so that it never needs a
-single partition for a group either.
+third of the data in one task. What depends on order (``sorted_rows``,
+``first_of_run``) is built on ranges with explicit bounds, so that it never
+needs a single partition for a group either.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import split_single_space, tokens
+from quern.operators import ranges
 from quern.operators.metrics import observed
-from quern.session import ensure_checkpoint_dir
 
 _SPLITTERS = {
     "tokens": tokens,               # P1, StringTokenizer
@@ -80,12 +80,8 @@ def distinct_pairs(df: DataFrame, cols: Sequence[str], num_partitions: int | Non
     """
     cols = list(cols)
     distinct = df.select(*cols).distinct()
-    return ranged(distinct, num_partitions, *cols).sortWithinPartitions(*cols)
-
-
-def ranged(df: DataFrame, num_partitions: int | None, *keys: str) -> DataFrame:
-    """Range-partition by ``keys``; without a count, adaptive execution sizes the partitions by their bytes."""
-    return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    ranged = distinct.repartitionByRange(num_partitions, *cols) if num_partitions else distinct.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def spread_tiebreak(df: DataFrame) -> list[Column]:
@@ -100,17 +96,29 @@ def spread_tiebreak(df: DataFrame) -> list[Column]:
     return [F.spark_partition_id(), F.xxhash64(*[F.col(c) for c in df.columns])]
 
 
-def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+def sorted_rows(df: DataFrame, by: Sequence[str], num_partitions: int | None = None,
+                keys_of: DataFrame | None = None) -> DataFrame:
     """O1 / O2: total order on ``by``, every row kept, order inside equal keys undefined.
 
-    ``spread_tiebreak`` is appended to the range-partitioning key, so a key
-    (or a block of identical rows) that holds a large share of the data is
-    split across several tasks instead of one.
+    Rows go to their range in one shuffle, and ``df`` is run once: the bounds
+    come from the ``by`` columns of ``keys_of`` (default: of ``df`` itself,
+    which then is run for these columns first). Give ``keys_of``, a table
+    whose keys lie about as those of ``df`` do, where ``df`` is dear. A hash
+    of (input partition id, row) is appended to the key, so a key, or a block
+    of identical rows, that holds a large share of the data is split across
+    several partitions; the parts of a row's hash are the same when a lost
+    task is re-run. Partitions are ``num_partitions``, or by the number of
+    rows and the session's shuffle partitions at most.
     """
-    ties = [f"_quern_tie{i}" for i in range(2)]
-    keys = [*by, *ties]
-    tied = df.select("*", *[c.alias(t) for c, t in zip(spread_tiebreak(df), ties, strict=True)])
-    return ranged(tied, num_partitions, *keys).sortWithinPartitions(*keys).drop(*ties)
+    names = [f"_by{i}" for i in range(len(by))]
+    spread = F.xxhash64(F.monotonically_increasing_id())
+    source = (df if keys_of is None else keys_of).select(*[F.col(b).alias(n) for b, n in zip(by, names, strict=True)])
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    bounds = ranges.sketch(source, [*names, spread], num_partitions, most=n, by_row=True)
+    tie, place = ranges.free_name("_tie", *df.columns), ranges.free_name("_bucket", *df.columns)
+    tied = df.withColumn(tie, F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]))
+    placed = ranges.bucketed(tied, bounds, [*by, tie], most=n, name=place)
+    return placed.repartitionById(n, F.col(place)).sortWithinPartitions(*by, tie).drop(place, tie)
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
@@ -138,38 +146,33 @@ def first_of_run(df: DataFrame, run_cols: Sequence[str], order: Sequence[str],
     first rows, or every row with a boolean ``flag_col`` when it is given.
 
     No group is ever handled by one task, not even a partition value that
-    holds a third of all rows:
-      1. range-partition and sort by (partition_cols, order), then checkpoint
-         to the shared checkpoint folder, which fixes the partition ids;
-      2. ``lag`` inside each range partition;
-      3. the last run key of every partition (at most one row per partition)
-         is shifted to the next non-empty partition and broadcast back as the
-         missing predecessor of that partition's first row.
+    holds a third of all rows, and the rows are shuffled once:
+      1. bounds from a sample of the keys (partition_cols, order) give every
+         row the number of its bucket (``num_partitions`` of them, or by rows);
+      2. ``lag`` inside each bucket, the only shuffle of the rows;
+      3. the last run key of every bucket, at most one row per bucket, comes
+         from the rows at its end before that shuffle, and is joined to the
+         next bucket as the predecessor of its first row.
+    ``df`` is read for its number of rows, its keys, the rows at bucket ends
+    and then whole; checkpoint it first if it is dear to compute. It must
+    give the same rows each time. No job runs while the plan is built.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     keys = [*partition_cols, *order]
     run_key = F.struct(*[F.col(c) for c in (*partition_cols, *run_cols)])
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    base = fixed.withColumn("_pid", F.spark_partition_id())
-
-    # The last run key of each partition: a partial aggregate per checkpoint
-    # partition, so only one row per partition is shuffled.
-    tails = base.groupBy("_pid").agg(
-        F.max_by(run_key, F.struct(*[F.col(c) for c in keys])).alias("_tail"))
-    # At most one row per partition (a bound set by n, not by the data), so
-    # the shift needs no partitioned window and the result is broadcast as is.
-    carry = F.broadcast(tails.select("_pid", F.lag("_tail").over(Window.orderBy("_pid")).alias("_carry")))
-
-    # Route partition ids by range, not by hash, into as many tasks as there
-    # are ids: hashing n ids into n tasks collides (some tasks would get
-    # several range partitions); a range split keeps about one per task.
-    in_part = Window.partitionBy("_pid").orderBy(*keys)
-    with_prev = base.repartitionByRange(n, "_pid").withColumn("_prev", F.lag(run_key).over(in_part))
+    bounds = ranges.sketch(df, keys, num_partitions)
+    base = ranges.bucketed(df, bounds, keys, most=num_partitions or ranges.MAX_BUCKETS)
+
+    tails = (base.filter(ranges.at_the_end(bounds, keys)).groupBy("_bucket")
+             .agg(F.max_by(run_key, ranges.key_struct(keys)).alias("_tail")))
+    carry = tails.select("_bucket", F.lag("_tail").over(Window.orderBy("_bucket")).alias("_carry"))
 
+    routed = base
+    if num_partitions:  # rows and carries are dealt alike, so the join deals neither again
+        routed, carry = (d.repartitionById(num_partitions, F.col("_bucket")) for d in (base, carry))
+    with_prev = routed.withColumn("_prev", F.lag(run_key).over(Window.partitionBy("_bucket").orderBy(*keys)))
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     first = prev.isNull() | ~prev.eqNullSafe(run_key)
-    out = with_prev.join(carry, "_pid", "left")
+    out = with_prev.join(carry, "_bucket", "left")
     if flag_col:
-        return out.withColumn(flag_col, first).drop("_pid", "_prev", "_carry")
-    return out.filter(first).drop("_pid", "_prev", "_carry")
+        return out.withColumn(flag_col, first).drop("_bucket", "_prev", "_carry")
+    return out.filter(first).drop("_bucket", "_prev", "_carry")

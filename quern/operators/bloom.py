@@ -72,21 +72,26 @@ def _block(key: Column, blocks: Column) -> Column:
 
 def _bit(key: Column, i: int) -> Column:
     """Which of its 64 bits the key sets in word i of its block."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(i // _FIELDS), key), 6 * (i % _FIELDS) + 4).bitwiseAND(F.lit(63)).cast("int")
+    return _field(F.xxhash64(F.lit(i // _FIELDS), key), i)
 
 
-def _blocks(keys: DataFrame, key_col: str, blocks: Column, k: int, parts: int = 1) -> DataFrame:
+def _field(hashed: Column, i: int) -> Column:
+    return F.shiftrightunsigned(hashed, 6 * (i % _FIELDS) + 4).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _blocks(keys: DataFrame, key_col: str, blocks: Column, k: int, sized: DataFrame, parts: int = 1) -> DataFrame:
     """``(_part, _block, _w0, ...)``: the words of every block of every part, by one aggregate.
 
     The keys' own bits and a row of zeros for every block are one input, so a
-    block without keys is there too. Rows are bounded by the filter's blocks.
+    block without keys is there too (``sized``: one row with the number of
+    ``blocks``). Rows are bounded by the filter's blocks.
     """
     key, words = F.col(key_col), [f"_w{i}" for i in range(k)]
     own = keys.filter(key.isNotNull()).select(
         _part(key, parts).alias("_part"), _block(key, blocks).alias("_block"),
         *[F.call_function("shiftleft", F.lit(1).cast("long"), _bit(key, i)).alias(w) for i, w in enumerate(words)])
-    empty = (keys.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
-             .select("_part", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("_block"),
+    empty = (sized.select("blocks", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+             .select("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("_block"),
                      *[F.lit(0).cast("long").alias(w) for w in words]))
     return own.unionByName(empty).groupBy("_part", "_block").agg(*[F.bit_or(w).alias(w) for w in words])
 
@@ -97,9 +102,8 @@ def _words(k: int) -> Column:
     return F.flatten(F.transform(in_order, lambda b: b["w"]))
 
 
-def _passes(key: Column, words: Column, blocks: Column, k: int) -> Column:
-    first = _block(key, blocks) * k
-    return reduce(Column.__and__, [F.getbit(F.get(words, (first + i).cast("int")), _bit(key, i)) == F.lit(1) for i in range(k)])
+def _bits_set(first: Column, words: Column, key_bits: list[Column]) -> Column:
+    return reduce(Column.__and__, [F.getbit(F.get(words, (first + i).cast("int")), b) == F.lit(1) for i, b in enumerate(key_bits)])
 
 
 def hashes(fpr: float) -> int:
@@ -113,19 +117,29 @@ def value(keys: DataFrame, key_col: str, k: int, m: int | None = None, fpr: floa
     ``m`` bits; if not given, what P15 says for a sketch of the number of
     different keys, ``MAX_BITS`` at most. No job runs before the query does.
     """
-    if m is None:
-        bits = size_columns(keys.agg(F.approx_count_distinct(key_col, 0.02)).scalar(), fpr)[0]
-        bits = F.least(bits, F.lit(MAX_BITS).cast("long"))
-    else:
-        bits = F.lit(m).cast("long")
-    blocks = F.ceil(bits / (64 * k))
-    return _blocks(keys, key_col, blocks, k).agg(F.struct(F.count(F.lit(1)).alias("blocks"), _words(k).alias("words"))).scalar()
+    one = keys.sparkSession.range(1).select(F.lit(m).cast("long").alias("bits")) if m is not None else keys.agg(
+        F.least(size_columns(F.approx_count_distinct(key_col, 0.02), fpr)[0], F.lit(MAX_BITS).cast("long")).alias("bits"))
+    sized = one.select(F.ceil(F.col("bits") / (64 * k)).alias("blocks"))
+    blocks = F.lit(-(-m // (64 * k))).cast("long") if m is not None else sized.scalar()
+    return (_blocks(keys, key_col, blocks, k, sized).agg(F.struct(F.count(F.lit(1)).alias("blocks"), _words(k).alias("words"))).scalar())
+
+
+def keep(df: DataFrame, key_col: str, filt: Column, k: int) -> DataFrame:
+    """P13 on a ``value``: the rows of ``df`` whose key may be in it; a NULL key is not.
+
+    The filter stands in the plan once, as an element of a one-element array
+    that the test looks into, beside the key's two hashes.
+    """
+    key = F.col(key_col)
+    hashes_ = [F.xxhash64(F.lit(i), key).alias(f"h{i}") for i in range(-(-k // _FIELDS))]
+    tried = F.struct(F.col("_filter").alias("f"), F.xxhash64(key).alias("h"), *hashes_)
 
+    def test(x: Column) -> Column:
+        bits = [_field(x[f"h{i // _FIELDS}"], i) for i in range(k)]
+        return _bits_set(F.pmod(x["h"], x["f"]["blocks"]) * k, x["f"]["words"], bits)
 
-def passes(key: str | Column, filt: Column, k: int) -> Column:
-    """P13 on a ``value``: false only for a key that is not in it (NULL for a NULL key)."""
-    key = F.col(key) if isinstance(key, str) else key
-    return F.when(key.isNotNull(), _passes(key, filt["words"], filt["blocks"], k))
+    held = df.filter(key.isNotNull()).select("*", filt.alias("_filter"))
+    return held.filter(F.exists(F.array(tried), test)).select(*df.columns)
 
 
 def _slice_blocks(m: int, k: int) -> tuple[int, Column]:
@@ -136,7 +150,8 @@ def _slice_blocks(m: int, k: int) -> tuple[int, Column]:
 def build(keys: DataFrame, key_col: str, m: int, k: int) -> DataFrame:
     """P14 as a table: one row per slice, its words in one array. NULL keys are left out."""
     parts, blocks = _slice_blocks(m, k)
-    return _blocks(keys, key_col, blocks, k, parts).groupBy("_part").agg(_words(k).alias("_words"))
+    sized = keys.sparkSession.range(1).select(blocks.alias("blocks"))
+    return _blocks(keys, key_col, blocks, k, sized, parts).groupBy("_part").agg(_words(k).alias("_words"))
 
 
 def might_contain(df: DataFrame, key_col: str, filt: DataFrame, m: int, k: int) -> DataFrame:
@@ -150,4 +165,6 @@ def might_contain(df: DataFrame, key_col: str, filt: DataFrame, m: int, k: int)
     # The slice number in a struct: both sides are dealt for this join, so a hot key's slice can be split.
     slices = filt.withColumnRenamed("_part", "_slice")
     probe = tagged.join(slices, F.struct(F.col("_part").alias("p")) == F.struct(F.col("_slice").alias("p")), "inner")
-    return probe.filter(_passes(F.col(key_col), F.col("_words"), blocks, k)).select(*df.columns)
+    key = F.col(key_col)
+    test = _bits_set(_block(key, blocks) * k, F.col("_words"), [_bit(key, i) for i in range(k)])
+    return probe.filter(test).select(*df.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from quern.operators import bloom
+from quern.operators import bloom, ranges
 from quern.operators.agg import sorted_rows
 from quern.operators.sizing import hot_keys
 
@@ -162,7 +162,7 @@ def bloom_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     if m is None or k is None:
         m, k = None, bloom.hashes(fpr)
     if m is None or m <= bloom.MAX_BITS:
-        left = left.filter(bloom.passes(left_on, bloom.value(klist, "_key", k, m, fpr), k))
+        left = bloom.keep(left, left_on, bloom.value(klist, "_key", k, m, fpr), k)
     else:
         typed = right.withColumn(right_on, F.col(right_on).cast(key_type))
         right = bloom.might_contain(typed, right_on, bloom.build(klist, "_key", m, k), m, k)
@@ -280,4 +280,66 @@ def cogroup(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
     # Structs of NULLs are equal; both sides are dealt anew, so a hot key can be split.
     met = flow.join(counts, F.struct(flow[key_col].alias("k")) == F.struct(counts["_k"].alias("k")))
     out = met.select(key_col, "side", "left_row", "right_row", "n_left", "n_right")
-    return sorted_rows(out, [key_col, "side"], num_partitions)
+    return sorted_rows(out, [key_col, "side"], num_partitions, keys_of=flow)
+
+
+def cogroup_lists(left: DataFrame, right: DataFrame, left_on: str, right_on: str,
+                  left_cols: Sequence[str], right_cols: Sequence[str],
+                  left_order: Sequence[str], right_order: Sequence[str], key_col: str = "key",
+                  chunk_rows: int = 1000, buckets: int | None = None) -> DataFrame:
+    """The list of left rows and the list of right rows of each key, in numbered chunks.
+
+    One row per key and chunk: ``key_col``, ``chunk`` (from 0), ``n_left`` and
+    ``n_right`` (rows of the key on each side), ``left_rows`` and
+    ``right_rows``: arrays of structs, the side's rows from place chunk *
+    ``chunk_rows`` on in its order, ``chunk_rows`` at most. A key's chunks end
+    with its longer side; a side's list put together from its chunks is whole
+    and in order. ``left_order`` and ``right_order`` should tell a key's rows
+    of that side apart; rows that tie come in either order. NULL is a key like
+    any other.
+
+    No task, list or row holds a key: rows are placed by ranges of (key, side,
+    order), numbered inside each range, and the numbers go on from one range
+    to the next by the count of the range's last key, which is taken from the
+    rows at range ends before the rows are shuffled.
+    """
+    lcols, rcols = list(left_cols), list(right_cols)
+    ltype, rtype = _struct_type(left, lcols), _struct_type(right, rcols)
+    lorder, rorder = _struct_type(left, left_order), _struct_type(right, right_order)
+    one = left.select(F.col(left_on).alias("_key"), F.lit(0).alias("_side"),
+                      F.struct(*[F.col(c) for c in left_order]).alias("_lo"), F.lit(None).cast(rorder).alias("_ro"),
+                      F.struct(*[F.col(c) for c in lcols]).alias("_left"), F.lit(None).cast(rtype).alias("_right"))
+    two = right.select(F.col(right_on).alias("_key"), F.lit(1).alias("_side"),
+                       F.lit(None).cast(lorder).alias("_lo"), F.struct(*[F.col(c) for c in right_order]).alias("_ro"),
+                       F.lit(None).cast(ltype).alias("_left"), F.struct(*[F.col(c) for c in rcols]).alias("_right"))
+    flow, keys = one.unionByName(two), ["_key", "_side", "_lo", "_ro"]
+    bounds = ranges.sketch(flow, keys, buckets)
+    base = ranges.bucketed(flow, bounds, keys, most=buckets or ranges.MAX_BUCKETS)
+
+    # The last (key, side) of each bucket and its rows there; added up along its buckets, they come
+    # before the next bucket's rows of that (key, side).
+    ends = (base.filter(ranges.at_the_end(bounds, keys, 2)).groupBy("_bucket", "_key", "_side").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy("_bucket").agg(F.max_by("_n", F.struct("_key", "_side")).alias("_n"), F.max(F.struct("_key", "_side")).alias("_g")))
+    along = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = ends.select((F.col("_bucket") + 1).alias("_b"), F.col("_g").alias("_bg"), F.sum("_n").over(along).alias("_before"))
+
+    routed = base.repartition("_bucket")
+    if buckets:  # rows and counts are dealt alike, so the join deals neither again
+        routed, before = base.repartitionById(buckets, F.col("_bucket")), before.repartitionById(buckets, F.col("_b"))
+    inside = F.row_number().over(Window.partitionBy("_bucket", "_key", "_side").orderBy("_lo", "_ro"))
+    met = routed.withColumn("_in", inside).join(before, F.col("_bucket") == F.col("_b"), "left")
+    # Structs of NULLs are equal, so a NULL key finds its count as well.
+    going_on = F.when(F.struct(F.col("_key"), F.col("_side")) == F.col("_bg"), F.col("_before"))
+    at = F.coalesce(going_on, F.lit(0)) + F.col("_in") - 1
+    rows = met.select("_key", "_side", "_left", "_right", at.alias("_at")).withColumn("_chunk", F.floor(F.col("_at") / chunk_rows))
+
+    def listed(side: int, row: str) -> Column:
+        own = F.collect_list(F.when(F.col("_side") == side, F.struct("_at", row)))
+        return F.transform(F.array_sort(own), lambda r: r[row])
+
+    chunks = rows.groupBy("_key", "_chunk").agg(listed(0, "_left").alias("left_rows"), listed(1, "_right").alias("right_rows"))
+    counts = flow.groupBy(F.col("_key").alias("_k")).agg(
+        F.count_if(F.col("_side") == 0).alias("n_left"), F.count_if(F.col("_side") == 1).alias("n_right"))
+    # Both sides are dealt anew, so the many chunks of a hot key can be split.
+    out = chunks.join(counts, F.struct(chunks["_key"].alias("k")) == F.struct(counts["_k"].alias("k")))
+    return out.select(F.col("_key").alias(key_col), F.col("_chunk").alias("chunk"), "n_left", "n_right", "left_rows", "right_rows")

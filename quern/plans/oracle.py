@@ -147,6 +147,39 @@ SELECT nationkey, side, row_key, row_name,
 FROM flow
 """
 
+_COGROUP_LISTS = """
+WITH flow AS (
+  SELECT c_nationkey AS nationkey, 0 AS side, c_custkey AS row_key, c_name AS row_name,
+         (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 25 AS chunk FROM customer
+  UNION ALL
+  SELECT s_nationkey, 1, s_suppkey, s_name,
+         (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) // 25 FROM supplier),
+n AS (
+  SELECT nationkey, count(*) FILTER (side = 0) AS n_customers, count(*) FILTER (side = 1) AS n_suppliers
+  FROM flow GROUP BY nationkey)
+SELECT nationkey, chunk, n_customers, n_suppliers,
+       coalesce(string_agg(row_key || ':' || row_name, ',' ORDER BY row_key) FILTER (side = 0), '') AS customers,
+       coalesce(string_agg(row_key || ':' || row_name, ',' ORDER BY row_key) FILTER (side = 1), '') AS suppliers
+FROM flow JOIN n USING (nationkey) GROUP BY nationkey, chunk, n_customers, n_suppliers
+"""
+
+_TOKEN_STAGE_COUNTS = r"""
+WITH l AS (
+  SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                     ELSE regexp_split_to_array(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n')
+                END) AS v
+  FROM documents),
+s AS (
+  SELECT CASE WHEN v = '' THEN ['']
+              WHEN rtrim(v, ' ') = '' THEN []::VARCHAR[]
+              ELSE string_split(rtrim(v, ' '), ' ') END AS arr
+  FROM l),
+w AS (SELECT unnest(arr) AS word FROM s)
+SELECT 'map' AS stage, 'lines_in' AS metric, count(*) AS value FROM l
+UNION ALL SELECT 'reduce', 'groups_out', count(DISTINCT word) FROM w
+UNION ALL SELECT 'reduce', 'tokens', count(*) FROM w
+"""
+
 _LOOKUP = """
 SELECT c_custkey, c_name, c_nationkey, d.s_name
 FROM customer JOIN (SELECT s_nationkey, arg_max(s_name, (s_suppkey, s_name)) AS s_name FROM supplier GROUP BY s_nationkey) d
@@ -191,6 +224,8 @@ FROM customer LEFT JOIN orders o ON c_custkey = o.o_custkey
     "secondary_sort_join": _BUILDING_JOIN,
     "secondary_sort_layout": _SECONDARY_SORT_LAYOUT,
     "cogroup": _COGROUP,
+    "cogroup_lists": _COGROUP_LISTS,
+    "token_stage_counts": _TOKEN_STAGE_COUNTS,
     "bloom_sizing": _BLOOM_SIZING,
     "secondary_sort_routed": _SECONDARY_SORT_LAYOUT,
 }

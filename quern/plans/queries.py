@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import fields, lines
 from quern.operators import agg, bloom, joins, layout
+from quern.operators.metrics import StageCounts
 from quern.sources.sinks import tsv_line
 from quern.sources.text import parse_pairs, parse_table
 
@@ -69,21 +70,30 @@ def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def field_arity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the documents that split into exactly five fields.
-
-    Lines in and lines rejected are counted on the executors while the
-    query runs (``DataFrame.observe``), as the reference prints them.
-    """
+    """Lines of the documents that split into exactly five fields."""
     names = ["f0", "f1", "f2", "f3", "f4"]
-    out, _obs = parse_table(_document_lines(spark, sf_dir), names, keep=["doc_id"], observe="field_arity")
-    return out
+    return parse_table(_document_lines(spark, sf_dir), names, keep=["doc_id"])
 
 
 def field_arity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8 as a query: lines in and lines rejected by the five-field rule."""
-    parts = _document_lines(spark, sf_dir).select(fields("value").alias("_f"))
-    return parts.agg(F.count(F.lit(1)).alias("rows_in"),
-                     F.count_if(F.size("_f") != 5).alias("rows_rejected"))
+    """Lines in and lines rejected by the five-field rule, counted while the parse runs.
+
+    The parse is the action; its counts come back as a row.
+    """
+    counts = StageCounts()
+    out, obs = parse_table(_document_lines(spark, sf_dir), ["f0", "f1", "f2", "f3", "f4"], observe="field_arity")
+    counts.add("field_arity", obs)
+    return counts.run(out).row(spark, "field_arity")
+
+
+def token_stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 over A2: lines in, groups out and tokens of the single-space token count, as the reference prints them."""
+    lines_in = _document_lines(spark, sf_dir).select("value")
+    out, lines_obs, groups_obs = agg.token_count_observed(lines_in, "value", splitter="space", name="space_count")
+    counts = StageCounts()
+    counts.add("map", lines_obs)
+    counts.add("reduce", groups_obs)
+    return counts.run(out).rows(spark)
 
 
 def nonempty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,6 +307,21 @@ def cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("n_left").alias("n_customers"), F.col("n_right").alias("n_suppliers"))
 
 
+def cogroup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 as lists: each nation's customers and suppliers, in key order, in chunks of 25; the lists as text."""
+    cust = _customers(spark, sf_dir).select("c_custkey", "c_name", "c_nationkey")
+    sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey")
+    met = joins.cogroup_lists(cust, sup, "c_nationkey", "s_nationkey", ["c_custkey", "c_name"], ["s_suppkey", "s_name"],
+                              ["c_custkey"], ["s_suppkey"], key_col="nationkey", chunk_rows=25)
+
+    def text(rows: str, key: str, name: str) -> Column:
+        return F.array_join(F.transform(rows, lambda r: F.concat_ws(":", r[key], r[name])), ",")
+
+    return met.select("nationkey", "chunk", F.col("n_left").alias("n_customers"), F.col("n_right").alias("n_suppliers"),
+                      text("left_rows", "c_custkey", "c_name").alias("customers"),
+                      text("right_rows", "s_suppkey", "s_name").alias("suppliers"))
+
+
 QUERIES: dict[str, Query] = {
     "token_count": token_count,
     "space_split_count": space_split_count,
@@ -304,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "token_count_layout": token_count_layout,
     "field_arity_filter": field_arity_filter,
     "field_arity_counts": field_arity_counts,
+    "token_stage_counts": token_stage_counts,
     "nonempty_lines": nonempty_lines,
     "fields_limit": fields_limit,
     "parse_pairs": parse_pairs_lenient,
@@ -328,4 +354,5 @@ QUERIES: dict[str, Query] = {
     "secondary_sort_layout": secondary_sort_layout,
     "secondary_sort_routed": secondary_sort_routed,
     "cogroup": cogroup,
+    "cogroup_lists": cogroup_lists,
 }

@@ -51,9 +51,9 @@ def _rate(spark, n, fpr, **kw):
     keys = spark.range(n).select((F.col("id") * 7).alias("k"))
     k = bloom.hashes(fpr)
     filt = bloom.value(keys, "k", k, fpr=fpr, **kw)
-    assert keys.filter(bloom.passes("k", filt, k)).count() == n              # no false negative
+    assert bloom.keep(keys, "k", filt, k).count() == n              # no false negative
     others = spark.range(200_000).select((F.col("id") * 7 + 3).alias("k"))
-    return others.filter(bloom.passes("k", filt, k)).count() / 200_000
+    return bloom.keep(others, "k", filt, k).count() / 200_000
 
 
 def test_value_filter_sizes_itself_and_keeps_the_rate(spark):
@@ -70,7 +70,7 @@ def test_value_filter_at_its_bound_loses_no_member(spark, monkeypatch):
 def test_value_filter_of_no_keys_and_null_keys(spark):
     keys = spark.createDataFrame([(None,), (5,)], "k long")
     none, own, given = (bloom.value(keys.limit(0), "k", 7), bloom.value(keys, "k", 7), bloom.value(keys, "k", 7, m=64))
-    assert [keys.filter(bloom.passes("k", f, 7)).collect() for f in (none, own, given)] == [[], [(5,)], [(5,)]]
+    assert [bloom.keep(keys, "k", f, 7).collect() for f in (none, own, given)] == [[], [(5,)], [(5,)]]
 
 
 def test_a_block_is_k_neighbouring_words_with_one_bit_each(spark):

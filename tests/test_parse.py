@@ -61,6 +61,25 @@ def test_observed_counts_on_a_driver_table(spark):
     assert kept == want["rows_in"] - want["rows_rejected"]
 
 
+def test_stage_counts_come_back_as_rows(spark):
+    from pyspark.sql import functions as F
+
+    from quern.operators.metrics import StageCounts
+
+    counts = StageCounts()
+    lines = counts.watch(_lines(spark, ["a b", "c", "", "d e"]), "lines")
+    kept = counts.accept(lines, "arity", F.size(F.split("value", " ")) == 2).filter(F.size(F.split("value", " ")) == 2)
+    last = counts.watch(kept, "kept", n=F.count(F.lit(1)), longest=F.max(F.length("value")).cast("long"))
+    with pytest.raises(ValueError):
+        counts.add("kept", None)
+    assert last.count() == 2
+    assert rows(counts.rows(spark), order="keep") == [
+        ("lines", "rows", 4), ("arity", "rows_in", 4), ("arity", "rows_rejected", 2), ("kept", "n", 2), ("kept", "longest", 3)]
+    assert rows(counts.row(spark, "arity")) == [(4, 2)] and counts.row(spark, "arity").columns == ["rows_in", "rows_rejected"]
+    empty = StageCounts()
+    assert rows(empty.run(empty.watch(_lines(spark, []), "none")).rows(spark)) == [("none", "rows", 0)]
+
+
 def test_routed_layout_keeps_a_key_in_one_partition(spark):
     from pyspark.sql import functions as F
 

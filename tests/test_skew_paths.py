@@ -9,7 +9,7 @@ from oracle_compare import duck
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from quern.operators import agg, bloom, joins
+from quern.operators import agg, bloom, joins, ranges
 from quern.plans import QUERIES
 from quern.plans.queries import table
 
@@ -48,6 +48,66 @@ def test_cogroup_keeps_every_pair_and_spreads_a_hot_key(spark):
     assert len(sizes) > 3 and max(sizes) < 600     # no task holds the hot key
 
 
+@pytest.mark.parametrize("buckets", [None, 1, 7])
+def test_cogroup_lists_equal_brute_force(spark, monkeypatch, buckets):
+    monkeypatch.setattr(ranges, "BUCKET_ROWS", 150)                     # several buckets, found by rows, without a number
+    rnd = random.Random(6)
+    left = [(rnd.choice([0, 0, 0, None, 1, 2, 3, rnd.randrange(9, 60)]), i, f"l{i}") for i in range(1500)]
+    right = [(rnd.choice([0, 0, None, 2, 5, rnd.randrange(9, 60)]), i % 1000, i) for i in range(700)]
+    ldf = spark.createDataFrame(left, "lk long, lid long, name string").repartition(5)
+    rdf = spark.createDataFrame(right, "rk long, rid long, v long").repartition(3)
+    out = joins.cogroup_lists(ldf, rdf, "lk", "rk", ["lid", "name"], ["rid"], ["lid"], ["rid", "v"], chunk_rows=40, buckets=buckets)
+    got = {(r.key, r.chunk): r for r in out.collect()}
+    assert len(got) == out.count()
+    for key in {k for k, *_ in left} | {k for k, *_ in right}:
+        ls = sorted((i, n) for k, i, n in left if k == key)
+        rs = sorted((i, v) for k, i, v in right if k == key)
+        chunks = -(-max(len(ls), len(rs)) // 40)
+        assert (key, chunks) not in got
+        for c in range(chunks):
+            r = got.pop((key, c))
+            assert (r.n_left, r.n_right) == (len(ls), len(rs))
+            assert [tuple(x) for x in r.left_rows] == ls[40 * c:40 * c + 40]
+            assert [x.rid for x in r.right_rows] == [i for i, _ in rs[40 * c:40 * c + 40]]
+        if key == 0:
+            assert len(ls) > 80 and len(rs) > 80                        # a hot key: several chunks on each side
+    assert not got
+
+
+def test_cogroup_lists_spread_a_hot_key_over_tasks(spark):
+    # Every row one key: its rows are numbered in several tasks, and no list passes its bound.
+    left = spark.range(6000).selectExpr("1L AS lk", "id AS lid").repartition(4)
+    right = spark.range(3000).selectExpr("1L AS rk", "id AS rid").repartition(4)
+    out = joins.cogroup_lists(left, right, "lk", "rk", ["lid"], ["rid"], ["lid"], ["rid"], chunk_rows=100, buckets=8)
+    rows_ = out.orderBy("chunk").collect()
+    assert [r.chunk for r in rows_] == list(range(60)) and {(r.n_left, r.n_right) for r in rows_} == {(6000, 3000)}
+    assert [x.lid for r in rows_ for x in r.left_rows] == list(range(6000))
+    assert [x.rid for r in rows_ for x in r.right_rows] == list(range(3000))
+    flow = spark.range(6000).select(F.lit(1).alias("k"), "id")
+    placed = ranges.bucketed(flow, ranges.sketch(flow, ["k", "id"], 8), ["k", "id"], most=8)
+    sizes = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1500
+
+
+def test_first_of_run_shuffles_once_and_runs_no_job_early(spark, tiny_partitions):
+    ev = table(spark, SF, "events", "user_id", "ts", "event_id", "event_type")
+    for n in (None, 6):
+        spark.sparkContext.setJobGroup("plan a7", "building")
+        out = agg.first_of_run(ev, ["event_type"], ["ts", "event_id"], partition_cols=["user_id"], num_partitions=n)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan a7")) == []
+        spark.sparkContext.setJobGroup("run", "running")
+        tree = _tree(spark, out)
+        assert _exchanges_of_first_input(tree) == 1, tree
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["sorted_pairs", "sorted_pairs_by_two", "lookup_join_sorted", "cogroup"])
+def test_total_order_runs_its_input_once(spark, name):
+    plan = _final_plan(spark, QUERIES[name](spark, SF))
+    # No range exchange: that one would run everything below it a second time, for its sample.
+    assert "rangepartitioning" not in plan.lower() and "shufflepartitionidpassthrough" in plan.lower()
+
+
 def test_sorted_outputs_hold_their_order_across_partitions(spark):
     rnd = random.Random(1)
     pairs = spark.createDataFrame([(rnd.randrange(5), rnd.randrange(50)) for _ in range(3000)], "a long, b long").repartition(7)
@@ -134,20 +194,25 @@ def test_bloom_join_shuffles_the_left_once_and_runs_no_job_early(spark, tiny_par
             df = joins.bloom_join(left, right, "lk", "rk", keys, exact=exact, fpr=0.1, **given)
             assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan")) == []
             spark.sparkContext.setJobGroup("run", "running")
-            plan = _final_plan(spark, df)
-            main = plan.split("Subquery:")[0]
-            assert _exchanges_above(main, "AS lv#") == 1, main
-            assert "BroadcastExchange" not in main
+            tree = _tree(spark, df)
+            assert _exchanges_of_first_input(tree) == 1 and "Broadcast" not in tree, tree
             got = {r.lk for r in df.collect()}
             listed = set(range(0, 5000, 50))
             assert got == listed if exact else listed <= got
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def _exchanges_above(plan, leaf):
-    """Exchanges between the root and the line that holds ``leaf``, by the tree's indentation."""
-    lines = plan.splitlines()
-    at = next(i for i, line in enumerate(lines) if leaf in line)
+def _tree(spark, df):
+    """The executed tree of the main query, without its subqueries."""
+    df.collect()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode).partition("\n\n\n")[0].split("== Initial Plan ==")[0]
+
+
+def _exchanges_of_first_input(tree):
+    """Exchanges between the root and the first leaf, by the tree's indentation."""
+    lines = tree.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Scan" in line or "Range" in line)
     depth, count = len(lines[at]) - len(lines[at].lstrip(" :+-*")), 0
     for line in reversed(lines[:at]):
         d = len(line) - len(line.lstrip(" :+-*"))
