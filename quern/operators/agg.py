@@ -160,7 +160,7 @@ def first_of_run(df: DataFrame, run_cols: Sequence[str], order: Sequence[str],
     keys = [*partition_cols, *order]
     run_key = F.struct(*[F.col(c) for c in (*partition_cols, *run_cols)])
     bounds = ranges.sketch(df, keys, num_partitions)
-    base = ranges.bucketed(df, bounds, keys, most=num_partitions or ranges.MAX_BUCKETS)
+    base = ranges.bucketed(df, bounds, keys, most=num_partitions)
 
     tails = (base.filter(ranges.at_the_end(bounds, keys)).groupBy("_bucket")
              .agg(F.max_by(run_key, ranges.key_struct(keys)).alias("_tail")))

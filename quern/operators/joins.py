@@ -314,7 +314,7 @@ def cogroup_lists(left: DataFrame, right: DataFrame, left_on: str, right_on: str
                        F.lit(None).cast(ltype).alias("_left"), F.struct(*[F.col(c) for c in rcols]).alias("_right"))
     flow, keys = one.unionByName(two), ["_key", "_side", "_lo", "_ro"]
     bounds = ranges.sketch(flow, keys, buckets)
-    base = ranges.bucketed(flow, bounds, keys, most=buckets or ranges.MAX_BUCKETS)
+    base = ranges.bucketed(flow, bounds, keys, most=buckets)
 
     # The last (key, side) of each bucket and its rows there; added up along its buckets, they come
     # before the next bucket's rows of that (key, side).

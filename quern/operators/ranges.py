@@ -17,7 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a bucket, as far as no number of buckets is given; most buckets; sampled keys for each bucket.
-BUCKET_ROWS, MAX_BUCKETS, SAMPLES = 250_000, 1 << 16, 16
+BUCKET_ROWS, MAX_BUCKETS, SAMPLES = 50_000, 1 << 16, 16
+
+
+def most_buckets(df: DataFrame) -> int:
+    """Buckets that are worth having: 64 for each of the session's shuffle partitions, ``MAX_BUCKETS`` at most."""
+    return min(MAX_BUCKETS, 64 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def free_name(name: str, *taken: str) -> str:
@@ -33,18 +38,18 @@ def key_struct(keys: Sequence[str | Column]) -> Column:
     return F.struct(*[(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
-def sketch(df: DataFrame, keys: Sequence[str | Column], buckets: int | None = None, most: int = MAX_BUCKETS,
+def sketch(df: DataFrame, keys: Sequence[str | Column], buckets: int | None = None, most: int | None = None,
            by_row: bool = False) -> Column:
     """Bounds for the keys of ``df``: a struct of the arrays ``bounds`` and ``lasts``.
 
-    ``buckets`` of them, or one for every ``BUCKET_ROWS`` rows, ``most`` at
-    most. Keys are sampled by their hash, so the same table gives the same
+    ``buckets`` of them, or one for every ``BUCKET_ROWS`` rows, ``most``
+    (``most_buckets``) at most. Keys are sampled by their hash, so the same table gives the same
     bounds wherever the value is used; a key counts once, however often it is
     there. ``by_row`` samples rows instead, for keys that repeat, where no two
     uses must agree. ``lasts`` holds the last sampled key of each bucket: the
     bucket's greatest key is not below it.
     """
-    rows = F.count(F.lit(1))
+    rows, most = F.count(F.lit(1)), most or most_buckets(df)
     wanted = F.lit(buckets) if buckets else F.least(F.lit(most), F.ceil(rows / F.lit(BUCKET_ROWS)))
     every = df.agg(F.greatest(F.lit(1).cast("long"), F.call_function(
         "div", rows, F.greatest(F.lit(1), wanted).cast("long") * SAMPLES))).scalar()
@@ -66,19 +71,23 @@ def sketch(df: DataFrame, keys: Sequence[str | Column], buckets: int | None = No
     ).alias("ranges")).scalar()
 
 
-def bucketed(df: DataFrame, ranges: Column, keys: Sequence[str | Column], most: int = MAX_BUCKETS, name: str = "_bucket") -> DataFrame:
+def bucketed(df: DataFrame, ranges: Column, keys: Sequence[str | Column], most: int | None = None, name: str = "_bucket") -> DataFrame:
     """``df`` with the number of bounds that are not above each row's keys: 0 for the first bucket, ``most`` - 1 at most.
 
-    A step of the binary search is a projection of its own, so that each is
-    computed once; past the last bound ``get`` gives NULL and the step stays.
-    The generator keeps the search from being repeated where the column is used.
+    Each step of the binary search is a column that the next one refers to,
+    so that each is computed once; past the last bound ``get`` gives NULL and
+    the step stays. The generator keeps the search from being repeated where
+    the column is used.
     """
-    key, low = free_name("_range_key", *df.columns, name), free_name("_range_low", *df.columns, name)
-    out = df.select("*", key_struct(keys).alias(key), F.lit(0).alias(low))
-    for b in reversed(range(max(1, most - 1).bit_length())):
-        ahead = F.get(ranges["bounds"], F.col(low) + F.lit((1 << b) - 1)) <= F.col(key)
-        out = out.select(*df.columns, key, (F.col(low) + F.when(ahead, F.lit(1 << b)).otherwise(F.lit(0))).alias(low))
-    return out.select(*df.columns, F.explode(F.array(low)).alias(name))
+    most = most or most_buckets(df)
+    bits = list(reversed(range(max(1, most - 1).bit_length())))
+    key, *low = (free_name(n, *df.columns, name) for n in ("_range_key", *(f"_range_low{b}" for b in [*bits, "_0"])))
+    steps = [key_struct(keys).alias(key), F.lit(0).alias(low[0])]
+    for b, before, after in zip(bits, low, low[1:], strict=False):
+        ahead = F.get(ranges["bounds"], F.col(before) + F.lit((1 << b) - 1)) <= F.col(key)
+        steps.append((F.col(before) + F.when(ahead, F.lit(1 << b)).otherwise(F.lit(0))).alias(after))
+    out = df.select(*df.columns, *steps)
+    return out.select(*df.columns, F.explode(F.array(low[-1])).alias(name))
 
 
 def at_the_end(ranges: Column, keys: Sequence[str | Column], fields: int | None = None, name: str = "_bucket") -> Column:
