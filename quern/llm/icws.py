@@ -9,16 +9,15 @@ sets with the probability of their weighted Jaccard similarity; bands of
 samples make bucket keys, and texts that meet in a bucket are verified by
 the exact weighted Jaccard similarity of their sets.
 
-Equal texts are one node from the start. A bucket of a few nodes compares
-all of them. A larger one compares every node with a leader, the one that
-meets most others in its buckets; those alike are linked to it, and those
-that are not are a bucket again, with twice as many leaders each round,
-until none is left. Then texts of a bucket that are in different components
-and have not met are compared too, but for those that their similarities
-with a common leader prove apart (one minus the similarity is a metric). So
-the classes are those of comparing all pairs of each bucket, and a group of
-copies is not expanded into all its pairs. Components of the links are the
-classes.
+Equal texts are one node from the start. The nodes of a bucket are compared
+inside a task, all with all, by products of shingle matrices; only a star of
+links for each component found leaves it, so a group of copies is not expanded
+into its pairs and no text is shuffled once for each pair. A bucket of more
+than a block's nodes is cut into blocks, all of which also get a few leaders of
+the bucket. After that, a bucket's largest component need not meet itself, and
+only the nodes outside it are compared with the other blocks. So the classes
+are those of comparing all pairs of each bucket. Components of the links are
+the classes.
 """
 
 from __future__ import annotations
@@ -39,7 +38,10 @@ MIN_SIMILARITY = 0.8
 BANDS, BAND_SAMPLES = 10, 3
 FREQUENCY_BUCKETS = 1 << 18
 SMOOTHING = 3.0      # added to the idf, which lies between 0 and 1
-FEW = 8              # nodes of a bucket that are compared all with all
+BLOCK_NODES, BLOCK_SHINGLES = 2048, 4_000_000    # of a bucket, compared in one task
+LEADERS = 8          # nodes of a bucket of several blocks that are in all of them
+FEW = 64          # nodes of a bucket up to which equal buckets of several bands are found and compared once
+_CELLS = 4_000_000   # of a matrix held at once
 _TABLE = 1 << 16
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -186,18 +188,23 @@ def _described(hashed: DataFrame, idf) -> DataFrame:
 
 
 def _sets_of(hashed: DataFrame) -> DataFrame:
-    """``(node, ids, counts)``: the shingle set of each row of ``(node, _words)``, as bytes."""
+    """``(node, ids, counts, size)``: the shingle set of each row of ``(node, _words)``, as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices_of_longs(batches):
             sets = shingles(batch.column(1))
             cut = list(zip(sets.bounds, sets.bounds[1:]))
-            counts = np.minimum(sets.counts, 65535).astype(np.uint16)
+            counts = sets.counts.astype(np.uint16 if sets.counts.max(initial=0) < 1 << 16 else np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([sets.ids[a:b].tobytes() for a, b in cut], pa.binary()),
-                 pa.array([counts[a:b].tobytes() if (counts[a:b] > 1).any() else b"" for a, b in cut], pa.binary())],
-                names=["node", "ids", "counts"])
+                 pa.array([counts[a:b].tobytes() if (counts[a:b] > 1).any() else b"" for a, b in cut], pa.binary()),
+                 pa.array([b - a for a, b in cut], pa.int64())], names=["node", "ids", "counts", "size"])
 
-    return hashed.mapInArrow(run, "node long, ids binary, counts binary")
+    return hashed.mapInArrow(run, "node long, ids binary, counts binary, size long")
+
+
+def _counts(ids: np.ndarray, counts: bytes) -> np.ndarray:
+    """The counts of a set's shingles from their bytes, of two or four each (none: all 1)."""
+    return np.frombuffer(counts, f"u{len(counts) // len(ids)}").astype(np.uint32) if counts else np.ones(len(ids), np.uint32)
 
 
 def similarity(a: tuple[bytes, bytes], b: tuple[bytes, bytes], idf: np.ndarray) -> float:
@@ -205,7 +212,7 @@ def similarity(a: tuple[bytes, bytes], b: tuple[bytes, bytes], idf: np.ndarray)
     ids, w = [], []
     for own, count in (a, b):
         x = np.frombuffer(own, np.uint32)
-        c = np.frombuffer(count, np.uint16) if count else np.ones(len(x), np.uint16)
+        c = _counts(x, count)
         ids.append(x)
         w.append(weights(Sets(x, c, None), idf).astype(np.float64))
     at = np.searchsorted(ids[1], ids[0])
@@ -216,41 +223,153 @@ def similarity(a: tuple[bytes, bytes], b: tuple[bytes, bytes], idf: np.ndarray)
     return float(both / total) if total else 0.0
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, idf, min_similarity: float) -> DataFrame:
-    """``pairs`` (a, b) with their ``similarity``, and ``alike``: whether it is at least the least."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, *content = batch.columns
-            found = [similarity((x, cx), (y, cy), idf.value) for x, cx, y, cy in zip(*(c.to_pylist() for c in content))]
-            alike = [v >= min_similarity - 1e-9 for v in found]
-            yield pa.RecordBatch.from_arrays([a, b, pa.array(found, pa.float64()), pa.array(alike, pa.bool_())],
-                                             names=["a", "b", "similarity", "alike"])
+def _columns(sets: list[tuple[bytes, bytes]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, column, worth, total)``: the sets as entries of a 0/1 matrix whose columns have a weight, and their sums.
+
+    The least of two sets' weights of a shingle is the sum of its steps: a
+    column for each count of it that occurs, worth what that count adds, and
+    an entry in the columns up to a set's own count. Shingles of one set alone
+    have no column.
+    """
+    ids = [np.frombuffer(x, np.uint32) for x, _ in sets]
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in ids])
+    flat = np.concatenate(ids)
+    count = np.concatenate([_counts(x, c) for x, (_, c) in zip(ids, sets, strict=True)])
+    total = np.bincount(row, weights(Sets(flat, count, None), idf).astype(np.float64), minlength=len(sets))
+    _, at, times = np.unique(flat, return_inverse=True, return_counts=True)
+    own = times[at] > 1
+    row, flat, count = row[own], flat[own], count[own].astype(np.int64)
+    key, column = np.unique(flat.astype(np.int64) << 32 | count, return_inverse=True)    # by shingle, then count
+    new = np.concatenate([[True], key[1:] >> 32 != key[:-1] >> 32]) if len(key) else np.zeros(0, bool)
+    first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0)) if len(key) else np.zeros(0, np.int64)
+    w = weights(Sets((key >> 32).astype(np.uint32), key & 0xFFFFFFFF, None), idf).astype(np.float64)
+    worth = w - np.where(new, 0, np.concatenate([[0], w[:-1]])) if len(key) else w
+    steps = column - first[column] + 1
+    out = np.repeat(first[column], steps) + np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps)
+    return np.repeat(row, steps), out, worth, total
+
+
+def _common(row: np.ndarray, column: np.ndarray, worth: np.ndarray, n: int) -> np.ndarray:
+    """What every two of ``n`` rows have in common, as a matrix: common columns of many rows by products, of few by pairs."""
+    order = np.lexsort((row, column))
+    row, column = row[order], column[order]
+    degree = np.bincount(column, minlength=len(worth))
+    start = np.cumsum(degree) - degree
+    out = np.zeros((n, n), np.float32)
+    wide = np.flatnonzero(degree > max(2, n >> 4))
+    step = max(1, _CELLS // n)
+    for a in range(0, len(wide), step):
+        some = wide[a:a + step]
+        size = degree[some]
+        entry = np.repeat(start[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        cells = np.zeros((n, len(some)), np.float32)
+        cells[row[entry], np.repeat(np.arange(len(some)), size)] = 1
+        out += (cells * worth[some].astype(np.float32)) @ cells.T
+    for d in np.unique(degree[(degree > 1) & (degree <= max(2, n >> 4))]):
+        some = np.flatnonzero(degree == d)
+        i, j = np.triu_indices(d, 1)
+        step = max(1, _CELLS // len(i))
+        for a in range(0, len(some), step):
+            rows = row[start[some[a:a + step]][:, None] + np.arange(d)]
+            # Sums of the pairs met, not a cell for every two rows.
+            cell, of = np.unique(rows[:, i].ravel() * n + rows[:, j].ravel(), return_inverse=True)
+            more = np.bincount(of, np.repeat(worth[some[a:a + step]], len(i)))
+            out[cell // n, cell % n] += more
+            out[cell % n, cell // n] += more
+    return out
+
 
-    one = sets.select(F.col("node").alias("a"), F.col("ids").alias("ids_a"), F.col("counts").alias("counts_a"))
-    two = sets.select(F.col("node").alias("b"), F.col("ids").alias("ids_b"), F.col("counts").alias("counts_b"))
-    met = pairs.join(one, "a").join(two, "b").select("a", "b", "ids_a", "counts_a", "ids_b", "counts_b")
-    return met.mapInArrow(run, "a long, b long, similarity double, alike boolean")
+def alike_within(sets: list[tuple[bytes, bytes]], idf: np.ndarray, min_similarity: float) -> np.ndarray:
+    """Matrix of which two sets of ``_sets_of`` have a weighted Jaccard similarity of at least ``min_similarity``."""
+    row, column, worth, total = _columns(sets, idf)
+    common = _common(row, column, worth, len(sets))
+    rest = total[:, None] + total[None, :] - common
+    value = np.divide(common, rest, out=np.zeros_like(rest), where=rest > 0)
+    alike = value >= min_similarity
+    # Single precision leaves those near the threshold open.
+    for a, b in zip(*np.nonzero(np.triu(np.abs(value - min_similarity) < 1e-4, 1)), strict=True):
+        alike[a, b] = alike[b, a] = similarity(sets[a], sets[b], idf) >= min_similarity - 1e-9
+    return alike
+
+
+def stars(alike: np.ndarray) -> list[tuple[int, int]]:
+    """A star of links, (first, other), for every component of a symmetric matrix."""
+    out, free = [], np.ones(len(alike), bool)
+    for first in range(len(alike)):
+        if not free[first]:
+            continue
+        free[first] = False
+        edge = np.array([first])
+        while len(edge):
+            edge = np.flatnonzero(alike[edge].any(axis=0) & free)
+            free[edge] = False
+            out += [(first, int(e)) for e in edge]
+    return out
 
 
-def _unmet(seen: DataFrame, links: DataFrame, min_similarity: float) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components of ``links`` that ``seen`` does not prove apart.
+def _linked(members: DataFrame, sets: DataFrame, idf, min_similarity: float) -> DataFrame:
+    """Links (a, b) that connect what is alike among the nodes of each group of ``members`` (group, node).
 
-    ``seen`` holds the similarity of each node of a bucket with the bucket's first leader of each round.
+    Repeated members count once. A group is held by one task, so its size must be bounded.
     """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(nodes: list[int], own: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+            found = stars(alike_within(own, idf.value, min_similarity)) if len(own) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([nodes[a] for a, _ in found], pa.int64()),
+                                               pa.array([nodes[b] for _, b in found], pa.int64())], names=["a", "b"])
+
+        now, nodes, own = None, [], []
+        for batch in batches:
+            for group, node, x, c in zip(*(col.to_pylist() for col in batch.columns), strict=True):
+                if group != now:
+                    if len(own) > 1:
+                        yield links(nodes, own)
+                    now, nodes, own = group, [], []
+                if not nodes or nodes[-1] != node:
+                    nodes.append(node)
+                    own.append((x, c))
+        yield links(nodes, own)
+
+    met = members.join(sets.select("node", "ids", "counts"), "node").select("group", "node", "ids", "counts")
+    return met.repartition("group").sortWithinPartitions("group", "node").mapInArrow(run, "a long, b long")
+
+
+def _links(buckets: DataFrame, sets: DataFrame, idf, min_similarity: float) -> DataFrame:
+    """Links (a, b) whose components are those of all alike pairs that meet in a bucket (band, key, node, n)."""
+    few = (buckets.filter(F.col("n") <= FEW).groupBy("band", "key").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+           .select("nodes").distinct())
+    small = few.select(F.md5(F.array_join(F.col("nodes").cast("array<string>"), ",")).alias("group"), F.explode("nodes").alias("node"))
+
+    many = buckets.filter(F.col("n") > FEW).join(sets.select("node", "size"), "node")
+    spread = [F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"_l{i}") for i in range(LEADERS)]
+    shape = checkpointed(many.groupBy("band", "key").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"), *spread))
+    dealt = checkpointed(many.drop("n").join(shape.select("band", "key", "blocks"), ["band", "key"])
+                         .withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")))
+    several = shape.filter("blocks > 1")
+    leaders = several.select("band", "key", F.explode(F.array(*[f"_l{i}" for i in range(LEADERS)])).alias("node"),
+                             F.sequence(F.lit(0), F.col("blocks") - 1).alias("b"))
+    in_all = leaders.select("band", "key", "node", F.explode("b").alias("block"))
+    large = (dealt.select("band", "key", "node", "block").unionByName(in_all)
+             .select(F.concat_ws(":", "band", "key", "block").alias("group"), "node"))
+    links = checkpointed(_linked(small.unionByName(large), sets, idf, min_similarity))
+    if several.isEmpty():
+        return links
+
+    # The nodes outside a bucket's largest component, in chunks, meet the bucket's blocks.
     roots = components(links, "a", "b")
-    own = (seen.groupBy("band", "key", "node").agg(F.sort_array(F.collect_list(F.struct("round", "similarity"))).alias("s"))
-           .select("band", "key", "node", F.col("s.similarity").alias("seen")))
-    own = checkpointed(own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    sizes = own.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n"))
-    # The bucket's largest component need not meet itself; one of all nodes meets nothing.
-    main = sizes.groupBy("band", "key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("n"))
-    mixed = checkpointed(own.join(main.filter("n > 1").drop("n"), ["band", "key"]))
-    x = mixed.filter("root <> main").select("band", "key", F.col("node").alias("x"), F.col("root").alias("root_x"), F.col("seen").alias("seen_x"))
-    y = mixed.select("band", "key", F.col("node").alias("y"), F.col("root").alias("root_y"), F.col("seen").alias("seen_y"))
-    apart = F.exists(F.zip_with("seen_x", "seen_y", lambda u, v: F.abs(u - v)),
-                     lambda d: F.coalesce(d > 1 - min_similarity + 1e-6, F.lit(False)))
-    return (x.join(y, ["band", "key"]).filter((F.col("root_x") != F.col("root_y")) & ~apart)
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    own = checkpointed(dealt.filter("blocks > 1").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    main = own.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    outside = checkpointed(own.join(main, ["band", "key"]).filter("root <> main"))
+    chunks = checkpointed(outside.groupBy("band", "key").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("chunks")))
+    asked = (outside.join(chunks, ["band", "key"])
+             .withColumn("chunk", F.pmod(F.xxhash64("node", F.lit("chunk")), F.col("chunks")).cast("int"))
+             .select("band", "key", "node", "chunk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+    held = (own.join(chunks, ["band", "key"])
+            .select("band", "key", "node", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "block"))
+    both = asked.unionByName(held).select(F.concat_ws(":", "band", "key", "block", "chunk").alias("group"), "node").distinct()
+    return links.unionByName(checkpointed(_linked(both, sets, idf, min_similarity)))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -297,39 +416,7 @@ def classes_of(docs: DataFrame, id_col: str, text_col: str, min_similarity: floa
                .agg(F.first("node").alias("node"), F.first("_text").alias("_text")))
     sets = checkpointed(_sets_of(content.select("node", word_hashes("_text").alias("_words"))))
 
-    few = buckets.filter(F.col("n") <= FEW)
-    other = few.select("band", "key", F.col("node").alias("b"))
-    pairs = few.select("band", "key", F.col("node").alias("a")).join(other, ["band", "key"]).filter("a < b").select("a", "b")
-    links = checkpointed(_verified(checkpointed(pairs.distinct()), sets, idf, min_similarity).filter("alike").select("a", "b"))
-    # A text of a group's middle meets more of the group in its buckets than one of its edge.
-    middle = buckets.groupBy("node").agg(F.sum("n").alias("met"))
-    many = checkpointed(buckets.filter(F.col("n") > FEW).join(middle, "node"))
-    leaders_each, judged_all, seen = 1, None, None
-    while not many.isEmpty():
-        first = many.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.max_by("node", F.struct("met", "node")).alias("first"))
-        own = checkpointed(many.drop("n").join(checkpointed(first), ["band", "key"]))
-        more = F.pmod(F.xxhash64("node", F.lit(leaders_each)), F.col("n")) < leaders_each - 1
-        leaders = checkpointed(own.filter((F.col("node") == F.col("first")) | more).select("band", "key", F.col("node").alias("leader")))
-        meet = checkpointed(own.select("band", "key", "node").join(leaders, ["band", "key"]).filter("node <> leader")
-                            .select("band", "key", "node", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")))
-        compared = checkpointed(_verified(checkpointed(meet.select("a", "b").distinct()), sets, idf, min_similarity))
-        judged = compared.filter("alike")
-        of_first = (meet.join(own.filter("node = first").select("band", "key", "first"), ["band", "key"])
-                    .filter((F.col("first") == F.col("a")) & (F.col("node") == F.col("b"))
-                            | (F.col("first") == F.col("b")) & (F.col("node") == F.col("a"))).join(compared, ["a", "b"]))
-        now = (of_first.select("band", "key", "node", F.lit(leaders_each).alias("round"), "similarity")
-               .unionByName(own.filter("node = first").select("band", "key", "node", F.lit(leaders_each).alias("round"), F.lit(1.0).alias("similarity"))))
-        seen = now if seen is None else seen.unionByName(now)
-        judged_all = compared.select("a", "b") if judged_all is None else judged_all.unionByName(compared.select("a", "b"))
-        links = links.unionByName(judged.select("a", "b"))
-        # Who is like a leader is done with, as are the leaders; the others are a bucket again.
-        done = (meet.join(judged, ["a", "b"]).select("band", "key", "node")
-                .unionByName(leaders.select("band", "key", F.col("leader").alias("node"))))
-        many = checkpointed(own.select("band", "key", "node", "met", "n").join(done, ["band", "key", "node"], "left_anti"))
-        leaders_each *= 2
-    if seen is not None:
-        rest = _unmet(seen, links, min_similarity).join(judged_all, ["a", "b"], "left_anti")
-        links = links.unionByName(checkpointed(_verified(checkpointed(rest), sets, idf, min_similarity).filter("alike").select("a", "b")))
+    links = _links(buckets, sets, idf, min_similarity)
     roots = components(links, "a", "b")
     own = nodes.select("node", "digest", "least_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Of each class the least id, and of texts that share it the least digest; NULL ids come last.

@@ -99,3 +99,79 @@ def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert icws.near_duplicates(df).count() == 0
     assert icws.near_duplicates(spark.createDataFrame([(1, None, "")], SCHEMA)).collect()[0]["class_id"] == 1
+
+
+def spread_texts(seed, n):
+    """Texts around the threshold: one text with 1 to 6 edits, one that repeats itself, and strangers."""
+    rnd = random.Random(seed)
+    base, again = text(rnd, 250), "a b c d e f g h " * 40
+    out = [edited(rnd, base, rnd.randrange(1, 7)) for _ in range(n)] + [edited(rnd, again, rnd.randrange(1, 7)) for _ in range(n // 3)]
+    return out + [text(rnd, rnd.randrange(1, 90)) for _ in range(n // 3)]
+
+
+def test_matrix_similarity_is_the_weighted_jaccard():
+    idf = icws.idf_table(np.arange(icws.FREQUENCY_BUCKETS) % 50, 60)
+    texts = spread_texts(3, 60) + ["", "one two", "one two"]
+    s = sets_of(texts)
+    raw = [(s.ids[x:y].tobytes(), s.counts[x:y].astype(np.uint32).tobytes() if (s.counts[x:y] > 1).any() else b"")
+           for x, y in zip(s.bounds, s.bounds[1:])]
+    alike = icws.alike_within(raw, idf, 0.8)
+    for i in range(len(raw)):
+        for j in range(i):
+            assert alike[i, j] == alike[j, i] == (icws.similarity(raw[i], raw[j], idf) >= 0.8 - 1e-9)
+
+
+def test_counts_beyond_two_bytes_are_not_cut():
+    idf = icws.idf_table(np.zeros(icws.FREQUENCY_BUCKETS, np.int64), 9)
+    one = np.array([7, 9], np.uint32).tobytes()
+    few, many = (np.array(c, np.uint32).tobytes() for c in ([70_000, 1], [4_000_000_000, 1]))
+    assert icws.similarity((one, few), (one, many), idf) < 1
+    assert abs(icws.similarity((one, few), (one, few), idf) - 1) < 1e-6
+
+
+def test_blocks_give_the_classes_of_all_pairs(spark, monkeypatch):
+    texts = list(dict.fromkeys(spread_texts(5, 90)))
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA)
+    got = {}
+    for few, block in ((64, 2048), (2, 2048), (2, 12), (6, 25)):
+        monkeypatch.setattr(icws, "FEW", few)
+        monkeypatch.setattr(icws, "BLOCK_NODES", block)
+        got[few, block] = sorted(tuple(r) for r in icws.near_duplicates(df).collect())
+    assert len({tuple(v) for v in got.values()}) == 1                       # however the buckets are cut
+
+    # Against all pairs, not only those that meet; the frequencies are those of this table.
+    hashed = df.select(df.doc_id.alias("node"), icws.word_hashes("text").alias("_words"))
+    idf = icws.idf_table(icws.document_frequencies(hashed), len(texts))
+    weighted = []
+    for r in icws._sets_of(hashed).orderBy("node").collect():
+        ids = np.frombuffer(r.ids, np.uint32)
+        w = icws.weights(icws.Sets(ids, icws._counts(ids, r.counts), None), idf)
+        weighted.append(dict(zip(ids.tolist(), w.tolist(), strict=True)))
+    found = {}
+    for i, c, _ in got[64, 2048]:
+        found.setdefault(c, set()).add(i)
+    want, links, met = all_pairs(weighted, found)
+    assert links > 300 and met >= 0.95 * links, (links, met)
+    assert len({frozenset(v) for v in found.values()} ^ want) <= 4
+
+
+def all_pairs(weighted, found):
+    """Classes of all pairs, their number of links, and how many of these ``found`` (class -> members) joins."""
+    class_of = {i: c for c, own in found.items() for i in own}
+    root = list(range(len(weighted)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    links = met = 0
+    for i, x in enumerate(weighted):
+        for j in range(i):
+            y = weighted[j]
+            both = sum(min(w, y[k]) for k, w in x.items() if k in y)
+            if both / (sum(x.values()) + sum(y.values()) - both) >= 0.8:
+                links += 1
+                met += class_of[i] == class_of[j]
+                root[find(i)] = find(j)
+    return {frozenset(i for i in range(len(weighted)) if find(i) == r) for r in map(find, range(len(weighted)))}, links, met
