@@ -75,8 +75,8 @@ def words(text: str | Column) -> Column:
     return F.regexp_extract_all(F.coalesce(col, F.lit("")), F.lit(r"\P{IsWhite_Space}+"), F.lit(0))
 
 
-def slices(batches: Iterator[pa.RecordBatch], pieces: str) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that each holds about ``SLICE_CHARS`` bytes of pieces, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], pieces: str, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that each holds about ``SLICE_CHARS`` bytes of pieces, and ``most`` pieces if given, or one row."""
     for batch in batches:
         arr = batch.column(batch.schema.get_field_index(pieces))
         if len(arr) == 0:
@@ -88,6 +88,8 @@ def slices(batches: Iterator[pa.RecordBatch], pieces: str) -> Iterator[pa.Record
         start = 0
         while start < len(arr):
             stop = int(np.searchsorted(at, at[start] + SLICE_CHARS, side="right")) - 1
+            if most:
+                stop = min(stop, int(np.searchsorted(ends, ends[start] + most, side="right")) - 1)
             stop = min(len(arr), max(start + 1, stop))
             yield batch.slice(start, stop - start)
             start = stop

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import checkpointed, words
 from quern.llm.graph import components
+from quern.operators.ranges import free_name
 
 WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -435,12 +436,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of repeated rows one stays; rows with NULL texts all stay.
     """
     classes = checkpointed(classes_of(docs, id_col, text_col, min_similarity))
-    stay = (classes.filter("digest IS NOT NULL").select(F.col("class_id").alias("_class_id"), F.col("class_digest").alias("_class_digest"))
+    id_name, digest_name = (free_name(n, *docs.columns) for n in ("_class_id", "_class_digest"))
+    stay = (classes.filter("digest IS NOT NULL").select(F.col("class_id").alias(id_name), F.col("class_digest").alias(digest_name))
             .distinct())
     digest = F.md5(docs[text_col].cast("binary"))
     # The join's keys are the rows' own ids and texts, so no class is a hot key.
     own = docs.filter(docs[text_col].isNotNull())
-    kept = own.join(stay, docs[id_col].eqNullSafe(F.col("_class_id")) & (digest == F.col("_class_digest")))
+    kept = own.join(stay, docs[id_col].eqNullSafe(F.col(id_name)) & (digest == F.col(digest_name)))
     names = [F.first(own[c]).alias(c) for c in docs.columns]
-    one = kept.groupBy("_class_id", "_class_digest").agg(*names).select(*docs.columns)
+    one = kept.groupBy(id_name, digest_name).agg(*names).select(*docs.columns)
     return one.unionByName(docs.filter(docs[text_col].isNull()))

@@ -25,11 +25,13 @@ from pyspark.sql import types as T
 
 from quern.llm.common import distinct_pieces, gather_ranges, slices, words
 from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labelled, sigmoid
+from quern.operators.ranges import free_name
 
 COLUMNS = 1 << 18
 TRAIN_ROWS = 3000              # labelled documents of each class that training reads, at most
 LEVELS = (0.0, 0.02, 0.1, 0.3)  # shares of a document's n-grams that have an indicator
 COST = 1.0
+SLICE_WORDS = 250_000          # words whose indicators a task holds at once (or one text's); bounds its memory
 CHUNK_CHARS, CHUNK_SYMBOLS = 200, 12  # of a word that is one symbol; longer words are several
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -118,7 +120,7 @@ def indicators(arr: pa.ListArray, codes: dict[str, int]) -> Rows:
         same[1:][inner & (index[1:] == index[:-1])] = 2
     symbol = _mix((each[index] if n else np.zeros(0, np.uint64)) + same * _MIX[1])
     total = np.maximum(np.diff(bounds), 1)
-    found_rows, found_columns = [], []
+    found = []  # row * COLUMNS + column, each once, one order and level at a time
     gram = symbol
     for k in range(3):
         if k:
@@ -133,10 +135,10 @@ def indicators(arr: pa.ListArray, codes: dict[str, int]) -> Rows:
         key, row = key[start], row[start]
         share = count / total[row]
         for level, least in enumerate(LEVELS):
-            hit = share >= least if level else np.ones(len(row), bool)
-            found_rows.append(row[hit])
-            found_columns.append((_mix(key[hit] + np.uint64(level)) % np.uint64(COLUMNS)).astype(np.int64))
-    flat = np.unique(np.concatenate(found_rows) * COLUMNS + np.concatenate(found_columns))
+            hit = share >= least if level else slice(None)
+            column = (_mix(key[hit] + np.uint64(level)) % np.uint64(COLUMNS)).astype(np.int64)
+            found.append(np.unique(row[hit] * COLUMNS + column))
+    flat = np.unique(np.concatenate(found))
     row, column = flat // COLUMNS, (flat % COLUMNS).astype(np.int32)
     return Rows(np.searchsorted(row, np.arange(len(arr) + 1)), column, np.ones(len(column), np.float32))
 
@@ -206,7 +208,7 @@ def train_on(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fol
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, int] = {}
-        for batch in slices(batches, "_words"):
+        for batch in slices(batches, "_words", SLICE_WORDS):
             x = indicators(batch.column(2), codes)
             own = [x.columns[a:b] for a, b in zip(x.bounds, x.bounds[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32()))],
@@ -223,18 +225,18 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
     """``docs``, all columns and rows kept, with the score of each whole text in column ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
-    names = schema.names
+    names, cut = schema.names, free_name("_quality_words", *schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[str, int] = {}
-        for batch in slices(batches, "_quality_words"):
+        for batch in slices(batches, cut, SLICE_WORDS):
             if len(codes) > 100_000:
                 codes.clear()
             last = batch.num_columns - 1
             scores = score(indicators(batch.column(last), codes), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(scores)], names=names)
 
-    return docs.withColumn("_quality_words", words(text_col)).mapInArrow(run, schema)
+    return docs.withColumn(cut, words(text_col)).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, model: Model, folds: int = 3, held_out: int = 1, threshold: float = 0.5,

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from quern.llm.common import distinct_pieces, slices, words
 from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labelled, sigmoid
+from quern.operators.ranges import free_name
 
 TRAIN_ROWS = 1200         # labelled documents of each class that training reads, at most
 TRAIN_CHARS = 20_000      # longer labelled documents are not read for training
@@ -280,7 +281,7 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
     """``docs``, all columns and rows kept, with the score of each whole text in column ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
-    names = schema.names
+    names, column = schema.names, free_name("_toxic_words", *schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -293,7 +294,7 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
             at = np.cumsum([0] + [len(c) for c in cut])
             known.update(zip(words, np.maximum.reduceat(flat, at[:-1]).tolist() if len(words) else [], strict=True))
 
-        for batch in slices(batches, "_toxic_words"):
+        for batch in slices(batches, column):
             if len(known) > MEMORY_WORDS:
                 known.clear()
             last = batch.num_columns - 1
@@ -316,7 +317,7 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
             scores = sigmoid(model.slope * worst + model.offset)
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(scores)], names=names)
 
-    return docs.withColumn("_toxic_words", words(text_col)).mapInArrow(run, schema)
+    return docs.withColumn(column, words(text_col)).mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, model: Model, folds: int = 4, held_out: int = 2, threshold: float = 0.3,

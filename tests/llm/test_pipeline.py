@@ -55,6 +55,21 @@ def test_odd_rows(spark):
                 assert sorted((r["doc_id"] or 0 for r in got)) == [0, 1, 3, 4, 5, 6]
 
 
+def test_columns_named_like_the_stages_own(spark):
+    names = ["_quality_words", "_toxic_words", "_class_id", "_class_digest", "_text", "_words", "node", "id", "digest", "place"]
+    rows = [(1, "Same text of some words here.", *"abcdefghij"), (2, "Same text of some words here.", *"bbcdefghij"), (3, None, *"cbcdefghij")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for name, stage in cp.STAGES:
+        out = stage(spark, table, SF)
+        got = sorted(tuple(r) for r in out.collect())
+        if name == "packing":
+            assert len({r[0] for r in got}) == 3
+        else:
+            assert out.columns == table.columns and set(got) <= set(rows)
+        if name == "near_duplicates":
+            assert got == [rows[0], rows[2]]
+
+
 def test_run(spark):
     rows = cp.run(spark, SF).collect()
     assert rows and len({r["sequence_id"] for r in rows}) <= -(-sum(r["length"] for r in rows) // 2048) + 1

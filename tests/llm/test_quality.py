@@ -52,6 +52,14 @@ def test_long_words_are_read_whole():
     assert quality.shapes("It's") == [("It's", "Aa'a")] and quality.shapes("USA!!!") == [("USA!!!", "AA!!")]
 
 
+def test_slices_are_bounded_by_words():
+    short = pa.array([["w"] * 90_000, ["a"] * 200_000, ["b"] * 400_000, [], ["c"] * 10])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), short], names=["id", "w"])
+    got = [b.column(0).to_pylist() for b in common.slices(iter([batch]), "w", quality.SLICE_WORDS)]
+    assert got == [[0], [1], [2], [3, 4]] and sum(got, []) == list(range(5))
+    assert [b.num_rows for b in common.slices(iter([batch]), "w")] == [5]
+
+
 def test_odd_rows(spark):
     docs = [(1, "Good text here.", "c"), (1, "Good text here.", "c"), (2, "", "c"), (3, None, "c"), (None, "no id", "c"),
             (4, "w " * 50_000, "c"), (5, "z" * 100_000, "c"), (6, "BAD!! BAD!!", "c"), (7, "WORSE!! BAD!!", "c"), (8, "Fine, too.", "c")]
