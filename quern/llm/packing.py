@@ -20,6 +20,7 @@ the pieces of a length, and only the length table reaches the driver.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -28,23 +29,47 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.common import byte_symbols, checkpointed, distinct_pieces, gather_ranges, row_sums, slices, token_pieces
+from quern.operators.ranges import free_name
 
 CAPACITY = 2048
 CLOSING_ID = 0
 MEMORY_PIECES = 250_000   # distinct pieces whose ids a task remembers; bounds its memory
 
 
+def added_token_ids(tokenizer_json: str) -> dict[str, int]:
+    """The tokenizer's added tokens, which its encoding cuts out of a text before all else, with their ids."""
+    found = json.loads(tokenizer_json)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in found):
+        raise ValueError("added tokens that take blanks with them, or are whole words only, are not supported")
+    return {t["content"]: t["id"] for t in found}
+
+
+def pieces_with_added(text: Column, added: dict[str, int]) -> Column:
+    """``token_pieces`` of what stands between the added tokens of a text, and these tokens as pieces, in order."""
+    if not added:
+        return token_pieces(text)
+    # Java's quoting; of tokens that begin alike the longest.
+    any_token = "|".join(r"\Q" + t.replace(r"\E", r"\E\\E\Q") + r"\E" for t in sorted(added, key=lambda t: (-len(t), t)))
+    text = F.coalesce(text, F.lit(""))
+    met = F.regexp_extract_all(text, F.lit(any_token), F.lit(0))
+    between = F.transform(F.split(text, any_token, -1), lambda part, i: F.concat(token_pieces(part), F.slice(met, i + 1, 1)))
+    return F.when(text.rlike(any_token), F.flatten(between)).otherwise(token_pieces(text))
+
+
 def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, closing_id: int = CLOSING_ID,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """``(id, piece, start, length, ids_crc32)`` for each piece of each document.
 
     The tokenizer works within the pattern's pieces, so encoding each
-    distinct piece of a batch once gives the ids of every whole text.
+    distinct piece of a batch once gives the ids of every whole text. With
+    ``added_tokens`` the tokenizer's added tokens in a text get their own ids,
+    as its ``encode`` does; without, they are text like any other.
     """
+    added = added_token_ids(tokenizer_json) if added_tokens else {}
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
     id_type = docs.schema[id_col].dataType
 
@@ -63,7 +88,8 @@ def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACI
             if len(known) > MEMORY_PIECES:
                 known, flat, size = {}, flat[:0], size[:0]
             new = [w for w in strings if w not in known]
-            coded = [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(symbols))] for w in new]
+            coded = [[added[w]] if w in added else [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(symbols))]
+                     for w in new]
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             size = np.append(size, np.fromiter(map(len, coded), np.int64, len(coded)))
             flat = np.append(flat, np.fromiter(chain.from_iterable(coded), "<u4"))
@@ -85,7 +111,7 @@ def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACI
                  *(pa.array(c, pa.int64()) for c in rows[2:])],
                 names=[id_col, "piece", "start", "length", "ids_crc32"])
 
-    cut = docs.select(docs[id_col], token_pieces(docs[text_col]).alias("_pieces"))
+    cut = docs.select(docs[id_col], pieces_with_added(docs[text_col], added).alias("_pieces"))
     return cut.mapInArrow(
         run, f"`{id_col}` {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
@@ -163,10 +189,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[Slots],
 def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: no sequence over ``capacity``, none with a hole.
 
-    Needs a ``length`` column between 1 and ``capacity``. ``pieces`` must be
-    stable between jobs (a checkpoint), as it is read for the counts and again
-    for the places.
+    Needs a ``length`` column between 1 and ``capacity``. Pieces are ranked by
+    the part they were written in, whose number the table written here holds.
     """
+    names = pieces.columns
+    part = free_name("_part", *names)
+    pieces = checkpointed(pieces.withColumn(part, F.spark_partition_id()))
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots, _ = plan(counts, capacity)
@@ -174,33 +202,33 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     table = F.broadcast(spark.createDataFrame(
         slots or [Slots(0, 0, 0, 0, 1, 0)],
         "_length long, _rank long, _count long, _bin long, _per_bin long, _offset long"))
-    by_part = pieces.withColumn("_part", F.spark_partition_id())
-    in_part = Window.partitionBy("_part", "length").orderBy(*pieces.columns)
-    before = (by_part.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("_n"))
+    in_part = Window.partitionBy(part, "length").orderBy(*names)
+    before = (pieces.groupBy(part, "length").agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_before", F.sum("_n").over(
-                  Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-              .select("_part", "length", F.coalesce("_before", F.lit(0)).alias("_before")))
-    ranked = (by_part.withColumn("_in", F.row_number().over(in_part) - 1)
-              .join(before, ["_part", "length"])
+                  Window.partitionBy("length").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)))
+              .select(part, "length", F.coalesce("_before", F.lit(0)).alias("_before")))
+    ranked = (pieces.withColumn("_in", F.row_number().over(in_part) - 1)
+              .join(before, [part, "length"])
               .withColumn("_r", F.col("_before") + F.col("_in")))
     placed = ranked.join(table, (F.col("length") == F.col("_length")) & (F.col("_r") >= F.col("_rank"))
                          & (F.col("_r") < F.col("_rank") + F.col("_count")))
     k = F.col("_r") - F.col("_rank")
     return placed.select(
-        *[F.col(c) for c in pieces.columns],
+        *[F.col(c) for c in names],
         (F.col("_bin") + F.floor(k / F.col("_per_bin"))).cast("long").alias("sequence_id"),
         (F.col("_offset") + (k % F.col("_per_bin")) * F.col("length")).cast("long").alias("offset"))
 
 
 def pack(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, closing_id: int = CLOSING_ID,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", added_tokens: bool = False) -> DataFrame:
     """Per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
     A NULL or empty text is its closing id alone (one piece of length 1).
     Repeated rows and repeated or NULL ids are packed row by row; ties between
     equal lengths are broken by partition, then by the row's columns; an empty table gives no rows;
-    other columns are not read. ``capacity`` must be positive.
+    other columns are not read. ``capacity`` must be positive. With
+    ``added_tokens`` the tokenizer's added tokens in a text get their own ids.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    return assign(checkpointed(token_id_pieces(docs, tokenizer_json, capacity, closing_id, id_col, text_col)), capacity)
+    return assign(token_id_pieces(docs, tokenizer_json, capacity, closing_id, id_col, text_col, added_tokens), capacity)

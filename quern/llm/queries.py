@@ -55,7 +55,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens by large-item matching and best fit."""
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
     with open(BYTE_VOCABULARY, encoding="utf-8") as f:
-        return packing.pack(docs, f.read())
+        return packing.pack(docs, f.read(), added_tokens=True)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

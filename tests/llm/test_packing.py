@@ -1,5 +1,6 @@
 """Operator 7: the plan against a bin-by-bin model, and whole documents against the tokenizer."""
 
+import json
 import zlib
 
 import numpy as np
@@ -87,6 +88,32 @@ def test_pack(spark):
     assert len(bins) <= sum(n for p in bins.values() for _, n in p) / 64 + 1
 
 
+def test_added_tokens_get_their_own_ids(spark):
+    tok = Tokenizer.from_str(JSON)
+    assert tok.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "end <|endoftext|", "  <|endoftext|>\n", None, "",
+             "<|endoftext|>'s 12<|endoftext|>3 é<|endoftext|>", "no token " * 50, "w <|endoftext|> " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in packing.pack(df, JSON, 512, added_tokens=True).collect())
+    want = []
+    for i, t in enumerate(texts):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        cuts = [0, *range(len(ids) % 512 or 512, len(ids) + 1, 512)] if len(ids) > 512 else [0, len(ids)]
+        want += [(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert got == want
+
+
+def test_two_added_tokens_of_which_one_begins_the_other(spark):
+    spec = json.loads(JSON)
+    plain = spec["added_tokens"][0]
+    spec["added_tokens"] += [{**plain, "id": 50257, "content": "<|end"}, {**plain, "id": 50258, "content": "[x].*"}]
+    tok = Tokenizer.from_str(json.dumps(spec))
+    df = spark.createDataFrame([(1, "a<|end b<|endoftext|>[x].*c [x] <|endo")], "doc_id long, text string")
+    got = packing.pack(df, json.dumps(spec), added_tokens=True).first()
+    ids = [*tok.encode(df.first().text, add_special_tokens=False).ids, 0]
+    assert (got.length, got.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(df, JSON).count() == 0
