@@ -14,6 +14,13 @@ pieces of its batches:
 
 A piece is encoded apart from its neighbours, so the ids of a document are
 its pieces' ids in order, whatever its length.
+
+A long piece is cut into chunks that are encoded apart, all in one query. A cut
+is right if no merge would ever cross it, and that shows on the two tokens at
+the cut alone: merges inside a token do not depend on what stands beside it, so
+the two tokens' bytes, encoded together, are these two tokens again just when
+nothing crosses. Where a cut is wrong, a window of tokens around it is encoded
+anew, a wider one each round, until all cuts are right; the work is local.
 """
 
 from __future__ import annotations
@@ -77,7 +84,8 @@ WITH RECURSIVE step(k, w, g, e, id) AS (
 )
 SELECT k, w, g, e, id FROM step JOIN (SELECT w, max(k) AS k FROM step GROUP BY w) USING (w, k) ORDER BY g
 """
-LONG_PIECE = 64           # bytes
+LONG_PIECE = 64           # bytes of a piece, or of a window in one, that ENCODE takes
+CHUNK = 40                # bytes of a long piece that are first encoded together
 LONG_ROWS = 2_000_000     # rows that one run of ENCODE_LONG may hold
 DECODE = """
 SELECT w, string_agg(s, '' ORDER BY p) AS s FROM ids JOIN vocabulary USING (id) GROUP BY w ORDER BY w
@@ -100,6 +108,7 @@ class Coder:
             raise ValueError("ids must be below 65536 and every byte a token")
         self.ranks = ranks
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.length = {r: len(t) for t, r in ranks.items()}
         symbols = byte_symbols()
         self.to_byte = {c: b for b, c in symbols.items()}
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
@@ -133,7 +142,7 @@ class Coder:
                 out[i] = np.array([self.ranks[piece]] if piece else [], "<u4")
                 continue
             if len(piece) > LONG_PIECE:
-                out[i] = self._contract_long(piece)
+                out[i] = self._encode_long(piece)
                 continue
             some.append(i)
             size += len(piece)
@@ -155,6 +164,58 @@ class Coder:
         for i, own in zip(some, np.split(ids, cuts), strict=True):
             out[i] = own.copy()  # not a view that keeps the whole query's result
 
+    def _merged(self, parts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each of some byte strings, by merges alone (one that is a token is not looked up)."""
+        out: list[np.ndarray | None] = [None] * len(parts)
+        some, size = [], 0
+        for i, part in enumerate(parts):
+            if len(part) > LONG_PIECE:
+                out[i] = self._contract_long(part)
+                continue
+            some.append(i)
+            size += len(part)
+            if size >= QUERY_BYTES:
+                self._contract(parts, some, out)
+                some, size = [], 0
+        if some:
+            self._contract(parts, some, out)
+        return out
+
+    def _encode_long(self, piece: bytes) -> np.ndarray:
+        """Ids of a long piece, from chunks whose cuts are mended until all are right."""
+        def split(start: int, ids: np.ndarray) -> list[tuple[int, int]]:
+            ends = start + np.cumsum([self.length[t] for t in ids.tolist()])
+            return list(zip([start, *ends[:-1].tolist()], ids.tolist(), strict=True))
+
+        # Tokens as (start, id); ``cuts`` are the places among them that are not yet known to be right.
+        starts = range(0, len(piece), CHUNK)
+        tokens = [t for a, ids in zip(starts, self._merged([piece[a:a + CHUNK] for a in starts]), strict=True) for t in split(a, ids)]
+        cuts, reach, checked = set(starts[1:]), 2, {}
+        while cuts:
+            at = {a: i for i, (a, _) in enumerate(tokens)}
+            places = sorted(at[c] for c in cuts)
+            end = lambda i: tokens[i + 1][0] if i + 1 < len(tokens) else len(piece)
+            pairs = {(tokens[i - 1][1], tokens[i][1]): piece[tokens[i - 1][0]:end(i)] for i in places}
+            new = [p for p in pairs if p not in checked]
+            checked.update((p, tuple(ids.tolist()) == p) for p, ids in zip(new, self._merged([pairs[p] for p in new]), strict=True))
+            wrong = [i for i in places if not checked[tokens[i - 1][1], tokens[i][1]]]
+            windows: list[list[int]] = []                      # of tokens, first and past the last; those that meet are one
+            for i in wrong:
+                a, b = max(0, i - reach), min(len(tokens), i + reach)
+                if windows and a <= windows[-1][1]:
+                    windows[-1][1] = b
+                else:
+                    windows.append([a, b])
+            found = self._merged([piece[tokens[a][0]:end(b - 1)] for a, b in windows])
+            out, done, cuts = [], 0, set()
+            for (a, b), ids in zip(windows, found, strict=True):
+                out += tokens[done:a] + split(tokens[a][0], ids)
+                cuts |= {c for c in (tokens[a][0], end(b - 1)) if 0 < c < len(piece)}
+                done = b
+            tokens = out + tokens[done:]
+            reach *= 2
+        return np.array([t for _, t in tokens], "<u4")
+
     def _contract_long(self, piece: bytes) -> np.ndarray:
         n = len(piece)
         state = {"w": np.zeros(n, np.int32), "g": np.arange(n), "e": np.arange(1, n + 1),

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +35,34 @@ def test_pieces(ranks, model):
     assert coder.decode(ids) == [p.encode() for p in pieces]
 
 
+def long_pieces(n):
+    rnd = random.Random(n)
+    yield "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    yield "".join(rnd.choice("acgt") for _ in range(n))
+    yield "".join(rnd.choice("的一是不了人我在有他这为之大来以个中上们") for _ in range(n // 3))
+    yield "a" * n
+    yield ("abc" * n)[:n]
+    yield ("the" * 7 + "xq") * (n // 23) + "end"
+    yield "".join(rnd.choice(["aaaaaaaa", "ab", "b", "!!"]) for _ in range(n // 3))
+
+
+@pytest.mark.parametrize("n", [65, 81, 300, 3000])
+def test_long_pieces_equal_tiktoken(ranks, model, n):
+    coder = bpe.Coder(ranks)
+    for piece in long_pieces(n):
+        raw = piece.encode()
+        assert coder._encode_long(raw).tolist() == model._core_bpe.encode_single_piece(raw), piece[:60]
+
+
+def test_a_piece_of_a_million_letters_ends_soon(ranks, model):
+    coder = bpe.Coder(ranks)
+    for piece in list(long_pieces(1_000_000))[:3]:
+        raw, start = piece.encode(), time.time()
+        got = coder.encode([raw])[0]
+        assert time.time() - start < 60
+        assert got.tolist() == model._core_bpe.encode_single_piece(raw)
+
+
 def test_long_contraction_equals_the_short_one(ranks):
     rnd = random.Random(6)
     coder = bpe.Coder(ranks)
