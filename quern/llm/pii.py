@@ -11,21 +11,24 @@ Strings in a pattern of high confidence and enough support, seeds or not, are
 identifiers too.
 
 A pattern is accepted if a fixed number of documents hold it, the same for a
-corpus of any size. The second pass over the texts gets all accepted patterns.
+corpus of any size. The texts are read once; their strings are joined with the
+accepted patterns by Spark, however many there are.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from quern.llm.common import checkpointed
 
@@ -45,8 +48,6 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _ENDS = frozenset(" \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0  \"'<>,;=:#()[]{}")
 _REST = re.compile(r"[^\s\"'<>,;()\[\]{}]*")
-_CUE = re.compile(r"([\w.-]+)[ \t]?([=:#]?)[ \t]?[\"'(\[{]?\Z")
-
 Span = tuple[str, int, int]
 
 
@@ -108,18 +109,40 @@ def candidates(text: str) -> Iterator[tuple[str, int, int]]:
         done = end
         while end > start and text[end - 1] in ".:!?":
             end -= 1
-        cue = _CUE.search(text, max(0, start - 48), start)
-        if cue and end - start >= 4 and not any(c.isdigit() for c in cue[1]):
-            yield cue[1].lower() + " " + cue[2], start, end
+        word, mark = cue_before(text, start)
+        if word and end - start >= 4 and not any(c.isdigit() for c in word):
+            yield word.lower() + " " + mark, start, end
+
+
+def cue_before(text: str, at: int) -> tuple[str, str]:
+    """The whole word that ends before ``at``, and the mark (= : #, or none) between; an opening quote or bracket and blanks may stand there too."""
+    if at and text[at - 1] in "\"'([{":
+        at -= 1
+    if at and text[at - 1] in " \t":
+        at -= 1
+    mark = text[at - 1] if at and text[at - 1] in "=:#" else ""
+    at -= len(mark)
+    if at and text[at - 1] in " \t":
+        at -= 1
+    start = at
+    while start and (text[start - 1].isalnum() or text[start - 1] in "_.-"):
+        start -= 1
+    return text[start:at], mark
 
 
 def form(value: str) -> str:
-    """The value's form: runs of letters and digits by kind and length class, other characters as they are."""
+    """The value's form: runs of letters and digits by kind and length class, other characters as they are.
+
+    A value of more than eight runs has the form of its length class and the
+    other characters it holds.
+    """
     out = []
-    for m in re.finditer(r"[^\W\d_]+|[0-9]+|.", value[:200], re.S):
+    for m in re.finditer(r"[^\W\d_]+|[0-9]+|.", value, re.S):
         kind = "9" if m[0][0].isdigit() else "a" if m[0][0].isalpha() else m[0][0]
         out.append(kind if kind not in "9a" else kind + str(len(m[0]).bit_length()))
-    return "".join(out) if len(out) <= 8 else "x" + str(len(value).bit_length())
+    if len(out) <= 8:
+        return "".join(out)
+    return "x" + str(len(value).bit_length()) + "".join(sorted({k for k in out if k[0] not in "9a"}))
 
 
 def key_like(value: str) -> bool:
@@ -132,43 +155,87 @@ def _text_values(batch: pa.RecordBatch, column: int) -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+class Taken:
+    """Spans as a set of places: whether a stretch meets one of them, by their starts and the furthest end so far."""
+
+    def __init__(self, found: list[Span]):
+        own = sorted((a, b) for _, a, b in found)
+        self.starts = [a for a, _ in own]
+        self.ends = list(accumulate((b for _, b in own), max))
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)
+        return i > 0 and self.ends[i - 1] > a
+
+
+def strings_of(text: str) -> tuple[list[Span], list[tuple]]:
+    """Base spans, and (pattern, form, seed, docs, uses, free, start, end) of each candidate string.
+
+    ``docs`` is 1 and ``uses`` the cue words of an unmarked pattern that no
+    string follows at a pattern's first string, else 0; ``free`` strings meet
+    no base span.
+    """
+    base = base_spans(text)
+    if not _DIGITS.search(text):
+        return base, []
+    taken, own = Taken(base), list(candidates(text))
+    met = Counter(p for p, _, _ in own)
+    words = Counter(w.strip(".,;!?").lower() for w in text.split()) if any(p.endswith(" ") for p in met) else {}
+    out, seen = [], set()
+    for pattern, a, b in own:
+        first = pattern not in seen
+        seen.add(pattern)
+        uses = max(0, words.get(pattern[:-1], 0) - met[pattern]) if first and pattern.endswith(" ") else 0
+        free = not taken.meets(a, b)
+        out.append((pattern, form(text[a:b]), int(not free or key_like(text[a:b])), int(first), uses, free, a, b))
+    return base, out
+
+
+_BASE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+_STRINGS = pa.struct([("pattern", pa.string()), ("form", pa.string()), ("seed", pa.int64()), ("docs", pa.int64()), ("uses", pa.int64()),
+                      ("free", pa.bool_()), ("start", pa.int64()), ("end", pa.int64())])
+
+
+def _structs(rows: list[list[tuple]], kind: pa.StructType) -> pa.ListArray:
+    flat = list(zip(*(r for own in rows for r in own), strict=True)) or [[]] * kind.num_fields
+    parts = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, kind, strict=True)], fields=list(kind))
+    return pa.ListArray.from_arrays(pa.array(list(accumulate(map(len, rows), initial=0)), pa.int32()), parts)
+
+
+def _read(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns to ``keep`` with ``_pii_row`` (unique in this table), ``_pii_base`` and ``_pii_strings`` of each text."""
+    source = docs.select(*keep) if text_col in keep else docs.select(*keep, text_col)
+    at, n = source.columns.index(text_col), len(keep)
+    schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in source.schema.fields[:n]), T.StructField("_pii_row", T.LongType()),
+                           T.StructField("_pii_base", from_arrow_type(pa.list_(_BASE))),
+                           T.StructField("_pii_strings", from_arrow_type(pa.list_(_STRINGS)))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            found = [strings_of(t) for t in _text_values(batch, at)]
+            rows = pa.array(range(number, number + batch.num_rows), pa.int64())
+            number += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], rows, _structs([b for b, _ in found], _BASE), _structs([s for _, s in found], _STRINGS)],
+                                             names=schema.names)
+
+    return source.mapInArrow(run, schema)
+
+
+def _occurrences(read: DataFrame) -> DataFrame:
+    return (read.select(F.explode("_pii_strings").alias("s")).groupBy(F.col("s.pattern").alias("pattern"), F.col("s.form").alias("form"))
+            .agg(F.sum("s.seed").alias("seeds"), F.count(F.lit(1)).alias("n"), F.sum("s.docs").alias("docs"), F.sum("s.uses").alias("uses")))
+
+
 def occurrences(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(pattern, form, seeds, n, docs, uses)`` counted over all texts.
 
     ``n`` occurrences of the pattern with a string of that form, ``seeds`` of
-    them seeds, in ``docs`` documents; ``uses`` counts the cue words of an
-    unmarked pattern in those documents that no such string follows.
+    them seeds; ``docs`` documents, counted with the first form a document
+    has; ``uses`` counts the cue words of an unmarked pattern in those
+    documents that no such string follows.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in _text_values(batch, 0):
-                if not _DIGITS.search(text):
-                    continue
-                base = base_spans(text)
-                own, seeds, met = Counter(), Counter(), Counter()
-                for pattern, a, b in candidates(text):
-                    key = pattern, form(text[a:b])
-                    own[key] += 1
-                    met[pattern] += 1
-                    seeds[key] += key_like(text[a:b]) or any(x < b and a < y for _, x, y in base)
-                if not own:
-                    continue
-                plain = {p[:-1] for p in met if p.endswith(" ")}
-                words = Counter(w.strip(".,;!?").lower() for w in text.split()) if plain else {}
-                counted = set()  # patterns whose document and uses are in a row
-                for pattern, shape in own:
-                    first = pattern not in counted
-                    counted.add(pattern)
-                    uses = max(0, words.get(pattern[:-1], 0) - met[pattern]) if pattern.endswith(" ") and first else 0
-                    rows.append((pattern, shape, seeds[pattern, shape], own[pattern, shape], int(first), uses))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), *(pa.array(c, pa.int64()) for c in cols[2:])],
-                names=["pattern", "form", "seeds", "n", "docs", "uses"])
-
-    return (docs.select(text_col).mapInArrow(run, "pattern string, form string, seeds long, n long, docs long, uses long")
-            .groupBy("pattern", "form").agg(*[F.sum(c).alias(c) for c in ("seeds", "n", "docs", "uses")]))
+    return _occurrences(_read(docs, text_col, []))
 
 
 def score_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -192,25 +259,46 @@ def score_patterns(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return patterns
 
 
-def learn_patterns(docs: DataFrame, text_col: str = "text", confidence: float = CONFIDENCE,
-                   least_docs: int = LEAST_DOCS) -> set[str]:
-    """The accepted patterns: confident, and in at least ``least_docs`` documents."""
-    counted = checkpointed(occurrences(docs, text_col))
+def accepted(counted: DataFrame, confidence: float = CONFIDENCE, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """``pattern``: those of ``occurrences`` that are confident, and in at least ``least_docs`` documents."""
+    counted = checkpointed(counted)
     wide = counted.groupBy("pattern").agg(F.sum("docs").alias("d")).filter(F.col("d") >= least_docs).select("pattern")
     graph = counted.join(wide, "pattern", "left_semi")
-    good = score_patterns(graph).filter(F.col("confidence") >= confidence)
-    return {r["pattern"] for r in good.select("pattern").collect()}
+    return score_patterns(graph).filter(F.col("confidence") >= confidence).select("pattern")
+
+
+def learn_patterns(docs: DataFrame, text_col: str = "text", confidence: float = CONFIDENCE,
+                   least_docs: int = LEAST_DOCS) -> set[str]:
+    """The accepted patterns of ``docs``, on the driver, for a look at them; ``find`` and ``redact`` join them instead."""
+    return {r["pattern"] for r in accepted(occurrences(docs, text_col), confidence, least_docs).collect()}
 
 
 def spans(text: str, patterns: set[str]) -> list[Span]:
-    """Base spans, then the strings that accepted patterns discover outside them."""
-    out = base_spans(text)
-    if patterns and _DIGITS.search(text):
-        base = sorted((a, b) for _, a, b in out)
-        for pattern, a, b in candidates(text):
-            if pattern in patterns and not any(x < b and a < y for x, y in base):
-                out.append((FOUND, a, b))
-    return out
+    """Base spans, then the strings that the given patterns discover outside them."""
+    base, found = strings_of(text)
+    return base + [(FOUND, s[6], s[7]) for s in found if s[5] and s[0] in patterns]
+
+
+def with_spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs``, its columns (or those to ``keep``), with ``_pii_base`` and ``_pii_found``: arrays of the structs (kind, start, end).
+
+    The texts are read once, into a table with their strings; patterns are
+    scored, and strings and accepted patterns joined, by Spark, so neither
+    needs to fit into a task.
+    """
+    keep = docs.columns if keep is None else keep
+    read = checkpointed(_read(docs, text_col, keep))
+    strings = read.select("_pii_row", F.explode("_pii_strings").alias("s")).filter("s.free")
+    good = accepted(_occurrences(read)).withColumnRenamed("pattern", "_pattern")
+    spans_of = (strings.join(good, F.col("s.pattern") == F.col("_pattern"))
+                .select("_pii_row", F.struct(F.lit(FOUND).alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end")).alias("s"))
+                .groupBy("_pii_row").agg(F.array_sort(F.collect_list("s")).alias("_pii_found")))
+    none = F.array().cast(read.schema["_pii_base"].dataType)
+    # Rows without a free string need no join, whatever their number.
+    has_free = F.exists("_pii_strings", lambda s: s["free"])
+    some = read.filter(has_free).join(spans_of, "_pii_row", "left").withColumn("_pii_found", F.coalesce("_pii_found", none))
+    names = [*keep, "_pii_base", "_pii_found"]
+    return some.select(*names).unionByName(read.filter(~has_free).withColumn("_pii_found", none).select(*names))
 
 
 def digest(found: list[Span]) -> str:
@@ -234,22 +322,16 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     each; texts of any length are read whole; other columns are not read.
     Spans of different base kinds may overlap; discovered ones overlap none.
     """
-    patterns = docs.sparkSession.sparkContext.broadcast(learn_patterns(docs, text_col))
-    id_type = docs.schema[id_col].dataType.simpleString()
+    def joined(*found: str) -> Column:
+        return F.array_join(F.transform(F.concat(*found), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [spans(t, patterns.value) for t in _text_values(batch, 1)]
-            base = [[s for s in own if s[0] != FOUND] for own in found]
-            counts = [pa.array([sum(s[0] == k for s in own) for own in found], pa.int64()) for k in (*KINDS, FOUND)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *counts[:4], pa.array([hashlib.sha256(digest(b).encode()).hexdigest() for b in base], pa.string()),
-                 pa.array([digest(own) for own in found], pa.string()), counts[4]],
-                names=[id_col, *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_id"])
+    def count(kind: str) -> Column:
+        return F.size(F.filter("_pii_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(
-        run, f"`{id_col}` {id_type}, {counts}, base_sha256 string, spans string, n_id long")
+    # Only the id goes on from the texts.
+    own = with_spans(docs.select(docs[id_col].alias("_pii_id"), docs[text_col].alias("_pii_text")), "_pii_text", keep=["_pii_id"])
+    return own.select(F.col("_pii_id").alias(id_col), *[count(k) for k in KINDS], F.sha2(joined("_pii_base"), 256).alias("base_sha256"),
+                      joined("_pii_base", "_pii_found").alias("spans"), F.size("_pii_found").cast("long").alias("n_id"))
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
@@ -258,21 +340,22 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
     ``length_col``, if given, becomes the new text's length where a span was
     replaced. NULL texts stay NULL.
     """
-    patterns = docs.sparkSession.sparkContext.broadcast(learn_patterns(docs, text_col))
-    names = docs.columns
-    at = names.index(text_col)
-    size_at = names.index(length_col) if length_col else None
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    text = f"_c{docs.columns.index(text_col)}"
+    size = f"_c{docs.columns.index(length_col)}" if length_col else None
+    own = with_spans(plain, text)
+    some = F.size("_pii_base") + F.size("_pii_found") > 0
+    schema = own.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = schema.names.index(text)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            new = [redacted(t, own) if t and (own := spans(t, patterns.value)) else t for t in texts]
+            found = [[tuple(s.values()) for s in [*b, *f]] for b, f in zip(batch.column("_pii_base").to_pylist(), batch.column("_pii_found").to_pylist(), strict=True)]
             columns = list(batch.columns)
-            columns[at] = pa.array(new, columns[at].type)
-            if size_at is not None:
-                changed = pa.array([a != b for a, b in zip(texts, new)], pa.bool_())
-                columns[size_at] = pc.if_else(changed, pc.utf8_length(columns[at]).cast(columns[size_at].type), columns[size_at])
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns[at] = pa.array([redacted(t, f) for t, f in zip(columns[at].to_pylist(), found, strict=True)], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    changed = own.filter(some).mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]))
+    if size:
+        changed = changed.withColumn(size, F.length(text).cast(plain.schema[size].dataType))
+    return changed.unionByName(own.filter(~some)).select(*plain.columns).toDF(*docs.columns)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -43,6 +44,32 @@ def test_long_texts_are_linear():
         list(pii.candidates(text))
 
 
+def test_spans_of_a_log_are_linear():
+    line = 'user=ab12cd mail me{0}@example.com from 10.0.{1}.7 token="ff{0}aa99" '
+    text = "".join(line.format(i, i % 250) for i in range(60_000))
+    start = time.time()
+    got = pii.spans(text, {"user =", "token ="})
+    assert len(got) == 240_000 and time.time() - start < 30
+    small = text[:20_000].rsplit(" ", 1)[0]
+    base = pii.base_spans(small)
+    assert pii.spans(small, {"token ="})[len(base):] == [
+        ("id", a, b) for p, a, b in pii.candidates(small) if p == "token =" and not any(x < b and a < y for _, x, y in base)]
+
+
+def test_nothing_is_cut_to_a_prefix():
+    cue = "w" * 100
+    assert [p for p, _, _ in pii.candidates(f"a {cue}=abc123")] == [f"{cue} ="]
+    long = "ab1-" * 60
+    assert pii.form(long) != pii.form(long + "/" + "ab1-") and pii.form("a" * 300) != pii.form("a" * 700)
+
+
+def test_cues():
+    for text, want in (("pass word = 'x", ("word", "=")), ("no  AB", ("no", "")), ("key:(", ("key", ":")), ("é_.-#", ("é_.-", "#")), ("= ", ("", "=")),
+                       ("a=  ", ("", "")), ("", ("", ""))):
+        cue = re.search(r"([\w.-]+)[ \t]?([=:#]?)[ \t]?[\"'(\[{]?\Z", text.removesuffix("x").removesuffix("AB"))
+        assert pii.cue_before(text, len(text.removesuffix("x").removesuffix("AB"))) == ((cue[1], cue[2]) if cue else want)
+
+
 def test_candidates():
     text = 'The password=abc123de, token = "77ffaa" and passport no AB12345; x1y2'
     got = [(p, text[a:b]) for p, a, b in pii.candidates(text)]
