@@ -15,7 +15,9 @@ No two pivots are within the link angle, so a large group of different near
 copies holds one or a few of them, not its share, and the order of the others
 still tells its members apart from the rest. Vectors close to a pivot are in
 a list of that pivot alone too, where all pairs are verified, whatever other
-pivots they share.
+pivots they share: block by block inside tasks, by products of matrices, from
+which only each vector's count of links and a star of links for what hangs
+together come back. So a group of near copies makes no row for each pair.
 """
 
 from __future__ import annotations
@@ -30,12 +32,14 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import checkpointed
 from quern.llm.graph import components
+from quern.llm.icws import stars as stars_of
 
 MIN_COSINE = 0.93
-NEAR = 8
+NEAR, NEAR_PIVOTS = 8, 512       # pivots that describe a vector, one more for each doubling of this many pivots
 SHARED = 3
 CLOSE = 0.75     # cosine with a pivot from which a vector is compared with all others so close to it
-MIN_PIVOTS, MAX_PIVOTS = 96, 8192
+MIN_PIVOTS, MAX_PIVOTS = 96, 16_384
+BLOCK = 1024     # vectors of a close list that are compared in one task with as many others
 
 
 def usable(vector: str) -> Column:
@@ -45,19 +49,30 @@ def usable(vector: str) -> Column:
     return F.coalesce(F.col(vector).isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def cosine(a: str, b: str) -> Column:
-    """Cosine of two vectors of equal length, in double precision."""
-    def dot(x: str, y: str) -> Column:
-        products = F.zip_with(F.col(x), F.col(y), lambda p, q: p.cast("double") * q.cast("double"))
+def largest(vector: str) -> Column:
+    """The greatest size of a component, in double precision."""
+    return F.array_max(F.transform(F.col(vector), lambda x: F.abs(x.cast("double"))))
+
+
+def cosine(a: str, b: str, largest_a: str, largest_b: str) -> Column:
+    """Cosine of two vectors of equal length, not zero, in double precision; each is divided by its largest component first."""
+    def dot(x: str, by_x: str, y: str, by_y: str) -> Column:
+        products = F.zip_with(F.col(x), F.col(y), lambda p, q: (p.cast("double") / F.col(by_x)) * (q.cast("double") / F.col(by_y)))
         return F.aggregate(products, F.lit(0.0), lambda s, p: s + p)
 
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    own = [F.sqrt(dot(x, by, x, by)) for x, by in ((a, largest_a), (b, largest_b))]
+    return dot(a, largest_a, b, largest_b) / (own[0] * own[1])
 
 
 def pivot_count(n: int) -> int:
     return min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * math.isqrt(max(n, 0))))
 
 
+def near_count(pivots: int) -> int:
+    """Pivots that describe a vector: more of them where there are more to choose from, so that near vectors share enough."""
+    return NEAR + max(0, math.ceil(math.log2(max(1, pivots) / NEAR_PIVOTS)))
+
+
 def thinned(points: np.ndarray, count: int, max_cosine: float) -> np.ndarray:
     """The first ``count`` of the unit vectors ``points`` that are all less than ``max_cosine`` alike."""
     kept = np.zeros((min(count, len(points)), points.shape[1]))
@@ -109,25 +124,93 @@ def with_pivots(vectors: DataFrame, pivots: np.ndarray, near: int) -> DataFrame:
 
 
 def candidates(described: DataFrame, shared: int) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of one label that are close to one pivot or have ``shared`` in common, each pair once."""
+    """Pairs ``(a, b)``, a < b, of one label that have ``shared`` pivots in common and no close one, each pair once."""
     sets = described.select("node", "label", F.array_sort("order").alias("near"), F.array_sort("close").alias("close"))
     two = F.flatten(F.transform("near", lambda p: F.transform(
         F.filter("near", lambda q: q > p), lambda q: p.cast("int") * 32768 + q)))
-    one = F.transform("close", lambda p: p.cast("int") * 32768 + p)
-    lists = sets.withColumn("key", F.explode(F.concat(one, two)))
+    lists = sets.withColumn("key", F.explode(two))
     left = lists.select("label", "key", F.col("node").alias("a"), F.col("near").alias("near_a"), F.col("close").alias("close_a"))
     right = lists.select("label", "key", F.col("node").alias("b"), F.col("near").alias("near_b"), F.col("close").alias("close_b"))
     pairs = left.join(right, ["label", "key"]).filter("a < b")
     common = F.array_intersect("near_a", "near_b")  # in near_a's order, ascending
     smallest = F.element_at(common, 1).cast("int") * 32768 + F.element_at(common, 2)
-    both = F.array_intersect("close_a", "close_b")
-    met = F.when(F.size(both) > 0, F.col("key") == F.element_at(both, 1).cast("int") * 32769).otherwise(
-        (F.size(common) >= max(2, shared)) & (F.col("key") == smallest))
+    met = ~F.arrays_overlap("close_a", "close_b") & (F.size(common) >= max(2, shared)) & (F.col("key") == smallest)
     return pairs.filter(met).select("a", "b")
 
 
+def first_shared(close: list[list[int]]) -> np.ndarray:
+    """``[i, j]``: the smallest number that the lists i and j have in common (none: a large one)."""
+    out = np.full((len(close), len(close)), 1 << 20, np.int32)
+    for p in sorted({p for own in close for p in own}, reverse=True):
+        has = np.array([p in own for own in close])
+        out[np.ix_(has, has)] = p
+    return out
+
+
+def close_links(described: DataFrame, nodes: DataFrame, min_cosine: float) -> tuple[DataFrame, DataFrame]:
+    """Of all vectors close to one pivot: ``(node, others)``, parts of each one's count of linked vectors, and
+    links ``(a, b)`` that connect what is linked.
+
+    A pair is counted in the list of the smallest pivot both are close to. A
+    list is cut into blocks, and every two of its blocks meet in one task.
+    """
+    lists = described.select("node", "label", "close", F.explode("close").alias("pivot"))
+    sizes = lists.groupBy("label", "pivot").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("_n"))
+    dealt = (lists.join(sizes.filter("_n > 1").drop("_n"), ["label", "pivot"])
+             .withColumn("block", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).cast("int")))
+    # A block meets itself and every other one: the group of blocks (i, j), i <= j.
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = F.concat_ws(":", F.hash("label"), F.xxhash64("label"), "pivot", F.least("block", "other"), F.greatest("block", "other"))
+    members = other.select(group.alias("group"), "pivot", "node", "close", F.col("block").alias("side"))
+    rows = (members.join(nodes.select("node", "vector", "n"), "node").select("group", "pivot", "node", "close", "side", "vector", "n")
+            .repartition("group").sortWithinPartitions("group"))
+
+    def compared(rows: list[tuple]) -> tuple[list[int], np.ndarray, list[tuple[int, int]]]:
+        pivot = rows[0][1]
+        nodes, side, n = [r[2] for r in rows], np.array([r[4] for r in rows]), np.array([r[6] for r in rows], np.int64)
+        width = np.array([len(r[5]) for r in rows])
+        patterns: dict[tuple, int] = {}
+        of = np.array([patterns.setdefault(tuple(r[3]), len(patterns)) for r in rows])
+        here = first_shared([list(p) for p in patterns]) == pivot
+        others, stars = np.zeros(len(rows), np.int64), []
+        for w in np.unique(width):
+            own = np.flatnonzero(width == w)
+            x = np.array([rows[i][5] for i in own], np.float64)
+            x /= np.abs(x).max(axis=1, keepdims=True)
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            linked = x @ x.T >= min_cosine
+            np.fill_diagonal(linked, False)
+            counted = linked & here[np.ix_(of[own], of[own])]
+            if len(set(side.tolist())) > 1:           # two blocks: only pairs of one with the other
+                counted &= side[own][:, None] != side[own][None, :]
+            others[own] += counted @ n[own]
+            stars += [(nodes[own[a]], nodes[own[b]]) for a, b in stars_of(linked)]
+        return nodes, others, stars
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(rows: list[tuple]) -> pa.RecordBatch:
+            nodes, others, stars = compared(rows) if len(rows) > 1 else ([], np.zeros(0, np.int64), [])
+            none = [None] * len(stars)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([*nodes, *none], pa.int64()), pa.array([*others.tolist(), *none], pa.int64()),
+                 pa.array([None] * len(nodes) + [a for a, _ in stars], pa.int64()),
+                 pa.array([None] * len(nodes) + [b for _, b in stars], pa.int64())], names=["node", "others", "a", "b"])
+
+        now: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now and row[0] != now[0][0]:
+                    yield result(now)
+                    now = []
+                now.append(row)
+        yield result(now)
+
+    found = checkpointed(rows.mapInArrow(run, "node long, others long, a long, b long"))
+    return found.filter("others > 0").select("node", "others"), found.filter("a IS NOT NULL").select("a", "b")
+
+
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                    min_cosine: float = MIN_COSINE, near: int = NEAR, shared: int = SHARED) -> DataFrame:
+                    min_cosine: float = MIN_COSINE, near: int | None = None, shared: int = SHARED) -> DataFrame:
     """Per row: id, ``n_links``, ``component_id``, ``kept``.
 
     Links join rows of an equal, not NULL label with a cosine of at least
@@ -145,7 +228,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     good = base.filter("ok")
     # NaN and -0.0 are gone or normalised by grouping, so equal groups are equal vectors.
     distinct = good.groupBy("label", "vector").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least_id"))
-    nodes = checkpointed(distinct.withColumn("node", F.monotonically_increasing_id()))
+    nodes = checkpointed(distinct.withColumn("node", F.monotonically_increasing_id()).withColumn("largest", largest("vector")))
     n = nodes.count()
     # The pivots: of a bounded sample, spread over all vectors by a hash, those that are not within the link angle of one
     # before. Four times as many vectors are read, so that a group of most of them does not take the place of the others.
@@ -159,23 +242,28 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     points /= np.maximum(np.abs(points).max(axis=1, keepdims=True), 1e-300)
     points /= np.linalg.norm(points, axis=1, keepdims=True)
     points = thinned(points, pivot_count(n), min_cosine)
-    near = min(near, len(points))
+    near = min(near or near_count(len(points)), len(points))
+    close = None
     if n and near >= 2:
         described = checkpointed(with_pivots(nodes, points, near))
         pairs = candidates(described, min(shared, near))
+        close = close_links(described, nodes, min_cosine)
     elif n:  # one or two different vectors: too few to describe by pivots
         pairs = (nodes.alias("x").join(nodes.alias("y"), "label").filter("x.node < y.node AND size(x.vector) = size(y.vector)")
                  .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     else:
         pairs = spark.createDataFrame([], "a long, b long")
-    one = nodes.select(F.col("node").alias("a"), F.col("vector").alias("u"))
-    two = nodes.select(F.col("node").alias("b"), F.col("vector").alias("v"))
+    one = nodes.select(F.col("node").alias("a"), F.col("vector").alias("u"), F.col("largest").alias("m"))
+    two = nodes.select(F.col("node").alias("b"), F.col("vector").alias("v"), F.col("largest").alias("w"))
     met = pairs.join(one, "a").join(two, "b").filter(F.size("u") == F.size("v"))
-    links = checkpointed(met.filter(cosine("u", "v") >= min_cosine).select("a", "b"))
+    links = checkpointed(met.filter(cosine("u", "v", "m", "w") >= min_cosine).select("a", "b"))
 
     weights = nodes.select(F.col("node").alias("b"), "n")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(weights, "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others"))
+    if close:
+        others = others.unionByName(close[0]).groupBy("node").agg(F.sum("others").alias("others"))
+        links = links.unionByName(close[1])
     roots = components(links, "a", "b")
     least = (roots.join(nodes.select("node", "least_id"), "node").groupBy("root")
              .agg(F.min("least_id").alias("component_id")))

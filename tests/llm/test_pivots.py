@@ -54,6 +54,30 @@ def test_large_group_of_near_copies(spark):
     assert all(g[1] <= n for g, n in zip(got, links))
 
 
+def test_blocks_of_a_close_list_count_every_link_once(spark, monkeypatch):
+    rnd = np.random.default_rng(8)
+    centres = rnd.normal(size=(3, 32))
+    every = np.vstack([c + rnd.normal(size=(90, 32)) * np.linspace(0.05, 0.3, 90)[:, None] for c in centres]).astype(np.float32)
+    rows = [(i, v.tolist(), i % 2, "x") for i, v in enumerate(every)] + [(900 + i, every[0].tolist(), 0, "copy") for i in range(5)]
+    df, want = spark.createDataFrame(rows, SCHEMA), brute(rows)
+    got = {}
+    for block in (1024, 7):
+        monkeypatch.setattr(pivots, "BLOCK", block)
+        got[block] = sorted((tuple(r) for r in pivots.near_duplicates(df).collect()), key=str)
+    assert got[7] == got[1024]
+    assert all(g[0] == w[0] and g[1] <= w[1] for g, w in zip(got[7], want)) and sum(g[1] for g in got[7]) >= 0.98 * sum(w[1] for w in want)
+
+
+def test_tiny_and_huge_components(spark):
+    rows = [(1, [1e-200, 2e-200], 0), (2, [1e200, 2e200], 0), (3, [1.0, 2.0], 0), (4, [2.0, -1.0], 0), (5, [5e-324, 1e-323], 0)]
+    got = sorted(tuple(r)[:3] for r in pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == [(1, 3, 1), (2, 3, 1), (3, 3, 1), (4, 0, 4), (5, 3, 1)]
+
+
+def test_more_pivots_describe_a_vector_where_there_are_more():
+    assert [pivots.near_count(p) for p in (2, 96, 512, 513, 2000, 6324, 8192, 16_384)] == [8, 8, 8, 9, 10, 12, 12, 13]
+
+
 def test_odd_rows(spark):
     rows = [(1, [1.0, 0.0], 0, "a"), (2, [1.0, 0.0], 0, "a"), (2, [1.0, 0.0], 0, "a"), (3, [2.0, 0.1], 0, None),
             (4, [1.0, 0.0], 1, ""), (5, [1.0, 0.0], None, ""), (6, [0.0, 0.0], 0, ""), (7, None, 0, ""),
