@@ -24,6 +24,7 @@ import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 from typing import NamedTuple
 
@@ -57,7 +58,8 @@ def pieces_with_added(text: Column, added: dict[str, int]) -> Column:
     text = F.coalesce(text, F.lit(""))
     met = F.regexp_extract_all(text, F.lit(any_token), F.lit(0))
     between = F.transform(F.split(text, any_token, -1), lambda part, i: F.concat(token_pieces(part), F.slice(met, i + 1, 1)))
-    return F.when(text.rlike(any_token), F.flatten(between)).otherwise(token_pieces(text))
+    some = reduce(Column.__or__, [text.contains(t) for t in added])
+    return F.when(some, F.flatten(between)).otherwise(token_pieces(text))
 
 
 def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, closing_id: int = CLOSING_ID,
