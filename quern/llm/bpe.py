@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame
 
 from quern.llm.common import byte_symbols, distinct_pieces, gather_ranges, row_sums, slices, token_pieces
 
-# Bytes of distinct pieces in one recursive query, and pieces a task
-# remembers between batches; both bound a task's memory.
+# Bytes of distinct pieces in one recursive query, and pieces a worker process
+# remembers between batches and tasks; both bound its memory.
 QUERY_BYTES = 400_000
 MEMORY_PIECES = 300_000
 DUCKDB_MEMORY = "250MB"
@@ -109,6 +109,7 @@ class Coder:
         self.ranks = ranks
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.length = {r: len(t) for t, r in ranks.items()}
+        self.known: dict[bytes, tuple[np.ndarray, bytes]] = {}   # pieces met: their ids, and these decoded
         symbols = byte_symbols()
         self.to_byte = {c: b for b, c in symbols.items()}
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
@@ -276,7 +277,7 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _task_coder(key, shared)
-        known: dict[bytes, tuple[np.ndarray, bytes]] = {}
+        known = coder.known
         for batch in slices(batches, "_pieces"):
             distinct, index, bounds = distinct_pieces(batch.column(1))
             strings = distinct.cast(pa.binary()).to_pylist()
