@@ -38,7 +38,7 @@ from quern.llm.common import byte_symbols, distinct_pieces, gather_ranges, row_s
 # Bytes of distinct pieces in one recursive query, and pieces a worker process
 # remembers between batches and tasks; both bound its memory.
 QUERY_BYTES = 400_000
-MEMORY_PIECES = 300_000
+MEMORY_PIECES = 600_000
 DUCKDB_MEMORY = "250MB"
 
 ENCODE = """
@@ -109,7 +109,9 @@ class Coder:
         self.ranks = ranks
         self.bytes_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.length = {r: len(t) for t, r in ranks.items()}
-        self.known: dict[bytes, tuple[np.ndarray, bytes]] = {}   # pieces met: their ids, and these decoded
+        # Pieces met: their ids, two bytes each; and what these decode to, where that is not the piece again.
+        self.known: dict[bytes, bytes] = {}
+        self.other: dict[bytes, bytes] = {}
         symbols = byte_symbols()
         self.to_byte = {c: b for b, c in symbols.items()}
         pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t))
@@ -137,13 +139,13 @@ class Coder:
     def encode(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece (a piece that is a token is that token)."""
         out: list[np.ndarray | None] = [None] * len(pieces)
-        some, size = [], 0
+        some, size, long = [], 0, []
         for i, piece in enumerate(pieces):
             if not piece or piece in self.ranks:
                 out[i] = np.array([self.ranks[piece]] if piece else [], "<u4")
                 continue
             if len(piece) > LONG_PIECE:
-                out[i] = self._encode_long(piece)
+                long.append(i)
                 continue
             some.append(i)
             size += len(piece)
@@ -152,6 +154,8 @@ class Coder:
                 some, size = [], 0
         if some:
             self._contract(pieces, some, out)
+        for i, ids in zip(long, self._encode_long([pieces[i] for i in long]) if long else [], strict=True):
+            out[i] = ids
         return out
 
     def _contract(self, pieces: list[bytes], some: list[int], out: list) -> None:
@@ -182,40 +186,54 @@ class Coder:
             self._contract(parts, some, out)
         return out
 
-    def _encode_long(self, piece: bytes) -> np.ndarray:
-        """Ids of a long piece, from chunks whose cuts are mended until all are right."""
+    def _encode_long(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of long pieces, from chunks whose cuts are mended until all are right; a round is one query for all pieces."""
         def split(start: int, ids: np.ndarray) -> list[tuple[int, int]]:
             ends = start + np.cumsum([self.length[t] for t in ids.tolist()])
             return list(zip([start, *ends[:-1].tolist()], ids.tolist(), strict=True))
 
         # Tokens as (start, id); ``cuts`` are the places among them that are not yet known to be right.
-        starts = range(0, len(piece), CHUNK)
-        tokens = [t for a, ids in zip(starts, self._merged([piece[a:a + CHUNK] for a in starts]), strict=True) for t in split(a, ids)]
-        cuts, reach, checked = set(starts[1:]), 2, {}
-        while cuts:
-            at = {a: i for i, (a, _) in enumerate(tokens)}
-            places = sorted(at[c] for c in cuts)
-            end = lambda i: tokens[i + 1][0] if i + 1 < len(tokens) else len(piece)
-            pairs = {(tokens[i - 1][1], tokens[i][1]): piece[tokens[i - 1][0]:end(i)] for i in places}
-            new = [p for p in pairs if p not in checked]
-            checked.update((p, tuple(ids.tolist()) == p) for p, ids in zip(new, self._merged([pairs[p] for p in new]), strict=True))
-            wrong = [i for i in places if not checked[tokens[i - 1][1], tokens[i][1]]]
-            windows: list[list[int]] = []                      # of tokens, first and past the last; those that meet are one
-            for i in wrong:
-                a, b = max(0, i - reach), min(len(tokens), i + reach)
-                if windows and a <= windows[-1][1]:
-                    windows[-1][1] = b
-                else:
-                    windows.append([a, b])
-            found = self._merged([piece[tokens[a][0]:end(b - 1)] for a, b in windows])
-            out, done, cuts = [], 0, set()
-            for (a, b), ids in zip(windows, found, strict=True):
-                out += tokens[done:a] + split(tokens[a][0], ids)
-                cuts |= {c for c in (tokens[a][0], end(b - 1)) if 0 < c < len(piece)}
-                done = b
-            tokens = out + tokens[done:]
+        starts = [range(0, len(p), CHUNK) for p in pieces]
+        found = iter(self._merged([p[a:a + CHUNK] for p, own in zip(pieces, starts, strict=True) for a in own]))
+        tokens = [[t for a in own for t in split(a, next(found))] for own in starts]
+        cuts, reach = [set(own[1:]) for own in starts], 2
+        checked: dict[tuple[int, int], bool] = {}
+        while any(cuts):
+            todo = [p for p, own in enumerate(cuts) if own]
+
+            def end(p: int, i: int) -> int:
+                return tokens[p][i + 1][0] if i + 1 < len(tokens[p]) else len(pieces[p])
+
+            places, pairs = {}, {}
+            for p in todo:
+                at = {a: i for i, (a, _) in enumerate(tokens[p])}
+                places[p] = sorted(at[c] for c in cuts[p])
+                for i in places[p]:
+                    pair = tokens[p][i - 1][1], tokens[p][i][1]
+                    if pair not in checked:
+                        pairs[pair] = pieces[p][tokens[p][i - 1][0]:end(p, i)]
+            checked.update((pair, tuple(ids.tolist()) == pair) for pair, ids in zip(pairs, self._merged(list(pairs.values())), strict=True))
+            windows: dict[int, list[list[int]]] = {}           # of tokens, first and past the last; those that meet are one
+            for p in todo:
+                own = windows[p] = []
+                for i in places[p]:
+                    if checked[tokens[p][i - 1][1], tokens[p][i][1]]:
+                        continue
+                    a, b = max(0, i - reach), min(len(tokens[p]), i + reach)
+                    if own and a <= own[-1][1]:
+                        own[-1][1] = b
+                    else:
+                        own.append([a, b])
+            found = iter(self._merged([pieces[p][tokens[p][a][0]:end(p, b - 1)] for p in todo for a, b in windows[p]]))
+            for p in todo:
+                out, done, cuts[p] = [], 0, set()
+                for a, b in windows[p]:
+                    out += tokens[p][done:a] + split(tokens[p][a][0], next(found))
+                    cuts[p] |= {c for c in (tokens[p][a][0], end(p, b - 1)) if 0 < c < len(pieces[p])}
+                    done = b
+                tokens[p] = out + tokens[p][done:]
             reach *= 2
-        return np.array([t for _, t in tokens], "<u4")
+        return [np.array([t for _, t in own], "<u4") for own in tokens]
 
     def _contract_long(self, piece: bytes) -> np.ndarray:
         n = len(piece)
@@ -277,21 +295,23 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _task_coder(key, shared)
-        known = coder.known
+        known, other = coder.known, coder.other
         for batch in slices(batches, "_pieces"):
             distinct, index, bounds = distinct_pieces(batch.column(1))
             strings = distinct.cast(pa.binary()).to_pylist()
             if len(known) > MEMORY_PIECES:
                 known.clear()
+                other.clear()
             new = [s for s in strings if s not in known]
             new_ids = coder.encode(new)
-            known.update(zip(new, zip(new_ids, coder.decode(new_ids), strict=True), strict=True))
+            known.update((s, own.astype("<u2").tobytes()) for s, own in zip(new, new_ids, strict=True))
+            other.update((s, d) for s, d in zip(new, coder.decode(new_ids), strict=True) if s != d)
             each = [known[s] for s in strings]
-            size = np.fromiter((len(i) for i, _ in each), np.int64, len(each))
-            flat = np.concatenate([i for i, _ in each]) if each else np.zeros(0, "<u4")
+            size = np.fromiter(map(len, each), np.int64, len(each)) // 2
+            flat = np.frombuffer(b"".join(each), "<u2").astype("<u4")
             ids = gather_ranges(flat, (np.cumsum(size) - size)[index], size[index])
             ends = np.concatenate([[0], np.cumsum(row_sums(size[index], bounds))])
-            decoded = [d for _, d in each]
+            decoded = [other.get(s, s) for s in strings] if other else strings
             index, rows, texts = index.tolist(), [], []
             for i in range(len(bounds) - 1):
                 own = ids[ends[i]:ends[i + 1]].astype("<u4").tobytes()

@@ -49,9 +49,11 @@ def long_pieces(n):
 @pytest.mark.parametrize("n", [65, 81, 300, 3000])
 def test_long_pieces_equal_tiktoken(ranks, model, n):
     coder = bpe.Coder(ranks)
-    for piece in long_pieces(n):
-        raw = piece.encode()
-        assert coder._encode_long(raw).tolist() == model._core_bpe.encode_single_piece(raw), piece[:60]
+    raw = [p.encode() for p in long_pieces(n)]
+    together = coder._encode_long(raw)
+    for piece, got in zip(raw, together, strict=True):
+        want = model._core_bpe.encode_single_piece(piece)
+        assert got.tolist() == want and coder._encode_long([piece])[0].tolist() == want, piece[:60]
 
 
 def test_a_piece_of_a_million_letters_ends_soon(ranks, model):
