@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -44,41 +45,94 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 _WORD = re.compile(r"[a-z]+")
 
 
+class Path:
+    """The open elements around a place, from the outside, each "tag word word ...": a chain that blocks share.
+
+    What features need of all of them is kept at each link, so a deep page
+    costs no more than its length.
+    """
+
+    __slots__ = ("outer", "name", "tags", "words", "last", "named")
+
+    def __init__(self, outer: Path | None = None, name: str = "") -> None:
+        self.outer, self.name = outer, name
+        self.tags, self.words, self.last, self.named = (outer.tags, outer.words, outer.last, outer.named) if outer else (frozenset(), frozenset(), (), ())
+        if outer:
+            tag, *words = name.split()
+            self.tags = self.tags if tag in self.tags else self.tags | {tag}
+            self.last = (*self.last, tag)[-3:] if tag in BLOCKS else self.last
+            if words:   # the innermost element that has names
+                self.named = tuple(words)
+                self.words = self.words if self.words.issuperset(words) else self.words.union(words)
+
+    @property
+    def key(self) -> tuple:
+        """What tells paths of different features apart."""
+        return self.tags, self.words, self.last, self.named
+
+    def __iter__(self) -> Iterator[str]:
+        names, link = [], self
+        while link.outer:
+            names.append(link.name)
+            link = link.outer
+        return reversed(names)
+
+    def __getitem__(self, i: int | slice) -> str | tuple[str, ...]:
+        return tuple(self)[i]
+
+
 class Block(NamedTuple):
-    path: tuple[str, ...]   # open elements from the outside, each "tag word word ..."
+    path: Path
     text: str
     linked: int             # characters of the text inside links
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order: text with references decoded and white space as one blank."""
+    """The leaf blocks of a page in order: text with references decoded and white space as one blank.
+
+    References are decoded in each text apart from the next one, as markup
+    between them ends them. A slash before the end of a start tag says nothing
+    (HTML has no elements closed that way), be it of an unquoted value or not.
+    """
     out: list[Block] = []
     stack: list[str] = []          # tags
-    path: list[str] = []           # the same with their names
+    path: list[Path] = [Path()]    # around the page, and inside each of them
+    open_now: Counter[str] = Counter()
     buffer: list[tuple[str, bool]] = []
-    links = 0
+
+    def text(raw: str) -> None:
+        buffer.append((html.unescape(raw), open_now["a"] > 0))
 
     def flush() -> None:
         if buffer:
-            text = " ".join(html.unescape("".join(t for t, _ in buffer)).split())
-            if text:
+            whole = " ".join("".join(t for t, _ in buffer).split())
+            if whole:
                 linked = sum(len(" ".join(t.split())) for t, inside in buffer if inside)
-                out.append(Block(tuple(path), text, min(linked, len(text))))
+                out.append(Block(path[-1], whole, min(linked, len(whole))))
             buffer.clear()
 
+    def last_open(wanted: set[str], scopes: frozenset[str] = frozenset()) -> int:
+        """The place of the innermost open element of these tags, looked for as far as a scope; -1 if there is none."""
+        if any(open_now[t] for t in wanted):
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k] in wanted:
+                    return k
+                if stack[k] in scopes:
+                    break
+        return -1
+
     def close_to(k: int) -> None:
-        nonlocal links
-        links -= stack[k:].count("a")
-        del stack[k:], path[k:]
+        open_now.subtract(stack[k:])
+        del stack[k:], path[k + 1:]
 
     at, end = 0, len(page)
     while at < end:
         lt = page.find("<", at)
         if lt < 0:
-            buffer.append((page[at:], links > 0))
+            text(page[at:])
             break
         if lt > at:
-            buffer.append((page[at:lt], links > 0))
+            text(page[at:lt])
         following = page[lt + 1:lt + 2]
         if following in ("!", "?"):
             stop = page.find("-->", lt + 4) + 2 if page.startswith("<!--", lt) else page.find(">", lt)
@@ -91,7 +145,7 @@ def blocks(page: str) -> list[Block]:
                 stop = page.find(">", lt) if following == "/" else -1
                 at = stop + 1 if stop >= 0 else end
             else:
-                buffer.append(("<", links > 0))
+                text("<")
                 at = lt + 1
             continue
         at = m.end()
@@ -103,47 +157,41 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCKS:
             flush()
         if closing:
-            if tag in stack:
-                k = len(stack) - 1 - stack[::-1].index(tag)
+            k = last_open({tag})
+            if k >= 0:
                 if any(t in BLOCKS for t in stack[k:]):
                     flush()
                 close_to(k)
             continue
         if tag in SKIPPED:
-            if not attributes.rstrip().endswith("/"):
-                found = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(page, at)
-                at = found.end() if found else end
+            found = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(page, at)
+            at = found.end() if found else end
             buffer.append((" ", False))
             continue
-        if tag in BLOCKS and "p" in stack:   # a block ends an open paragraph
-            k = len(stack) - 1 - stack[::-1].index("p")
-            if not SCOPES.intersection(stack[k:]):
+        if tag in BLOCKS:   # a block ends an open paragraph
+            k = last_open({"p"}, SCOPES)
+            if k >= 0:
                 close_to(k)
-        for k in range(len(stack) - 1, -1, -1) if tag in CLOSES else ():
-            if stack[k] in CLOSES[tag]:
+        if tag in CLOSES:
+            k = last_open(CLOSES[tag], SCOPES)
+            if k >= 0:
                 close_to(k)
-                break
-            if stack[k] in SCOPES:
-                break
-        if tag not in VOID and not attributes.rstrip().endswith("/"):
+        if tag not in VOID:
             names = " ".join(x for g in _NAMES.findall(attributes) for x in g).lower() if attributes else ""
             stack.append(tag)
-            path.append(" ".join([tag, *_WORD.findall(names)]))
-            links += tag == "a"
+            open_now[tag] += 1
+            path.append(Path(path[-1], " ".join([tag, *_WORD.findall(names)])))
     flush()
     return out
 
 
-def path_features(path: tuple[str, ...]) -> list[str]:
+def path_features(path: Path) -> list[str]:
     """Features of the ancestors: tags, the innermost ones in order, and the words of their classes and ids."""
-    tags = [p.split(" ", 1)[0] for p in path]
-    outer = [t for t in tags if t in BLOCKS]
-    out = {f"tag {t}" for t in tags} | {f"word {w}" for p in path for w in p.split()[1:]}
-    out |= {f"in {'/'.join(outer[-k:])}" for k in (1, 2, 3)}
-    out |= {f"under {t}" for t in ("article", "main", "nav", "aside", "header", "footer", "form") if t in tags}
-    deep = next((p for p in reversed(path) if " " in p), None)   # the innermost element that has names
-    out |= {f"named {w}" for w in (deep or "").split()[1:]}
-    out.add(f"words {any(len(p.split()) > 1 for p in path)}")
+    out = {f"tag {t}" for t in path.tags} | {f"word {w}" for w in path.words}
+    out |= {f"in {'/'.join(path.last[-k:])}" for k in (1, 2, 3)}
+    out |= {f"under {t}" for t in ("article", "main", "nav", "aside", "header", "footer", "form") if t in path.tags}
+    out |= {f"named {w}" for w in path.named}
+    out.add(f"words {bool(path.words)}")
     return sorted(out)
 
 
@@ -173,9 +221,10 @@ def _emissions(own: list[Block], model: Model, known: dict[tuple, float]) -> lis
 
     out = []
     for i, b in enumerate(own):
-        if b.path not in known:
-            known[b.path] = total(path_features(b.path))
-        out.append(known[b.path] + total(text_features(own, i)))
+        key = b.path.key
+        if key not in known:
+            known[key] = total(path_features(b.path))
+        out.append(known[key] + total(text_features(own, i)))
     return out
 
 

@@ -3,6 +3,8 @@
 import html
 import random
 import re
+import time
+from html.parser import HTMLParser
 from itertools import product
 
 import numpy as np
@@ -30,6 +32,70 @@ def test_long_pages_are_read_whole():
     assert len(htmlcrf.blocks("<b>" * 3000 + "x" * 100_000)) == 1
 
 
+def test_markup_as_a_browser_reads_it():
+    def texts(page):
+        return [b.text for b in htmlcrf.blocks(page)]
+
+    assert texts("AT&<b>para</b>") == ["AT&para"] and texts("a &am<!-- -->p; b &lt<i>;</i>") == ["a &amp; b <;"]
+    link = htmlcrf.blocks("<p>see <a href=http://x.com/>this place</a> and <a href='y'/>that</a></p>")
+    assert [(b.text, b.linked) for b in link] == [("see this place and that", 14)]
+    assert texts('x<script src="a.js"/>code</script>y') == ["x y"] and texts("<div/>a<div>b") == ["a", "b"]
+    assert htmlcrf.blocks("<div class='x'/>a")[0].path[-1] == "div x" and texts("a<br/>b<img/>c") == ["a bc"]
+
+
+def test_deep_pages_take_their_length():
+    start = time.time()
+    deep = htmlcrf.blocks("<div class='a b'>x" * 100_000 + "</div>y" * 100_000)
+    assert len(deep) == 200_000 and len(list(deep[99_999].path)) == 100_000 and deep[-1].path.key == htmlcrf.Path().key
+    htmlcrf.blocks("<b>" * 100_000 + "<p>x" * 1000 + "</b>" * 100_000)
+    assert time.time() - start < 20
+
+
+def by_hand(page):
+    """A plain reader of another make for pages of the composed kind: a tree by the standard library, then its texts."""
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.now, self.skip = [], [], 0
+
+        def end_block(self):
+            if text := " ".join("".join(self.now).split()):
+                self.out.append(text)
+            self.now = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in htmlcrf.SKIPPED:
+                self.skip += 1
+            if tag in htmlcrf.BLOCKS:
+                self.end_block()
+            if tag == "br":
+                self.now.append(" ")
+
+        def handle_endtag(self, tag):
+            if tag in htmlcrf.SKIPPED:
+                self.skip -= 1
+                self.now.append(" ")
+            if tag in htmlcrf.BLOCKS:
+                self.end_block()
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.now.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.close()
+    reader.end_block()
+    return reader.out
+
+
+def test_blocks_equal_another_reader(spark):
+    rows = common.table(spark, SF, "pages").collect()
+    assert len(rows) > 100
+    for r in rows:
+        assert [b.text for b in htmlcrf.blocks(r["html"])] == by_hand(r["html"])
+
+
 def test_viterbi_is_the_best_of_all():
     rnd = np.random.default_rng(1)
     for n in range(1, 7):
