@@ -9,8 +9,12 @@ with a beginning) far commoner in toxic documents are toxic (the others have
 no label). Landmarks are the commonest such words and common clean words; each string becomes its
 kernel values with the landmarks, whitened (Nyström), and a linear
 hinge-loss model is trained on the strings of the labelled sentences, with
-gapped and inserted-character variants of the toxic ones. A document scores
-as its worst string. Tasks score each distinct word of a batch once.
+gapped and inserted-character variants of the toxic ones. Words that many
+toxic documents hold and no clean one tell by themselves: a second model of
+these and their variants, on values that fall slowly with letters inserted,
+has a curve of its own, and a string takes the worse of its two scores. A
+document scores as its worst string. Tasks score each distinct word of a batch
+once.
 """
 
 from __future__ import annotations
@@ -36,7 +40,9 @@ TRAIN_ROWS = 1200         # labelled documents of each class that training reads
 TRAIN_CHARS = 20_000      # longer labelled documents are not read for training
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, CLEAN_STRINGS = 112, 64, 5000
 ORDER, DECAY, POWER = 3, 0.75, 3
-COST = 5.0
+COST = 50.0
+SURE_SHARE = 0.1          # of the toxic documents' number: words after so many different words have features of their own
+INSERTED = 6              # variants of such a word with a letter inserted
 STEMS = (4, 5, 6)         # lengths of word beginnings that can tell a toxic document
 LEAST_CONTEXTS = 5        # a telling word or stem stands after at least so many different words
 LEAST_RATIO = 2.5         # log ratio of toxic to clean documents that hold it
@@ -108,9 +114,17 @@ def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
 
 
 class Landmarks:
-    """Landmark strings, and the normalised kernel of other strings with them."""
+    """Landmark strings, and the normalised kernel of other strings with them.
 
-    def __init__(self, strings: list[str]):
+    The first ``sure`` of them are words that tell by themselves: strings have
+    three more values with each of these, the kernel as it is, the kernel
+    against the landmark's own (how much of the landmark a string holds,
+    however long it is), and their product. They fall slowly with letters
+    inserted, where a power of the kernel falls fast.
+    """
+
+    def __init__(self, strings: list[str], sure: int = 0):
+        self.sure = sure
         self.symbols = _symbols(strings)
         # The landmarks' own symbols, of any script; not 26 letters.
         self.alphabet = np.unique(np.append(self.symbols[self.symbols > 0], 1))
@@ -120,10 +134,12 @@ class Landmarks:
         self.own = np.sqrt(np.maximum(kernel(self.symbols, self.symbols), 1e-12))
 
     def values(self, strings: list[str]) -> np.ndarray:
-        """One row a string: a power of its normalised kernel with each landmark, 0 where too few characters are shared."""
+        """One row a string: a power of its normalised kernel with each landmark, 0 where too few characters are shared, and
+        the three values with each sure one."""
         out = np.zeros((len(strings), len(self.symbols)))
+        held = np.zeros(out.shape)
         if not len(self.symbols) or not strings:
-            return out
+            return np.hstack([out, *[out[:, :self.sure]] * 3])
         symbols = _symbols(strings)
         counts = _letter_counts(symbols, self.alphabet)
         shared = np.zeros((len(symbols), len(self.symbols)), np.int8)
@@ -136,8 +152,11 @@ class Landmarks:
         if len(i):
             rows, at = np.unique(i, return_inverse=True)
             own = np.sqrt(np.maximum(kernel(symbols[rows], symbols[rows]), 1e-12))
-            out[i, j] = (kernel(symbols[i], self.symbols[j]) / (own[at] * self.own[j])) ** POWER
-        return out
+            raw = kernel(symbols[i], self.symbols[j])
+            out[i, j] = raw / (own[at] * self.own[j])
+            held[i, j] = np.minimum(raw / self.own[j] ** 2, 1)
+        plain, held = out[:, :self.sure], held[:, :self.sure]
+        return np.hstack([out ** POWER, plain, held, plain * held])
 
     def each(self, strings: list[str], f) -> np.ndarray:
         """``f`` of the values, ten thousand strings at a time, so that no table of all of them is held."""
@@ -147,10 +166,14 @@ class Landmarks:
 
 class Model(NamedTuple):
     landmarks: list[str]
-    weights: np.ndarray   # of the kernel values, the whitening multiplied in
+    weights: np.ndarray   # of the values with the landmarks, the whitening multiplied in
     bias: float
     slope: float
     offset: float
+    sure: int = 0         # landmarks that tell by themselves, the first ones
+    # A second model, of these words and their variants alone, and its own curve; it sets no string's score lower.
+    sure_weights: np.ndarray | None = None
+    sure_curve: tuple[float, float, float] = (0.0, 1.0, 0.0)   # bias, slope, offset
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -182,10 +205,14 @@ def spaced(tokens: list[str]) -> list[str]:
     return runs
 
 
-def variants(word: str, rnd: random.Random) -> list[str]:
-    """The word with a letter inserted, and with a letter doubled."""
+def variants(word: str, rnd: random.Random, inserted: int = 1) -> list[str]:
+    """The word with a letter doubled, and ``inserted`` times with a letter inserted."""
     k = rnd.randrange(1, len(word))
-    return [word[:k] + rnd.choice("abcdefghijklmnopqrstuvwxyz") + word[k:], word[:k] + word[k - 1] + word[k:]]
+    out = [word[:k] + word[k - 1] + word[k:]]
+    for _ in range(inserted):
+        k = rnd.randrange(1, len(word))
+        out.append(word[:k] + rnd.choice("abcdefghijklmnopqrstuvwxyz") + word[k:])
+    return out
 
 
 def train(texts: list[tuple[str, int]]) -> Model:
@@ -224,8 +251,12 @@ def train(texts: list[tuple[str, int]]) -> Model:
     near = Landmarks(toxic[:TOXIC_LANDMARKS]).each(clean, lambda v: v.max(axis=1))
     hard = np.argsort(-near, kind="stable").tolist()
     strings = toxic[:TOXIC_LANDMARKS] + [clean[i] for i in dict.fromkeys([*hard[:CLEAN_LANDMARKS], *range(min(16, len(clean)))])]
-    marks = Landmarks(strings)
-    between = marks.values(strings)
+    def tells(w: str) -> bool:
+        return len(contexts.get(w + "$", ())) >= SURE_SHARE * n1
+
+    strings.sort(key=lambda w: not tells(w))
+    marks, size = Landmarks(strings, sum(map(tells, strings))), len(strings)
+    between = marks.values(strings)[:, :size]
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     whiten = vectors @ np.diag(np.where(values > 1e-6, 1 / np.sqrt(np.maximum(values, 1e-6)), 0)) @ vectors.T
 
@@ -235,27 +266,45 @@ def train(texts: list[tuple[str, int]]) -> Model:
         for s in found if y else []:
             if told := [w for w in s if w in used]:  # a toxic sentence, by its commonest telling string
                 positive.append(max(told, key=lambda w: (used[w], w)))
-    positive = [p for w in positive[:4 * TRAIN_ROWS] for p in (w, *variants(w, rnd))]
+    from_sure = [tells(w) for w in positive for _ in range(2 + (INSERTED if tells(w) else 1))]
+    positive = [p for w in positive for p in (w, *variants(w, rnd, INSERTED if tells(w) else 1))]
     spread = range(0, len(clean), max(1, 2 * len(clean) // CLEAN_STRINGS))
     negative = [clean[i] for i in dict.fromkeys([*hard[:CLEAN_STRINGS // 2], *spread])]
-    train_on = positive + negative
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-    z = np.hstack([marks.values(train_on) @ whiten, np.ones((len(train_on), 1))])
-    n, d = z.shape
-    rows = Rows(np.arange(0, n * d + 1, d), np.tile(np.arange(d), n), z.ravel())
+    v = marks.values(positive + negative)
+    z = np.hstack([v[:, :size] @ whiten, v[:, size:], np.ones((len(v), 1))])
     # The more clean documents hold a clean string, the more it weighs.
     weight = np.array([1.0] * len(positive) + [seen[w + "$"] ** 0.5 for w in negative])
-    cost = COST * n / 2 * weight / np.where(y > 0, len(positive), max(1.0, weight[len(positive):].sum()))
-    cost = np.maximum(cost, COST / 10)
-    w = dual_coordinate_descent(rows, y, d, cost)
-    linear, bias = whiten @ w[:-1], float(w[-1])
-    # The curve is fitted to whole documents: each one's worst string.
+
+    def fit(own: np.ndarray) -> tuple[np.ndarray, float]:
+        """Weights of the values and the bias, from these rows."""
+        n, d = len(own), z.shape[1]
+        rows = Rows(np.arange(0, n * d + 1, d), np.tile(np.arange(d), n), z[own].ravel())
+        y = np.where(own < len(positive), 1.0, -1.0)
+        cost = COST * n / 2 * weight[own] / np.where(y > 0, (y > 0).sum(), max(1.0, weight[len(positive):].sum()))
+        w = dual_coordinate_descent(rows, y, d, np.maximum(cost, COST / 10))
+        return np.concatenate([whiten @ w[:size], w[size:-1]]), float(w[-1])
+
+    # The curves are fitted to whole documents: each one's worst string.
     texts_strings = [[w for s in found for w in s] for found, _ in cut]
     flat = sorted({w for own in texts_strings for w in own})
-    margin = dict(zip(flat, marks.each(flat, lambda v: v @ linear + bias), strict=True))
-    worst = np.array([max((margin[w] for w in own), default=bias) for own in texts_strings])
-    slope, offset = calibrate(worst, np.array([y for _, y in texts]))
-    return Model(strings, linear, bias, slope, offset)
+    labels = np.array([y for _, y in texts])
+
+    def worst(linear: np.ndarray, bias: float) -> np.ndarray:
+        margin = dict(zip(flat, marks.each(flat, lambda v: v @ linear + bias), strict=True))
+        return np.array([max((margin[w] for w in own), default=bias) for own in texts_strings])
+
+    linear, bias = fit(np.arange(len(z)))
+    model = Model(strings, linear, bias, *calibrate(worst(linear, bias), labels))
+    if not marks.sure or model.slope <= 0:
+        return model
+    own = np.flatnonzero(from_sure)
+    linear, bias = fit(np.concatenate([own, np.arange(len(positive), len(z))]))
+    # This model's curve is fitted to clean documents and the words' variants themselves, each different one once.
+    _, once = np.unique(np.array(positive)[own], return_index=True)
+    told = v[own[once]] @ linear + bias
+    clean_worst = worst(linear, bias)[labels == 0]
+    curve = calibrate(np.concatenate([told, clean_worst]), np.repeat([1, 0], [len(told), len(clean_worst)]))
+    return model._replace(sure=marks.sure, sure_weights=linear, sure_curve=(bias, *curve))
 
 
 def train_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 4, held_out: int = 2,
@@ -272,9 +321,17 @@ def train_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds
 
 
 def _scorer(model: Model):
-    """A function from strings to margins."""
-    marks = Landmarks(model.landmarks)
-    return lambda strings: marks.each(strings, lambda v: v @ model.weights + model.bias)
+    """A function from strings to margins, the greater of the two models' on the first one's scale."""
+    marks = Landmarks(model.landmarks, model.sure)
+
+    def margin(v: np.ndarray) -> np.ndarray:
+        own = v @ model.weights + model.bias
+        if model.sure_weights is None:
+            return own
+        bias, slope, offset = model.sure_curve
+        return np.maximum(own, (slope * (v @ model.sure_weights + bias) + offset - model.offset) / model.slope)
+
+    return lambda strings: marks.each(strings, margin)
 
 
 def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:

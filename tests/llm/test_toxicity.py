@@ -47,6 +47,17 @@ def test_gapped_and_inserted_insults(spark, model):
     assert max(scores(spark, model, [frame.format(w) for w in fine])) < 0.3
 
 
+def test_a_letter_inserted_anywhere(spark, model):
+    # Every place inside each word that tells by itself, with four letters each.
+    words = model.landmarks[:model.sure]
+    assert len(words) >= 8
+    rnd = np.random.default_rng(9)
+    inserted = [w[:k] + c + w[k:] for w in words for k in range(1, len(w)) for c in rnd.choice(list("abcdefghijklmnopqrstuvwxyz"), 4)]
+    margins = toxicity._scorer(model)(inserted + words)
+    caught = toxicity.sigmoid(model.slope * margins + model.offset) >= 0.3
+    assert caught[len(inserted):].all() and caught[:len(inserted)].mean() >= 0.95
+
+
 @pytest.mark.parametrize("letters,insults", [("абвгдежзиклмнопрсту", ["придурок", "мерзавец"]), ("αβγδεζηθικλμνξοπρστυ", ["ηλίθιος", "βλάκας"])])
 def test_insults_in_other_scripts(letters, insults):
     rnd = np.random.default_rng(8)
