@@ -1,9 +1,9 @@
 """Operator 10, exact top-k search by inner product over an impact-ordered index.
 
-Vectors are quantised to integers. Spark deals the rows out in blocks of a
-fixed size and sends every block of queries past every block of rows; a task
-indexes its block by posting segments, the rows whose component in one
-dimension lies in one quantised level, and runs each query score at a time:
+Vectors are quantised to integers. Spark deals the rows out, once, in blocks of
+a fixed size and sends the queries past every block; a task indexes a block
+once, by posting segments, the rows whose component in one dimension lies in
+one quantised level, and runs the queries that stream by, score at a time:
 
 - segments in descending order of impact, the most that the query's weight
   makes of any value of the segment; each adds its exact contribution to its
@@ -18,13 +18,16 @@ The best k of the blocks of a query are merged by rank.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+BLOCK_ROWS = 4096
+BLOCK_QUERIES = 1024     # whose results a task sends back together
 LEVELS = 16          # quantised levels of a dimension
 POSSIBLE = 0.09      # stop when this share of a block, or fewer rows, are possible members
 
@@ -84,27 +87,54 @@ class ImpactIndex:
         return np.flatnonzero(total >= np.partition(total, n - k)[n - k])
 
 
-def _search(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Top k of one block of rows for each query; only vectors of a query's length, not of its id."""
-    found: list[tuple[int, int, int]] = []
-    lengths = rows["v"].map(len)
-    for d, own in queries.groupby(queries["v"].map(len)):
-        block = rows[lengths == d]
-        if not len(block) or not len(own):
-            continue
-        x = np.array(block["v"].tolist(), np.int64).reshape(len(block), d)
-        ids = block["id"].to_numpy(np.int64)
-        index = ImpactIndex(x)
-        copies = max(1, int(pd.Series(ids).value_counts().max()))
-        for qid, q in zip(own["id"].tolist(), own["v"].tolist()):
-            q = np.array(q, np.int64)
-            # k more than those that the query's own id can take
-            left = index.possible(q, k + copies)
-            left = left[ids[left] != qid]
-            scores = x[left] @ q
-            best = np.lexsort((ids[left], -scores))[:k]
-            found += [(qid, int(ids[left[i]]), int(scores[i])) for i in best]
-    return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+class Block:
+    """A block of rows, indexed once for each length of vector in it."""
+
+    def __init__(self, ids: list[int], vectors: list[list[int]]):
+        lengths = np.array([len(v) for v in vectors])
+        self.parts = {}
+        for d in set(lengths.tolist()):
+            own = np.flatnonzero(lengths == d)
+            part = np.array([ids[i] for i in own], np.int64)
+            index = ImpactIndex(np.array([vectors[i] for i in own], np.int64).reshape(len(own), d))
+            self.parts[d] = part, index, int(np.unique(part, return_counts=True)[1].max())
+
+    def best(self, qid: int, query: list[int], k: int) -> list[tuple[int, int, int]]:
+        """(query, row, score) of the k best rows; only vectors of the query's length, not of its id."""
+        if len(query) not in self.parts:
+            return []
+        ids, index, copies = self.parts[len(query)]
+        q = np.array(query, np.int64)
+        left = index.possible(q, k + copies)     # k more than those that the query's own id can take
+        left = left[ids[left] != qid]
+        scores = index.x[left] @ q
+        return [(qid, int(ids[left[i]]), int(scores[i])) for i in np.lexsort((ids[left], -scores))[:k]]
+
+
+def _searched(flow: DataFrame, k: int) -> DataFrame:
+    """``(query_id, vec_id, score)``: the best k of each block for its queries; ``flow`` has (rb, side, id, v), rows (side 0) and queries (1)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+            cols = list(zip(*found, strict=True)) or [[]] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
+
+        now, ids, vectors, block, found = None, [], [], None, []
+        for batch in batches:
+            for rb, side, own, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if rb != now:
+                    now, ids, vectors, block = rb, [], [], None
+                if side == 0:
+                    ids.append(own)
+                    vectors.append(v)
+                    continue
+                block = block or Block(ids, vectors)   # the rows come first
+                found += block.best(own, v, k)
+                if len(found) >= BLOCK_QUERIES * k:
+                    yield result(found)
+                    found = []
+        yield result(found)
+
+    return flow.repartition("rb").sortWithinPartitions("rb", "side").mapInArrow(run, "query_id long, vec_id long, score long")
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -130,18 +160,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
                        F.coalesce(is_query, F.lit(False)).alias("asks"))
     base = base.filter(F.col("id").isNotNull() & F.col("v").isNotNull())
     asked = base.filter("asks").select("id", "v").distinct()
-    n_rows, n_asked = base.count(), asked.count()
-    row_blocks, query_blocks = -(-n_rows // BLOCK_ROWS) or 1, -(-n_asked // BLOCK_QUERIES) or 1
-
-    def blocks(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-
+    row_blocks = -(-base.count() // BLOCK_ROWS) or 1
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long")))
     # Copies of one vector spread like any rows: blocks go by row, not by content.
-    held = (base.select("id", "v", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(row_blocks)).alias("rb"))
-            .select("id", "v", "rb", blocks(query_blocks).alias("qb")))
-    asks = (asked.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(query_blocks)).alias("qb"))
-            .select("id", "v", blocks(row_blocks).alias("rb"), "qb"))
-    met = held.groupBy("rb", "qb").cogroup(asks.groupBy("rb", "qb")).applyInPandas(
-        lambda r, q: _search(r, q, k), "query_id long, vec_id long, score long")
+    held = base.select(F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(row_blocks)).alias("rb"), F.lit(0).alias("side"), "id", "v")
+    met = _searched(held.unionByName(asked.select(every.alias("rb"), F.lit(1).alias("side"), "id", "v")), k)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
