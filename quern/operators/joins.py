@@ -125,7 +125,11 @@ def lookup_join(big: DataFrame, dim: DataFrame, big_on: str, dim_on: str,
             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("_d"))
             .select("_dk", *[F.col("_d." + c).alias(c) for c in cols]))
     out = _split_join(big, last, big_on, "_dk").select(F.col("_dk").alias(dim_on), *cols, *big.columns)
-    return sorted_rows(out, [dim_on], num_partitions) if sort_output else out
+    if not sort_output:
+        return out
+    # The order's bounds come from the big table's keys, not from the join, which is run once.
+    keys = big.filter(F.col(big_on).isNotNull()).select(F.col(big_on).alias(dim_on))
+    return sorted_rows(out, [dim_on], num_partitions, keys_of=keys)
 
 
 def prefiltered_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str,

@@ -24,6 +24,7 @@ def test_operators_on_empty_inputs(spark):
     assert joins.bloom_join(kv, dim, "k", "dk", keys).count() == 0
     assert joins.secondary_sort_join(dim, kv, "dk", "k", ["name"], ["v"], strategy="window").count() == 0
     assert joins.cogroup(kv, dim, "k", "dk", ["v"], ["name"]).count() == 0
+    assert joins.cogroup_lists(kv, dim, "k", "dk", ["v"], ["name"], ["v"], ["name"]).count() == 0
     assert layout.secondary_sort(kv, "k", ["v"], split_hot_keys=True).count() == 0
 
 

@@ -106,6 +106,12 @@ def test_total_order_runs_its_input_once(spark, name):
     plan = _final_plan(spark, QUERIES[name](spark, SF))
     # No range exchange: that one would run everything below it a second time, for its sample.
     assert "rangepartitioning" not in plan.lower() and "shufflepartitionidpassthrough" in plan.lower()
+    # Nor does the subquery that finds the bounds run the joins: their input's keys are enough.
+    df = QUERIES[name](spark, SF)
+    _tree(spark, df)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    subqueries = df._jdf.queryExecution().explainString(mode).split("===== Subqueries =====")[1]
+    assert "Scan parquet" in subqueries and "Join" not in subqueries
 
 
 def test_sorted_outputs_hold_their_order_across_partitions(spark):
