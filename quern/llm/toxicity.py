@@ -266,22 +266,31 @@ def train(texts: list[tuple[str, int]]) -> Model:
         for s in found if y else []:
             if told := [w for w in s if w in used]:  # a toxic sentence, by its commonest telling string
                 positive.append(max(told, key=lambda w: (used[w], w)))
-    from_sure = [tells(w) for w in positive for _ in range(2 + (INSERTED if tells(w) else 1))]
-    positive = [p for w in positive for p in (w, *variants(w, rnd, INSERTED if tells(w) else 1))]
+    # Each different string once, with its number.
+    times, from_sure = Counter(), set()
+    for w in positive:
+        own = (w, *variants(w, rnd, INSERTED if tells(w) else 1))
+        times.update(own)
+        from_sure.update(own if tells(w) else ())
+    positive = list(times)
     spread = range(0, len(clean), max(1, 2 * len(clean) // CLEAN_STRINGS))
     negative = [clean[i] for i in dict.fromkeys([*hard[:CLEAN_STRINGS // 2], *spread])]
-    v = marks.values(positive + negative)
+    v = marks.each(positive + negative, lambda values: values)
     z = np.hstack([v[:, :size] @ whiten, v[:, size:], np.ones((len(v), 1))])
     # The more clean documents hold a clean string, the more it weighs.
-    weight = np.array([1.0] * len(positive) + [seen[w + "$"] ** 0.5 for w in negative])
+    weight = np.array([float(times[w]) for w in positive] + [seen[w + "$"] ** 0.5 for w in negative])
+    clean_weight = max(1.0, weight[len(positive):].sum())
 
     def fit(own: np.ndarray) -> tuple[np.ndarray, float]:
         """Weights of the values and the bias, from these rows."""
         n, d = len(own), z.shape[1]
         rows = Rows(np.arange(0, n * d + 1, d), np.tile(np.arange(d), n), z[own].ravel())
         y = np.where(own < len(positive), 1.0, -1.0)
-        cost = COST * n / 2 * weight[own] / np.where(y > 0, (y > 0).sum(), max(1.0, weight[len(positive):].sum()))
-        w = dual_coordinate_descent(rows, y, d, np.maximum(cost, COST / 10))
+        toxic_weight = weight[own][y > 0].sum()
+        total = toxic_weight + (y < 0).sum()
+        least = COST / 10 * np.where(y > 0, weight[own], 1.0)
+        cost = COST * total / 2 * weight[own] / np.where(y > 0, toxic_weight, clean_weight)
+        w = dual_coordinate_descent(rows, y, d, np.maximum(cost, least), epochs=100)
         return np.concatenate([whiten @ w[:size], w[size:-1]]), float(w[-1])
 
     # The curves are fitted to whole documents: each one's worst string.
@@ -297,11 +306,10 @@ def train(texts: list[tuple[str, int]]) -> Model:
     model = Model(strings, linear, bias, *calibrate(worst(linear, bias), labels))
     if not marks.sure or model.slope <= 0:
         return model
-    own = np.flatnonzero(from_sure)
+    own = np.flatnonzero([w in from_sure for w in positive])
     linear, bias = fit(np.concatenate([own, np.arange(len(positive), len(z))]))
     # This model's curve is fitted to clean documents and the words' variants themselves, each different one once.
-    _, once = np.unique(np.array(positive)[own], return_index=True)
-    told = v[own[once]] @ linear + bias
+    told = v[own] @ linear + bias
     clean_worst = worst(linear, bias)[labels == 0]
     curve = calibrate(np.concatenate([told, clean_worst]), np.repeat([1, 0], [len(told), len(clean_worst)]))
     return model._replace(sure=marks.sure, sure_weights=linear, sure_curve=(bias, *curve))
