@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quern.llm.common import byte_symbols, distinct_pieces, gather_ranges, row_sums, slices, token_pieces
+from quern.llm.common import byte_symbols, distinct_pieces, gather_ranges, row_sums, slices, tidied, token_pieces
 
 # Bytes of distinct pieces in one recursive query, and pieces a worker process
 # remembers between batches and tasks; both bound its memory.
@@ -327,4 +327,4 @@ def _coded(docs: DataFrame, ranks: dict[bytes, int], id_col: str, text_col: str,
 
     cut = docs.select(docs[id_col], token_pieces(docs[text_col]).alias("_pieces"))
     more = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
-    return cut.mapInArrow(run, f"`{id_col}` {id_type.simpleString()}, {more}")
+    return cut.mapInArrow(tidied(run), f"`{id_col}` {id_type.simpleString()}, {more}")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import checkpointed, words
+from quern.llm.common import checkpointed, tidied, words
 from quern.llm.graph import components
 from quern.operators.ranges import free_name
 
@@ -100,7 +100,7 @@ def document_frequencies(hashed: DataFrame) -> np.ndarray:
         hit = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["bucket", "n"])
 
-    found = (hashed.select("_words").mapInArrow(run, "bucket long, n long")
+    found = (hashed.select("_words").mapInArrow(tidied(run), "bucket long, n long")
              .groupBy("bucket").agg(F.sum("n").alias("n")).toPandas())
     out = np.zeros(FREQUENCY_BUCKETS, np.int64)
     out[found["bucket"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
@@ -185,7 +185,7 @@ def _described(hashed: DataFrame, idf) -> DataFrame:
             bands = pa.array([k if s else None for k, s in zip(keys, some)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], names=["id", "digest", "bands"])
 
-    return hashed.mapInArrow(run, f"id {id_type}, digest string, bands array<long>")
+    return hashed.mapInArrow(tidied(run), f"id {id_type}, digest string, bands array<long>")
 
 
 def _sets_of(hashed: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def _sets_of(hashed: DataFrame) -> DataFrame:
                  pa.array([counts[a:b].tobytes() if (counts[a:b] > 1).any() else b"" for a, b in cut], pa.binary()),
                  pa.array([b - a for a, b in cut], pa.int64())], names=["node", "ids", "counts", "size"])
 
-    return hashed.mapInArrow(run, "node long, ids binary, counts binary, size long")
+    return hashed.mapInArrow(tidied(run), "node long, ids binary, counts binary, size long")
 
 
 def _counts(ids: np.ndarray, counts: bytes) -> np.ndarray:
@@ -332,7 +332,7 @@ def _linked(members: DataFrame, sets: DataFrame, idf, min_similarity: float) ->
         yield links(nodes, own)
 
     met = members.join(sets.select("node", "ids", "counts"), "node").select("group", "node", "ids", "counts")
-    return met.repartition("group").sortWithinPartitions("group", "node").mapInArrow(run, "a long, b long")
+    return met.repartition("group").sortWithinPartitions("group", "node").mapInArrow(tidied(run), "a long, b long")
 
 
 def _links(buckets: DataFrame, sets: DataFrame, idf, min_similarity: float) -> DataFrame:

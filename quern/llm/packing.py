@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import byte_symbols, checkpointed, distinct_pieces, gather_ranges, row_sums, slices, token_pieces
+from quern.llm.common import byte_symbols, checkpointed, distinct_pieces, gather_ranges, row_sums, slices, tidied, token_pieces
 from quern.operators.ranges import free_name
 
 CAPACITY = 2048
@@ -115,7 +115,7 @@ def token_id_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACI
 
     cut = docs.select(docs[id_col], pieces_with_added(docs[text_col], added).alias("_pieces"))
     return cut.mapInArrow(
-        run, f"`{id_col}` {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long")
+        tidied(run), f"`{id_col}` {id_type.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
 class Slots(NamedTuple):

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
-from quern.llm.common import checkpointed
+from quern.llm.common import checkpointed, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "id"                      # kind of the spans that patterns discover
@@ -219,7 +219,7 @@ def _read(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], rows, _structs([b for b, _ in found], _BASE), _structs([s for _, s in found], _STRINGS)],
                                              names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidied(run), schema)
 
 
 def _occurrences(read: DataFrame) -> DataFrame:
@@ -355,7 +355,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = Non
             columns[at] = pa.array([redacted(t, f) for t, f in zip(columns[at].to_pylist(), found, strict=True)], columns[at].type)
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    changed = own.filter(some).mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]))
+    changed = own.filter(some).mapInArrow(tidied(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]))
     if size:
         changed = changed.withColumn(size, F.length(text).cast(plain.schema[size].dataType))
     return changed.unionByName(own.filter(~some)).select(*plain.columns).toDF(*docs.columns)

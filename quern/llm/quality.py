@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import distinct_pieces, gather_ranges, slices, words
+from quern.llm.common import distinct_pieces, gather_ranges, slices, tidied, words
 from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labelled, sigmoid
 from quern.operators.ranges import free_name
 
@@ -214,7 +214,7 @@ def train_on(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fol
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.list_(pa.int32()))],
                                              names=["y", "_order", "columns"])
 
-    got = sorted(rows.mapInArrow(run, "y int, _order long, columns array<int>").collect(), key=lambda r: (r["_order"], r["y"]))
+    got = sorted(rows.mapInArrow(tidied(run), "y int, _order long, columns array<int>").collect(), key=lambda r: (r["_order"], r["y"]))
     own = [np.array(r["columns"], np.int32) for r in got]
     bounds = np.concatenate([[0], np.cumsum([len(o) for o in own], dtype=np.int64)])
     columns = np.concatenate(own) if own else np.zeros(0, np.int32)
@@ -236,7 +236,7 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
             scores = score(indicators(batch.column(last), codes), shared.value)
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(scores)], names=names)
 
-    return docs.withColumn(cut, words(text_col)).mapInArrow(run, schema)
+    return docs.withColumn(cut, words(text_col)).mapInArrow(tidied(run), schema)
 
 
 def classify(docs: DataFrame, model: Model, folds: int = 3, held_out: int = 1, threshold: float = 0.5,

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import distinct_pieces, slices, words
+from quern.llm.common import distinct_pieces, slices, tidied, words
 from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labelled, sigmoid
 from quern.operators.ranges import free_name
 
@@ -382,7 +382,7 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
             scores = sigmoid(model.slope * worst + model.offset)
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(scores)], names=names)
 
-    return docs.withColumn(column, words(text_col)).mapInArrow(run, schema)
+    return docs.withColumn(column, words(text_col)).mapInArrow(tidied(run), schema)
 
 
 def classify(docs: DataFrame, model: Model, folds: int = 4, held_out: int = 2, threshold: float = 0.3,
