@@ -73,20 +73,37 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def calibrate(margin: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """Slope and offset of the logistic curve through (margin, label), by Newton's method on smoothed labels."""
+def calibrate(margin: np.ndarray, y: np.ndarray, rounds: int = 100, weight: np.ndarray | None = None) -> tuple[float, float]:
+    """Slope and offset of the logistic curve through (margin, label), by Newton's method on smoothed labels.
+
+    ``weight``: how much each row counts, if not all the same.
+    """
+    each = np.ones(len(margin)) if weight is None else weight
     positive, negative = (y > 0).sum(), (y <= 0).sum()
     target = np.where(y > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
     a, b = 1.0, 0.0
+
+    def loss(a: float, b: float) -> float:
+        z = a * margin + b
+        return float((each * (np.logaddexp(0, z) - target * z)).sum())
+
+    now = loss(a, b)
     for _ in range(rounds):
         p = sigmoid(a * margin + b)
-        weight = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([((p - target) * margin).sum(), (p - target).sum()])
-        h = np.array([[(weight * margin * margin).sum() + 1e-6, (weight * margin).sum()],
-                      [(weight * margin).sum(), weight.sum() + 1e-6]])
+        bend = each * np.maximum(p * (1 - p), 1e-9)
+        off = each * (p - target)
+        g = np.array([(off * margin).sum(), off.sum()])
+        h = np.array([[(bend * margin * margin).sum() + 1e-6, (bend * margin).sum()],
+                      [(bend * margin).sum(), bend.sum() + 1e-6]])
         step = np.linalg.solve(h, g)
         size = min(1.0, 5 / max(1e-9, np.abs(step).max()))
-        a, b = a - size * step[0], b - size * step[1]
+        # Far from the curve a whole step may lead away from it, and the next one back again.
+        for _ in range(40):
+            after = loss(a - size * step[0], b - size * step[1])
+            if after <= now + 1e-9 * abs(now):
+                break
+            size /= 2
+        a, b, now = a - size * step[0], b - size * step[1], after
         if np.abs(step).max() < 1e-7:
             break
     return float(a), float(b)

@@ -13,8 +13,11 @@ gapped and inserted-character variants of the toxic ones. Words that many
 toxic documents hold and no clean one tell by themselves: a second model of
 these and their variants, on values that fall slowly with letters inserted,
 has a curve of its own, and a string takes the worse of its two scores. A
-document scores as its worst string. Tasks score each distinct word of a batch
-once.
+document scores as its worst string, or as a whole: words that clean documents
+hold now and then tell by how many of them there are. For these a third model
+is trained on whole documents, on the mean of their strings' kernel values with
+beginnings of words that are far more frequent in toxic documents. Tasks score
+each distinct word of a batch once.
 """
 
 from __future__ import annotations
@@ -46,6 +49,14 @@ INSERTED = 6              # variants of such a word with a letter inserted
 STEMS = (4, 5, 6)         # lengths of word beginnings that can tell a toxic document
 LEAST_CONTEXTS = 5        # a telling word or stem stands after at least so many different words
 LEAST_RATIO = 2.5         # log ratio of toxic to clean documents that hold it
+BEGINNINGS = (3, 4, 5, 6, 7)  # lengths of word beginnings whose share of a document's words can tell
+SHARE_LANDMARKS = 32      # such beginnings, at most
+LEAST_GAIN = 0.02         # of the most telling one's share of all words: with less, a beginning is left out
+SHARE_RATIO = 1.5         # log ratio of their shares of the words of toxic and clean documents
+MOST_SHARE = 0.05         # of one document's words counts for that ratio, so that a few documents do not make it
+FEW_WORDS = 50            # added to a document's number of words: one word of a short text is not a share
+SHARPNESS = 8             # power of a kernel value against the beginning's own
+START = "^"               # the start of a word, as a character
 WIDTH = 24                # characters of a string; longer ones become overlapping windows
 LETTERS_SHARED = 0.8      # of a landmark's characters; with fewer its kernel value is 0
 MEMORY_WORDS = 250_000    # words whose score a task remembers
@@ -136,10 +147,15 @@ class Landmarks:
     def values(self, strings: list[str]) -> np.ndarray:
         """One row a string: a power of its normalised kernel with each landmark, 0 where too few characters are shared, and
         the three values with each sure one."""
-        out = np.zeros((len(strings), len(self.symbols)))
-        held = np.zeros(out.shape)
+        rows, values = self.near(strings)
+        out = np.zeros((len(strings), values.shape[1]))
+        out[rows] = values
+        return out
+
+    def near(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The strings, by number, that share enough with a landmark, and their values; all others' are 0."""
         if not len(self.symbols) or not strings:
-            return np.hstack([out, *[out[:, :self.sure]] * 3])
+            return np.zeros(0, np.int64), np.zeros((0, len(self.symbols) + 3 * self.sure))
         symbols = _symbols(strings)
         counts = _letter_counts(symbols, self.alphabet)
         shared = np.zeros((len(symbols), len(self.symbols)), np.int8)
@@ -149,21 +165,39 @@ class Landmarks:
             elif len(at) and len(own := np.flatnonzero(counts[:, c])):
                 shared[np.ix_(own, at)] += np.minimum(counts[own, c][:, None], self.counts[at, c])
         i, j = np.nonzero(shared >= self.need)
+        rows, at = np.unique(i, return_inverse=True)
+        out = np.zeros((len(rows), len(self.symbols)))
+        held = np.zeros((len(rows), self.sure))
         if len(i):
-            rows, at = np.unique(i, return_inverse=True)
             own = np.sqrt(np.maximum(kernel(symbols[rows], symbols[rows]), 1e-12))
             raw = kernel(symbols[i], self.symbols[j])
-            out[i, j] = raw / (own[at] * self.own[j])
-            held[i, j] = np.minimum(raw / self.own[j] ** 2, 1)
-        plain, held = out[:, :self.sure], held[:, :self.sure]
-        return np.hstack([out ** POWER, plain, held, plain * held])
+            out[at, j] = raw / (own[at] * self.own[j])
+            sure = j < self.sure
+            held[at[sure], j[sure]] = np.minimum(raw[sure] / self.own[j[sure]] ** 2, 1)
+        plain = out[:, :self.sure]
+        return rows, np.hstack([out ** POWER, plain, held, plain * held])
 
     def each(self, strings: list[str], f) -> np.ndarray:
         """``f`` of the values, ten thousand strings at a time, so that no table of all of them is held."""
-        parts = [f(self.values(strings[a:a + 10_000])) for a in range(0, len(strings), 10_000)]
+        parts = []
+        for a in range(0, len(strings), 10_000):
+            rows, values = self.near(strings[a:a + 10_000])
+            # Most strings are close to no landmark; they are all alike.
+            got = f(np.vstack([values, np.zeros((1, values.shape[1]))]))
+            part = np.repeat(got[-1:], min(10_000, len(strings) - a), axis=0)
+            part[rows] = got[:-1]
+            parts.append(part)
         return np.concatenate(parts) if parts else np.zeros(0)
 
 
+class Shares(NamedTuple):
+    """The model of whole documents: what each string adds to a document's sum, and the curve of the sum's share."""
+    beginnings: list[str]
+    weights: np.ndarray
+    slope: float
+    offset: float
+
+
 class Model(NamedTuple):
     landmarks: list[str]
     weights: np.ndarray   # of the values with the landmarks, the whitening multiplied in
@@ -174,6 +208,7 @@ class Model(NamedTuple):
     # A second model, of these words and their variants alone, and its own curve; it sets no string's score lower.
     sure_weights: np.ndarray | None = None
     sure_curve: tuple[float, float, float] = (0.0, 1.0, 0.0)   # bias, slope, offset
+    shares: Shares | None = None
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -215,11 +250,83 @@ def variants(word: str, rnd: random.Random, inserted: int = 1) -> list[str]:
     return out
 
 
-def train(texts: list[tuple[str, int]]) -> Model:
-    """The model of (text, label) pairs; without both labels, or a telling word, the smoothed share of ones."""
+def frequent_beginnings(documents: list[tuple[list[str], int]]) -> list[str]:
+    """Beginnings of words that make up far more of the words of toxic documents than of clean ones, the most telling first."""
+    def marks(words: list[str]) -> Iterator[str]:
+        return (w[:n] for w in words for n in BEGINNINGS if n <= len(w))
+
+    holders = Counter()
+    for words, y in documents:
+        if y:
+            holders.update(set(marks(words)))
+    shares = {m: [0.0, 0.0] for m, c in holders.items() if c >= LEAST_CONTEXTS}
+    del holders
+    contexts: dict[str, set[str]] = {}     # the words before them in toxic documents: copies count once
+    number = [max(1, sum(y == k for _, y in documents)) for k in (0, 1)]
+    for words, y in documents:
+        for m, c in Counter(m for m in marks(words) if m in shares).items():
+            shares[m][y] += min(c / (len(words) + FEW_WORDS), MOST_SHARE) / number[y]
+    # The least share taken as known: one clean document that holds it once in a few hundred words.
+    least = 0.005 / number[0]
+    shares = {m: s for m, s in shares.items() if s[1] > np.exp(SHARE_RATIO) * (s[0] + least)}
+    for words, y in documents:
+        for before, w in zip(["", *words], words) if y else []:
+            for m in marks([w]):
+                if m in shares:
+                    contexts.setdefault(m, set()).add(before)
+    gain = {m: s[1] - np.exp(SHARE_RATIO) * s[0] for m, s in shares.items() if len(contexts[m]) >= LEAST_CONTEXTS}
+    out: list[str] = []
+    for m in sorted(gain, key=lambda m: (-gain[m], -len(m), m)):
+        if len(out) < SHARE_LANDMARKS and gain[m] >= LEAST_GAIN * max(gain.values()) and not any(m.startswith(b) or b.startswith(m) for b in out):
+            out.append(m)
+    return out
+
+
+class Beginnings:
+    """How much of each of some beginnings strings have at their start, by the kernel."""
+
+    def __init__(self, beginnings: list[str]):
+        self.size = len(beginnings)
+        self.landmarks = Landmarks([START + b for b in beginnings], self.size)
+
+    def each(self, strings: list[str], f) -> np.ndarray:
+        """``f`` of each string's values: a high power of its kernel value with each beginning against the beginning's own."""
+        return self.landmarks.each([START + w for w in strings], lambda v: f(v[:, 2 * self.size:3 * self.size] ** SHARPNESS))
+
+
+def train_shares(documents: list[tuple[list[str], int]], weight: np.ndarray) -> Shares | None:
+    """The model of whole documents; None if no beginning tells, or what tells is not trained to be toxic."""
+    found = frequent_beginnings(documents)
+    if not found:
+        return None
+    beginnings, flat = Beginnings(found), sorted({w for words, _ in documents for w in words})
+    at = {w: i for i, w in enumerate(flat)}
+    values = beginnings.each(flat, lambda v: v.astype(np.float32))
+    x = np.array([values[[at[w] for w in words]].sum(axis=0) / (len(words) + FEW_WORDS) if words else np.zeros(len(found))
+                  for words, _ in documents], dtype=np.float64)
+    labels = np.array([y for _, y in documents])
+    scale = 1 / max(1e-9, x[labels > 0].sum(axis=1).mean())
+    z = np.hstack([x * scale, np.ones((len(x), 1))])
+    n, d = z.shape
+    rows = Rows(np.arange(0, n * d + 1, d), np.tile(np.arange(d), n), z.ravel())
+    w = dual_coordinate_descent(rows, np.where(labels > 0, 1.0, -1.0), d, COST * n * weight / weight.sum(), epochs=100)
+    slope, offset = calibrate(z @ w, labels, weight=weight)
+    return Shares(found, w[:-1] * scale, slope, offset + slope * float(w[-1])) if slope > 0 else None
+
+
+def train(texts: list[tuple[str, int]], share: float | None = None) -> Model:
+    """The model of (text, label) pairs; without both labels, or a telling word, the smoothed share of ones.
+
+    ``share`` is the share of ones where they come from, if it is another than
+    in ``texts``; documents that nothing tells apart score below it.
+    """
     n1 = sum(y for _, y in texts)
     n0 = len(texts) - n1
     cut = [(sentences(t), y) for t, y in texts]
+    ones = n1 / max(1, len(texts)) if share is None else share
+    of_texts = np.array([ones / n1 if y else (1 - ones) / n0 for _, y in texts]) * len(texts)
+    # What only its frequency tells first: it holds on to no memory that the rest needs.
+    shares = train_shares([([w for s in found for w in s], y) for found, y in cut], of_texts) if n0 and n1 else None
     in_toxic = Counter()                   # toxic documents that hold a word or stem
     for found, y in cut:
         if y:
@@ -243,8 +350,8 @@ def train(texts: list[tuple[str, int]]) -> Model:
     used = Counter(w for found, y in cut if y for s in found for w in s if any(m in telling for m in marks_of(w)))
     toxic = sorted(used, key=lambda w: (-used[w], w))
     if not n0 or not toxic:
-        p = (n1 + 1) / (len(texts) + 2)
-        return Model([], np.zeros(0), 0.0, 1.0, float(np.log(p / (1 - p))))
+        p = (ones * len(texts) + 1) / (len(texts) + 2)
+        return Model([], np.zeros(0), 0.0, 1.0, float(np.log(p / (1 - p))), shares=shares)
     clean = [m[:-1] for m, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if m.endswith("$") and len(m) > ORDER + 1]
     clean = [w for w in clean if w not in used]
     # Of clean strings, those closest to a toxic landmark teach most.
@@ -274,8 +381,9 @@ def train(texts: list[tuple[str, int]]) -> Model:
         from_sure.update(own if tells(w) else ())
     positive = list(times)
     spread = range(0, len(clean), max(1, 2 * len(clean) // CLEAN_STRINGS))
-    negative = [clean[i] for i in dict.fromkeys([*hard[:CLEAN_STRINGS // 2], *spread])]
-    v = marks.each(positive + negative, lambda values: values)
+    # The commonest ones are all there: one of them mistaken would take a large part of the clean documents along.
+    negative = [clean[i] for i in dict.fromkeys([*hard[:CLEAN_STRINGS // 2], *range(min(CLEAN_STRINGS // 5, len(clean))), *spread])]
+    v = marks.values(positive + negative)
     z = np.hstack([v[:, :size] @ whiten, v[:, size:], np.ones((len(v), 1))])
     # The more clean documents hold a clean string, the more it weighs.
     weight = np.array([float(times[w]) for w in positive] + [seen[w + "$"] ** 0.5 for w in negative])
@@ -303,7 +411,7 @@ def train(texts: list[tuple[str, int]]) -> Model:
         return np.array([max((margin[w] for w in own), default=bias) for own in texts_strings])
 
     linear, bias = fit(np.arange(len(z)))
-    model = Model(strings, linear, bias, *calibrate(worst(linear, bias), labels))
+    model = Model(strings, linear, bias, *calibrate(worst(linear, bias), labels, weight=of_texts), shares=shares)
     if not marks.sure or model.slope <= 0:
         return model
     own = np.flatnonzero([w in from_sure for w in positive])
@@ -322,10 +430,12 @@ def train_on(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds
     Training reads up to ``limit`` documents of each class, chosen by a hash
     of the id, and of these the ones of at most ``TRAIN_CHARS`` characters.
     """
-    sample = F.broadcast(labelled(labels.select(id_col, label_col), label_col, fold(id_col, folds) == held_out, limit, id_col))
+    held = fold(id_col, folds) == held_out
+    sample = F.broadcast(labelled(labels.select(id_col, label_col), label_col, held, limit, id_col))
+    ones = labels.filter(F.col(label_col).isin(0, 1) & ~held).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
     got = (docs.select(id_col, text_col).join(sample, id_col).filter(F.length(text_col) <= TRAIN_CHARS)
            .select(text_col, "y").collect())
-    return train(sorted((r[0], r[1]) for r in got))
+    return train(sorted((r[0], r[1]) for r in got), ones)
 
 
 def _scorer(model: Model):
@@ -342,6 +452,14 @@ def _scorer(model: Model):
     return lambda strings: marks.each(strings, margin)
 
 
+def _adder(model: Model):
+    """A function from strings to what each adds to its document's sum."""
+    if not model.shares:
+        return lambda strings: np.zeros(len(strings))
+    beginnings = Beginnings(model.shares.beginnings)
+    return lambda strings: beginnings.each(strings, lambda v: v @ model.shares.weights)
+
+
 def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text") -> DataFrame:
     """``docs``, all columns and rows kept, with the score of each whole text in column ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -350,18 +468,25 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        margins = _scorer(model)
+        margins, parts = _scorer(model), _adder(model)
         known: dict[str, float] = {}
+        adds: dict[str, float] = {"": 0.0}      # to the document's sum, if anything
+        counts: dict[str, int] = {"": 0}        # of strings, if not one
 
         def remember(words: list[str]) -> None:
             cut = [windows(w) for w in words]
-            flat = margins([x for c in cut for x in c])
+            strings = [x for c in cut for x in c]
             at = np.cumsum([0] + [len(c) for c in cut])
-            known.update(zip(words, np.maximum.reduceat(flat, at[:-1]).tolist() if len(words) else [], strict=True))
+            known.update(zip(words, np.maximum.reduceat(margins(strings), at[:-1]).tolist() if len(words) else [], strict=True))
+            if model.shares:
+                part = np.add.reduceat(parts(strings), at[:-1]) if len(words) else np.zeros(0)
+                adds.update((words[i], float(part[i])) for i in np.flatnonzero(part))
+                counts.update((w, len(c)) for w, c in zip(words, cut, strict=True) if len(c) > 1)
 
         for batch in slices(batches, column):
             if len(known) > MEMORY_WORDS:
                 known.clear()
+                adds, counts = {"": 0.0}, {"": 0}
             last = batch.num_columns - 1
             distinct, index, bounds = distinct_pieces(batch.column(last))
             strings = [normal(w) for w in distinct.to_pylist()]
@@ -371,15 +496,26 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
             filled = np.flatnonzero(np.diff(bounds))
             if len(filled):
                 worst[filled] = np.maximum(model.bias, np.maximum.reduceat(each[index], bounds[filled]))
+            row = np.repeat(np.arange(len(worst)), np.diff(bounds))
+            total, number = np.zeros(len(worst)), np.zeros(len(worst))
+            if model.shares:
+                total += np.bincount(row, np.array([adds.get(w, 0.0) for w in strings])[index], len(worst))
+                number += np.bincount(row, np.array([counts.get(w, 1) for w in strings])[index], len(worst))
             # Letters written apart: rows that hold three single characters in a row.
             single = np.fromiter((len(w) == 1 for w in strings), bool, len(strings))[index]
             three = np.flatnonzero(single[:-2] & single[1:-1] & single[2:])
-            row = np.searchsorted(bounds, three, side="right") - 1
-            for i in np.unique(row[three + 2 < bounds[row + 1]]):
+            three = three[row[three] == row[three + 2]]
+            for i in np.unique(row[three]):
                 tokens = pc.take(distinct, pa.array(index[bounds[i]:bounds[i + 1]])).to_pylist()
                 if runs := [w for run in spaced(tokens) for w in windows(run)]:
                     worst[i] = max(worst[i], margins(runs).max())
-            scores = sigmoid(model.slope * worst + model.offset)
+                    if model.shares:
+                        total[i] += parts(runs).sum()
+                        number[i] += len(runs)
+            told = model.slope * worst + model.offset
+            if model.shares:
+                told = np.maximum(told, model.shares.slope * total / (number + FEW_WORDS) + model.shares.offset)
+            scores = sigmoid(told)
             yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(scores)], names=names)
 
     return docs.withColumn(column, words(text_col)).mapInArrow(tidied(run), schema)

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from quern.llm import common, queries, toxicity
+from quern.llm import common, learn, queries, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -94,3 +94,53 @@ def test_odd_rows(spark, model):
         plain = toxicity.classify(df, toxicity.train_on(df, lab)).collect()
         assert len(plain) == len(texts) and all(0 <= r["score"] <= 1 for r in plain)
     assert toxicity.classify(df.limit(0), model).count() == 0
+
+
+def shares_of_words(rnd, beginnings, known, ends):
+    """Documents of invented words: toxic ones have a beginning in 3 of 100 words, every eighth clean one in one word."""
+    def text(toxic):
+        words = [str(w) for w in rnd.choice(known, rnd.integers(70, 300))]
+        often = len(words) * 3 // 100 if toxic else int(rnd.random() < 0.125)
+        for k in rnd.choice(len(words), often, replace=False):
+            words[k] = str(rnd.choice(beginnings)) + str(rnd.choice(ends))
+        return " ".join(words) + "."
+    return text
+
+
+def test_words_that_clean_documents_hold_now_and_then(spark):
+    rnd = np.random.default_rng(7)
+    parts = ["ach", "lich", "keit", "ung", "ver", "ge", "sch", "ein", "er", "st", "bo", "men", "te", "zu"]
+    word = lambda n: "".join(rnd.choice(parts, n))
+    known, ends = [w for w in (word(rnd.integers(2, 5)) for _ in range(2000)) if not w.startswith("achlich")], [word(2) for _ in range(200)]
+    text = shares_of_words(rnd, ["achlich"], known, ends)
+    model = toxicity.train([(text(y), y) for y in (0, 1) for _ in range(300)], share=0.1)
+    got = np.array(scores(spark, model, [text(y) for y in (0, 1) for _ in range(200)]))
+    assert (got[200:] >= 0.3).mean() >= 0.95
+    assert (got[:200] < 0.3).mean() >= 0.9   # an eighth hold such a word
+
+
+def test_documents_that_nothing_tells_apart_score_as_the_share_of_ones(spark):
+    # Most toxic documents read like clean ones; an insult in the others does not make all documents toxic.
+    rnd = np.random.default_rng(3)
+    known = ["".join(rnd.choice(list("aeionrstl"), rnd.integers(3, 9))) for _ in range(300)]
+    plain = lambda: " ".join(str(w) for w in rnd.choice(known, 40))
+    texts = [(plain(), 0) for _ in range(200)] + [(plain() + (" buffoon" if i % 4 == 0 else ""), 1) for i in range(200)]
+    got = np.array(scores(spark, toxicity.train(texts, share=0.1), [plain() for _ in range(100)] + [plain() + " buffoon"] * 2))
+    assert got[-2:].min() >= 0.3 and (got[:100] < 0.3).mean() >= 0.95
+
+
+def test_curve_is_the_best_one():
+    rnd = np.random.default_rng(1)
+    for far in (1, 3, 8, 30):
+        margin = np.concatenate([rnd.normal(far, 1, 300), rnd.normal(-far / 8, 0.05 * far, 1000), rnd.normal(far, 0.2, 60)])
+        y = np.repeat([1, 0], [300, 1060])
+        a, b = learn.calibrate(margin, y)
+        target = np.where(y > 0, 301 / 302, 1 / 1062)
+        off = learn.sigmoid(a * margin + b) - target
+        assert abs((off * margin).mean()) < 1e-4 * far and abs(off.mean()) < 1e-4
+
+
+def test_scores_do_not_depend_on_the_batch(spark, model):
+    texts = ["the idiot and the stupid " + "thing " * n for n in range(1, 40)]
+    alone = [scores(spark, model, [t])[0] for t in texts[:2]]
+    assert np.allclose(scores(spark, model, texts)[:2], alone, rtol=1e-9)
