@@ -35,9 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import distinct_pieces, slices, tidied, words
+from quern.llm.common import SLICE_CHARS, distinct_pieces, row_ranges, tidied
 from quern.llm.learn import Rows, calibrate, dual_coordinate_descent, fold, labelled, sigmoid
-from quern.operators.ranges import free_name
 
 TRAIN_ROWS = 1200         # labelled documents of each class that training reads, at most
 TRAIN_CHARS = 20_000      # longer labelled documents are not read for training
@@ -60,6 +59,8 @@ START = "^"               # the start of a word, as a character
 WIDTH = 24                # characters of a string; longer ones become overlapping windows
 LETTERS_SHARED = 0.8      # of a landmark's characters; with fewer its kernel value is 0
 MEMORY_WORDS = 250_000    # words whose score a task remembers
+# Fixed value: Unicode's white space, in the notation of Arrow's expressions.
+WHITE_SPACE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 # Characters commonly written for a letter.
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
 
@@ -464,7 +465,16 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
     """``docs``, all columns and rows kept, with the score of each whole text in column ``out``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
-    names, column = schema.names, free_name("_toxic_words", *schema.names)
+    names = schema.names
+    at_text = next(i for i, name in enumerate(names) if name.lower() == text_col.lower())
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+        """Slices of the batches and their texts' words. Cut here: texts and words together double what tasks hold."""
+        for batch in batches:
+            size = pc.fill_null(pc.binary_length(batch.column(at_text)), 0).to_numpy(zero_copy_only=False)
+            for start, stop in row_ranges(size, SLICE_CHARS):
+                part = batch.slice(start, stop - start)
+                yield part, pc.split_pattern_regex(pc.fill_null(part.column(at_text), ""), WHITE_SPACE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -483,12 +493,11 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
                 adds.update((words[i], float(part[i])) for i in np.flatnonzero(part))
                 counts.update((w, len(c)) for w, c in zip(words, cut, strict=True) if len(c) > 1)
 
-        for batch in slices(batches, column):
+        for batch, cut in slices(batches):
             if len(known) > MEMORY_WORDS:
                 known.clear()
                 adds, counts = {"": 0.0}, {"": 0}
-            last = batch.num_columns - 1
-            distinct, index, bounds = distinct_pieces(batch.column(last))
+            distinct, index, bounds = distinct_pieces(cut)
             strings = [normal(w) for w in distinct.to_pylist()]
             remember([w for w in dict.fromkeys(strings) if w and w not in known])
             each = np.array([known.get(w, model.bias) for w in strings])
@@ -516,9 +525,9 @@ def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text")
             if model.shares:
                 told = np.maximum(told, model.shares.slope * total / (number + FEW_WORDS) + model.shares.offset)
             scores = sigmoid(told)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(scores)], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=names)
 
-    return docs.withColumn(column, words(text_col)).mapInArrow(tidied(run), schema)
+    return docs.mapInArrow(tidied(run), schema)
 
 
 def classify(docs: DataFrame, model: Model, folds: int = 4, held_out: int = 2, threshold: float = 0.3,

@@ -144,3 +144,17 @@ def test_scores_do_not_depend_on_the_batch(spark, model):
     texts = ["the idiot and the stupid " + "thing " * n for n in range(1, 40)]
     alone = [scores(spark, model, [t])[0] for t in texts[:2]]
     assert np.allclose(scores(spark, model, texts)[:2], alone, rtol=1e-9)
+
+
+def test_words_are_cut_at_unicodes_white_space(spark, model):
+    # The information separators (U+001C to U+001F) and the zero-width space are no white space.
+    for c in range(1, 0x3100):
+        if chr(c).isspace() or chr(c) in "​᠎﻿\u0085":
+            got = toxicity.pc.split_pattern_regex(toxicity.pa.array([f"a{chr(c)}b"]), toxicity.WHITE_SPACE).to_pylist()[0]
+            java = spark.range(1).select(common.words(toxicity.F.lit(f"a{chr(c)}b")).alias("w")).first()["w"]
+            assert got == java
+    # One column of texts goes to the workers, and no second one of their words.
+    df = spark.createDataFrame([(1, " the idiot　here ")], "doc_id long, Text string")
+    scored = toxicity.with_score(df, model, "score")
+    assert scored.first()["score"] >= 0.3
+    assert "regexp_extract_all" not in scored._jdf.queryExecution().toString()
